@@ -23,23 +23,26 @@ def sampling_rate(axis_x: Column) -> Column:
     return F.when((F.size(axis_x) >= 2) & (dt > 0), F.try_divide(F.lit(1.0), dt))
 
 
-def _total(x: Column, f: Callable[[Column], Column]) -> Column:
-    return F.aggregate(x, F.lit(0.0), lambda s, v: s + f(v))
+def _mean_of(x: Column, f: Callable[[Column], Column]) -> Column:
+    total = F.aggregate(x, F.lit(0.0), lambda s, v: s + f(v))
+    return F.try_divide(total, F.nullif(F.size(x), F.lit(0)))
 
 
 def time_metrics(axis_y: Column) -> dict[str, Column]:
     """RMS, crest factor, kurtosis (normal = 3) and peak."""
-    x = F.transform(axis_y, lambda v: v.cast("double"))
-    n = F.nullif(F.size(x), F.lit(0))
-    rms = F.sqrt(F.try_divide(_total(x, lambda v: v * v), n))
+    x = axis_y.cast("array<double>")
+    rms = F.sqrt(_mean_of(x, lambda v: v * v))
     peak = F.array_max(F.transform(x, F.abs))
-    mean = F.try_divide(_total(x, lambda v: v), n)
-    m2 = F.try_divide(F.aggregate(x, F.lit(0.0), lambda s, v: s + (v - mean) * (v - mean)), n)
-    m4 = F.try_divide(F.aggregate(x, F.lit(0.0), lambda s, v: s + F.pow(v - mean, F.lit(4.0))), n)
+    # a one-element array binds the mean, so it is not worked out again per sample
+    def central(power: int) -> Column:
+        def moment(m: Column) -> Column:
+            return _mean_of(x, lambda v: F.pow(v - m, F.lit(float(power))))
+        return F.get(F.transform(F.array(_mean_of(x, lambda v: v)), moment), F.lit(0))
+    variance = central(2)
     return {
         "velocity_rms": rms,
         "crest_factor": F.try_divide(peak, F.nullif(rms, F.lit(0.0))),
-        "kurtosis_opt": F.try_divide(m4, F.nullif(m2 * m2, F.lit(0.0))),
+        "kurtosis_opt": F.try_divide(central(4), F.nullif(variance * variance, F.lit(0.0))),
         "peak_value_opt": peak,
     }
 
