@@ -66,14 +66,12 @@ def test_rows(df: DataFrame, fold: int) -> DataFrame:
 def baseline_mean(df: DataFrame, target: str, k: int = 3) -> DataFrame:
     """Mean of the target over each fold's training rows, from one pass."""
     sums = df.groupBy("test_fold").agg(F.sum(target).alias("s"), F.count(target).alias("c"))
-    folds = df.sparkSession.range(k).select(F.col("id").cast("int").alias("fold"))
-    earlier = sums["test_fold"].isNull() | (sums["test_fold"] < folds["fold"])
-    # at most k + 1 sums against k folds
-    return (
-        folds.join(F.broadcast(sums), earlier)
-        .groupBy("fold")
-        .agg((F.sum("s") / F.sum("c")).alias("prediction"))
+    # k + 1 rows are left: each fold adds up the rows before its own
+    earlier = Window.orderBy(F.col("test_fold").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    means = sums.select(
+        F.col("test_fold").alias("fold"), F.try_divide(F.sum("s").over(earlier), F.sum("c").over(earlier)).alias("prediction")
     )
+    return means.where(F.col("fold").between(0, k - 1))
 
 
 def fold_metrics(df: DataFrame, by: Sequence[str] = ("target", "model", "fold"),
