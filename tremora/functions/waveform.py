@@ -8,7 +8,6 @@ runs once and every band is read off it.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -73,7 +72,6 @@ def _bands(x: np.ndarray, fs: float, parseval: bool) -> dict[str, float | None]:
 BAND_NAMES = [*RMS_BANDS, "peak_10_1000hz"]
 
 
-@cache
 def _band_udf(parseval: bool):
     schema = "struct<" + ", ".join(f"{c}: double" for c in BAND_NAMES) + ">"
 

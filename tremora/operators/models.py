@@ -10,6 +10,7 @@ import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -48,16 +49,30 @@ SEARCH_SPACE: dict[str, dict[str, tuple]] = {
 }
 
 
-def scaling(df: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population standard deviation per feature; a constant feature divides by 1."""
-    row = df.agg(*[f(F.col(f"`{c}`")) for c in features for f in (F.avg, F.stddev_pop)]).first()
-    return {c: (row[2 * i], row[2 * i + 1] or 1.0) for i, c in enumerate(features)}
+@dataclass
+class Scaling:
+    """Number of rows, mean and population standard deviation per feature, and of the target."""
+
+    rows: int
+    moments: dict[str, tuple[float, float]]
+    target: tuple[float, float] | None = None
+
+
+def scaling(df: DataFrame, features: Sequence[str], target: str | None = None) -> Scaling:
+    """Statistics of the training rows in one pass; a constant feature divides by 1."""
+    columns = [*features, *([target] if target else [])]
+    pairs = [f(F.col(f"`{c}`")) for c in columns for f in (F.avg, F.stddev_pop)]
+    n, *row = df.agg(F.count(F.lit(1)), *pairs).first()
+    if not n:
+        raise ValueError("no rows to train on")
+    moments = {c: (row[2 * i], row[2 * i + 1] or 1.0) for i, c in enumerate(features)}
+    return Scaling(n, moments, (row[-2], row[-1]) if target else None)
 
 
 def standardise(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Centre and scale the features by statistics of ``fit_on`` (the training rows)."""
     stats = scaling(df if fit_on is None else fit_on, features)
-    return df.withColumns({c: (F.col(f"`{c}`") - m) / s for c, (m, s) in stats.items()})
+    return df.withColumns({c: (F.col(f"`{c}`") - m) / s for c, (m, s) in stats.moments.items()})
 
 
 def poly_features(df: DataFrame, features: Sequence[str], degree: int = 2, out: str = "poly") -> DataFrame:
@@ -71,8 +86,8 @@ def _scaled_names(features: Sequence[str]) -> list[str]:
     return [f"_z{i}" for i in range(len(features))]
 
 
-def _scale_stage(stats: Mapping[str, tuple[float, float]]) -> SQLTransformer:
-    terms = [f"(`{c}` - ({m!r}D)) / {s!r}D AS _z{i}" for i, (c, (m, s)) in enumerate(stats.items())]
+def _scale_stage(stats: Scaling) -> SQLTransformer:
+    terms = [f"(`{c}` - ({m!r}D)) / {s!r}D AS _z{i}" for i, (c, (m, s)) in enumerate(stats.moments.items())]
     return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
 
 
@@ -87,18 +102,21 @@ def _fourier_stage(n_features: int, gamma: float, components: int, seed: int) ->
 
 
 def fit(df: DataFrame, features: Sequence[str], target: str, model: str,
-        params: Mapping[str, Any] | None = None, seed: int = 42) -> PipelineModel:
-    """Train one model; the result adds a ``prediction`` column to raw rows."""
+        params: Mapping[str, Any] | None = None, seed: int = 42, stats: Scaling | None = None) -> PipelineModel:
+    """Train one model; the result adds a ``prediction`` column to raw rows.
+
+    ``stats`` passes in the scaling of these very rows where it is known already.
+    """
     if model not in MODELS:
         raise ValueError(f"unknown model {model}, expected one of {MODELS}")
     p = {**DEFAULTS[model], **(params or {})}
     rows = df.where(F.col(f"`{target}`").isNotNull())
+    stats = stats or scaling(rows, features, target)
     if model == "Baseline":
-        mean = rows.agg(F.avg(F.col(f"`{target}`"))).first()[0]
-        constant = SQLTransformer(statement=f"SELECT *, {mean!r}D AS prediction FROM __THIS__")
+        constant = SQLTransformer(statement=f"SELECT *, {stats.target[0]!r}D AS prediction FROM __THIS__")
         return PipelineModel([constant])
     z = _scaled_names(features)
-    stages: list[Any] = [_scale_stage(scaling(rows, features))]
+    stages: list[Any] = [_scale_stage(stats)]
     inputs = z
     if model == "KernelRidge":
         # on standardised features both ways of choosing gamma come to one over their number
@@ -113,9 +131,10 @@ def fit(df: DataFrame, features: Sequence[str], target: str, model: str,
     common = {"featuresCol": column, "labelCol": target, "predictionCol": "prediction"}
     if model in ("Ridge", "PolyRidgeDegree2", "KernelRidge"):
         alpha = 1.0 / p["C"] if model == "KernelRidge" else p["alpha"]
-        # a sum of squares plus alpha |w|^2 is n times the mean-based form used here
+        # sum of squares plus alpha |w|^2, restated for a solver that averages the squares
+        # and divides its penalty by the spread of the label
         stages.append(LinearRegression(
-            regParam=alpha / rows.count(), elasticNetParam=0.0, standardization=False, solver="normal", **common
+            regParam=alpha / stats.rows * stats.target[1], elasticNetParam=0.0, standardization=False, solver="normal", **common
         ))
     elif model == "RandomForest":
         stages.append(RandomForestRegressor(
@@ -152,16 +171,18 @@ def cross_validate(df: DataFrame, features: Sequence[str], target: str,
     The test rows of a fold are scored by all candidates in one pass.
     """
     names = list(candidates)
+    df = df.where(F.col(f"`{target}`").isNotNull())
+    stats = [scaling(training_rows(df, i), features, target) for i in range(k)]
     jobs = [(i, name) for i in range(k) for name in names]
 
     def train(i: int, name: str):
         model, params = candidates[name]
-        return lambda: fit(training_rows(df, i), features, target, model, params, seed)
+        return lambda: fit(training_rows(df, i), features, target, model, params, seed, stats[i])
 
     fitted = dict(zip(jobs, _in_threads([train(*j) for j in jobs], threads)))
     out = None
     for i in range(k):
-        scored = test_rows(df, i).where(F.col(f"`{target}`").isNotNull())
+        scored = test_rows(df, i)
         base = scored.columns
         for c, name in enumerate(names):
             done = fitted[i, name].transform(scored)

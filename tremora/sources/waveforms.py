@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -39,7 +38,6 @@ def scan_waveform_json(spark: SparkSession, path: str, device: str | None = None
     return df.select("axisX", "axisY", "filepath", "file_name")
 
 
-@cache
 def _decode_udf():
     @F.pandas_udf("struct<fs: double, axisY: array<float>>")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
