@@ -69,7 +69,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device"
     extent = unique.groupBy(*keys).agg(
         time_slice(F.min(ts), bin_seconds).alias("_min"), time_slice(F.max(ts), bin_seconds).alias("_max")
     )
-    probe = left.join(broadcast_if_small(extent, "asof-extent"), list(keys), "left").withColumn(
+    probe = left.join(broadcast_if_small(extent), list(keys), "left").withColumn(
         "_bin", F.least(F.greatest(time_slice(ts, bin_seconds), "_min"), "_max")
     )
     t, at, edge = F.col(f"l.`{ts}`"), F.col("r._at"), F.col("r._edge")

@@ -41,7 +41,7 @@ def histogram(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), b
         F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a")).alias("lo"),
         F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
     )
-    ranges = broadcast_if_small(ranges, "ranges")
+    ranges = broadcast_if_small(ranges)
     width = F.col("hi") - F.col("lo")
     slot = F.least(F.floor((F.col("value") - F.col("lo")) * bins / width).cast("int") + 1, F.lit(bins))
     counted = long.join(ranges, by).groupBy(*by, slot.alias("bin")).agg(F.count("*").alias("n"))
@@ -61,7 +61,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
     q = quantiles(df, columns, QUARTILES, keys, in_memory_rows).select(
         *by, "n", *[F.get("q", F.lit(i)).alias(n) for i, n in enumerate(("q1", "median", "q3"))]
     )
-    q = broadcast_if_small(q, "quartiles")
+    q = broadcast_if_small(q)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
     long = to_long(df, columns, keys, "feature", "value").where("value is not null")

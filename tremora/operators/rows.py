@@ -41,7 +41,7 @@ def overlap_range(
         F.greatest("start", "start_r").alias("_lo"),
         F.least("end", "end_r").alias("_hi"),
     )
-    bounds = broadcast_if_small(bounds, "overlap")
+    bounds = broadcast_if_small(bounds)
 
     def clip(df: DataFrame) -> DataFrame:
         return (
@@ -84,7 +84,7 @@ def map_location(df: DataFrame, dimension: DataFrame, sensor: str = "sensor_id")
     The dimension is one row per sensor and is hinted only after its size is checked.
     """
     dim = dimension.select(F.col("sensor_id").alias(sensor), "location")
-    return df.join(broadcast_if_small(dim, "sensors"), sensor, "left")
+    return df.join(broadcast_if_small(dim), sensor, "left")
 
 
 def distinct_values(df: DataFrame, column: str, keys: Sequence[str] = ()) -> DataFrame:

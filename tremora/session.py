@@ -44,11 +44,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, name: str, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast only after counting the rows of a materialised small side.
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Hint a broadcast of a narrow side only once its rows are known to be few.
 
-    Beyond ``max_rows`` the table is returned without a hint, so the join shuffles
-    (and adaptive execution splits skewed partitions).
+    At most ``max_rows`` + 1 rows are fetched. If that is all, they come back as a
+    local table; otherwise ``df`` is returned as it is, so the join shuffles (and
+    adaptive execution splits skewed partitions).
     """
-    small = materialise(df, name)
-    return F.broadcast(small) if small.count() <= max_rows else small
+    head = df.limit(max_rows + 1).toArrow()
+    if head.num_rows > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
