@@ -135,14 +135,19 @@ def test_random_search(spark):
 
 
 def test_ridge_search_agrees_with_fitted_models(spark):
-    folded = folds.time_folds(table(spark), ["datetime", "id"])
-    draws = models.draw_params("Ridge", 3)
-    slow = folds.cv_summary(models.cross_validate(folded, ["a", "b"], "y_rating", {f"{i:02d}": ("Ridge", d) for i, d in enumerate(draws)}))
-    want = {r.model: r for r in slow.collect()}
-    got = {r.model: r for r in models.random_search(folded, ["a", "b"], "y_rating", "Ridge", n=3)[1].collect()}
-    for name in want:
-        assert got[name].R2 == pytest.approx(want[name].R2, rel=1e-6)
-        assert got[name].RMSE == pytest.approx(want[name].RMSE, rel=1e-6)
+    df = table(spark).withColumn("flat", F.lit(2.0))
+    folded = folds.time_folds(df, ["datetime", "id"])
+    features = ["a", "b", "flat"]
+    got = {r.model: r for r in models.random_search(folded, features, "y_rating", "Ridge", n=3)[1].collect()}
+    for d, params in enumerate(models.draw_params("Ridge", 3)):
+        parts = []
+        for i in range(3):
+            fitted = models.fit(folds.training_rows(folded, i), features, "y_rating", "Ridge", params)
+            parts.append(models.predict(fitted, folds.test_rows(folded, i)).select(
+                F.lit("t").alias("target"), F.lit("m").alias("model"), F.lit(i).alias("fold"), F.col("y_rating").alias("y"), "prediction"))
+        want = folds.cv_summary(folds.fold_metrics(parts[0].unionByName(parts[1]).unionByName(parts[2]))).first()
+        for c in folds.SCORES:
+            assert got[f"{d:02d}"][c] == pytest.approx(want[c], rel=1e-6)
 
 
 def test_encode_categories(spark):

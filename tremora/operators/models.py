@@ -13,13 +13,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tremora.operators.folds import cv_summary, fold_metrics, test_rows, training_rows
 
@@ -163,17 +164,63 @@ def _in_threads(tasks: Sequence, threads: int) -> list:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
+def ridge_weights(df: DataFrame, features: Sequence[str], target: str, alphas: Mapping[str, float],
+                  k: int) -> dict[tuple[int, str], tuple[np.ndarray, float]]:
+    """Ridge weights on raw columns, and intercepts, per (fold, name) from one pass.
+
+    Folds train on growing prefixes, so sums of products per fold segment, added up,
+    give every fold's normal equations; strengths differ only in the small solve.
+    """
+    columns = [*features, target]
+    every = scaling(df, columns)
+    centre = np.array([every.moments[c][0] for c in columns])
+    unit = np.array([every.moments[c][1] for c in columns])
+    z = [(F.col(f"`{c}`") - m) / s for c, (m, s) in every.moments.items()] + [F.lit(1.0)]
+    size = len(z)
+    cells = F.array(*[
+        F.struct(F.lit(i * size + j).alias("cell"), (z[i] * z[j]).alias("v")) for i in range(size) for j in range(i, size)
+    ])
+    sums = df.select("test_fold", F.inline(cells)).groupBy("test_fold", "cell").agg(F.sum("v")).collect()
+    segments = np.zeros((k + 1, size, size))  # (k + 1) small symmetric matrices
+    for fold, cell, v in sums:
+        i, j = divmod(cell, size)
+        segments[0 if fold is None else fold + 1, i, j] = segments[0 if fold is None else fold + 1, j, i] = v
+    prefix = segments.cumsum(axis=0)
+    out = {}
+    for fold in range(k):
+        m = prefix[fold]
+        n, mean = m[-1, -1], m[-1, :-1] / m[-1, -1]
+        cov = m[:-1, :-1] - n * np.outer(mean, mean)
+        spread = np.sqrt(np.diag(cov)[:-1] / n)
+        spread[spread < 1e-12] = 1.0
+        gram = cov[:-1, :-1] / np.outer(spread, spread)
+        moment = cov[:-1, -1] / spread
+        for name, alpha in alphas.items():
+            w = np.linalg.solve(gram + alpha * np.eye(len(features)), moment) / spread
+            w = w * unit[-1] / unit[:-1]
+            level = centre + mean * unit
+            out[fold, name] = w, float(level[-1] - w @ level[:-1])
+    return out
+
+
+def _linear(features: Sequence[str], weights: np.ndarray, intercept: float) -> Column:
+    return sum((F.col(f"`{c}`") * float(w) for c, w in zip(features, weights)), F.lit(intercept))
+
+
 def cross_validate(df: DataFrame, features: Sequence[str], target: str,
                    candidates: Mapping[str, tuple[str, Mapping[str, Any]]], k: int = 3,
                    threads: int = 4, seed: int = 42) -> DataFrame:
     """Fold scores of each named candidate (model, params) on rows from ``time_folds``.
 
-    The test rows of a fold are scored by all candidates in one pass.
+    All ridge candidates share one pass of sums; other models are fitted fold by
+    fold. The test rows of a fold are scored by all candidates in one pass.
     """
     names = list(candidates)
     df = df.where(F.col(f"`{target}`").isNotNull())
-    stats = [scaling(training_rows(df, i), features, target) for i in range(k)]
-    jobs = [(i, name) for i in range(k) for name in names]
+    alphas = {n: p.get("alpha", DEFAULTS["Ridge"]["alpha"]) for n, (m, p) in candidates.items() if m == "Ridge"}
+    ridges = ridge_weights(df, features, target, alphas, k) if alphas else {}
+    jobs = [(i, name) for i in range(k) for name in names if name not in alphas]
+    stats = [scaling(training_rows(df, i), features, target) for i in range(k)] if jobs else []
 
     def train(i: int, name: str):
         model, params = candidates[name]
@@ -183,11 +230,13 @@ def cross_validate(df: DataFrame, features: Sequence[str], target: str,
     out = None
     for i in range(k):
         scored = test_rows(df, i)
-        base = scored.columns
         for c, name in enumerate(names):
-            done = fitted[i, name].transform(scored)
-            scored = done.select(*base, F.col("prediction").alias(f"_p{c}"))
-            base = scored.columns
+            kept = scored.columns
+            if name in alphas:
+                scored = scored.withColumn("prediction", _linear(features, *ridges[i, name]))
+            else:
+                scored = fitted[i, name].transform(scored)
+            scored = scored.select(*[F.col(f"`{x}`") for x in kept], F.col("prediction").alias(f"_p{c}"))
         long = scored.select(
             F.lit(i).alias("fold"), F.col(f"`{target}`").cast("double").alias("y"),
             F.inline(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"_p{c}").alias("prediction")) for c, n in enumerate(names)])),
@@ -210,13 +259,11 @@ def random_search(df: DataFrame, features: Sequence[str], target: str, model: st
                   k: int = 3, threads: int = 4, seed: int = 42) -> tuple[dict[str, Any], DataFrame]:
     """Best of ``n`` draws by mean R2 over time folds, and the table of all draws."""
     draws = draw_params(model, n, seed)
-    if not draws[0]:
-        return {}, cv_summary(cross_validate(df, features, target, {model: (model, {})}, k, threads, seed))
-    named = {f"{d:02d}": (model, params) for d, params in enumerate(draws)}
+    named = {f"{d:02d}": (model, params) for d, params in enumerate(draws if draws[0] else [{}])}
     summary = cv_summary(cross_validate(df, features, target, named, k, threads, seed))
-    scores = {r["model"]: r["R2"] for r in summary.collect()}  # one row per draw
-    best = max(sorted(scores), key=lambda d: scores[d])
-    return draws[int(best)], summary
+    scored = summary.collect()  # one row per draw
+    best = max(sorted(scored, key=lambda r: r["model"]), key=lambda r: r["R2"])
+    return draws[int(best["model"])], df.sparkSession.createDataFrame(scored, summary.schema)
 
 
 def encode_categories(columns: Sequence[str]) -> Pipeline:

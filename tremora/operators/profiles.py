@@ -78,17 +78,24 @@ def box_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
     )
 
 
-def _pearson(x: str, y: str) -> Column:
-    """Over rows where both are present; null when either is constant."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    a, b = (F.when(both, F.col(c).cast("double")) for c in (x, y))
-    spread = F.stddev_samp(a) * F.stddev_samp(b)
-    return F.try_divide(F.covar_samp(a, b), F.nullif(spread, F.lit(0.0)))
-
-
 def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], first: str, second: str) -> DataFrame:
-    cells = [F.struct(F.lit(x).alias(first), F.lit(y).alias(second), _pearson(x, y).alias("corr")) for x, y in pairs]
-    return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
+    """Pearson over the rows where both columns are present; null when either is constant.
+
+    Each row offers its pairs to one grouped aggregate, so the generated code stays
+    the same size for any number of columns and only partial sums are shuffled.
+    """
+    def cell(i: int, x: str, y: str) -> Column:
+        a, b = (F.col(f"`{c}`").cast("double") for c in (x, y))
+        both = a.isNotNull() & b.isNotNull()
+        return F.struct(F.lit(i).alias("i"), F.when(both, a).alias("a"), F.when(both, b).alias("b"))
+
+    spread = F.nullif(F.stddev_samp("a") * F.stddev_samp("b"), F.lit(0.0))
+    scored = (
+        df.select(F.inline(F.array(*[cell(i, x, y) for i, (x, y) in enumerate(pairs)])))
+        .groupBy("i").agg(F.try_divide(F.covar_samp("a", "b"), spread).alias("corr"))
+    )
+    names = F.array(*[F.struct(F.lit(x).alias(first), F.lit(y).alias(second)) for x, y in pairs])
+    return scored.select(F.get(names, F.col("i")).alias("p"), "corr").select("p.*", "corr")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -23,13 +23,14 @@ def merged_table(readings: DataFrame, ratings: DataFrame, measurements: Sequence
 
     Readings pivot, fill forward, are cut to the time both sides cover and take the
     next rating of their device. The pivoted side is written once, as its extent is
-    needed before its rows.
+    needed before its rows, and so is the result, which the bucket steps read several
+    times with few columns.
     """
     wide = timeseries.forward_fill(reshape.pivot_readings(readings, measurements), fill)
     wide = materialise(wide, "wide-readings")
     rated = materialise(reshape.pivot_ratings(ratings, metrics), "wide-ratings")
     left, right = rows.overlap_range(wide, rated)
-    return asof_join(left, right, direction=direction)
+    return materialise(asof_join(left, right, direction=direction), "merged")
 
 
 def bucket_table(merged: DataFrame, measurements: Sequence[str], ratings: Sequence[str], minutes: int = 20,

@@ -210,7 +210,7 @@ SELECT 'reading' AS side, device, datetime FROM left_rows UNION ALL SELECT 'rati
 ORACLES["drop_columns"] = q(READINGS, 'SELECT id, "Measurement", data, device, location FROM readings')
 ORACLES["suffix_ratings"] = q(RATED, f'SELECT device, datetime, {r("error", "error_rating")}, {r("purchase", "purchase_rating")} FROM rated')
 ORACLES["drop_nulls"] = q(RATED, f"SELECT device, datetime, {RATED_OUT} FROM rated WHERE error IS NOT NULL AND purchase IS NOT NULL")
-ORACLES["epoch_seconds_feature"] = "SELECT event_id, floor(epoch_us(ts) / 1000000)::BIGINT AS datetime_ts FROM events"
+ORACLES["epoch_seconds"] = "SELECT event_id, floor(epoch_us(ts) / 1000000)::BIGINT AS datetime_ts FROM events"
 ORACLES["one_hot"] = q(LOCATED, "SELECT vec_id, " + ", ".join(
     [f"coalesce((location = 'loc_{i}')::INTEGER, 0) AS loc_loc_{i}" for i in range(3)]
     + [f"(wave_code = '{c}')::INTEGER AS wave_{c}" for c in ("AH", "VV")]) + " FROM located")
@@ -228,7 +228,7 @@ ORACLES["distinct_locations"] = q(READINGS, "SELECT DISTINCT device, location FR
 ORACLES["location_filter"] = q(READINGS, "SELECT id, device, location, data FROM readings WHERE device = 'dev_0' AND location IN ('loc_2', 'loc_9')")
 ORACLES["first_n"] = q(READINGS, "SELECT datetime, id, data FROM readings ORDER BY datetime, id LIMIT 10000")
 ORACLES["numeric_only"] = q(READINGS, "SELECT id, data, datetime, (data > 100)::INTEGER AS hot FROM readings")
-ORACLES["rating_bands"] = q(RATINGS, """
+ORACLES["rating_band"] = q(RATINGS, """
 , shown AS (SELECT device, datetime, "Metric", nullif("Rating", 40) AS "Rating" FROM ratings)
 SELECT *, CASE WHEN "Rating" >= 80 THEN 'healthy' WHEN "Rating" >= 60 THEN 'usable' WHEN "Rating" >= 30 THEN 'warning'
                WHEN "Rating" IS NOT NULL THEN 'fault' END AS band FROM shown""")
@@ -416,3 +416,24 @@ ORACLES["stream_resample"] = q(READINGS, f"""
 SELECT location, device, b AS datetime, {r("mean_data")} FROM binned
 WHERE b + INTERVAL '15 minutes' <= (SELECT max(datetime) - INTERVAL '1 hour' FROM readings)""")
 ORACLES["stream_dedup"] = q(READINGS, "SELECT id, datetime, device, data FROM readings")
+ORACLES["stream_buckets"] = q("""numbered AS MATERIALIZED (
+  SELECT 'dev_' || (user_id % 2) AS device, 'loc_' || (user_id % 4) AS location, ts, value AS data, floor(value / 60) * 20 AS level,
+         row_number() OVER w AS rn, lag(floor(value / 60)) OVER w IS DISTINCT FROM floor(value / 60) AS changed
+  FROM events WINDOW w AS (PARTITION BY user_id % 4 ORDER BY ts)),
+walk AS (
+  SELECT device, location, rn, ts AS opened, 1 AS bucket FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.device, n.location, n.rn,
+         CASE WHEN n.changed OR n.ts >= w.opened + INTERVAL '120 minutes' THEN n.ts ELSE w.opened END,
+         w.bucket + CASE WHEN n.changed OR n.ts >= w.opened + INTERVAL '120 minutes' THEN 1 ELSE 0 END
+  FROM walk w JOIN numbered n ON n.location = w.location AND n.rn = w.rn + 1),
+grouped AS (
+  SELECT device, location, bucket, count(data) AS n, avg(data) AS mean, stddev_samp(data) AS std, min(data) AS lo, max(data) AS hi,
+         min(level) AS level, min(ts) AS bucket_start, max(ts) AS bucket_end
+  FROM numbered JOIN walk USING (device, location, rn) GROUP BY device, location, bucket),
+closing AS (
+  SELECT *, lead(bucket_start) OVER (PARTITION BY location ORDER BY bucket) AS following,
+         (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '1 hour' FROM events) AS mark FROM grouped)""", f"""
+SELECT device, location, n AS data_count, {r("mean", "data_mean")}, {r("std", "data_std")}, {r("lo", "data_min")}, {r("hi", "data_max")},
+       {r("level")}, bucket_start, bucket_end
+FROM closing WHERE bucket_start + INTERVAL '120 minutes' <= mark OR following <= mark""")

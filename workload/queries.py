@@ -38,7 +38,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(f):
-    REGISTRY[f.__name__] = f
+    REGISTRY[f.__name__.rstrip("_")] = f
     return f
 
 
@@ -198,7 +198,7 @@ def drop_nulls(spark, d):
 
 
 @query
-def epoch_seconds_feature(spark, d):
+def epoch_seconds_(spark, d):
     return t.table(spark, d, "events").select("event_id", epoch_seconds("ts").alias("datetime_ts"))
 
 
@@ -271,7 +271,7 @@ def numeric_only(spark, d):
 
 
 @query
-def rating_bands(spark, d):
+def rating_band_(spark, d):
     r = t.ratings(spark, d)
     return r.withColumn("Rating", F.nullif("Rating", F.lit(40.0))).withColumn("band", rating_band(F.col("Rating")))
 
@@ -620,9 +620,9 @@ def stream_dedup(spark, d):
 
 def bucket_rows(events):
     """One reading per event with a coarse rating of its own, keyed by device and location."""
-    r = t.as_readings(events)
-    return r.select("device", "location", F.col("datetime"), "data",
-                    (F.floor(F.col("data") / 60) * 20).cast("double").alias("level"))
+    return t.as_readings(events.withColumn("exact", F.col("ts")), "exact").select(
+        "device", "location", F.col("exact").alias("datetime"), "data",
+        (F.floor(F.col("data") / 60) * 20).cast("double").alias("level"))
 
 
 @query

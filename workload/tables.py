@@ -35,7 +35,7 @@ def _location() -> F.Column:
     return F.concat(F.lit("loc_"), F.col("user_id") % 4)
 
 
-def as_readings(events: DataFrame) -> DataFrame:
+def as_readings(events: DataFrame, *extra: str) -> DataFrame:
     """Long readings with text date and time, as staged files hold them."""
     return events.select(
         F.col("event_id").alias("id"),
@@ -46,6 +46,7 @@ def as_readings(events: DataFrame) -> DataFrame:
         _device().alias("device"),
         _location().alias("location"),
         F.date_trunc("second", "ts").cast("timestamp_ntz").alias("datetime"),
+        *extra,
     )
 
 
