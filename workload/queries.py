@@ -131,7 +131,7 @@ def scan_waveform_json(spark, d):
         F.concat(F.substring("file_name", 1, 8), F.lit("#"), "device").alias("folder"),
         F.col("file_name").alias("name"), F.to_json(F.struct("axisX", "axisY")).alias("value"),
     )
-    w.write.partitionBy("folder", "name").text(path)
+    w.repartition("folder", "name").write.partitionBy("folder", "name").text(path)
     read = recordings.scan_waveform_json(spark, path, "dev_1", "folder", "name")
     total = F.aggregate("axisY", F.lit(0.0), lambda s, v: s + v)
     return rounded(read.select("filepath", "file_name", F.size("axisX").alias("n_x"), F.size("axisY").alias("n_y"), total.alias("total")))
