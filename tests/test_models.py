@@ -112,6 +112,19 @@ def test_models_fit_and_reload(spark, tmp_path, model, params):
     assert rows(models.predict(again, df), "id") == rows(models.predict(fitted, df), "id")
 
 
+def test_poly_ridge_matches_closed_form(spark):
+    df = table(spark)
+    fitted = models.fit(df, ["a", "b"], "y_rating", "PolyRidgeDegree2", {"alpha": 3.0})
+    local = df.orderBy("id").toPandas()
+    x = local[["a", "b"]].to_numpy()
+    a, b = ((x - x.mean(0)) / x.std(0)).T
+    z = np.column_stack([a, a * a, b, a * b, b * b])
+    y, c = local["y_rating"].to_numpy(), z - z.mean(0)
+    w = np.linalg.solve(c.T @ c + 3.0 * np.eye(5), c.T @ (y - y.mean()))
+    got = models.predict(fitted, df).orderBy("id").toPandas()["prediction"].to_numpy()
+    np.testing.assert_allclose(got, c @ w + y.mean(), rtol=1e-6)
+
+
 def test_rule_text_and_names(spark):
     fitted = models.fit(table(spark), ["a", "b"], "y_rating", "RuleTree")
     assert "If (feature 0 <=" in models.rule_text(fitted)

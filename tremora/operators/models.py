@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
@@ -158,7 +158,7 @@ def rule_text(model: PipelineModel) -> str:
     return model.stages[-1].toDebugString
 
 
-def _in_threads(tasks: Sequence, threads: int) -> list:
+def in_threads(tasks: Sequence[Callable[[], Any]], threads: int) -> list:
     """Small fits overlap on the cluster; each is a Spark job of its own."""
     with ThreadPoolExecutor(max_workers=threads) as pool:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
@@ -226,7 +226,7 @@ def cross_validate(df: DataFrame, features: Sequence[str], target: str,
         model, params = candidates[name]
         return lambda: fit(training_rows(df, i), features, target, model, params, seed, stats[i])
 
-    fitted = dict(zip(jobs, _in_threads([train(*j) for j in jobs], threads)))
+    fitted = dict(zip(jobs, in_threads([train(*j) for j in jobs], threads)))
     out = None
     for i in range(k):
         scored = test_rows(df, i)

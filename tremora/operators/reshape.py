@@ -33,6 +33,8 @@ def to_long(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
             name: str = "Target", value: str = "Value") -> DataFrame:
     """Wide to long, skipping columns the table does not have."""
     have = [c for c in columns if c in df.columns]
+    if not have:
+        return df.select(*keys, F.lit("").alias(name), F.lit(None).cast("double").alias(value)).where("false")
     doubles = df.select(*keys, *[F.col(f"`{c}`").cast("double").alias(c) for c in have])
     return doubles.unpivot(list(keys), have, name, value)
 

@@ -14,11 +14,17 @@ def with_datetime(df: DataFrame, date: str = "Date", time: str = "Time", out: st
     return df.withColumn(out, parse_datetime(F.col(date), F.col(time)))
 
 
-def filter_range(df: DataFrame, start=None, end=None, ts: str = "datetime") -> DataFrame:
-    """Closed time range; without both bounds every row is kept."""
+def filter_range(df: DataFrame, start=None, end=None, ts: str = "datetime", date: str | None = None) -> DataFrame:
+    """Closed time range; without both bounds every row is kept.
+
+    For a table partitioned by day, ``date`` names that column and its folders are
+    pruned as well.
+    """
     if start is None or end is None:
         return df
     bounds = [F.lit(b).cast(df.schema[ts].dataType) for b in (start, end)]
+    if date is not None:
+        df = df.where(F.col(date).between(*[F.to_date(b) for b in bounds]))
     return df.where(F.col(ts).between(*bounds))
 
 

@@ -180,7 +180,7 @@ def signal_panels(df: DataFrame, value: str, interval: float = 5.0, panels: Sequ
         return _across_tasks(series, interval, panels, keys, ts)
     schema = T.StructType(
         [df.schema[k] for k in keys]
-        + [T.StructField("panel", T.StringType()), df.schema[ts], T.StructField("bin", T.LongType()),
+        + [T.StructField("panel", T.StringType()), T.StructField(ts, df.schema[ts].dataType), T.StructField("bin", T.LongType()),
            T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]
     )
     return series.groupBy(*keys).applyInPandas(_one_task(interval, set(panels), schema, keys, ts), schema)

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from tremora.config import METRIC_RATINGS, STATUS_RATINGS, VIBRATION
+from tremora.functions.time import epoch_seconds
 from tremora.operators import buckets, folds, models, reshape, rows, spectra, timeseries, waveforms
 from tremora.operators.joins import asof_join, interval_join
-from tremora.functions.time import epoch_seconds
 from tremora.operators.profiles import radar_means
 from tremora.session import materialise
 
@@ -79,25 +80,28 @@ def train(df: DataFrame, features: Sequence[str], targets: Sequence[str], order:
           tune: bool = False, draws: int = 10, threads: int = 4, seed: int = 42) -> Training:
     """Per target, the model with the best mean R2 over time folds, refitted on all rows."""
     folded = folds.time_folds(df, order, k)
-    summary, chosen = None, {}
-    for target in targets:
+
+    def score(target: str) -> tuple[dict, DataFrame]:
         settings = {}
         for name in names:
             own = dict((params or {}).get(name, {}))
             if tune and name in models.SEARCH_SPACE:
                 own |= models.random_search(folded, features, target, name, draws, k, threads, seed)[0]
             settings[name] = (name, own)
-        scored = models.cross_validate(folded, features, target, settings, k, threads, seed)
-        summary = scored if summary is None else summary.unionByName(scored)
-        chosen[target] = settings
-    scores = materialise(folds.cv_summary(summary), "scores")
+        return settings, models.cross_validate(folded, features, target, settings, k, threads, seed)
+
+    scored = dict(zip(targets, models.in_threads([partial(score, target) for target in targets], threads)))
+    metrics = rows.union_by_name(*[m for _, m in scored.values()])
+    scores = materialise(folds.cv_summary(metrics), "scores")
     best = folds.select_best(scores, names)
-    fitted, predictions = {}, {}
-    for row in best.collect():  # one row per target
-        name, own = chosen[row["target"]][row["model"]]
-        fitted[row["target"]] = models.fit(df, features, row["target"], name, own, seed)
-        predictions[row["target"]] = models.predict(fitted[row["target"]], df)
-    return Training(fitted, scores, best, predictions)
+    winners = {r["target"]: r["model"] for r in best.collect()}  # one row per target
+
+    def refit(target: str) -> PipelineModel:
+        name, own = scored[target][0][winners[target]]
+        return models.fit(df, features, target, name, own, seed)
+
+    fitted = dict(zip(targets, models.in_threads([partial(refit, target) for target in targets], threads)))
+    return Training(fitted, scores, best, {t: models.predict(m, df) for t, m in fitted.items()})
 
 
 def dashboard_selection(merged: DataFrame, device: str, start: datetime | None, end: datetime | None,

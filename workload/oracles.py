@@ -327,6 +327,17 @@ ORACLES["resample_gapfill"] = q(BINNED, f""", grid AS (
   SELECT location, device, unnest(generate_series(lo, hi, INTERVAL '15 minutes')) AS datetime
   FROM (SELECT location, device, min(datetime) AS lo, max(datetime) AS hi FROM binned GROUP BY location, device))
 SELECT {WIDE_OUT} FROM grid LEFT JOIN binned USING (location, device, datetime)""")
+ORACLES["dashboard_selection"] = ORACLES["resample_gapfill"] + " WHERE device = 'dev_1' AND location = 'loc_1'"
+ORACLES["dashboard_signal"] = q(BINNED, f""", series AS (
+  SELECT device, location, datetime, "view" - avg("view") OVER (PARTITION BY location) AS v, count(*) OVER (PARTITION BY location) AS n,
+         row_number() OVER (PARTITION BY location ORDER BY datetime) - 1 AS j
+  FROM binned WHERE device = 'dev_1' AND "view" IS NOT NULL),
+ks AS (SELECT DISTINCT location, unnest(range(n // 2)) AS k FROM series),
+dft AS (
+  SELECT device, location, n, k, sum(v * cos(2 * pi() * (k * j % n) / n)) AS re, sum(v * sin(2 * pi() * (k * j % n) / n)) AS im
+  FROM series JOIN ks USING (location) GROUP BY ALL)
+SELECT device, location, 'raw' AS panel, datetime, NULL::BIGINT AS bin, NULL::DOUBLE AS x, {r("v", "y", 4)} FROM series
+UNION ALL SELECT device, location, 'spectrum', NULL, k, {r("k / (n * 900.0) * 1000000", "x", 4)}, {r("sqrt(re * re + im * im)", "y", 4)} FROM dft""")
 ORACLES["overlay_series"] = q(WIDE, f"""
 SELECT device, location, datetime, 'click' AS series, {r("click", "value")} FROM wide
 UNION ALL SELECT device, location, datetime, 'view', {r(VIEW, "value")} FROM wide""")

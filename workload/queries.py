@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tremora.config import RMS_BANDS, WAVE_METRICS, sensor_dimension
+from tremora.config import RMS_BANDS, VIBRATION, WAVE_METRICS, sensor_dimension
 from tremora.functions import names
 from tremora.functions.ratings import rating_band
 from tremora.functions.time import epoch_seconds
@@ -131,7 +131,8 @@ def scan_waveform_json(spark, d):
         F.concat(F.substring("file_name", 1, 8), F.lit("#"), "device").alias("folder"),
         F.col("file_name").alias("name"), F.to_json(F.struct("axisX", "axisY")).alias("value"),
     )
-    w.repartition("folder", "name").write.partitionBy("folder", "name").text(path)
+    files = w.repartition(spark.sparkContext.defaultParallelism, "folder", "name")
+    files.write.partitionBy("folder", "name").text(path)
     read = recordings.scan_waveform_json(spark, path, "dev_1", "folder", "name")
     total = F.aggregate("axisY", F.lit(0.0), lambda s, v: s + v)
     return rounded(read.select("filepath", "file_name", F.size("axisX").alias("n_x"), F.size("axisY").alias("n_y"), total.alias("total")))
@@ -384,6 +385,19 @@ def resample_gapfill(spark, d):
     return rounded(timeseries.resample_adaptive(wide(spark, d), *RANGE, MEASURES, gaps=True))
 
 
+@query
+def dashboard_selection(spark, d):
+    return rounded(chain.dashboard_selection(wide(spark, d), "dev_1", *RANGE, MEASURES, ["loc_1"]))
+
+
+@query
+def dashboard_signal(spark, d):
+    """Signal views of a resampled selection; the sampling interval is the bin width."""
+    chosen = chain.dashboard_selection(wide(spark, d).withColumnRenamed("view", VIBRATION), "dev_1", *RANGE, [VIBRATION])
+    out = chain.dashboard_views(chosen, interval=900.0)["signal"].where("panel in ('raw', 'spectrum')")
+    return rounded(out.withColumn("x", F.col("x") * 1_000_000), 4)
+
+
 @query
 def overlay_series(spark, d):
     return rounded(timeseries.overlay_series(wide(spark, d), ["click", "view", "not there"], ["device", "location"], "datetime"))
