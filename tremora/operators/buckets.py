@@ -21,12 +21,12 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tremora.functions.time import epoch_micros, from_micros, time_slice
 from tremora.operators.timeseries import DAY
-from tremora.session import materialise
+from tremora.session import broadcast_if_small, materialise
 
 NEVER = np.iinfo(np.int64).max
 
@@ -40,11 +40,27 @@ def _next_anchor(t: np.ndarray, breaks: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(expires, from_here[1:])
 
 
-def _slice_exits(width: int):
+def _in_order(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Times and break flags of a slice, by time."""
+    t = table["_t"].to_numpy()
+    breaks = table["_break"].to_numpy(zero_copy_only=False)
+    if (t[1:] < t[:-1]).any():
+        order = np.argsort(t, kind="stable")
+        t, breaks = t[order], breaks[order]
+    return t, breaks
+
+
+def _one_row(table: pa.Table, keep: Sequence[str], lists: dict[str, np.ndarray]) -> pa.Table:
+    out = table.select(list(keep)).slice(0, 1)
+    for name, values in lists.items():
+        out = out.append_column(name, pa.array([values], pa.list_(pa.int64())))
+    return out
+
+
+def _slice_exits(part: Sequence[str], width: int):
     """Step 1: entry time -> (expiry after the slice, buckets opened in it)."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_t")
-        t, breaks = pdf["_t"].to_numpy(), pdf["_break"].to_numpy(dtype=bool)
+    def run(table: pa.Table) -> pa.Table:
+        t, breaks = _in_order(table)
         m = len(t)
         nxt = _next_anchor(t, breaks, width)
         ends = nxt >= m
@@ -57,59 +73,57 @@ def _slice_exits(width: int):
             opened = opened + opened[last]
             last = further
         # any earlier bucket expires before the slice start plus the width
-        limit = pdf["_from"].iloc[0] + width
+        limit = table["_from"][0].as_py() + width
         reach = min(int(np.searchsorted(t, limit, side="left")), m - 1)
         first_break = int(np.argmax(breaks)) if breaks.any() else m
         upto = min(reach, first_break)
         entry = t[: upto + 1].copy()
         if first_break == upto:
             entry[upto] = NEVER
-        heads = pdf.iloc[:1].drop(columns=["_t", "_break", "_from"])
-        return heads.assign(
-            _entry=[entry.tolist()],
-            _exit=[(t[last[: upto + 1]] + width).tolist()],
-            _opened=[(opened[: upto + 1] + 1).tolist()],
-        )
+        return _one_row(table, part, {
+            "_entry": entry, "_exit": t[last[: upto + 1]] + width, "_opened": opened[: upto + 1] + 1,
+        })
     return run
 
 
-def _chain(keys: Sequence[str]):
+def _chain(part: Sequence[str]):
     """Step 2: the expiry and bucket count each slice of one key starts with."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_slice")
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_slice").combine_chunks()
+        heads = table["_head"].to_pylist()
+        offsets = table["_entry"].chunk(0).offsets.to_numpy()
+        entry, exit_, opened = (table[c].chunk(0).values.to_numpy() for c in ("_entry", "_exit", "_opened"))
         expiry, count, expiries, counts = None, 0, [], []
-        for head, entry, exit_, opened in zip(pdf["_head"], pdf["_entry"], pdf["_exit"], pdf["_opened"]):
+        for head, lo, hi in zip(heads, offsets[:-1], offsets[1:]):
             expiries.append(expiry)
             counts.append(count)
-            j = 0 if head or expiry is None else int(np.searchsorted(entry, expiry, side="left"))
-            if j < len(entry):
+            j = lo if head or expiry is None else lo + int(np.searchsorted(entry[lo:hi], expiry, side="left"))
+            if j < hi:
                 expiry, count = int(exit_[j]), count + int(opened[j])
-        return pdf[[*keys, "_slice", "_head"]].assign(
-            _expiry=pd.array(expiries, dtype="Int64"), _before=counts
-        )
+        out = table.select([*part, "_head"])
+        out = out.append_column("_expiry", pa.array(expiries, pa.int64()))
+        return out.append_column("_before", pa.array(counts, pa.int64()))
     return run
 
 
-def _slice_timers(width: int):
+def _slice_timers(part: Sequence[str], width: int):
     """Step 3: anchors of a slice that are due to the clock and not to a rating change."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_t")
-        t, breaks = pdf["_t"].to_numpy(), pdf["_break"].to_numpy(dtype=bool)
+    def run(table: pa.Table) -> pa.Table:
+        t, breaks = _in_order(table)
         nxt = _next_anchor(t, breaks, width)
-        expiry = pdf["_expiry"].iloc[0]
-        if pdf["_head"].iloc[0] or pd.isna(expiry):
+        expiry = table["_expiry"][0].as_py()
+        if table["_head"][0].as_py() or expiry is None:
             i = 0
         else:
-            i = int(np.searchsorted(t, int(expiry), side="left"))
+            i = int(np.searchsorted(t, expiry, side="left"))
             if breaks.any():
                 i = min(i, int(np.argmax(breaks)))
         anchors = []
         while i < len(t):
-            anchors.append(int(t[i]))
+            if not breaks[i]:
+                anchors.append(t[i])
             i = int(nxt[i])
-        changed = set(t[breaks].tolist())
-        heads = pdf.iloc[:1].drop(columns=["_t", "_break", "_head", "_expiry"])
-        return heads.assign(_timers=[[a for a in anchors if a not in changed]])
+        return _one_row(table, part, {"_timers": np.array(anchors, dtype=np.int64)})
     return run
 
 
@@ -153,23 +167,24 @@ def assign_buckets(df: DataFrame, ratings: Sequence[str], minutes: int = 20,
 
     thin = rows.select(*part, "_t", "_break")
     longs = T.ArrayType(T.LongType())
-    exits = thin.withColumn("_from", F.col("_slice") * slice_seconds * 1_000_000).groupBy(*part).applyInPandas(
-        _slice_exits(width),
+    exits = thin.withColumn("_from", F.col("_slice") * slice_seconds * 1_000_000).groupBy(*part).applyInArrow(
+        _slice_exits(part, width),
         T.StructType(part_schema + [T.StructField(c, longs) for c in ("_entry", "_exit", "_opened")]),
     )
-    chained = exits.join(heads, part).groupBy(*keys).applyInPandas(
-        _chain(list(keys)),
+    chained = exits.join(heads, part).groupBy(*keys).applyInArrow(
+        _chain(part),
         T.StructType(part_schema + [
             T.StructField("_head", T.BooleanType()),
             T.StructField("_expiry", T.LongType()),
             T.StructField("_before", T.LongType()),
         ]),
     )
-    chained = materialise(chained, "bucket-chain")
-    timers = thin.join(chained.drop("_before"), part).groupBy(*part).applyInPandas(
-        _slice_timers(width), T.StructType(part_schema + [T.StructField("_timers", longs)])
+    chained = broadcast_if_small(materialise(chained, "bucket-chain"))
+    timers = thin.join(chained.drop("_before"), part).groupBy(*part).applyInArrow(
+        _slice_timers(part, width), T.StructType(part_schema + [T.StructField("_timers", longs)])
     )
-    state = chained.join(timers, part)
+    # one row per key and slice; broadcast, it leaves the sorted rows where they are
+    state = broadcast_if_small(chained.join(timers, part), max_rows=50_000)
 
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     marked = rows.join(state, part).withColumn(

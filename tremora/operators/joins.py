@@ -64,6 +64,8 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device"
     binned = spans.withColumn(
         "_bin", F.explode(F.sequence(edge_bin, at_bin) if forward else F.sequence(at_bin, edge_bin))
     ).select(*keys, "_bin", "_at", "_edge", "_r")
+    # few enough ratings spare the left side its shuffle
+    binned = broadcast_if_small(binned, max_rows=300_000)
 
     # left rows outside the extent of the right side look into its first or last bin
     extent = unique.groupBy(*keys).agg(

@@ -33,30 +33,34 @@ def time_extent(df: DataFrame, keys: Sequence[str] = (), ts: str = "datetime") -
     return df.groupBy(*keys).agg(F.min(ts).alias("start"), F.max(ts).alias("end"))
 
 
-def overlap_range(
+def overlap_bounds(
     left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device",), ts: str = "datetime"
-) -> tuple[DataFrame, DataFrame]:
-    """Keep on both sides only the time range they share, per key.
+) -> DataFrame:
+    """The time range both sides share, one row per key.
 
     A key missing on one side keeps its own extent, as an empty side sets no bound.
     """
     a = time_extent(left, keys, ts)
     b = time_extent(right, keys, ts).withColumnsRenamed({"start": "start_r", "end": "end_r"})
-    bounds = a.join(b, list(keys), "full").select(
+    return broadcast_if_small(a.join(b, list(keys), "full").select(
         *keys,
         F.greatest("start", "start_r").alias("_lo"),
         F.least("end", "end_r").alias("_hi"),
-    )
-    bounds = broadcast_if_small(bounds)
+    ))
+
+
+def clip(df: DataFrame, bounds: DataFrame, keys: Sequence[str] = ("device",), ts: str = "datetime") -> DataFrame:
+    """Rows inside their key's range, both ends included."""
+    inside = F.col(ts).between(F.col("_lo"), F.col("_hi"))
+    return df.join(bounds, list(keys)).where(inside).select(*df.columns)
 
-    def clip(df: DataFrame) -> DataFrame:
-        return (
-            df.join(bounds, list(keys))
-            .where(F.col(ts).between(F.col("_lo"), F.col("_hi")))
-            .select(*df.columns)
-        )
 
-    return clip(left), clip(right)
+def overlap_range(
+    left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device",), ts: str = "datetime"
+) -> tuple[DataFrame, DataFrame]:
+    """Keep on both sides only the time range they share, per key."""
+    bounds = overlap_bounds(left, right, keys, ts)
+    return clip(left, bounds, keys, ts), clip(right, bounds, keys, ts)
 
 
 def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:

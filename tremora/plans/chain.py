@@ -23,15 +23,16 @@ def merged_table(readings: DataFrame, ratings: DataFrame, measurements: Sequence
     """Long readings and ratings of all devices to one row per device, time and location.
 
     Readings pivot, fill forward, are cut to the time both sides cover and take the
-    next rating of their device. The pivoted side is written once, as its extent is
-    needed before its rows, and so is the result, which the bucket steps read several
-    times with few columns.
+    next rating of their device. The pivoted sides are written once, as their extents
+    are needed before their rows, and so is the result, which the bucket steps read
+    several times with few columns.
     """
-    wide = timeseries.forward_fill(reshape.pivot_readings(readings, measurements), fill)
-    wide = materialise(wide, "wide-readings")
+    wide = materialise(reshape.pivot_readings(readings, measurements), "wide-readings")
     rated = materialise(reshape.pivot_ratings(ratings, metrics), "wide-ratings")
-    left, right = rows.overlap_range(wide, rated)
-    return materialise(asof_join(left, right, direction=direction), "merged")
+    bounds = rows.overlap_bounds(wide, rated)
+    # values from before the shared range still carry into it
+    filled = rows.clip(timeseries.forward_fill(wide, fill), bounds)
+    return materialise(asof_join(filled, rows.clip(rated, bounds), direction=direction), "merged")
 
 
 def bucket_table(merged: DataFrame, measurements: Sequence[str], ratings: Sequence[str], minutes: int = 20,
