@@ -17,7 +17,7 @@ years of constant ratings, still splits into slices.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -81,6 +81,7 @@ def _slice_exits(part: Sequence[str], width: int):
         if first_break == upto:
             entry[upto] = NEVER
         return _one_row(table, part, {
+            "_times": t, "_breaks": t[breaks],
             "_entry": entry, "_exit": t[last[: upto + 1]] + width, "_opened": opened[: upto + 1] + 1,
         })
     return run
@@ -106,24 +107,36 @@ def _chain(part: Sequence[str]):
     return run
 
 
+def _clock_anchors(t: np.ndarray, breaks: np.ndarray, head: bool, expiry: int | None, width: int) -> list[int]:
+    """Anchors of a slice that are due to the clock and not to a rating change."""
+    nxt = _next_anchor(t, breaks, width)
+    if head or expiry is None:
+        i = 0
+    else:
+        i = int(np.searchsorted(t, expiry, side="left"))
+        if breaks.any():
+            i = min(i, int(np.argmax(breaks)))
+    anchors = []
+    while i < len(t):
+        if not breaks[i]:
+            anchors.append(int(t[i]))
+        i = int(nxt[i])
+    return anchors
+
+
 def _slice_timers(part: Sequence[str], width: int):
-    """Step 3: anchors of a slice that are due to the clock and not to a rating change."""
-    def run(table: pa.Table) -> pa.Table:
-        t, breaks = _in_order(table)
-        nxt = _next_anchor(t, breaks, width)
-        expiry = table["_expiry"][0].as_py()
-        if table["_head"][0].as_py() or expiry is None:
-            i = 0
-        else:
-            i = int(np.searchsorted(t, expiry, side="left"))
-            if breaks.any():
-                i = min(i, int(np.argmax(breaks)))
-        anchors = []
-        while i < len(t):
-            if not breaks[i]:
-                anchors.append(t[i])
-            i = int(nxt[i])
-        return _one_row(table, part, {"_timers": np.array(anchors, dtype=np.int64)})
+    """Step 3, one row per slice."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for i in range(batch.num_rows):
+                t, changed = (batch.column(c)[i].values.to_numpy() for c in ("_times", "_breaks"))
+                head, expiry = batch.column("_head")[i].as_py(), batch.column("_expiry")[i].as_py()
+                out.append(_clock_anchors(t, np.isin(t, changed), head, expiry, width))
+            kept = [batch.column(c) for c in (*part, "_expiry", "_before")]
+            yield pa.RecordBatch.from_arrays(
+                [*kept, pa.array(out, pa.list_(pa.int64()))], [*part, "_expiry", "_before", "_timers"]
+            )
     return run
 
 
@@ -165,26 +178,22 @@ def assign_buckets(df: DataFrame, ratings: Sequence[str], minutes: int = 20,
          | F.col("_first_null")).alias("_head"),
     )
 
-    thin = rows.select(*part, "_t", "_break")
     longs = T.ArrayType(T.LongType())
-    exits = thin.withColumn("_from", F.col("_slice") * slice_seconds * 1_000_000).groupBy(*part).applyInArrow(
+    thin = rows.select(*part, "_t", "_break", (F.col("_slice") * slice_seconds * 1_000_000).alias("_from"))
+    exits = materialise(thin.groupBy(*part).applyInArrow(
         _slice_exits(part, width),
-        T.StructType(part_schema + [T.StructField(c, longs) for c in ("_entry", "_exit", "_opened")]),
-    )
-    chained = exits.join(heads, part).groupBy(*keys).applyInArrow(
-        _chain(part),
-        T.StructType(part_schema + [
-            T.StructField("_head", T.BooleanType()),
-            T.StructField("_expiry", T.LongType()),
-            T.StructField("_before", T.LongType()),
-        ]),
+        T.StructType(part_schema + [T.StructField(c, longs) for c in ("_times", "_breaks", "_entry", "_exit", "_opened")]),
+    ), "bucket-slices")
+    chain_schema = [T.StructField("_expiry", T.LongType()), T.StructField("_before", T.LongType())]
+    chained = exits.drop("_times", "_breaks").join(heads, part).groupBy(*keys).applyInArrow(
+        _chain(part), T.StructType(part_schema + [T.StructField("_head", T.BooleanType())] + chain_schema)
     )
     chained = broadcast_if_small(materialise(chained, "bucket-chain"))
-    timers = thin.join(chained.drop("_before"), part).groupBy(*part).applyInArrow(
-        _slice_timers(part, width), T.StructType(part_schema + [T.StructField("_timers", longs)])
+    state = exits.select(*part, "_times", "_breaks").join(chained, part).mapInArrow(
+        _slice_timers(part, width), T.StructType(part_schema + chain_schema + [T.StructField("_timers", longs)])
     )
     # one row per key and slice; broadcast, it leaves the sorted rows where they are
-    state = broadcast_if_small(chained.join(timers, part), max_rows=50_000)
+    state = broadcast_if_small(state, max_rows=50_000)
 
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     marked = rows.join(state, part).withColumn(
