@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tremora.config import DEVICE_RATINGS, METRIC_RATINGS, RATING_DESCRIPTIONS, SENSOR_LOCATIONS, STATUS_RATINGS, sensor_dimension
 from tremora.functions import names
 from tremora.functions.ratings import rating_band
-from tremora.functions.time import epoch_micros, epoch_seconds, from_micros, time_slice
+from tremora.functions.time import epoch_micros, epoch_seconds, from_micros, parse_datetime, time_slice
 from tremora.operators import rows as ops
 from tremora.session import broadcast_if_small
 
@@ -52,6 +52,21 @@ def test_epoch_before_1970_rounds_down(spark):
     assert [r[2] for r in out] == [r.ts for r in df.collect()]
 
 
+def test_times_do_not_depend_on_the_session_zone(spark):
+    # 02:30 does not exist on this day in New York
+    moment = datetime(2024, 3, 10, 2, 30, 15, 250000)
+    df = spark.createDataFrame([(moment, "2024-03-10", "02:30:15", "20240310 023015_a.json")], "ts timestamp_ntz, d string, c string, f string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = df.select(epoch_micros("ts"), from_micros(epoch_micros("ts")), time_slice("ts", 3600), parse_datetime("d", "c"), names.wave_time(F.col("f"))).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    micros = int((moment - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    whole = moment.replace(microsecond=0)
+    assert tuple(got) == (micros, moment, micros // 3_600_000_000, whole, whole)
+
+
 def test_one_hot_null_is_all_zero(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (3, "z")], "id long, location string")
     assert rows(ops.one_hot(df, {"location": ["a", "b"]}, {"location": "loc"}), "id") == [(1, 1, 0), (2, 0, 0), (3, 0, 0)]

@@ -39,22 +39,20 @@ def is_rating_file(name: Column) -> Column:
     return name.rlike(r"(?i)\bRating\b")
 
 
+def _stamp(name: Column, pattern: str) -> Column:
+    """Day and clock digits of a name as a time, null when they are none."""
+    day, clock = (F.regexp_extract(name, pattern, i) for i in (1, 2))
+    text = F.regexp_replace(F.concat(day, clock), r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3 $4:$5:$6")
+    return F.when(day != "", text.try_cast("timestamp_ntz"))
+
+
 def wave_time(name: Column) -> Column:
     """Recording time from a waveform file name, null when neither format fits."""
-    def stamp(pattern: str) -> Column:
-        day, clock = (F.regexp_extract(name, pattern, i) for i in (1, 2))
-        return F.when(day != "", F.concat(day, clock))
-
-    return F.try_to_timestamp(
-        F.coalesce(stamp(TIME_PREFIX), stamp(TIME_SUFFIX)), F.lit("yyyyMMddHHmmss")
-    ).cast("timestamp_ntz")
+    return F.when(name.rlike(TIME_PREFIX), _stamp(name, TIME_PREFIX)).otherwise(_stamp(name, TIME_SUFFIX))
 
 
 def binary_wave_time(name: Column) -> Column:
-    day, clock = (F.regexp_extract(name, BINARY_TIME_SUFFIX, i) for i in (1, 2))
-    return F.try_to_timestamp(
-        F.when(day != "", F.concat(day, clock)), F.lit("yyyyMMddHHmmss")
-    ).cast("timestamp_ntz")
+    return _stamp(name, BINARY_TIME_SUFFIX)
 
 
 def sensor_id(name: Column) -> Column:

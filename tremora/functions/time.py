@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-
-
-def parse_datetime(date: str | Column, time: str | Column, fmt: str = DATETIME_FORMAT) -> Column:
-    """Strict parse of trimmed date and time text; anything else becomes null."""
+def parse_datetime(date: str | Column, time: str | Column) -> Column:
+    """Strict ``yyyy-MM-dd HH:mm:ss`` from trimmed date and time text; anything else becomes null."""
     text = F.concat_ws(" ", F.trim(date), F.trim(time))
-    strict = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), text)
-    return F.try_to_timestamp(strict, F.lit(fmt)).cast("timestamp_ntz")
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"), text.try_cast("timestamp_ntz"))
 
 
 def epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970 of the time as written, whatever the session's zone."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
+    days = F.date_diff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
 
 
 def epoch_seconds(ts: str | Column) -> Column:

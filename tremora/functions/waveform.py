@@ -90,13 +90,13 @@ def _band_udf(parseval: bool):
     return bands
 
 
-def band_metrics(axis_y: Column, fs: Column, norm: str = "reference") -> Column:
+def band_metrics(axis_y: Column, fs: Column, norm: str = "one_sided") -> Column:
     """Struct of the band RMS values and the 10-1000 Hz band peak.
 
-    ``norm='reference'`` is sqrt(sum |X|^2 / n) over one-sided bins; ``'parseval'``
+    ``norm='one_sided'`` is sqrt(sum |X|^2 / n) over one-sided bins; ``'parseval'``
     scales so that the bands add up to the signal's own mean square. A band without
     bins is null, its peak 0.
     """
-    if norm not in ("reference", "parseval"):
+    if norm not in ("one_sided", "parseval"):
         raise ValueError(f"unknown norm {norm}")
     return _band_udf(norm == "parseval")(axis_y, fs)

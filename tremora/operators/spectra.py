@@ -19,7 +19,7 @@ from tremora.functions.time import time_slice
 from tremora.operators.timeseries import DAY
 from tremora.session import materialise
 
-ONE_TASK_POINTS = 2_000_000
+ONE_TASK_POINTS = 1_000_000
 
 
 def centred_series(df: DataFrame, value: str, keys: Sequence[str] = ("device", "location"),

@@ -18,7 +18,7 @@ def with_time_metrics(df: DataFrame, axis_y: str = "axisY") -> DataFrame:
     return df.withColumns(time_metrics(F.col(axis_y)))
 
 
-def with_band_rms(df: DataFrame, axis_y: str = "axisY", fs: str = "fs", norm: str = "reference") -> DataFrame:
+def with_band_rms(df: DataFrame, axis_y: str = "axisY", fs: str = "fs", norm: str = "one_sided") -> DataFrame:
     bands = df.withColumn("_b", band_metrics(F.col(axis_y), F.col(fs), norm))
     return bands.withColumns({c: F.col(f"_b.{c}") for c in RMS_BANDS}).drop("_b")
 
@@ -36,7 +36,7 @@ def with_file_fields(df: DataFrame, name: str = "file_name") -> DataFrame:
     }).where(F.col("timestamp").isNotNull())
 
 
-def waveform_metrics(waves: DataFrame, dimension: DataFrame, norm: str = "reference") -> DataFrame:
+def waveform_metrics(waves: DataFrame, dimension: DataFrame, norm: str = "one_sided") -> DataFrame:
     """Nine metrics per recording with its time, sensor, wave code and location.
 
     A recording without a valid sampling rate keeps its row with null metrics.
