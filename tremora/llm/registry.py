@@ -6,12 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tremora.llm import decontaminate, exact_dedup, packing, simhash, toxicity
-from tremora.llm.common import table
+from tremora.llm import (
+    decontaminate, exact_dedup, language, packing, quality, secrets_forest, simhash, suffix_dedup, token_files, toxicity,
+)
+from tremora.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language(table(spark, sf_dir, "documents"))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    return token_files.read_digests(spark, path)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,11 +44,21 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_forest.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op4_toxicity, op5_decontaminate, op6_length_buckets, op7_exact_dedup, op9_simhash)
+    f.__name__: f for f in (
+        op1_suffix_dedup, op2_language_id, op3_token_files, op4_toxicity, op5_decontaminate, op6_length_buckets, op7_exact_dedup,
+        op8_quality, op9_simhash, op10_secrets)
 }
 ORACLES: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}

@@ -16,6 +16,9 @@ _WIDE = 24  # bytes of a word that is grouped with its like; longer ones are loo
 #: white space outside ASCII; a text that has some, or a special token, is encoded in one piece
 _RARE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
+_LONG = 1 << 22  # bytes of a text encoded at a time
+_BETWEEN = re.compile(rb"[A-Za-z] (?=[A-Za-z])")
+
 _SPACE, _LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -86,7 +89,28 @@ class Encoder:
         return out
 
     def encode(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts (UTF-8) one after the other, and how many each has."""
+        """All ids of the texts (UTF-8) one after the other, and how many each has.
+
+        Long texts go through in parts, cut at spaces between letters.
+        """
+        if not any(len(t) > _LONG for t in texts):
+            return self._encode(texts)
+        ids, counts = [], []
+        for t in texts:
+            counts.append(0)
+            at = 0
+            while at < len(t) or not t:
+                cut = _BETWEEN.search(t, at + _LONG)
+                end = cut.end() - 1 if cut else len(t)
+                got, _ = self._encode([t[at:end]])
+                ids.append(got)
+                counts[-1] += len(got)
+                at = end
+                if not t:
+                    break
+        return np.concatenate(ids), np.array(counts, np.int64)
+
+    def _encode(self, texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(texts) else 0
