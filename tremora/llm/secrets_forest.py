@@ -28,8 +28,8 @@ SAMPLE_PATH = r"(?i)(test|example|sample|mock|fixture|doc)"
 PLACEHOLDER = r"(?i)(example|placeholder|changeme|your[_-]|xxxx|0000|1234567)"
 
 VALUE = r"([A-Za-z0-9+/_=-]{12,})"
-#: a token with a run of value characters that has a digit, or something behind a name and a sign
-CANDIDATE = r"(?=\S*[0-9])\S*[A-Za-z0-9+/_=-]{16,}|(?i)(pass|pwd|secret|token|key|auth|cred)\S*[=:]\S*[A-Za-z0-9+/_=-]{12,}"
+#: a token with a run of value characters that has a digit, a key's beginning, or something behind a name and a sign
+CANDIDATE = r"(?=\S*[0-9])\S*[A-Za-z0-9+/_=-]{16,}|(AKIA|ASIA)[A-Z]{16}|(?i)(pass|pwd|secret|token|key|auth|cred)\S*[=:]\S*[A-Za-z0-9+/_=-]{12,}"
 
 FEATURES = (
     "n_chars", "transitions", "digits", "uppers", "lowers", "others", "hex_only", "distinct", "coverage", "longest_letters",
@@ -73,11 +73,10 @@ def _share(pattern: str) -> Column:
 
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     """The candidates with the columns FEATURES; ``words`` is the dictionary. ``found`` must be stored."""
-    keys = ["value"]
     chunks = found.select("value").distinct().select(
         "value", F.explode(F.regexp_extract_all(F.lower("value"), F.lit("[a-z]{3,}"), 0)).alias("word"))
-    covered = chunks.join(words, "word").groupBy(*keys).agg(F.sum(F.length("word")).alias("covered"))
-    kinds = F.translate(F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0"), "", "")
+    covered = chunks.join(words, "word").groupBy("value").agg(F.sum(F.length("word")).alias("covered"))
+    kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace("value", "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
     runs = F.regexp_replace(kinds, r"(.)\1+", "$1")
     letters = F.reduce(F.regexp_extract_all("value", F.lit("[A-Za-z]+"), 0), F.lit(0), lambda m, w: F.greatest(m, F.length(w)))
     ends = lambda p: F.col("token").rlike(p).cast("double")
@@ -103,13 +102,14 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
 def rule_findings(featured: DataFrame) -> DataFrame:
     """Candidates on which fixed formats are certain: their columns and ``label``.
 
-    1: a key of a public format, or 16 or more hexadecimal digits of both kinds behind a
-    credential's name. 0: digits alone, no digit at all, or placeholder text.
+    0: digits alone, or placeholder text. 1: else, a key of a public format, or 16 or more
+    hexadecimal digits of both kinds behind a credential's name. 0: else, no digit at all.
     """
-    named = (F.col("named_inside") + F.col("named_before")) > 0
-    sure = F.col("value").rlike(KEY_FORMATS) | (named & F.col("value").rlike("^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,}$"))
-    false = F.col("value").rlike("^[0-9_+/=-]+$") | ~F.col("value").rlike("[0-9]") | (F.col("placeholder") > 0)
-    return featured.withColumn("label", F.when(false, 0.0).when(sure, 1.0)).where("label is not null")
+    value, named = F.col("value"), (F.col("named_inside") + F.col("named_before")) > 0
+    sure = value.rlike(KEY_FORMATS) | (named & value.rlike("^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,}$"))
+    sample = value.rlike("^[0-9_+/=-]+$") | (F.col("placeholder") > 0)
+    label = F.when(sample, 0.0).when(sure, 1.0).when(~value.rlike("[0-9]"), 0.0)
+    return featured.withColumn("label", label).where("label is not null")
 
 
 def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold: float = THRESHOLD, trees: int = 40,
