@@ -14,11 +14,25 @@ from tremora.plans import chain
 def test_pivot_means_and_nulls(spark):
     df = spark.createDataFrame(
         [("d", at(0), "a", "t", 1.0), ("d", at(0), "a", "t", 3.0), ("d", at(0), "a", "v", None), ("d", at(5), "a", "t", None),
-         ("d", at(9), "a", "other", 1.0), ("d", None, "a", "t", 1.0), ("d", at(9), None, "t", 1.0)],
+         ("d", None, "a", "t", 1.0), ("d", at(9), None, "t", 1.0)],
         "device string, datetime timestamp_ntz, location string, Measurement string, data double")
     assert rows(reshape.pivot_readings(df, ["t", "v"])) == [("d", at(0), "a", 2.0, None)]
 
 
+def test_pivot_never_drops_a_name(spark):
+    schema = "device string, datetime timestamp_ntz, location string, Measurement string, data double"
+    df = spark.createDataFrame([("d", at(0), "a", "t", 1.0), ("d", at(9), "a", "other", 2.0)], schema)
+    with pytest.raises(Exception, match="Measurement not listed: other"):
+        reshape.pivot_readings(df, ["t"]).collect()
+    with pytest.raises(Exception, match="Measurement not listed: other"):
+        reshape.pivot_readings(df, ["t"]).select("device").count()
+    found = reshape.pivot_readings(df)
+    assert found.columns[3:] == ["other", "t"]
+    assert rows(found) == [("d", at(0), "a", None, 1.0), ("d", at(9), "a", 2.0, None)]
+    with pytest.raises(ValueError, match="over 1"):
+        reshape.pivot_mean(df, ["device"], "Measurement", "data", most=1)
+
+
 def test_pivot_is_one_shuffle(spark):
     df = spark.createDataFrame([("d", at(0), "a", "t", 1.0)], "device string, datetime timestamp_ntz, location string, Measurement string, data double")
     plan = reshape.pivot_readings(df, ["t", "v"])._jdf.queryExecution().sparkPlan().toString()
@@ -178,7 +192,7 @@ def test_resample_matches_pandas(spark):
 
 
 def test_sequences(spark):
-    data = [("d", "a", at(0), at(2), 1.0, None), ("d", "a", at(0), at(3), 3.0, 5.0), ("d", "a", at(0), at(11), None, 7.0), ("d", "a", at(0), at(999), 9.0, 9.0)]
+    data = [("d", "a", at(0), at(2), 1.0, None), ("d", "a", at(0), at(3), 3.0, 5.0), ("d", "a", at(0), at(11), None, 7.0)]
     df = spark.createDataFrame(data, "device string, location string, bucket_start timestamp_ntz, datetime timestamp_ntz, x double, y double")
     r = timeseries.sequence_windows(df, ["x", "y"], steps=6, step_seconds=5).first()
     assert r.n_steps == 3
@@ -187,6 +201,15 @@ def test_sequences(spark):
     assert [s.y for s in timeseries.sequence_windows(late, ["x", "y"], steps=4, step_seconds=5).first().sequence] == [0.0, 0.0, 7.0, 0.0]
 
 
+def test_sequences_refuse_what_does_not_fit(spark):
+    schema = "device string, location string, bucket_start timestamp_ntz, datetime timestamp_ntz, x double"
+    for when in (at(30), at(-1)):
+        df = spark.createDataFrame([("d", "a", at(0), at(2), 1.0), ("d", "a", at(0), when, 9.0)], schema)
+        with pytest.raises(Exception, match="outside the 6 steps"):
+            timeseries.sequence_windows(df, ["x"], steps=6, step_seconds=5).collect()
+    assert timeseries.sequence_windows(df.where("x = 1"), ["x"], steps=6, step_seconds=5).count() == 1
+
+
 def test_overlay_skips_unknown(spark):
     df = spark.createDataFrame([("a", at(5), 1.0), ("a", at(0), 2.0)], "location string, datetime timestamp_ntz, v double")
     got = [tuple(r) for r in timeseries.overlay_series(df, ["v", "nope"]).select("series", "location", "datetime", "value").collect()]

@@ -2,11 +2,12 @@ import os
 
 import pytest
 from helpers import at, rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tremora.operators import rows as ops
 from tremora.session import scratch_root
-from tremora.sources import readings, stages
+from tremora.sources import readings, stages, waveforms
 
 
 @pytest.fixture
@@ -34,8 +35,53 @@ def test_route_files(spark, raw):
         readings.route_files(spark, raw, "Belt Conveyer")
 
 
+def test_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "a (d) One.csv").write_text("id,Date,Time,Measurement,data\n1,2025-04-01,00:00:00,Temperature,1.5\n")
+    (tmp_path / "b (d) Two [x].csv").write_text("data,Measurement,extra,Time,id\n2.5,Temperature,z,00:00:05,2\n")
+    (tmp_path / "c (d) Rating March.csv").write_text("Rating,Metric,Device,Time,Date\n80,velocity_rms,d,00:20:00,2025-04-01\n")
+    got = readings.read_readings(spark, str(tmp_path), "d").select("id", "Date", "Time", "Measurement", "data", "location")
+    assert rows(got, "id") == [(1, "2025-04-01", "00:00:00", "Temperature", 1.5, "One"), (2, None, "00:00:05", "Temperature", 2.5, "Two [x]")]
+    _, marks = readings.route_files(spark, str(tmp_path), "d")
+    assert rows(marks) == [("2025-04-01", "00:20:00", "d", "velocity_rms", 80.0)]
+
+
+def test_files_without_rows_are_there(spark, tmp_path):
+    (tmp_path / "a (d) One.csv").write_text("id,Date,Time,Measurement,data\n")
+    with pytest.raises(FileNotFoundError, match="no rating files"):
+        readings.route_files(spark, str(tmp_path), "d")
+    (tmp_path / "b (d) Rating.csv").write_text("Date,Time,Device,Metric,Rating\n")
+    r, marks = readings.route_files(spark, str(tmp_path), "d")
+    assert r.count() == marks.count() == 0
+    (tmp_path / "c (e) Rating.csv").write_text("Date,Time,Device,Metric,Rating\n2025-04-01,00:20:00,e,m,1\n")
+    with pytest.raises(FileNotFoundError, match="no reading files"):
+        readings.route_files(spark, str(tmp_path), "e")
+
+
+def test_a_stream_refuses_columns_out_of_order(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    from tremora.streaming import jobs
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("b,a\n1,x\n")
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), StructType.fromDDL("a string, b int"), "csv")
+    with pytest.raises(StreamingQueryException):
+        jobs.run_available(stream, "refused", str(tmp_path / "out"), str(tmp_path / "state"))
+
+
+def test_device_is_looked_for_below_the_base(spark, tmp_path):
+    base = tmp_path / "Fan data"
+    for folder in ("20230101#Belt Conveyer", "20230102#Fan/deep", "20230103#Fan"):
+        (base / folder).mkdir(parents=True)
+        (base / folder / "20230101 120000_x_VV.json").write_text('{"axisX": [0, 1], "axisY": [1, 2]}')
+    got = waveforms.scan_waveform_json(spark, str(base), "Fan")
+    assert sorted(r.filepath.split("/Fan data/")[1].split("/")[0] for r in got.collect()) == ["20230102#Fan", "20230103#Fan"]
+    assert waveforms.scan_waveform_json(spark, str(tmp_path / "F*a"), "data").count() == 0
+    assert waveforms.scan_waveform_json(spark, str(base), "Belt").count() == 1
+
+
 def test_read_and_clean(spark, raw):
-    got = readings.clean_readings(readings.read_readings(spark, raw, "8#Belt Conveyer").where("location <> 'Rating'"))
+    got = readings.clean_readings(readings.read_readings(spark, raw, "8#Belt Conveyer"))
     assert rows(got.select("datetime", "data", "location"), "data") == [(None, None, "Motor + Drive End"), (at(0), 1.5, "Motor + Drive End"), (at(5), 2.5, "Gear Reducer")]
     everything = readings.read_readings(spark, raw)
     assert {r.device for r in everything.select("device").distinct().collect()} == {"8#Belt Conveyer", "Tube Mill"}

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 from tremora.config import DEVICE_ALIASES
 
+RATING_FILE = re.compile(r"(?i)\bRating\b")  # fits names of files that hold ratings
+
 # Waveform file name formats.
 TIME_PREFIX = r"(\d{8})\s?(\d{6})_"
 TIME_SUFFIX = r"_(\d{8})_(\d{6})\.json$"
@@ -36,7 +39,7 @@ def belongs_to(name: Column, device: str) -> Column:
 
 
 def is_rating_file(name: Column) -> Column:
-    return name.rlike(r"(?i)\bRating\b")
+    return name.rlike(RATING_FILE.pattern)
 
 
 def _stamp(name: Column, pattern: str) -> Column:

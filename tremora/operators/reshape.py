@@ -7,24 +7,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def pivot_mean(df: DataFrame, keys: Sequence[str], names: str, values: str, known: Sequence[str]) -> DataFrame:
-    """One row per key, one column per known name, duplicates averaged.
+def pivot_mean(df: DataFrame, keys: Sequence[str], names: str, values: str, known: Sequence[str] | None = None,
+               most: int = 1000) -> DataFrame:
+    """One row per key, one column per name, duplicates averaged.
 
     Rows with a null key, name or value do not count, so a key without any value
     disappears. Conditional averages keep this to a single shuffle with map-side
     partial sums, whatever the number of rows behind one key.
+
+    ``known`` names the columns and saves a pass; a name not among them fails the job
+    rather than losing its rows. Without it the names are looked up first, in order; over
+    ``most`` of them are refused.
     """
-    complete = " and ".join(f"`{c}` is not null" for c in (*keys, names, values))
-    means = [F.avg(F.when(F.col(names) == k, F.col(values))).alias(k) for k in known]
-    return df.where(complete).where(F.col(names).isin(list(known))).groupBy(*keys).agg(*means)
+    complete = df.where(" and ".join(f"`{c}` is not null" for c in (*keys, names, values)))
+    if known is None:
+        known = [r[0] for r in complete.select(names).distinct().orderBy(names).limit(most + 1).collect()]
+        if len(known) > most:
+            raise ValueError(f"over {most} different values of {names}")
+    listed = F.col(names).isin(list(known))
+    name = F.when(listed, F.col(names)).otherwise(
+        F.raise_error(F.concat(F.lit(f"{names} not listed: "), F.col(names).cast("string"))).cast(df.schema[names].dataType))
+    means = [F.avg(F.when(F.col("_name") == k, F.col("_value"))).alias(k) for k in known]
+    rows = complete.select(*keys, name.alias("_name"), F.col(values).alias("_value"))
+    # one more aggregate over the checked name, so that the check is part of every plan
+    return rows.groupBy(*keys).agg(F.count("_name").alias("_n"), *means).where("_n > 0").drop("_n")
 
 
-def pivot_readings(df: DataFrame, measurements: Sequence[str],
+def pivot_readings(df: DataFrame, measurements: Sequence[str] | None = None,
                    keys: Sequence[str] = ("device", "datetime", "location")) -> DataFrame:
     return pivot_mean(df, keys, "Measurement", "data", measurements)
 
 
-def pivot_ratings(df: DataFrame, metrics: Sequence[str],
+def pivot_ratings(df: DataFrame, metrics: Sequence[str] | None = None,
                   keys: Sequence[str] = ("device", "datetime")) -> DataFrame:
     return pivot_mean(df, keys, "Metric", "Rating", metrics)
 

@@ -108,15 +108,14 @@ def select_device(df: DataFrame, device: str, locations: Sequence[str] | None =
     return out if locations is None else out.where(F.col("location").isin(list(locations)))
 
 
-def subsample(df: DataFrame, keys: Sequence[str], percent: int = 50, seed: int = 42,
-              above: int | None = 100_000) -> DataFrame:
-    """Seeded subset chosen by a hash of the row keys, so partitioning cannot change it.
+def subsample(df: DataFrame, keys: Sequence[str], percent: int, seed: int = 42) -> DataFrame:
+    """Seeded share of the rows, chosen by a hash of their keys, so partitioning cannot change it.
 
-    With ``above`` set, tables of at most that many rows are returned whole.
+    The same share is taken whatever the size of the table; who wants all rows does not call this.
     """
-    if above is not None and df.count() <= above:
-        return df
-    return df.where(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(100)) < percent)
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    draw = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.where(draw % 100 < percent)
 
 
 def first_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -101,13 +101,14 @@ def sequence_windows(df: DataFrame, features: Sequence[str], window_col: str = "
 
     Readings are averaged per step first (partial sums before the shuffle), so a
     window never gathers more than ``steps`` rows. Missing steps repeat the value
-    before them; steps after the last reading, or before any value, are zero.
+    before them; steps after the last reading, or before any value, are zero. A reading
+    that does not fit into ``steps`` steps from its window's start fails the job.
     """
     offset = (epoch_micros(ts) - epoch_micros(window_col)) / F.lit(step_seconds * 1_000_000)
     window = [*keys, window_col]
     stepped = (
-        df.withColumn("_step", F.floor(offset).cast("int"))
-        .where(F.col("_step").between(0, steps - 1))
+        df.where(offset.isNotNull()).withColumn("_step", F.when(offset.between(0, steps) & (offset < steps), F.floor(offset).cast("int")).otherwise(
+            F.raise_error(F.concat(F.lit(f"reading outside the {steps} steps of its window, at "), F.col(ts).cast("string"))).cast("int")))
         .groupBy(*window, "_step")
         .agg(*[F.avg(f).alias(f) for f in features])
     )

@@ -2,78 +2,104 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tremora.config import RATING_SCHEMA, READING_SCHEMA
 from tremora.functions import names
 from tremora.functions.names import canonical_device
-from tremora.operators.rows import with_datetime
+from tremora.operators.rows import union_by_name, with_datetime
 
 
-def _name(name_column: str | None) -> Column:
-    return F.col(name_column) if name_column else names.decoded(F.col("_metadata.file_name"))
+def file_names(spark: SparkSession, path: str | Sequence[str], suffix: str = "") -> list[str]:
+    """Full names of the files below ``path``, in order; nothing is opened."""
+    files = spark.read.format("binaryFile").load(path).select("path")
+    return sorted(r.path for r in files.collect() if r.path.lower().endswith(suffix))
 
 
-def read_files(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, fmt: str = "csv",
-               name_column: str | None = None) -> DataFrame:
-    """Read staged files under an explicit schema and keep the file name as ``file_name``.
+def _heads(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """CSV files by their header; of each file the first line is read."""
+    def head(file: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).csv(_literal(file)).columns)
 
-    Tables staged as one folder per original file carry the name in a partition
-    column, given as ``name_column``.
+    by_head: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for file, columns in zip(files, pool.map(head, files)):
+            by_head.setdefault(columns, []).append(file)
+    return by_head
+
+
+def read_files(spark: SparkSession, files: Sequence[str], schema: T.StructType, fmt: str = "csv") -> DataFrame:
+    """The files stacked by column name, with their names as ``file_name``.
+
+    A CSV file may order its columns as it likes: files with one header are read
+    together, in that order. Columns that a file lacks are null, and those outside the
+    schema are left out.
     """
-    full = T.StructType(list(schema.fields))
-    if name_column:
-        full = full.add(name_column, T.StringType())
-    reader = spark.read.schema(full)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    df = reader.format(fmt).load(path)
-    return df.withColumn("file_name", _name(name_column))
+    types = {f.name: f.dataType for f in schema.fields}
+    parts = []
+    for head, own in (_heads(spark, files) if fmt == "csv" else {tuple(types): list(files)}).items():
+        columns = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in head])
+        reader = spark.read.schema(columns)
+        if fmt == "csv":
+            reader = reader.option("header", True)
+        named = reader.format(fmt).load([_literal(f) for f in own]).withColumn("file_name", names.decoded(F.col("_metadata.file_name")))
+        parts.append(named.select(*[c for c in head if c in types], "file_name"))
+    empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("file_name", T.StringType())]))
+    return union_by_name(empty, *parts).select(*types, "file_name")
+
+
+def _literal(path: str) -> str:
+    """A file's name as a pattern that fits it alone."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def _sides(spark: SparkSession, path: str | Sequence[str], device: str | None) -> tuple[list[str], list[str]]:
+    """Reading and rating files, of one device or of all."""
+    files = [(f, unquote(f.rsplit("/", 1)[-1])) for f in file_names(spark, path)]
+    files = [(f, name) for f, name in files if device is None or f"({device})" in name]
+    return ([f for f, name in files if not names.RATING_FILE.search(name)], [f for f, name in files if names.RATING_FILE.search(name)])
 
 
 def route_files(spark: SparkSession, path: str | Sequence[str], device: str, fmt: str = "csv",
-                name_column: str | None = None, reading_schema: T.StructType = READING_SCHEMA,
+                reading_schema: T.StructType = READING_SCHEMA,
                 rating_schema: T.StructType = RATING_SCHEMA) -> tuple[DataFrame, DataFrame]:
     """Readings and ratings of one device, told apart by file name.
 
     Files carry the device in brackets; those with the word Rating hold ratings.
-    Raises ``FileNotFoundError`` when the device or its ratings are missing.
+    Raises ``FileNotFoundError`` when the device has no files, or none of one kind; a file
+    without rows counts as there.
     """
-    def side(schema: T.StructType, ratings: bool) -> DataFrame:
-        files = read_files(spark, path, schema, fmt, name_column)
-        name = F.col("file_name")
-        kind = names.is_rating_file(name)
-        return files.where(names.belongs_to(name, device) & (kind if ratings else ~kind))
-
-    readings, ratings = side(reading_schema, False), side(rating_schema, True)
-    if ratings.isEmpty():
-        what = "rating files" if not readings.isEmpty() else "files"
+    readings, ratings = _sides(spark, path, device)
+    if not readings or not ratings:
+        what = "files" if not readings and not ratings else "rating files" if readings else "reading files"
         raise FileNotFoundError(f"no {what} for device {device} in {path}")
-    return _located(readings, device, name_column), ratings.drop("file_name", *([name_column] if name_column else []))
+    return (_located(read_files(spark, readings, reading_schema, fmt), device),
+            read_files(spark, ratings, rating_schema, fmt).drop("file_name"))
 
 
-def _located(df: DataFrame, device: str | None, name_column: str | None) -> DataFrame:
+def _located(df: DataFrame, device: str | None) -> DataFrame:
     out = df.withColumn("location", names.location_of(F.col("file_name")))
     if device is not None:
         out = out.withColumn("device", F.lit(device))
-    return out.drop("file_name", *([name_column] if name_column else []))
+    return out.drop("file_name")
 
 
 def read_readings(spark: SparkSession, path: str | Sequence[str], device: str | None = None, fmt: str = "csv",
-                  name_column: str | None = None, schema: T.StructType = READING_SCHEMA) -> DataFrame:
+                  schema: T.StructType = READING_SCHEMA) -> DataFrame:
     """All reading files, each row tagged with the location named by its file.
 
-    The condition on the file name is one on file metadata, so other devices' files
-    are not opened. Without ``device`` the bracketed name becomes the device.
+    Files are chosen by name, so rating files and other devices' files are not opened.
+    Without ``device`` the bracketed name becomes the device.
     """
-    files = read_files(spark, path, schema, fmt, name_column)
-    if device is not None:
-        files = files.where(names.belongs_to(F.col("file_name"), device))
-        return _located(files, device, name_column)
-    named = files.withColumn("device", F.regexp_extract("file_name", r"\(([^()]*)\)[^)]*$", 1))
-    return _located(named, None, name_column)
+    files = read_files(spark, _sides(spark, path, device)[0], schema, fmt)
+    if device is None:
+        files = files.withColumn("device", F.regexp_extract("file_name", r"\(([^()]*)\)[^)]*$", 1))
+    return _located(files, device)
 
 
 def clean_readings(df: DataFrame) -> DataFrame:

@@ -12,29 +12,30 @@ from tremora.config import WAVEFORM_SCHEMA
 from tremora.functions import names
 
 
-def scan_waveform_json(spark: SparkSession, path: str, device: str | None = None,
-                       folder_column: str | None = None, name_column: str | None = None) -> DataFrame:
+def _depth(spark: SparkSession, path: str) -> int:
+    """Components of ``path`` once it is absolute; a pattern stands for as many as it has."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop)
+    return len([c for c in full.toUri().getPath().split("/") if c])
+
+
+def scan_waveform_json(spark: SparkSession, path: str, device: str | None = None) -> DataFrame:
     """One row per JSON file below ``path``: arrays, ``filepath`` and ``file_name``.
 
-    With ``device`` only files below a folder whose name contains it are read. A file
-    that does not parse gives a row with null arrays. Recordings staged as one folder
-    each carry folder and name in partition columns.
+    With ``device`` only files whose folders below ``path`` contain it are kept; the name of
+    ``path`` itself does not count. A file that does not parse gives a row with null arrays.
     """
-    if folder_column and name_column:
-        schema = T.StructType(WAVEFORM_SCHEMA.fields + [T.StructField(c, T.StringType()) for c in (folder_column, name_column)])
-        df = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
-        df = df.withColumn("filepath", F.concat_ws("/", folder_column, name_column))
-        df = df.withColumnRenamed(name_column, "file_name").withColumnRenamed(folder_column, "_folders")
-    else:
-        df = (
-            spark.read.schema(WAVEFORM_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE")
-            .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[jJ][sS][oO][nN]").json(path)
-            .withColumn("filepath", names.decoded(F.col("_metadata.file_path")))
-            .withColumn("file_name", names.decoded(F.col("_metadata.file_name")))
-            .withColumn("_folders", F.regexp_replace("filepath", r"[^/]*$", ""))
-        )
+    df = (
+        spark.read.schema(WAVEFORM_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE")
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[jJ][sS][oO][nN]").json(path)
+        .withColumn("filepath", names.decoded(F.col("_metadata.file_path")))
+        .withColumn("file_name", names.decoded(F.col("_metadata.file_name")))
+    )
     if device is not None:
-        df = df.where(F.contains("_folders", F.lit(device)))
+        inside = F.split(F.regexp_replace("filepath", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/+")
+        # after the leading empty part and the base, and without the file's own name
+        folders = F.slice(inside, _depth(spark, path) + 2, F.greatest(F.size(inside) - _depth(spark, path) - 2, F.lit(0)))
+        df = df.where(F.contains(F.concat_ws("/", folders), F.lit(device)))
     return df.select("axisX", "axisY", "filepath", "file_name")
 
 

@@ -18,10 +18,13 @@ from tremora.session import scratch_path
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 files_per_trigger: int | None = None) -> DataFrame:
-    """New files below ``path``, each read once; an optional limit bounds a batch of backlog."""
+    """New files below ``path``, each read once; an optional limit bounds a batch of backlog.
+
+    A CSV file whose header does not name the schema's columns in their order fails the stream.
+    """
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)

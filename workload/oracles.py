@@ -85,7 +85,7 @@ BUCKETS = MARKED + f""", summary AS (
 WAVES = """waves AS (
   SELECT vec_id, 'dev_' || (vec_id % 4 % 2) AS device, TIMESTAMP '2024-01-01' + to_minutes((vec_id % 500) * 85) AS recorded,
          lpad((vec_id % 4)::VARCHAR, 24, '0') AS sensor_id, CASE WHEN vec_id % 3 = 0 THEN 'VV' ELSE 'AH' END AS wave_code,
-         embedding::DOUBLE[] AS y, len(embedding) AS n, 50000.0::DOUBLE AS fs
+         embedding::DOUBLE[] AS y, len(embedding) AS n, (CASE WHEN vec_id % 3 = 0 THEN 300.0 ELSE 50000.0 END)::DOUBLE AS fs
   FROM embeddings)"""
 
 WAVE_NAME = ("strftime(recorded, '%Y%m%d %H%M%S') || '_' || lpad(lower(to_hex(vec_id)), 24, '0') || '_' || sensor_id || '_' || wave_code || '.json'")
@@ -123,7 +123,7 @@ SERIES = """series AS MATERIALIZED (
   SELECT 'dev_' || (user_id % 2) AS device, 'loc_' || (user_id % 4) AS location, ts,
          value - avg(value) OVER g AS x, row_number() OVER (PARTITION BY user_id % 4 ORDER BY ts, value) - 1 AS j,
          count(*) OVER g AS n
-  FROM events WHERE event_type = 'view' WINDOW g AS (PARTITION BY user_id % 4)),
+  FROM events WINDOW g AS (PARTITION BY user_id % 4)),
 ks AS (SELECT DISTINCT device, location, n, unnest(range(n)) AS k FROM series),
 dft AS MATERIALIZED (
   SELECT device, location, n, k, sum(x * cos(2 * pi() * (k * j % n) / n)) AS re, -sum(x * sin(2 * pi() * (k * j % n) / n)) AS im
@@ -196,7 +196,9 @@ SELECT datetime, device, location, "Measurement", data FROM readings UNION ALL B
 ORACLES["scan_waveform_json"] = q(WAVES, f"""
 SELECT strftime(recorded, '%Y%m%d') || '#' || device || '/' || {WAVE_NAME} AS filepath, {WAVE_NAME} AS file_name,
        n::INTEGER AS n_x, n::INTEGER AS n_y, {r("list_sum(y)", "total")} FROM waves WHERE device = 'dev_1'""")
-ORACLES["scan_waveform_binary"] = q(WAVES, f'SELECT vec_id, fs, n::INTEGER AS n_y, {r("list_sum(y)", "total")} FROM waves')
+ORACLES["scan_waveform_binary"] = f"""
+SELECT vec_id, TIMESTAMP '2024-01-01' + to_minutes(vec_id) AS "timestamp", 50000.0::DOUBLE AS fs, len(embedding)::INTEGER AS n_y,
+       {r("list_sum(embedding::DOUBLE[])", "total")} FROM embeddings WHERE vec_id % 10 <> 0"""
 ORACLES["write_stage"] = q(WIDE, f"SELECT {WIDE_OUT} FROM wide")
 
 # -- projections, filters, scalars ------------------------------------------
@@ -226,7 +228,7 @@ SELECT event_id, upper(s) AS heading, array_to_string(list_transform(range(1, le
   CASE WHEN i = 1 OR NOT regexp_matches(substr(s, i - 1, 1), '[a-z]') THEN upper(substr(s, i, 1)) ELSE substr(s, i, 1) END), '') AS label FROM named"""
 ORACLES["distinct_locations"] = q(READINGS, "SELECT DISTINCT device, location FROM readings")
 ORACLES["location_filter"] = q(READINGS, "SELECT id, device, location, data FROM readings WHERE device = 'dev_0' AND location IN ('loc_2', 'loc_9')")
-ORACLES["first_n"] = q(READINGS, "SELECT datetime, id, data FROM readings ORDER BY datetime, id LIMIT 10000")
+ORACLES["first_n"] = q(READINGS, "SELECT datetime, id, data FROM readings ORDER BY datetime, id LIMIT 500")
 ORACLES["numeric_only"] = q(READINGS, "SELECT id, data, datetime, (data > 100)::INTEGER AS hot FROM readings")
 ORACLES["rating_band"] = q(RATINGS, """
 , shown AS (SELECT device, datetime, "Metric", nullif("Rating", 40) AS "Rating" FROM ratings)
@@ -301,16 +303,9 @@ ORACLES["corr_cross"] = q(TABLE, " UNION ALL ".join(
     for x in FEATURES for y in ("l_extendedprice", "steady")))
 
 
-def _iqr() -> str:
-    out, source = [], "regression"
-    for i, c in enumerate(["l_extendedprice", "l_quantity", "l_tax"]):
-        out.append(f"b{i} AS (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM {source})")
-        out.append(f"s{i} AS (SELECT t.* FROM {source} t, b{i} WHERE {c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))")
-        source = f"s{i}"
-    return ", " + ", ".join(out) + f" SELECT l_orderkey, l_linenumber, l_extendedprice FROM {source}"
-
-
-ORACLES["iqr_filter"] = q(TABLE, _iqr())
+ORACLES["iqr_filter"] = q(READINGS, """, bounds AS (SELECT quantile_cont(data, 0.25) AS q1, quantile_cont(data, 0.75) AS q3 FROM readings)
+SELECT id, data FROM readings, bounds WHERE data BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)""")
+ORACLES["subsample"] = q(READINGS, "SELECT id, data FROM readings WHERE ('0x' || substr(md5(id || '|42'), 1, 8))::BIGINT % 100 < 30")
 ORACLES["pair_points"] = q(TABLE, " UNION ALL ".join(
     f"SELECT l_orderkey, l_linenumber, '{c}' AS feature, {c} AS x, 'l_extendedprice' AS target, l_extendedprice AS y FROM regression" for c in ("l_quantity", "l_tax")))
 ORACLES["time_extent"] = q(READINGS, 'SELECT device, min(datetime) AS "start", max(datetime) AS "end" FROM readings GROUP BY device')

@@ -23,6 +23,7 @@ from tremora.sources import stages
 from tremora.sources import waveforms as recordings
 from tremora.streaming import jobs
 from workload import tables as t
+from workload.staging import named_files
 from workload.tables import MEASURES, RATINGS
 
 BUCKET_MINUTES = 120
@@ -57,7 +58,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # -- shared steps -----------------------------------------------------------
 
 def wide(spark, d):
-    return reshape.pivot_readings(t.readings(spark, d), MEASURES)
+    return reshape.pivot_readings(t.sensor_readings(spark, d), MEASURES)
 
 
 def rated(spark, d):
@@ -65,7 +66,7 @@ def rated(spark, d):
 
 
 def merged(spark, d):
-    return chain.merged_table(t.readings(spark, d), t.ratings(spark, d), MEASURES, RATINGS, fill=["view"])
+    return chain.merged_table(t.sensor_readings(spark, d), t.ratings(spark, d), MEASURES, RATINGS, fill=["view"])
 
 
 def summary(spark, d):
@@ -87,31 +88,29 @@ def folded(spark, d):
 # -- sources and sinks ------------------------------------------------------
 
 def stage_readings(spark, d) -> str:
-    """Readings and ratings staged as CSV, one folder per original file."""
-    path = scratch_path(spark, "staged")
+    """Readings and ratings staged as CSV files; those of odd locations order their columns otherwise."""
     cols = ["id", "Date", "Time", "Measurement", "data"]
-    named = t.readings(spark, d).withColumn("source", F.concat(F.lit("("), "device", F.lit(") "), "location", F.lit(".csv")))
-    named.select(*cols, "source").write.partitionBy("source").option("header", True).csv(path)
+    named = t.readings(spark, d).withColumn("source", F.concat(F.lit("2024 + #1 ("), "device", F.lit(") "), "location", F.lit(".csv")))
+    odd = F.col("location").rlike("[13]$")
+    path = named_files(named.where(~odd).select(*cols, "source"), "source", "csv", {"header": True})
+    named_files(named.where(odd).select(*reversed(cols), "source"), "source", "csv", {"header": True}, path)
     marks = t.ratings(spark, d).select(
         F.date_format("datetime", "yyyy-MM-dd").alias("Date"), F.date_format("datetime", "HH:mm:ss").alias("Time"),
         F.col("device").alias("Device"), "Metric", "Rating",
-        F.concat(F.lit("("), "device", F.lit(") Rating.csv")).alias("source"),
+        F.concat(F.lit("2024 + #1 ("), "device", F.lit(") Rating March.csv")).alias("source"),
     )
-    marks.write.partitionBy("source").mode("append").option("header", True).csv(path)
-    return path
+    return named_files(marks, "source", "csv", {"header": True}, path)
 
 
 @query
 def scan_readings(spark, d):
     path = stage_readings(spark, d)
-    files = staged.read_readings(spark, path, "dev_0", name_column="source")
-    other = staged.route_files(spark, path, "dev_1", name_column="source")[0]
-    return files.where(F.col("location") != "Rating").unionByName(other)
+    return staged.read_readings(spark, path, "dev_0").unionByName(staged.read_readings(spark, path).where("device = 'dev_1'"))
 
 
 @query
 def route_files(spark, d):
-    readings, marks = staged.route_files(spark, stage_readings(spark, d), "dev_0", name_column="source")
+    readings, marks = staged.route_files(spark, stage_readings(spark, d), "dev_0")
     return readings.select(F.lit("reading").alias("kind"), "location", "Date", "Time",
                            F.col("Measurement").alias("name"), F.col("data").alias("value")).unionByName(
         marks.select(F.lit("rating").alias("kind"), F.lit(None).cast("string").alias("location"), "Date", "Time",
@@ -126,14 +125,14 @@ def union_by_name(spark, d):
 
 @query
 def scan_waveform_json(spark, d):
-    path = scratch_path(spark, "waves")
-    w = t.waves(spark, d).select(
-        F.concat(F.substring("file_name", 1, 8), F.lit("#"), "device").alias("folder"),
-        F.col("file_name").alias("name"), F.to_json(F.struct("axisX", "axisY")).alias("value"),
-    )
-    files = w.repartition(spark.sparkContext.defaultParallelism, "folder", "name")
-    files.write.partitionBy("folder", "name").text(path)
-    read = recordings.scan_waveform_json(spark, path, "dev_1", "folder", "name")
+    # the base folder's name holds the device too, which must not count
+    path = scratch_path(spark, "waves of dev_1")
+    files = t.waves(spark, d).select(
+        F.concat(F.substring("file_name", 1, 8), F.lit("#"), "device", F.lit("/"), "file_name").alias("name"),
+        F.to_json(F.struct("axisX", "axisY")).alias("value"))
+    named_files(files, "name", "text", path=path)
+    read = recordings.scan_waveform_json(spark, path, "dev_1").withColumn(
+        "filepath", F.regexp_extract("filepath", "([^/]+/[^/]+)$", 1))
     total = F.aggregate("axisY", F.lit(0.0), lambda s, v: s + v)
     return rounded(read.select("filepath", "file_name", F.size("axisX").alias("n_x"), F.size("axisY").alias("n_y"), total.alias("total")))
 
@@ -145,9 +144,26 @@ def _single(ys: pd.Series) -> pd.Series:
 
 @query
 def scan_waveform_binary(spark, d):
+    """Recordings as binary files; those of every tenth number have a name that says no time."""
     files = t.table(spark, d, "embeddings").select("vec_id", _single("embedding").alias("content"))
+    stamp = F.date_format(F.timestamp_add("SECOND", F.col("vec_id") * 60, F.lit("2024-01-01").cast("timestamp_ntz")), "yyyyMMdd_HHmmss")
+    name = F.concat(F.lit("dev_"), F.col("vec_id"), F.when(F.col("vec_id") % 10 == 0, F.lit("_none")).otherwise(F.concat(F.lit("_"), stamp)), F.lit(".Single"))
+    path = scratch_path(spark, "single")
+    _write_binary(files.select(name.alias("name"), "content"), path)
     total = F.aggregate("axisY", F.lit(0.0), lambda s, v: s + v)
-    return rounded(recordings.decode_waveforms(files).select("vec_id", "fs", F.size("axisY").alias("n_y"), total.alias("total")))
+    read = recordings.scan_waveform_binary(spark, path).withColumn("vec_id", F.regexp_extract("filepath", r"dev_(\d+)_", 1).cast("long"))
+    return rounded(read.select("vec_id", "timestamp", "fs", F.size("axisY").alias("n_y"), total.alias("total")))
+
+
+def _write_binary(files, path):
+    """Binary files by the file system that Spark itself uses; there are few and small ones."""
+    spark = files.sparkSession
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for r in files.toLocalIterator():
+        out = fs.create(path_of(f"{path}/{r.name}"))
+        out.write(bytes(r.content))
+        out.close()
 
 
 @query
@@ -257,12 +273,12 @@ def location_filter(spark, d):
 
 @query
 def subsample(spark, d):
-    return rows.subsample(t.readings(spark, d), ["id"], above=None).select("id", "data")
+    return rows.subsample(t.readings(spark, d), ["id"], 30).select("id", "data")
 
 
 @query
 def first_n(spark, d):
-    return rows.first_n(t.readings(spark, d).select("datetime", "id", "data"), ["datetime", "id"], 10_000)
+    return rows.first_n(t.readings(spark, d).select("datetime", "id", "data"), ["datetime", "id"], 500)
 
 
 @query
@@ -346,7 +362,8 @@ def corr_cross(spark, d):
 
 @query
 def iqr_filter(spark, d):
-    return profiles.iqr_filter(t.regression(spark, d), [PRICE, "l_quantity", "l_tax"]).select("l_orderkey", "l_linenumber", PRICE)
+    """Event values have a long tail, so rows do go."""
+    return profiles.iqr_filter(t.readings(spark, d), ["data"]).select("id", "data")
 
 
 @query

@@ -6,11 +6,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 MEASURES = ["click", "signup", "view"]
 RATINGS = ["error", "purchase"]
-RATE = 50_000.0
+RATE, SLOW_RATE = 50_000.0, 300.0  # every third recording is slow, so that the low bands hold values too
 SENSORS = {f"{i:024x}": f"loc_{i}" for i in range(3)}  # the fourth sensor stays unmapped
 ROW_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
@@ -54,6 +54,11 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_readings(table(spark, sf_dir, "events"))
 
 
+def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of the sensors: the events of all types but those that stand for ratings."""
+    return readings(spark, sf_dir).where(~F.col("Measurement").isin(RATINGS))
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A 0-100 rating per device, metric and 20 minutes, in steps of 20."""
     level = F.floor(F.round(F.avg("value"), 6) / 20) * 20
@@ -68,11 +73,15 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vibration(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One numeric series per device and location."""
-    events = table(spark, sf_dir, "events").where("event_type = 'view'")
+    events = table(spark, sf_dir, "events")
     return events.select(_device().alias("device"), _location().alias("location"),
                          F.col("ts").alias("timestamp"), F.col("value").alias("velocity"))
 
 
+def rate() -> Column:
+    return F.when(F.col("vec_id") % 3 == 0, SLOW_RATE).otherwise(RATE)
+
+
 def waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Waveform recordings named like the files they would come from."""
     seconds = (F.col("vec_id") % 500) * 85 * 60
@@ -87,7 +96,7 @@ def waves(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id",
         F.concat(F.lit("dev_"), sensor % 2).alias("device"),
         name.alias("file_name"),
-        F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: i / F.lit(RATE)).alias("axisX"),
+        F.transform(F.sequence(F.lit(0), F.size("embedding") - 1), lambda i: i / rate()).alias("axisX"),
         F.col("embedding").alias("axisY"),
     )
 
