@@ -6,19 +6,19 @@ drives one over everything that has arrived.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from datetime import datetime
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tremora.session import scratch_path
+from tremora.functions.time import epoch_micros
+from tremora.operators.buckets import assign_buckets, summarise_buckets
+from tremora.session import broadcast_if_small, scratch_path
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                files_per_trigger: int | None = None) -> DataFrame:
-    """New files below ``path``, each read once; an optional limit bounds a batch of backlog.
+                files_per_trigger: int | None = 256) -> DataFrame:
+    """New files below ``path``, each read once; a limit bounds a batch of backlog.
 
     A CSV file whose header does not name the schema's columns in their order fails the stream.
     """
@@ -77,110 +77,139 @@ def dedup_stream(stream: DataFrame, identity: Sequence[str], ts: str = "datetime
     return event_time(stream, ts, delay).dropDuplicatesWithinWatermark(list(identity))
 
 
-STATS = ("count", "mean", "std", "min", "max")
+def resample_available(stream: DataFrame, rule: str, columns: Sequence[str], keys: Sequence[str] = ("location", "device"),
+                       ts: str = "datetime", delay: str = "1 hour", sink: str | None = None,
+                       checkpoint: str | None = None) -> DataFrame:
+    """Bin means of everything that has arrived, bins still open included.
 
+    The sink holds the bins the watermark has passed. The others are read from the
+    query's state as they stand, so a bounded run is complete and a later one goes on.
+    """
+    spark = stream.sparkSession
+    checkpoint = checkpoint or scratch_path(spark, "resample-state")
+    done = run_available(resample_stream(stream, rule, columns, keys, ts, delay), "resample", sink, checkpoint)
+    held = spark.read.format("statestore").load(checkpoint)
+    # an average keeps its sum and its count, in the order of the columns
+    named = held.select("key.*", "value.*").toDF(*keys, "_w", *[f"_{kind}_{c}" for c in columns for kind in ("sum", "n")])
+    return done.unionByName(named.select(
+        *keys, F.col("_w.start").alias(ts), *[F.try_divide(f"_sum_{c}", f"_n_{c}").alias(c) for c in columns]))
 
-class _Bucket:
-    """Running bucket: start, end, ratings and per measurement count, mean, m2, min, max."""
 
-    def __init__(self, cells: Sequence[float], n_ratings: int):
-        self.start, self.end = cells[0], cells[1]
-        self.ratings = list(cells[2:2 + n_ratings])
-        self.sums = [list(cells[i:i + 5]) for i in range(2 + n_ratings, len(cells), 5)]
+STATS = ("count", "mean", "std", "min", "max")
+
 
-    @classmethod
-    def open(cls, t: float, ratings: Sequence[float], n_measures: int) -> "_Bucket":
-        return cls([t, t, *ratings, *([0.0, 0.0, 0.0, np.nan, np.nan] * n_measures)], len(ratings))
+class _Versions:
+    """Tables kept from batch to batch; a batch run again replaces what it wrote."""
 
-    def add(self, t: float, measures: Sequence[float]) -> None:
-        self.end = t
-        for s, x in zip(self.sums, measures):
-            if np.isnan(x):
-                continue
-            s[0] += 1
-            step = x - s[1]
-            s[1] += step / s[0]
-            s[2] += step * (x - s[1])
-            s[3], s[4] = np.fmin(s[3], x), np.fmax(s[4], x)
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
 
-    def cells(self) -> list[float]:
-        return [self.start, self.end, *self.ratings, *[v for s in self.sums for v in s]]
+    def read(self, name: str, version: int) -> DataFrame | None:
+        return self.spark.read.parquet(f"{self.path}/{name}/{version}") if version >= 0 else None
 
-    def row(self) -> list:
-        stats = []
-        for c, mean, m2, lo, hi in self.sums:
-            stats += [int(c), mean if c else np.nan, np.sqrt(m2 / (c - 1)) if c > 1 else np.nan, lo, hi]
-        return [*stats, *self.ratings, self.start, self.end]
+    def write(self, df: DataFrame, name: str, version: int) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}/{version}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}/{version}")
 
+    def drop(self, name: str, version: int) -> None:
+        if version >= 0:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/{version}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
-def _same(a: Sequence[float], b: Sequence[float]) -> bool:
-    return bool(np.array_equal(np.asarray(a), np.asarray(b), equal_nan=True))
 
+def buckets_available(stream: DataFrame, measurements: Sequence[str], ratings: Sequence[str], minutes: int = 20,
+                      keys: Sequence[str] = ("device", "location"), ts: str = "datetime", delay: str = "1 hour",
+                      sink: str | None = None, checkpoint: str | None = None, finish: bool = True) -> DataFrame:
+    """Greedy rating buckets of everything that has arrived, with their summary.
 
-def bucket_stream(stream: DataFrame, measurements: Sequence[str], ratings: Sequence[str], minutes: int = 20,
-                  keys: Sequence[str] = ("device", "location"), ts: str = "datetime",
-                  delay: str = "1 hour") -> DataFrame:
-    """Greedy rating buckets with their summary, one row per bucket once it is closed.
+    Each batch joins the rows that still wait and goes through the batch operator, whose
+    work is split by key and time slice; no key's backlog is ever one row or one call.
+    Rows up to the mark (the latest time seen less ``delay``) are settled: buckets that end
+    before it are written, and the rows of each key's open bucket wait for the next
+    batch with those behind the mark. Its first row anchors it there as it does here.
+    Rows arriving behind the mark are dropped. With ``finish`` the buckets still open are
+    returned too, as they stand; a later run replaces them.
 
-    Rows wait in the state until the watermark passes them, so they are taken in time
-    order whatever the order of arrival; a bucket closes at the first row that opens
-    the next one, or when the watermark reaches its expiry. Rows behind the watermark
-    are dropped.
+    A batch writes under its own number, so one that runs again leaves no trace of the first.
     """
-    width = minutes * 60 * 1_000_000
-    m, r = len(measurements), len(ratings)
-    stride = 1 + r + m
-    columns = [*[f"{c}_{s}" for c in measurements for s in STATS], *ratings, "bucket_start", "bucket_end"]
-    out_schema = T.StructType(
-        [stream.schema[k] for k in keys]
-        + [T.StructField(f"{c}_{s}", T.LongType() if s == "count" else T.DoubleType()) for c in measurements for s in STATS]
-        + [T.StructField(c, T.DoubleType()) for c in ratings]
-        + [T.StructField(c, T.TimestampType()) for c in ("bucket_start", "bucket_end")]
-    )
-    # times are kept as microseconds in doubles, exact up to the year 2255
-    doubles = T.ArrayType(T.DoubleType())
-    state_schema = T.StructType([
-        T.StructField("done", T.LongType()), T.StructField("open", doubles), T.StructField("waiting", doubles),
-    ])
-
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        done, cells, waiting = state.get if state.exists else (-1, [], [])
-        rows = np.asarray(waiting, dtype=float).reshape(-1, stride)
-        bucket = _Bucket(list(cells), r) if len(cells) else None
-        fresh = [b[["_t", *ratings, *measurements]].to_numpy(dtype=float) for b in batches]
-        if fresh:
-            new = np.concatenate(fresh)
-            rows = np.concatenate([rows, new[new[:, 0] > done]])
-        rows = rows[np.argsort(rows[:, 0], kind="stable")]
-        mark = state.getCurrentWatermarkMs() * 1000
-        ready, rows = rows[rows[:, 0] <= mark], rows[rows[:, 0] > mark]
-        closed = []
-        for row in ready:
-            t, rating, values = row[0], row[1:1 + r], row[1 + r:]
-            if bucket is not None and (t - bucket.start >= width or not _same(bucket.ratings, rating)):
-                closed.append(bucket.row())
-                bucket = None
-            if bucket is None:
-                bucket = _Bucket.open(t, rating, m)
-            bucket.add(t, values)
-        if bucket is not None and mark >= bucket.start + width:
-            closed.append(bucket.row())
-            bucket = None
-        if bucket is None and not len(rows):
-            state.remove()
-        else:
-            state.update((max(done, mark), [] if bucket is None else [float(v) for v in bucket.cells()], [float(v) for v in rows.ravel()]))
-            next_due = min([*rows[:1, 0].tolist(), *([bucket.start + width] if bucket else [])])
-            state.setTimeoutTimestamp(max(int(-(-next_due // 1000)), state.getCurrentWatermarkMs() + 1))
-        if closed:
-            pdf = pd.DataFrame(closed, columns=columns)
-            for c in ("bucket_start", "bucket_end"):
-                pdf[c] = pd.to_datetime(pdf[c].astype("int64"), unit="us", utc=True)
-            for i, k in enumerate(keys):
-                pdf[k] = key[i]
-            yield pdf[out_schema.fieldNames()]
-
-    timed = event_time(stream, ts, delay).withColumn("_t", F.unix_micros(ts))
-    return timed.groupBy(*keys).applyInPandasWithState(
-        advance, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout
+    spark = stream.sparkSession
+    sink = sink or scratch_path(spark, "buckets-sink")
+    checkpoint = checkpoint or scratch_path(spark, "buckets-state")
+    kept = _Versions(spark, f"{checkpoint}/kept")
+    width, late = minutes * 60 * 1_000_000, F.expr(f"interval {delay}")
+    columns = [*keys, *[f"{c}_{s}" for c in measurements for s in STATS], *ratings, "bucket_start", "bucket_end"]
+    have = " and ".join(f"`{c}` is not null" for c in (*keys, ts))
+
+    def settle(rows: DataFrame, mark: object, name: str, batch: int) -> tuple[DataFrame, DataFrame]:
+        """Summary of the closed buckets, and the rows that wait; all close if ``mark`` is None."""
+        ready = rows if mark is None else rows.where(F.col(ts) <= F.lit(mark))
+        marked = kept.write(assign_buckets(ready, ratings, minutes, keys, ts), name, batch)
+        if mark is None:
+            return summarise_buckets(marked.drop("bucket_start"), measurements, ratings, (*keys, "bucket_id"), ts).select(*columns), ready.limit(0)
+        last = broadcast_if_small(marked.groupBy(*keys).agg(F.max("bucket_id").alias("_last")))
+        over = (F.col("bucket_id") < F.col("_last")) | (epoch_micros("bucket_start") + width <= epoch_micros(F.lit(mark)))
+        judged = marked.join(last, list(keys))
+        closed = judged.where(over).drop("bucket_start", "_last")
+        waiting = judged.where(~over).select(*rows.columns).unionByName(rows.where(F.col(ts) > F.lit(mark)))
+        return summarise_buckets(closed, measurements, ratings, (*keys, "bucket_id"), ts).select(*columns), waiting
+
+    def step(batch: DataFrame, number: int) -> None:
+        fresh = batch.where(have).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
+        before = kept.read("mark", number - 1)
+        mark = before.first()[0] if before is not None else None
+        if mark is not None:
+            fresh = fresh.where(F.col(ts) > F.lit(mark))
+            fresh = kept.read("waiting", number - 1).unionByName(fresh)
+        rows = kept.write(fresh, "rows", number)
+        latest = rows.agg((F.max(ts) - late).cast("timestamp_ntz")).first()[0]
+        mark = max(m for m in (mark, latest, datetime.min) if m is not None)
+        closed, waiting = settle(rows, mark, "marked", number)
+        closed.write.mode("overwrite").parquet(f"{sink}/closed/batch={number}")
+        kept.write(waiting, "waiting", number)
+        kept.write(spark.createDataFrame([(mark,)], "mark timestamp_ntz"), "mark", number)
+        for name in ("rows", "marked"):
+            kept.drop(name, number)
+        for name in ("waiting", "mark"):
+            kept.drop(name, number - 2)  # the one before is needed if this batch runs again
+        last_batch.append(number)
+
+    last_batch: list[int] = []
+    query = (
+        stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{checkpoint}/query")
+        .trigger(availableNow=True).start()
     )
+    query.awaitTermination()
+    out_schema = _bucket_schema(stream, keys, measurements, ratings)
+    done = spark.read.schema(out_schema).parquet(f"{sink}/closed").select(*columns) if _exists(spark, f"{sink}/closed") else spark.createDataFrame([], out_schema)
+    if not finish:
+        return done
+    number = last_batch[-1] if last_batch else _latest(spark, f"{checkpoint}/kept/waiting")
+    if number is None:
+        return done
+    rest, _ = settle(kept.read("waiting", number), None, "open", number)
+    rest.write.mode("overwrite").parquet(f"{sink}/open")
+    return done.unionByName(spark.read.schema(out_schema).parquet(f"{sink}/open"))
+
+
+def _bucket_schema(stream: DataFrame, keys: Sequence[str], measurements: Sequence[str], ratings: Sequence[str]) -> T.StructType:
+    stat = {"count": T.LongType(), "mean": T.DoubleType(), "std": T.DoubleType()}
+    return T.StructType(
+        [stream.schema[k] for k in keys]
+        + [T.StructField(f"{c}_{s}", stat.get(s, stream.schema[c].dataType)) for c in measurements for s in STATS]
+        + [stream.schema[c] for c in ratings]
+        + [T.StructField(c, T.TimestampNTZType()) for c in ("bucket_start", "bucket_end")])
+
+
+def _folders(spark: SparkSession, path: str) -> list[str] | None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    return bool(_folders(spark, path))
+
+
+def _latest(spark: SparkSession, path: str) -> int | None:
+    """Number of the last batch of earlier runs."""
+    return max((int(n) for n in _folders(spark, path) or [] if n.isdigit()), default=None)

@@ -419,8 +419,7 @@ UNION ALL SELECT 'intercept', round(mean + 1e-9, 2) + 0.0 FROM w""")
 ORACLES["stream_ingest"] = q(READINGS, "SELECT device, count(*) AS n_rows, max(datetime) AS last_reading FROM readings GROUP BY device")
 ORACLES["stream_resample"] = q(READINGS, f"""
 , binned AS (SELECT location, device, time_bucket(INTERVAL '15 minutes', datetime) AS b, avg(data) AS mean_data FROM readings GROUP BY ALL)
-SELECT location, device, b AS datetime, {r("mean_data")} FROM binned
-WHERE b + INTERVAL '15 minutes' <= (SELECT max(datetime) - INTERVAL '1 hour' FROM readings)""")
+SELECT location, device, b AS datetime, {r("mean_data")} FROM binned""")
 ORACLES["stream_dedup"] = q(READINGS, "SELECT id, datetime, device, data FROM readings")
 ORACLES["stream_buckets"] = q("""numbered AS MATERIALIZED (
   SELECT 'dev_' || (user_id % 2) AS device, 'loc_' || (user_id % 4) AS location, ts, value AS data, floor(value / 60) * 20 AS level,
@@ -436,10 +435,7 @@ walk AS (
 grouped AS (
   SELECT device, location, bucket, count(data) AS n, avg(data) AS mean, stddev_samp(data) AS std, min(data) AS lo, max(data) AS hi,
          min(level) AS level, min(ts) AS bucket_start, max(ts) AS bucket_end
-  FROM numbered JOIN walk USING (device, location, rn) GROUP BY device, location, bucket),
-closing AS (
-  SELECT *, lead(bucket_start) OVER (PARTITION BY location ORDER BY bucket) AS following,
-         (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '1 hour' FROM events) AS mark FROM grouped)""", f"""
+  FROM numbered JOIN walk USING (device, location, rn) GROUP BY device, location, bucket)""", f"""
 SELECT device, location, n AS data_count, {r("mean", "data_mean")}, {r("std", "data_std")}, {r("lo", "data_min")}, {r("hi", "data_max")},
        {r("level")}, bucket_start, bucket_end
-FROM closing WHERE bucket_start + INTERVAL '120 minutes' <= mark OR following <= mark""")
+FROM grouped""")

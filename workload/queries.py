@@ -637,7 +637,7 @@ def stream_ingest(spark, d):
 @query
 def stream_resample(spark, d):
     stream = t.as_readings(_event_stream(spark, d)).withColumnRenamed("data", "mean_data")
-    binned = jobs.run_available(jobs.resample_stream(stream, "15 minutes", ["mean_data"]), "resample")
+    binned = jobs.resample_available(stream, "15 minutes", ["mean_data"])
     return rounded(binned.withColumn("datetime", F.col("datetime").cast("timestamp_ntz")))
 
 
@@ -658,6 +658,4 @@ def bucket_rows(events):
 
 @query
 def stream_buckets(spark, d):
-    stream = bucket_rows(_event_stream(spark, d))
-    closed = jobs.run_available(jobs.bucket_stream(stream, ["data"], ["level"], BUCKET_MINUTES), "buckets")
-    return rounded(closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("bucket_start", "bucket_end")}))
+    return rounded(jobs.buckets_available(bucket_rows(_event_stream(spark, d)), ["data"], ["level"], BUCKET_MINUTES))
