@@ -188,6 +188,15 @@ def test_train_and_save(spark, tmp_path):
     again = stages.load_best(str(tmp_path), "8#Belt Conveyer", "y_rating")
     assert models.predict(again, table(spark)).count() == 200
     assert stages.load_predictions(spark, str(tmp_path), "8#Belt Conveyer", "k_rating").agg(F.max("prediction")).first()[0] == 4.0
+    assert done.predictions.columns == ["datetime", "id", "target", "y", "prediction"]
+    assert done.predictions.groupBy("target").count().collect()[0]["count"] == 200
+
+
+def test_a_model_competes_with_itself(spark):
+    own = {"two": ("PolyRidgeDegree2", {"degree": 2}), "five": ("PolyRidgeDegree2", {"degree": 5}), "flat": ("Baseline", {})}
+    done = chain.train(table(spark, 80), ["a", "b"], ["y_rating"], ["datetime", "id"], own)
+    assert {r.model for r in done.scores.collect()} == set(own)
+    assert done.best.first().model in ("two", "five") and done.predictions.count() == 80
 
 
 def test_train_with_search(spark):

@@ -105,3 +105,37 @@ def test_pair_points(spark):
     df = spark.createDataFrame([(1, 2.0, 3.0)], "a long, b double, t double")
     assert rows(reshape.pair_points(df, ["a", "b"], ["t"])) == [("a", 1.0, "t", 3.0), ("b", 2.0, "t", 3.0)]
     assert rows(reshape.to_long(df, ["a", "nope"])) == [("a", 1.0)]
+
+
+def test_correlations_of_many_columns(spark):
+    """Two hundred columns with gaps and far-off means, beside pandas."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 200)) * rng.uniform(0.1, 10, 200) + rng.uniform(-1e6, 1e6, 200)
+    x[:, 1] = x[:, 0] * 2 + rng.normal(size=400)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 3.25
+    pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(200)])
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"c{i} double" for i in range(200))).repartition(5)
+    got = {(r.x, r.y): r.corr for r in profiles.corr_matrix(df, list(pdf.columns)).collect()}
+    assert len(got) == 200 * 200
+    want = pdf.corr()
+    for i in (0, 1, 5, 7, 100, 199):
+        for j in (0, 1, 7, 50, 199):
+            a, b = f"c{i}", f"c{j}"
+            if 7 in (i, j):
+                assert got[a, b] is None
+            else:
+                assert got[a, b] == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_grouped_products(spark):
+    from tremora.operators.gram import grouped_products
+
+    rng = np.random.default_rng(1)
+    x, g = rng.normal(size=(300, 4)), rng.integers(-1, 3, 300)
+    rows_ = [(*map(float, r), None if k < 0 else int(k)) for r, k in zip(x, g)]
+    df = spark.createDataFrame(rows_, "a double, b double, c double, d double, fold int").repartition(4)
+    got = grouped_products(df, list("abcd"), [1.0, 0, 0, 0], [2.0, 1, 1, 1], "fold", 3)
+    z = np.concatenate([(x - [1, 0, 0, 0]) / [2, 1, 1, 1], np.ones((300, 1))], axis=1)
+    for k in range(-1, 3):
+        assert np.allclose(got[k + 1], z[g == k].T @ z[g == k])

@@ -38,7 +38,7 @@ def test_sine_band_peak(spark):
     assert p.rms_10_100hz == pytest.approx(np.sqrt(0.5), rel=1e-6)
 
 
-@pytest.mark.parametrize("n,fs", [(1000, 1000.0), (999, 25000.0), (512, 50000.0)])
+@pytest.mark.parametrize("n,fs", [(1000, 1000.0), (999, 25000.0), (512, 50000.0), (25600, 25600.0)])
 def test_metrics_match_numpy(spark, n, fs):
     rng = np.random.default_rng(42)
     y = np.sin(2 * np.pi * 50 * np.arange(n) / fs) + 0.3 * rng.standard_normal(n) + 2

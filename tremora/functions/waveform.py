@@ -1,13 +1,12 @@
 """Waveform metrics on array columns.
 
-Time-domain metrics are higher-order functions over the array. The spectral ones
-need a Fourier transform per waveform, done by numpy on Arrow batches; the transform
-runs once and every band is read off it.
+A recording goes through numpy once, in Arrow batches: the moments and the Fourier
+transform, from which every band is read, come from the same array.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,27 +21,19 @@ def sampling_rate(axis_x: Column) -> Column:
     return F.when((F.size(axis_x) >= 2) & (dt > 0), F.try_divide(F.lit(1.0), dt))
 
 
-def _mean_of(x: Column, f: Callable[[Column], Column]) -> Column:
-    total = F.aggregate(x, F.lit(0.0), lambda s, v: s + f(v))
-    return F.try_divide(total, F.nullif(F.size(x), F.lit(0)))
+TIME_NAMES = ["velocity_rms", "crest_factor", "kurtosis_opt", "peak_value_opt"]
 
 
-def time_metrics(axis_y: Column) -> dict[str, Column]:
-    """RMS, crest factor, kurtosis (normal = 3) and peak."""
-    x = axis_y.cast("array<double>")
-    rms = F.sqrt(_mean_of(x, lambda v: v * v))
-    peak = F.array_max(F.transform(x, F.abs))
-    # a one-element array binds the mean, so it is not worked out again per sample
-    def central(power: int) -> Column:
-        def moment(m: Column) -> Column:
-            return _mean_of(x, lambda v: F.pow(v - m, F.lit(float(power))))
-        return F.get(F.transform(F.array(_mean_of(x, lambda v: v)), moment), F.lit(0))
-    variance = central(2)
+def _times(x: np.ndarray) -> dict[str, float | None]:
+    """RMS, crest factor, kurtosis (normal = 3) and peak; all null for a signal that holds a null."""
+    if np.isnan(x).any():
+        return dict.fromkeys(TIME_NAMES)
+    rms, peak = float(np.sqrt(np.mean(x * x))), float(np.abs(x).max())
+    square = (x - x.mean()) ** 2
+    variance = float(square.mean()) ** 2
     return {
-        "velocity_rms": rms,
-        "crest_factor": F.try_divide(peak, F.nullif(rms, F.lit(0.0))),
-        "kurtosis_opt": F.try_divide(central(4), F.nullif(variance * variance, F.lit(0.0))),
-        "peak_value_opt": peak,
+        "velocity_rms": rms, "crest_factor": peak / rms if rms else None,
+        "kurtosis_opt": float(np.mean(square * square)) / variance if variance else None, "peak_value_opt": peak,
     }
 
 
@@ -72,22 +63,32 @@ def _bands(x: np.ndarray, fs: float, parseval: bool) -> dict[str, float | None]:
 BAND_NAMES = [*RMS_BANDS, "peak_10_1000hz"]
 
 
-def _band_udf(parseval: bool):
-    schema = "struct<" + ", ".join(f"{c}: double" for c in BAND_NAMES) + ">"
+def _metrics_udf(parseval: bool, times: bool, bands: bool):
+    """One pass over each array for all the metrics asked for."""
+    columns = [*(TIME_NAMES if times else []), *(BAND_NAMES if bands else [])]
+    schema = "struct<" + ", ".join(f"{c}: double" for c in columns) + ">"
+    empty = dict.fromkeys(columns)
+
+    def one(y: object, fs: float | None) -> dict[str, float | None]:
+        if y is None or len(y) == 0:
+            return empty
+        x = np.asarray(y, dtype=np.float64)
+        out = _times(x) if times else {}
+        if bands:
+            out |= dict.fromkeys(BAND_NAMES) if pd.isna(fs) else _bands(x, fs, parseval)
+        return out
 
     @F.pandas_udf(schema)
-    def bands(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        empty = dict.fromkeys(BAND_NAMES)
+    def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for ys, rates in batches:
-            yield pd.DataFrame(
-                [
-                    empty if y is None or len(y) == 0 or pd.isna(fs) else _bands(np.asarray(y, dtype=np.float64), fs, parseval)
-                    for y, fs in zip(ys, rates)
-                ],
-                columns=BAND_NAMES, dtype="float64",
-            )
+            yield pd.DataFrame([one(y, fs) for y, fs in zip(ys, rates)], columns=columns, dtype="float64")
+
+    return measure
 
-    return bands
+
+def time_metrics(axis_y: Column) -> Column:
+    """Struct of RMS, crest factor, kurtosis and peak."""
+    return _metrics_udf(False, True, False)(axis_y, F.lit(None).cast("double"))
 
 
 def band_metrics(axis_y: Column, fs: Column, norm: str = "one_sided") -> Column:
@@ -97,6 +98,15 @@ def band_metrics(axis_y: Column, fs: Column, norm: str = "one_sided") -> Column:
     scales so that the bands add up to the signal's own mean square. A band without
     bins is null, its peak 0.
     """
+    return _metrics_udf(_parseval(norm), False, True)(axis_y, fs)
+
+
+def all_metrics(axis_y: Column, fs: Column, norm: str = "one_sided") -> Column:
+    """Struct of the time and the band metrics, from one pass over the array."""
+    return _metrics_udf(_parseval(norm), True, True)(axis_y, fs)
+
+
+def _parseval(norm: str) -> bool:
     if norm not in ("one_sided", "parseval"):
         raise ValueError(f"unknown norm {norm}")
-    return _band_udf(norm == "parseval")(axis_y, fs)
+    return norm == "parseval"

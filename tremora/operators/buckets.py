@@ -142,7 +142,7 @@ def _slice_timers(part: Sequence[str], width: int):
 
 def assign_buckets(df: DataFrame, ratings: Sequence[str], minutes: int = 20,
                    keys: Sequence[str] = ("device", "location"), ts: str = "datetime",
-                   null_breaks: bool = False, slice_seconds: int = DAY) -> DataFrame:
+                   null_breaks: bool = False, slice_seconds: int = DAY, broadcast_rows: int = 50_000) -> DataFrame:
     """Add ``bucket_id`` (1, 2, ... per key) and ``bucket_start`` to every row.
 
     Ratings compare null-safe; with ``null_breaks`` a null never equals anything, so
@@ -150,6 +150,8 @@ def assign_buckets(df: DataFrame, ratings: Sequence[str], minutes: int = 20,
     row per key and time is expected, as the pivot produces.
     """
     width = minutes * 60 * 1_000_000
+    # what is chained per key are the rows within one width of a slice's start: an eighth of them at most
+    slice_seconds = max(slice_seconds, 8 * minutes * 60)
     part = [*keys, "_slice"]
     part_schema = [T.StructField(k, df.schema[k].dataType) for k in keys] + [T.StructField("_slice", T.LongType())]
 
@@ -188,12 +190,12 @@ def assign_buckets(df: DataFrame, ratings: Sequence[str], minutes: int = 20,
     chained = exits.drop("_times", "_breaks").join(heads, part).groupBy(*keys).applyInArrow(
         _chain(part), T.StructType(part_schema + [T.StructField("_head", T.BooleanType())] + chain_schema)
     )
-    chained = broadcast_if_small(materialise(chained, "bucket-chain"))
+    chained = broadcast_if_small(materialise(chained, "bucket-chain"), max_rows=broadcast_rows)
     state = exits.select(*part, "_times", "_breaks").join(chained, part).mapInArrow(
         _slice_timers(part, width), T.StructType(part_schema + chain_schema + [T.StructField("_timers", longs)])
     )
     # one row per key and slice; broadcast, it leaves the sorted rows where they are
-    state = broadcast_if_small(state, max_rows=50_000)
+    state = broadcast_if_small(state, max_rows=broadcast_rows)
 
     so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
     marked = rows.join(state, part).withColumn(

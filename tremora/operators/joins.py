@@ -39,7 +39,7 @@ def _neighbour(df: DataFrame, keys: Sequence[str], ts: str, forward: bool, slice
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device",), ts: str = "datetime",
               direction: str = "forward", tie_break: str | None = None,
-              bin_seconds: int = 3600, slice_seconds: int = DAY) -> DataFrame:
+              bin_seconds: int = 3600, slice_seconds: int = DAY, broadcast_rows: int = 300_000) -> DataFrame:
     """Each left row with the first right row at or after it (or last at or before it).
 
     All left rows stay. Right rows of equal key and time count once, the smallest
@@ -65,7 +65,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device"
         "_bin", F.explode(F.sequence(edge_bin, at_bin) if forward else F.sequence(at_bin, edge_bin))
     ).select(*keys, "_bin", "_at", "_edge", "_r")
     # few enough ratings spare the left side its shuffle
-    binned = broadcast_if_small(binned, max_rows=300_000)
+    binned = broadcast_if_small(binned, max_rows=broadcast_rows)
 
     # left rows outside the extent of the right side look into its first or last bin
     extent = unique.groupBy(*keys).agg(
@@ -87,12 +87,18 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device"
 
 def interval_join(points: DataFrame, intervals: DataFrame, start: str = "bucket_start", end: str = "bucket_end",
                   keys: Sequence[str] = ("device", "location"), ts: str = "timestamp",
-                  bin_seconds: int = 1200) -> DataFrame:
+                  bin_seconds: int | None = 1200) -> DataFrame:
     """Points joined to every interval of the same key that contains them, ends included.
 
     Points with a null key or without an interval are dropped. With bins at least as
-    wide as an interval, an interval is copied at most twice.
+    wide as an interval, an interval is copied at most twice. Without bins the keys alone
+    are joined and the range is a condition on the pairs, which suits keys with few
+    intervals each.
     """
+    inside = F.col(ts).between(F.col(start), F.col(end))
+    if bin_seconds is None:
+        both = points.alias("p").join(intervals.alias("i"), list(keys)).where(inside)
+        return both.select(*keys, *[c for c in points.columns if c not in keys], *[c for c in intervals.columns if c not in keys])
     spread = intervals.withColumn(
         "_bin", F.explode(F.sequence(time_slice(start, bin_seconds), time_slice(end, bin_seconds)))
     )

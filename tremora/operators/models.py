@@ -23,6 +23,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremora.operators.folds import cv_summary, fold_metrics, test_rows, training_rows
+from tremora.operators.gram import grouped_products
 
 MODELS = (
     "Baseline", "Ridge", "PolyRidgeDegree2", "RandomForest", "GradientBoosting", "KernelRidge", "RuleTree",
@@ -112,13 +113,14 @@ def fit(df: DataFrame, features: Sequence[str], target: str, model: str,
         raise ValueError(f"unknown model {model}, expected one of {MODELS}")
     p = {**DEFAULTS[model], **(params or {})}
     rows = df.where(F.col(f"`{target}`").isNotNull())
-    stats = stats or scaling(rows, features, target)
+    stats = stats or (None if model in ("RandomForest", "GradientBoosting", "RuleTree") else scaling(rows, features, target))
     if model == "Baseline":
         constant = SQLTransformer(statement=f"SELECT *, {stats.target[0]!r}D AS prediction FROM __THIS__")
         return PipelineModel([constant])
     z = _scaled_names(features)
-    stages: list[Any] = [_scale_stage(stats)]
-    inputs = z
+    trees = model in ("RandomForest", "GradientBoosting", "RuleTree")  # splits do not depend on scale
+    stages: list[Any] = [] if trees else [_scale_stage(stats)]
+    inputs = list(features) if trees else z
     if model == "KernelRidge":
         # on standardised features both ways of choosing gamma come to one over their number
         gamma = 1.0 / len(features) if p["gamma"] in ("scale", "auto") else float(p["gamma"])
@@ -175,17 +177,7 @@ def ridge_weights(df: DataFrame, features: Sequence[str], target: str, alphas: M
     every = scaling(df, columns)
     centre = np.array([every.moments[c][0] for c in columns])
     unit = np.array([every.moments[c][1] for c in columns])
-    z = [(F.col(f"`{c}`") - m) / s for c, (m, s) in every.moments.items()] + [F.lit(1.0)]
-    size = len(z)
-    cells = F.array(*[
-        F.struct(F.lit(i * size + j).alias("cell"), (z[i] * z[j]).alias("v")) for i in range(size) for j in range(i, size)
-    ])
-    sums = df.select("test_fold", F.inline(cells)).groupBy("test_fold", "cell").agg(F.sum("v")).collect()
-    segments = np.zeros((k + 1, size, size))  # (k + 1) small symmetric matrices
-    for fold, cell, v in sums:
-        i, j = divmod(cell, size)
-        segments[0 if fold is None else fold + 1, i, j] = segments[0 if fold is None else fold + 1, j, i] = v
-    prefix = segments.cumsum(axis=0)
+    prefix = grouped_products(df, columns, centre, unit, "test_fold", k).cumsum(axis=0)
     out = {}
     for fold in range(k):
         m = prefix[fold]

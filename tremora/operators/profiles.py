@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tremora.operators.gram import pair_sums
 from tremora.operators.quantiles import IN_MEMORY_ROWS, quantiles
 from tremora.operators.reshape import to_long
 from tremora.session import broadcast_if_small
@@ -79,23 +80,25 @@ def box_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
 
 
 def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], first: str, second: str) -> DataFrame:
-    """Pearson over the rows where both columns are present; null when either is constant.
+    """Pearson over the rows where both columns are present; null when either is constant there.
 
-    Each row offers its pairs to one grouped aggregate, so the generated code stays
-    the same size for any number of columns and only partial sums are shuffled.
+    One pass gives the columns' means, a second the sums of all pairs.
     """
-    def cell(i: int, x: str, y: str) -> Column:
-        a, b = (F.col(f"`{c}`").cast("double") for c in (x, y))
-        both = a.isNotNull() & b.isNotNull()
-        return F.struct(F.lit(i).alias("i"), F.when(both, a).alias("a"), F.when(both, b).alias("b"))
-
-    spread = F.nullif(F.stddev_samp("a") * F.stddev_samp("b"), F.lit(0.0))
-    scored = (
-        df.select(F.inline(F.array(*[cell(i, x, y) for i, (x, y) in enumerate(pairs)])))
-        .groupBy("i").agg(F.try_divide(F.covar_samp("a", "b"), spread).alias("corr"))
-    )
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    means = df.agg(*[F.avg(F.nullif(F.col(f"`{c}`").cast("double"), F.lit(float("nan")))) for c in columns]).first()
+    place = {c: i for i, c in enumerate(columns)}
+    sums = pair_sums(df, columns, [(place[x], place[y]) for x, y in pairs], [m or 0.0 for m in means])
+
+    def spread(total: str, squares: str) -> Column:
+        # what is left of equal values after subtracting is rounding
+        left = F.col(squares) - F.try_divide(F.col(total) * F.col(total), F.col("n"))
+        return F.when(left > 1e-12 * F.col(squares), left)
+
+    together = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), F.col("n"))
+    corr = F.when(F.col("n") > 1, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), together / F.sqrt(spread("sa", "saa") * spread("sb", "sbb")))))
     names = F.array(*[F.struct(F.lit(x).alias(first), F.lit(y).alias(second)) for x, y in pairs])
-    return scored.select(F.get(names, F.col("i")).alias("p"), "corr").select("p.*", "corr")
+    scored = sums.select("i", F.when(spread("sa", "saa").isNotNull() & spread("sb", "sbb").isNotNull(), corr).alias("corr"))
+    return scored.select(F.get(names, F.col("i").cast("int")).alias("p"), "corr").select("p.*", "corr")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tremora.config import RMS_BANDS, WAVE_METRICS
 from tremora.functions import names
-from tremora.functions.waveform import band_metrics, sampling_rate, time_metrics
+from tremora.functions.waveform import TIME_NAMES, all_metrics, band_metrics, sampling_rate, time_metrics
 from tremora.operators.rows import map_location
 
 
@@ -15,7 +15,7 @@ def with_sampling_rate(df: DataFrame, axis_x: str = "axisX") -> DataFrame:
 
 
 def with_time_metrics(df: DataFrame, axis_y: str = "axisY") -> DataFrame:
-    return df.withColumns(time_metrics(F.col(axis_y)))
+    return df.withColumn("_t", time_metrics(F.col(axis_y))).withColumns({c: F.col(f"_t.{c}") for c in TIME_NAMES}).drop("_t")
 
 
 def with_band_rms(df: DataFrame, axis_y: str = "axisY", fs: str = "fs", norm: str = "one_sided") -> DataFrame:
@@ -43,8 +43,8 @@ def waveform_metrics(waves: DataFrame, dimension: DataFrame, norm: str = "one_si
     """
     timed = with_sampling_rate(with_file_fields(waves))
     ok = F.when(F.col("fs").isNotNull(), F.col("axisY"))
-    measured = timed.withColumns(time_metrics(ok)).withColumn("_b", band_metrics(ok, F.col("fs"), norm))
-    flat = measured.withColumns({c: F.col(f"_b.{c}") for c in (*RMS_BANDS, "peak_10_1000hz")})
+    measured = timed.withColumn("_m", all_metrics(ok, F.col("fs"), norm))
+    flat = measured.withColumns({c: F.col(f"_m.{c}") for c in (*TIME_NAMES, *RMS_BANDS, "peak_10_1000hz")})
     kept = [c for c in ("device", "filepath") if c in waves.columns]
     return map_location(
         flat.select(*kept, "timestamp", *WAVE_METRICS, "sensor_id", "wave_code"), dimension

@@ -8,7 +8,7 @@ from datetime import datetime
 from functools import partial
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tremora.config import METRIC_RATINGS, STATUS_RATINGS, VIBRATION
 from tremora.functions.time import epoch_seconds
@@ -58,7 +58,7 @@ class Training:
     models: dict[str, PipelineModel]
     scores: DataFrame
     best: DataFrame
-    predictions: dict[str, DataFrame]
+    predictions: DataFrame  # order columns, target, y, prediction
 
 
 def regression_table(features: DataFrame, ts: str = "datetime", categories: Mapping[str, Sequence[str]] | None = None,
@@ -77,32 +77,52 @@ def split_columns(df: DataFrame, keep: Sequence[str] = ()) -> tuple[list[str], l
 
 
 def train(df: DataFrame, features: Sequence[str], targets: Sequence[str], order: Sequence[str],
-          names: Sequence[str] = models.MODELS, params: Mapping[str, Mapping] | None = None, k: int = 3,
+          names: Sequence[str] | Mapping[str, tuple[str, Mapping]] = models.MODELS,
+          params: Mapping[str, Mapping] | None = None, k: int = 3,
           tune: bool = False, draws: int = 10, threads: int = 4, seed: int = 42) -> Training:
-    """Per target, the model with the best mean R2 over time folds, refitted on all rows."""
+    """Per target, the model with the best mean R2 over time folds, refitted on all rows.
+
+    ``names`` lists models, or names candidates of one's own as (model, parameters), so that
+    one model can compete with itself. The rows are ordered and stored once; scores, final
+    fits and predictions all read that table.
+    """
+    own = names if isinstance(names, Mapping) else {n: (n, {}) for n in names}
+    listed = {n: (m, {**p, **(params or {}).get(n, {})}) for n, (m, p) in own.items()}
     folded = folds.time_folds(df, order, k)
 
     def score(target: str) -> tuple[dict, DataFrame]:
         settings = {}
-        for name in names:
-            own = dict((params or {}).get(name, {}))
-            if tune and name in models.SEARCH_SPACE:
-                own |= models.random_search(folded, features, target, name, draws, k, threads, seed)[0]
-            settings[name] = (name, own)
+        for name, (model, own) in listed.items():
+            if tune and model in models.SEARCH_SPACE:
+                own = own | models.random_search(folded, features, target, model, draws, k, threads, seed)[0]
+            settings[name] = (model, own)
         return settings, models.cross_validate(folded, features, target, settings, k, threads, seed)
 
-    scored = dict(zip(targets, models.in_threads([partial(score, target) for target in targets], threads)))
+    # the fits of a target overlap, the targets follow each other: one pool of threads at a time
+    scored = {target: score(target) for target in targets}
     metrics = rows.union_by_name(*[m for _, m in scored.values()])
     scores = materialise(folds.cv_summary(metrics), "scores")
-    best = folds.select_best(scores, names)
+    best = folds.select_best(scores, list(listed))
     winners = {r["target"]: r["model"] for r in best.collect()}  # one row per target
 
     def refit(target: str) -> PipelineModel:
-        name, own = scored[target][0][winners[target]]
-        return models.fit(df, features, target, name, own, seed)
+        model, own = scored[target][0][winners[target]]
+        return models.fit(folded, features, target, model, own, seed)
 
     fitted = dict(zip(targets, models.in_threads([partial(refit, target) for target in targets], threads)))
-    return Training(fitted, scores, best, {t: models.predict(m, df) for t, m in fitted.items()})
+    return Training(fitted, scores, best, _predictions(folded, fitted, order))
+
+
+def _predictions(df: DataFrame, fitted: Mapping[str, PipelineModel], order: Sequence[str]) -> DataFrame:
+    """Truth and prediction of every target in one long table beside the order columns."""
+    if not fitted:
+        return df.select(*order, F.lit("").alias("target"), F.lit(0.0).alias("y"), F.lit(0.0).alias("prediction")).where("false")
+    for i, model in enumerate(fitted.values()):
+        kept = df.columns
+        df = model.transform(df).select(*[F.col(f"`{c}`") for c in kept], F.col("prediction").cast("double").alias(f"_p{i}"))
+    cells = [F.struct(F.lit(t).alias("target"), F.col(f"`{t}`").cast("double").alias("y"), F.col(f"_p{i}").alias("prediction"))
+             for i, t in enumerate(fitted)]
+    return df.select(*order, F.inline(F.array(*cells)))
 
 
 def dashboard_selection(merged: DataFrame, device: str, start: datetime | None, end: datetime | None,

@@ -30,13 +30,12 @@ def write_day_partitions(df: DataFrame, path: str, ts: str = "datetime") -> Data
     return write_stage(df.withColumn("date", F.to_date(ts)), path, ("device", "date"))
 
 
-def save_best(models: Mapping[str, PipelineModel], metrics: DataFrame, predictions: Mapping[str, DataFrame],
+def save_best(models: Mapping[str, PipelineModel], metrics: DataFrame, predictions: DataFrame,
               path: str, device: str) -> DataFrame:
-    """Save the chosen model, its scores and its predictions per target; returns the stored scores."""
+    """Save the chosen models, their scores and one table of predictions (keys, target, y, prediction); returns the stored scores."""
     for target, model in models.items():
         model.write().overwrite().save(f"{path}/models/{device}/{target}")
-    for target, df in predictions.items():
-        df.write.mode("overwrite").parquet(f"{path}/predictions/{device}/{target}")
+    predictions.write.mode("overwrite").partitionBy("target").parquet(f"{path}/predictions/{device}")
     return write_stage(metrics.withColumn("device", F.lit(device)), f"{path}/metrics")
 
 
@@ -45,4 +44,5 @@ def load_best(path: str, device: str, target: str) -> PipelineModel:
 
 
 def load_predictions(spark: SparkSession, path: str, device: str, target: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/predictions/{device}/{target}")
+    """Keys, truth and prediction of one target; the other targets' files are not opened."""
+    return spark.read.parquet(f"{path}/predictions/{device}").where(F.col("target") == target)

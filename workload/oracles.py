@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tremora.operators.models import draw_params
+
 RANGE_FROM, RANGE_TO = "2024-01-03 06:00:00", "2024-01-24 00:00:00"
 
 # -- shared tables, written as WITH members ---------------------------------
@@ -119,17 +121,19 @@ passed AS (
   FROM samples s LEFT JOIN bins b ON b.vec_id = s.vec_id AND k * b.fs / b.n BETWEEN 10 AND 1000 GROUP BY s.vec_id, s.j),
 peak_part AS (SELECT vec_id, max(abs(v)) AS peak_10_1000hz FROM passed GROUP BY vec_id)"""
 
-SERIES = """series AS MATERIALIZED (
+POINTS = """series AS MATERIALIZED (
   SELECT 'dev_' || (user_id % 2) AS device, 'loc_' || (user_id % 4) AS location, ts,
          value - avg(value) OVER g AS x, row_number() OVER (PARTITION BY user_id % 4 ORDER BY ts, value) - 1 AS j,
          count(*) OVER g AS n
-  FROM events WINDOW g AS (PARTITION BY user_id % 4)),
+  FROM events WINDOW g AS (PARTITION BY user_id % 4))"""
+
+TRANSFORM = """,
 ks AS (SELECT DISTINCT device, location, n, unnest(range(n)) AS k FROM series),
 dft AS MATERIALIZED (
   SELECT device, location, n, k, sum(x * cos(2 * pi() * (k * j % n) / n)) AS re, -sum(x * sin(2 * pi() * (k * j % n) / n)) AS im
   FROM series JOIN ks USING (device, location, n) GROUP BY ALL)"""
 
-ENVELOPE = SERIES + """, half AS (
+ENVELOPE_PART = """, half AS (
   SELECT device, location, n, k, CASE WHEN k = 0 OR 2 * k = n THEN 1 ELSE 2 END AS w, re, im FROM dft WHERE 2 * k <= n),
 analytic AS (
   SELECT s.device, s.location, s.ts, s.j, s.n,
@@ -139,10 +143,14 @@ analytic AS (
 env AS MATERIALIZED (
   SELECT device, location, ts, j, n, sqrt(a * a + b * b) - avg(sqrt(a * a + b * b)) OVER (PARTITION BY device, location) AS v FROM analytic)"""
 
-ENV_DFT = ENVELOPE + """, env_dft AS (
+ENV_DFT_PART = """, env_dft AS (
   SELECT e.device, e.location, e.n, k, sum(v * cos(2 * pi() * (k * j % e.n) / e.n)) AS re, -sum(v * sin(2 * pi() * (k * j % e.n) / e.n)) AS im
   FROM env e JOIN ks USING (device, location) WHERE k < e.n // 2 GROUP BY ALL)"""
 
+SERIES = POINTS + TRANSFORM
+ENVELOPE = SERIES + ENVELOPE_PART
+ENV_DFT = ENVELOPE + ENV_DFT_PART
+
 SPECTRUM_COLUMNS = "device, location, k AS bin, round(k / (n * 5.0) * 1000 + 1e-9, 4) + 0.0 AS frequency, round(sqrt(re * re + im * im) + 1e-9, 4) + 0.0 AS amplitude"
 
 TABLE = """regression AS (
@@ -323,16 +331,14 @@ ORACLES["resample_gapfill"] = q(BINNED, f""", grid AS (
   FROM (SELECT location, device, min(datetime) AS lo, max(datetime) AS hi FROM binned GROUP BY location, device))
 SELECT {WIDE_OUT} FROM grid LEFT JOIN binned USING (location, device, datetime)""")
 ORACLES["dashboard_selection"] = ORACLES["resample_gapfill"] + " WHERE device = 'dev_1' AND location = 'loc_1'"
-ORACLES["dashboard_signal"] = q(BINNED, f""", series AS (
-  SELECT device, location, datetime, "view" - avg("view") OVER (PARTITION BY location) AS v, count(*) OVER (PARTITION BY location) AS n,
-         row_number() OVER (PARTITION BY location ORDER BY datetime) - 1 AS j
-  FROM binned WHERE device = 'dev_1' AND "view" IS NOT NULL),
-ks AS (SELECT DISTINCT location, unnest(range(n // 2)) AS k FROM series),
-dft AS (
-  SELECT device, location, n, k, sum(v * cos(2 * pi() * (k * j % n) / n)) AS re, sum(v * sin(2 * pi() * (k * j % n) / n)) AS im
-  FROM series JOIN ks USING (location) GROUP BY ALL)
-SELECT device, location, 'raw' AS panel, datetime, NULL::BIGINT AS bin, NULL::DOUBLE AS x, {r("v", "y", 4)} FROM series
-UNION ALL SELECT device, location, 'spectrum', NULL, k, {r("k / (n * 900.0) * 1000000", "x", 4)}, {r("sqrt(re * re + im * im)", "y", 4)} FROM dft""")
+ORACLES["dashboard_signal"] = q(BINNED + """, series AS MATERIALIZED (
+  SELECT device, location, datetime AS ts, "view" - avg("view") OVER g AS x, row_number() OVER (PARTITION BY location ORDER BY datetime) - 1 AS j,
+         count(*) OVER g AS n
+  FROM binned WHERE device = 'dev_1' AND "view" IS NOT NULL WINDOW g AS (PARTITION BY location))""" + TRANSFORM + ENVELOPE_PART + ENV_DFT_PART, f"""
+SELECT device, location, 'raw' AS panel, ts AS datetime, NULL::BIGINT AS bin, NULL::DOUBLE AS x, {r("x", "y", 4)} FROM series
+UNION ALL SELECT device, location, 'envelope', ts, NULL, NULL, {r("v", "y", 4)} FROM env
+UNION ALL SELECT device, location, 'spectrum', NULL, k, {r("k / (n * 900.0) * 1000000", "x", 4)}, {r("sqrt(re * re + im * im)", "y", 4)} FROM dft WHERE k < n // 2
+UNION ALL SELECT device, location, 'envelope_spectrum', NULL, k, {r("k / (n * 900.0) * 1000000", "x", 4)}, {r("sqrt(re * re + im * im)", "y", 4)} FROM env_dft""")
 ORACLES["overlay_series"] = q(WIDE, f"""
 SELECT device, location, datetime, 'click' AS series, {r("click", "value")} FROM wide
 UNION ALL SELECT device, location, datetime, 'view', {r(VIEW, "value")} FROM wide""")
@@ -439,3 +445,66 @@ grouped AS (
 SELECT device, location, n AS data_count, {r("mean", "data_mean")}, {r("std", "data_std")}, {r("lo", "data_min")}, {r("hi", "data_max")},
        {r("level")}, bucket_start, bucket_end
 FROM grouped""")
+
+# -- the same results by the ways that large inputs take ----------------------
+
+for small, large in (("box_stats", "box_stats_ranked"), ("profile", "profile_ranked"), ("asof_forward", "asof_shuffled"),
+                     ("bucket_assign", "bucket_assign_shuffled"), ("spectrum", "spectrum_spread"), ("signal_panels", "signal_panels_spread")):
+    ORACLES[large] = ORACLES[small]
+ORACLES["regression_table"] = q(BUCKETS + ", " + LOCATED + TIME_METRICS + BANDS, f"""
+SELECT recorded AS "timestamp", epoch(recorded)::BIGINT AS datetime_ts, {r("velocity_rms", "velocity_rms", 4)}, {r("rms_1_10khz", "rms_1_10khz", 4)},
+       {r("rms_10_25khz", "rms_10_25khz", 4)}, view_count, {r("view_mean", "view_mean", 4)}, {r("error_rating", "error_rating", 4)},
+       (location = 'loc_0')::INTEGER AS loc_loc_0, (location = 'loc_1')::INTEGER AS loc_loc_1, (location = 'loc_2')::INTEGER AS loc_loc_2,
+       (wave_code = 'AH')::INTEGER AS wave_AH, (wave_code = 'VV')::INTEGER AS wave_VV
+FROM {WAVE_JOINS} JOIN summary s USING (device, location)
+WHERE recorded BETWEEN bucket_start AND bucket_end AND rms_1_10khz IS NOT NULL AND rms_10_25khz IS NOT NULL AND view_mean IS NOT NULL
+  AND error_rating IS NOT NULL AND velocity_rms IS NOT NULL""")
+
+# -- models with a closed form ------------------------------------------------
+
+
+def _ridge_scores(target: str, models: str) -> str:
+    """Fold scores of ridge on l_quantity for each (model, alpha); a null alpha is the mean alone."""
+    return FOLDS + f""", models AS ({models}),
+tr AS (SELECT i, l_quantity AS x, {target} AS y FROM folded, (SELECT unnest(range(3))::INTEGER AS i) WHERE test_fold IS NULL OR test_fold < i),
+st AS (SELECT i, avg(x) AS mx, stddev_pop(x) AS sx, avg(y) AS my, covar_pop(x, y) AS cxy, count(*) AS n FROM tr GROUP BY i),
+w AS (SELECT i, model, mx, my, CASE WHEN alpha IS NULL THEN 0 ELSE n * cxy / sx / (n + alpha) / sx END AS b FROM st, models),
+p AS (SELECT model, i AS fold, {target} AS y, my + b * (l_quantity - mx) AS p FROM folded JOIN w ON test_fold = i),
+by_fold AS (
+  SELECT model, fold, avg((y - p) * (y - p)) AS mse, avg(abs(y - p)) AS mae, 1 - avg((y - p) * (y - p)) / var_pop(y) AS r2,
+         1 - var_pop(y - p) / var_pop(y) AS ev FROM p GROUP BY model, fold),
+mean_scores AS (
+  SELECT model, avg(mse) AS mse, avg(sqrt(mse)) AS rmse, avg(mae) AS mae, avg(r2) AS r2, avg(ev) AS ev FROM by_fold GROUP BY model)"""
+
+
+def _whole(*, means: bool) -> str:
+    rmse = 'round(rmse)::BIGINT AS "RMSE", ' if means else ""
+    return (f'round(mse)::BIGINT AS "MSE", {rmse}round(mae)::BIGINT AS "MAE", round(r2 + 1e-9, 6) + 0.0 AS "R2", '
+            'round(ev + 1e-9, 6) + 0.0 AS "Explained Variance"')
+
+
+_DRAWS = draw_params("Ridge")
+ORACLES["random_search"] = q(_ridge_scores("l_extendedprice", " UNION ALL ".join(
+    f"SELECT '{i:02d}' AS model, {p['alpha']!r}::DOUBLE AS alpha" for i, p in enumerate(_DRAWS))), f"""
+SELECT 'l_extendedprice' AS target, model, {_whole(means=True)},
+       round((SELECT arg_max(alpha, r2) FROM mean_scores JOIN models USING (model)), 6) AS best_alpha FROM mean_scores""")
+ORACLES["save_best"] = q(_ridge_scores("l_extendedprice", "SELECT 'Baseline' AS model, NULL::DOUBLE AS alpha UNION ALL SELECT 'Ridge', 1.0"), f"""
+SELECT * FROM (SELECT 'l_extendedprice' AS target, model, {_whole(means=True)}, 'dev_0' AS device, (SELECT count(*) FROM folded) AS n_predictions
+  FROM mean_scores QUALIFY row_number() OVER (ORDER BY r2 DESC, model) = 1)
+UNION ALL SELECT 'steady', 'Baseline', 0, 0, 0, 1.0, 1.0, 'dev_0', count(*) FROM folded""")
+ORACLES["poly_ridge"] = q(FOLDS + """,
+tr AS (SELECT i, l_quantity AS x, l_extendedprice AS y FROM folded, (SELECT unnest(range(3))::INTEGER AS i) WHERE test_fold IS NULL OR test_fold < i),
+st AS (SELECT i, avg(x) AS mx, stddev_pop(x) AS sx FROM tr GROUP BY i),
+z AS (SELECT i, (x - mx) / sx AS a, pow((x - mx) / sx, 2) AS b, y FROM tr JOIN st USING (i)),
+c AS (SELECT i, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, count(*) * var_pop(a) + 1 AS saa, count(*) * var_pop(b) + 1 AS sbb,
+             count(*) * covar_pop(a, b) AS sab, count(*) * covar_pop(a, y) AS say, count(*) * covar_pop(b, y) AS sby FROM z GROUP BY i),
+w AS (SELECT *, (sbb * say - sab * sby) / (saa * sbb - sab * sab) AS wa, (saa * sby - sab * say) / (saa * sbb - sab * sab) AS wb FROM c JOIN st USING (i)),
+p AS (SELECT i AS fold, l_extendedprice AS y, my + wa * ((l_quantity - mx) / sx - ma) + wb * (pow((l_quantity - mx) / sx, 2) - mb) AS p
+      FROM folded JOIN w ON test_fold = i),
+by_fold AS (
+  SELECT fold, avg((y - p) * (y - p)) AS mse, avg(abs(y - p)) AS mae, 1 - avg((y - p) * (y - p)) / var_pop(y) AS r2,
+         1 - var_pop(y - p) / var_pop(y) AS ev FROM p GROUP BY fold)""", f"""
+SELECT 'l_extendedprice' AS target, 'PolyRidgeDegree2' AS model, fold, {_whole(means=False)} FROM by_fold""")
+ORACLES["model_facts"] = q(FOLDS, """
+SELECT DISTINCT 'made' AS target, model, test_fold AS fold, true AS explains, true AS errs
+FROM folded, (SELECT unnest(['RandomForest', 'GradientBoosting', 'KernelRidge', 'RuleTree']) AS model) WHERE test_fold IS NOT NULL""")
