@@ -10,6 +10,7 @@ sys.path.insert(0, ROOT)
 
 import tremora  # noqa: E402
 import workload  # noqa: E402
+from tremora.session import drop_scratch  # noqa: E402
 
 cloudpickle.register_pickle_by_value(tremora)
 cloudpickle.register_pickle_by_value(workload)
@@ -27,4 +28,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()

@@ -112,6 +112,18 @@ def test_read_stage_csv(spark, tmp_path):
     assert rows(df, "timestamp") == [(at(0), "a", 1.5), (at(5), "b", None)]
 
 
+def test_scratch_has_an_owner_and_an_end(spark, tmp_path):
+    from tremora import session
+
+    kept = session.materialise(spark.range(3), "kept")
+    assert kept.count() == 3 and spark.sparkContext.applicationId in kept.inputFiles()[0]
+    folder = kept.inputFiles()[0].removeprefix("file:").split("/kept-")[0].replace("///", "/")
+    assert os.path.isdir(folder)
+    session.drop_scratch(spark)
+    assert not os.path.isdir(folder)
+    assert session.materialise(spark.range(2), "again").count() == 2
+
+
 def test_scratch_root_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert scratch_root(spark) == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")

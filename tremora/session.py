@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -28,9 +29,38 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _own(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tremora-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the scratch folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path in this application's part of the scratch folder.
+
+    The part goes when the driver's Python ends with the session still running, or by
+    ``drop_scratch``.
+    """
+    if _own(spark) not in _owned:
+        _owned.add(_own(spark))
+        atexit.register(_at_exit, spark)
+    return f"{_own(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_owned: set[str] = set()
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that still read them are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _owned.discard(_own(spark))
+
+
+def _at_exit(spark: SparkSession) -> None:
+    try:
+        if not spark.sparkContext._jsc.sc().isStopped():
+            drop_scratch(spark)
+    except Exception:  # the JVM is gone already; nothing can be deleted through it
+        pass
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
