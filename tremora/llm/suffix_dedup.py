@@ -1,19 +1,21 @@
 """Removal of repeated byte strings with suffix arrays over shards.
 
 A string of LENGTH bytes is dealt to a shard by its content, so that equal strings meet
-whatever documents they stand in. Its place of dealing is an anchor: the first of the
-smallest hashes among its GRAM-byte substrings. Neighbouring strings mostly have the
-same anchor; such a run and the bytes it covers make a piece.
-
-1. Anchors are compared by hash; strings around an anchor that occurs once cannot repeat.
-2. The pieces of the others are cut out of the texts. A piece that repeats within a batch
-   is settled there, so a passage that very many documents share leaves each batch once.
-3. Pieces are dealt by anchor. A shard joins the pieces of whole anchors to one string,
-   sorts its suffixes by induced sorting and computes their permuted common prefixes.
-   Neighbours in the suffix array with a common prefix of LENGTH or more are equal
-   strings; all but the first in the corpus are marked.
-4. An anchor with very many pieces (over ``crowd`` bytes) is dealt again, string by string, by a hash
-   of the whole string, so no shard grows with the commonest passage.
+whatever documents they stand in. Its place of dealing is an anchor: the smallest hash
+among its GRAM-byte substrings. Neighbouring strings mostly have the same anchor; such a
+run and the bytes it covers make a piece.
+
+1. Anchors are compared by hash, and pieces of one anchor by a digest of their bytes.
+   Strings around an anchor that occurs once cannot repeat, and of equal pieces all but
+   the first are repeats throughout. First this is done within each batch of texts, so a
+   passage that very many documents share leaves a batch once.
+2. What is left are anchors with different pieces. These are cut out of the texts and
+   dealt by anchor. A shard joins the pieces of whole anchors to one string, sorts its
+   suffixes by induced sorting and computes their permuted common prefixes. Neighbours
+   in the suffix array with a common prefix of LENGTH or more are equal strings; all but
+   the first in the corpus are marked.
+3. An anchor with very many pieces (over ``crowd`` bytes) is dealt string by string, by a
+   hash of the whole string, so no shard grows with the commonest passage.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tremora.llm.common import id_text, materialise, utf8_texts
 from tremora.llm.suffix import common_prefixes, suffix_array
+from tremora.session import broadcast_if_small
 
 LENGTH = 100
 GRAM = 24
@@ -61,14 +64,19 @@ def _sliding(h: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.ndarray
     return pick(back[:n], fore[width - 1 : width - 1 + n])
 
 
-def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of strings with the same anchor: first start, number of starts, anchor hash, loop.
+_SYMBOL = np.random.default_rng(5).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_POWERS = np.cumprod(np.full(_BLOCK + LENGTH, _MULT), dtype=np.uint64)
+_INVERSE = np.cumprod(np.full(_BLOCK + LENGTH, np.uint64(pow(int(_MULT), -1, 1 << 64))), dtype=np.uint64)
+
+
+def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
+    """Runs of strings with the same anchor: first start, number of starts, anchor hash, digest of the piece, loop.
 
     A run ends where the smallest hash changes, so it depends on content alone. ``loop``
     tells that the smallest hash stands at several places of the run (as in periodic
     text); only then can strings of one run be equal.
     """
-    starts, many, hashes, loops = [], [], [], []
+    found = []
     width = length - gram + 1
     for at in range(0, len(text) - length + 1, _BLOCK):
         part = text[at : at + _BLOCK + length - 1]
@@ -76,126 +84,177 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
         h = _gram_hashes(part, len(part) - gram + 1, gram)
         least = _sliding(h, width, np.minimum, np.iinfo(np.uint64).max)
         first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        many = np.diff(np.append(first, n))
         # the places that are smallest in some string, in order; those of a run stand together
         wide = np.zeros(n + 2 * (width - 1), np.uint64)
         wide[width - 1 : width - 1 + n] = least
         chosen = h[h == _sliding(wide, width, np.maximum, 0)]
         run = np.cumsum(np.concatenate([[True], chosen[1:] != chosen[:-1]])) - 1
-        starts.append(first + at)
-        many.append(np.diff(np.append(first, n)))
-        hashes.append(least[first])
-        loops.append(np.bincount(run, minlength=len(first)) > 1)
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    return np.concatenate(starts), np.concatenate(many), np.concatenate(hashes).view(np.int64), np.concatenate(loops)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_SYMBOL[np.frombuffer(part, np.uint8)] * _POWERS[: len(part)], out=sums[1:])
+        digest = (sums[first + many + (length - 1)] - sums[first]) * _INVERSE[first]
+        digest ^= (digest >> np.uint64(32)) * _MULT + many.astype(np.uint64)
+        found.append((first + at, many, least[first].view(np.int64), digest.view(np.int64), np.bincount(run, minlength=len(first)) > 1))
+    if not found:
+        return (*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, bool))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 # anchors that repeat ---------------------------------------------------------------------------------
+#
+# A place packs a run: start, number of starts and whether it loops. doc orders the documents, row names them.
+
+_ANCHOR = pa.schema([(c, pa.int64()) for c in ("hash", "digest", "doc", "row", "place")] + [("kind", pa.int8())])
+_ANCHOR_DDL = "hash long, digest long, doc long, row long, place long, kind byte"
+_ASK, _KNOWN, _EQUAL = 0, 1, 2  # to be compared; known to have a different piece of its anchor elsewhere; a repeat throughout
+_STAND_IN = -1  # row of an entry that only says that its anchor has different pieces
+
+
+def _pack(start: np.ndarray, n: np.ndarray, loop: np.ndarray) -> np.ndarray:
+    return (start << 23) | (n << 1) | loop
+
+
+def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return place >> 23, (place >> 1) & ((1 << 22) - 1), (place & 1).astype(bool)
 
-_ANCHOR = pa.schema([("hash", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("loop", pa.bool_()), ("known", pa.bool_())])
-_ANCHOR_DDL = "hash long, row long, start long, n int, loop boolean, known boolean"
+
+def _later(code: np.ndarray, digest: np.ndarray, doc: np.ndarray, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Which entries have an equal piece with an earlier (doc, row, start) among these."""
+    both = code ^ (digest * np.int64(-7046029254386353131))
+    _, which, times = np.unique(both, return_inverse=True, return_counts=True)
+    some = np.flatnonzero(times[which] > 1)
+    some = some[np.lexsort((place[some], row[some], doc[some], digest[some], code[some]))]
+    out = np.zeros(len(code), bool)
+    a, b = some[1:], some[:-1]
+    out[a] = (code[a] == code[b]) & (digest[a] == digest[b])
+    return out
+
+
+def _batch(columns: Iterable[np.ndarray], kind: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(kind, pa.int8())], schema=_ANCHOR)
 
 
 def _anchor_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors of the texts. One that repeats within the batch or loops is known to repeat, and
-    a single further row (row -1) stands for all of it elsewhere."""
+    """Anchors of the texts. Equal pieces of a batch are settled here. Where an anchor has different
+    pieces in the batch, or loops, this is known of all of them, and one stand-in tells it elsewhere."""
     for b in batches:
         found = [anchors(t) for t in utf8_texts(b)]
-        rows = np.repeat(b.column("row").to_numpy(zero_copy_only=False), [len(f[0]) for f in found])
-        if not len(rows):
+        many = [len(f[0]) for f in found]
+        if not sum(many):
             continue
-        start, n, code, loop = (np.concatenate(x) for x in zip(*found))
-        _, first, which, times = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        repeats = (times > 1) | (np.bincount(which, weights=loop) > 0)
-        known = repeats[which]
-        stand = first[repeats]
-        extra = np.zeros(len(stand), np.int64)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([code, code[stand]])), pa.array(np.concatenate([rows, extra - 1])),
-            pa.array(np.concatenate([start, extra])), pa.array(np.concatenate([n, extra]).astype(np.int32)),
-            pa.array(np.concatenate([loop, extra > 0])), pa.array(np.concatenate([known, extra > 0]))], schema=_ANCHOR)
-
-
-_FLAGGED = pa.schema([("hash", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n", pa.int32()), ("loop", pa.bool_())])
-_FLAGGED_DDL = "hash long, row long, start long, n int, loop boolean"
-
-
-def _repeated_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of batches sorted by hash, the rows known to repeat and those whose hash has another row."""
-    held: pa.RecordBatch | None = None  # the last row, which may repeat in the next batch
-    repeats = False
-    for b in batches:
-        if not b.num_rows:
+        start, n, code, digest, loop = (np.concatenate(x) for x in zip(*found))
+        doc, row = (np.repeat(b.column(c).to_numpy(zero_copy_only=False), many) for c in ("doc", "row"))
+        place = _pack(start, n, loop)
+        kind = np.where(_later(code, digest, doc, row, place), _EQUAL, _ASK).astype(np.int8)
+        own = kind == _ASK
+        _, first, which, times = np.unique(code[own], return_index=True, return_inverse=True, return_counts=True)
+        known = (times > 1) | (np.bincount(which, weights=loop[own], minlength=len(times)) > 0)
+        kind[own] = np.where(known[which], _KNOWN, _ASK)
+        yield _batch((code, digest, doc, row, place), kind)
+        stand = code[own][first[known]]
+        if len(stand):
+            zero = np.zeros(len(stand), np.int64)
+            yield _batch((stand, zero, zero, zero + _STAND_IN, zero), zero.astype(np.int8))
+
+
+def _compare_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of batches sorted by kind and hash, the runs whose anchor has different pieces (known) and those
+    that repeat throughout (equal). Of an anchor, each batch of texts has sent one entry at most."""
+    held: list[pa.RecordBatch] = []  # entries of the last anchor, which may go on
+    batches = iter(batches)
+    last = False
+    while not last:
+        b = next(batches, None)
+        last = b is None
+        if not last:
+            settled = pa.compute.not_equal(b.column("kind"), _ASK)
+            done = b.filter(settled)
+            if done.num_rows:
+                yield done
+            b = b.filter(pa.compute.invert(settled))
+            if not b.num_rows:
+                continue
+            held.append(b)
+        if not held:
+            break
+        t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        code = t.column("hash").to_numpy(zero_copy_only=False)
+        cut = len(code) if last else int(np.searchsorted(code, code[-1]))
+        held = [t.slice(cut)] if cut < len(code) else []
+        if not cut:
             continue
-        both = pa.Table.from_batches([held, b] if held is not None else [b]).combine_chunks().to_batches()[0]
-        code = both.column("hash").to_numpy(zero_copy_only=False)
-        known = both.column("known").to_numpy(zero_copy_only=False)
-        same = code[1:] == code[:-1]
-        # a known row is dealt anywhere and says nothing about its neighbours
-        same &= ~known[1:] & ~known[:-1]
-        keep = known.copy()
-        keep[1:] |= same
-        keep[:-1] |= same
-        if held is not None and repeats:
-            keep[0] = True
-        row = both.column("row").to_numpy(zero_copy_only=False)
-        out = keep & (row >= 0)
-        out[-1] = False
-        yield pa.RecordBatch.from_arrays([both.column(c) for c in _FLAGGED.names], schema=_FLAGGED).filter(pa.array(out))
-        held, repeats = both.slice(both.num_rows - 1), bool(keep[-1])
-    if held is not None and repeats and held.column("row")[0].as_py() >= 0:
-        yield pa.RecordBatch.from_arrays([held.column(c) for c in _FLAGGED.names], schema=_FLAGGED)
-
-
-def repeated_anchors(rows: DataFrame, parts: int) -> DataFrame:
-    """hash, row, start, n, loop of every anchor that occurs more than once or loops."""
+        # an anchor with a single entry is done with
+        single = np.ones(cut, bool)
+        single[1:] &= code[1:cut] != code[: cut - 1]
+        single[:-1] &= code[1:cut] != code[: cut - 1]
+        t = t.slice(0, cut).filter(pa.array(~single))
+        if not t.num_rows:
+            continue
+        code, digest, doc, row, place = (t.column(c).to_numpy(zero_copy_only=False) for c in _ANCHOR.names[:5])
+        real = row != _STAND_IN
+        later = np.zeros(len(code), bool)
+        later[real] = _later(*(c[real] for c in (code, digest, doc, row, place)))
+        group = np.cumsum(np.concatenate([[True], code[1:] != code[:-1]])) - 1
+        different = np.bincount(group, weights=~later) > 1  # pieces, or a stand-in
+        keep = real & (later | different[group])
+        kind = np.where(later, _EQUAL, _KNOWN).astype(np.int8)[keep]
+        yield _batch((c[keep] for c in (code, digest, doc, row, place)), kind)
+
+
+def compared_anchors(rows: DataFrame, parts: int) -> DataFrame:
+    """Runs that repeat throughout (kind _EQUAL) and those to be compared string by string (kind _KNOWN)."""
     found = rows.mapInArrow(_anchor_batches, _ANCHOR_DDL)
-    deal = F.when(F.col("known"), F.xxhash64("row", "start")).otherwise(F.col("hash"))
-    # known rows sort apart, so that the others of a hash stand together
-    ordered = found.repartition(parts, deal).sortWithinPartitions("known", "hash")
-    return ordered.mapInArrow(_repeated_batches, _FLAGGED_DDL)
+    deal = F.when(F.col("kind") == _ASK, F.col("hash")).otherwise(F.xxhash64("row", "place"))
+    ordered = found.repartition(parts, deal).sortWithinPartitions("kind", "hash")
+    return ordered.mapInArrow(_compare_batches, _ANCHOR_DDL)
 
 
 # pieces -----------------------------------------------------------------------------------------------
 
-_PIECE = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n", pa.int32()),
-                    ("loop", pa.bool_()), ("piece", pa.binary())])
-_PIECE_DDL = "key long, doc long, row long, start long, n int, loop boolean, piece binary"
+_PIECE = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("piece", pa.binary())])
+_PIECE_DDL = "key long, doc long, row long, place long, piece binary"
 
 
 def _piece_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of the flagged runs; of equal ones in a batch only the first, and the others,
-    which are repeats throughout, without their bytes."""
+    """Pieces of the runs, or of a crowded anchor its strings; of equal strings in a batch all but the
+    first leave without their bytes, as they are repeats."""
     for b in batches:
-        found: dict[tuple[int, bytes, bool], list[tuple[int, int, int]]] = {}
-        docs = b.column("doc").to_pylist()
-        for doc, row, text, runs in zip(docs, b.column("row").to_pylist(), utf8_texts(b), b.column("runs").to_pylist()):
-            for r in runs:
-                start, n = r["start"], r["n"]
-                if not r["crowded"]:
-                    found.setdefault((r["hash"], text[start : start + n + LENGTH - 1], r["loop"]), []).append((doc, row, start))
-                    continue
+        keys, doc, row, place, piece = [], [], [], [], []
+        strings: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        for d, r, text, runs in zip(b.column("doc").to_pylist(), b.column("row").to_pylist(), utf8_texts(b), b.column("runs").to_pylist()):
+            for run in runs:
+                start, n = run["place"] >> 23, (run["place"] >> 1) & ((1 << 22) - 1)
                 part = text[start : start + n + LENGTH - 1]
-                own = (_gram_hashes(part, n, LENGTH) ^ np.uint64(r["hash"] & (1 << 64) - 1)).view(np.int64).tolist()
+                if not run["crowded"]:
+                    keys.append(run["hash"])
+                    doc.append(d)
+                    row.append(r)
+                    place.append(run["place"])
+                    piece.append(part)
+                    continue
+                own = (_gram_hashes(part, n, LENGTH) ^ np.uint64(run["hash"] & (1 << 64) - 1)).view(np.int64).tolist()
                 for i, key in enumerate(own):
-                    found.setdefault((key, part[i : i + LENGTH], False), []).append((doc, row, start + i))
-        keys, doc, row, start, n, loops, piece = [], [], [], [], [], [], []
-        for (key, part, loop), places in found.items():
-            if len(places) > 1:
-                places.sort()
-                places = [places[0]] + [p for p, q in zip(places[1:], places) if p != q]  # a row given twice is one
-            for k, (d, r, s) in enumerate(places):
-                keys.append(key if k == 0 else r * 1_000_003 + s)  # settled rows are dealt anywhere
-                doc.append(d)
-                row.append(r)
-                start.append(s)
-                n.append(len(part) - LENGTH + 1)
-                loops.append(loop)
-                piece.append(part if k == 0 else None)
-        wrap = lambda v: (v + (1 << 63)) % (1 << 64) - (1 << 63)
-        yield pa.RecordBatch.from_arrays([
-            pa.array([wrap(k) for k in keys], pa.int64()), pa.array(doc, pa.int64()), pa.array(row, pa.int64()),
-            pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(loops, pa.bool_()), pa.array(piece, pa.binary())], schema=_PIECE)
+                    strings.setdefault((key, part[i : i + LENGTH]), []).append((d, r, start + i))
+        settled: list[tuple[int, int]] = []
+        for (key, part), places in strings.items():
+            places.sort()
+            d, r, s = places[0]
+            keys.append(key)
+            doc.append(d)
+            row.append(r)
+            place.append((s << 23) | 2)
+            piece.append(part)
+            settled += [(r, s) for _, r, s in places[1:]]
+        yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (keys, doc, row, place)), pa.array(piece, pa.binary())], schema=_PIECE)
+        if settled:  # as runs, dealt anywhere
+            r, lo, hi = _runs(*np.array(settled, np.int64).T)
+            parts = -(-(hi - lo) // _BLOCK)
+            r, hi, first = (np.repeat(x, parts) for x in (r, hi, lo))
+            lo = first + _BLOCK * (np.arange(len(r)) - np.repeat(np.cumsum(parts) - parts, parts))
+            n = np.minimum(hi - lo, _BLOCK)
+            at = _pack(lo, n, np.zeros(len(r), np.int64))
+            nothing = pa.nulls(len(r), pa.binary())
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (at * 31 + r, np.zeros(len(r), np.int64), r, at)), nothing], schema=_PIECE)
 
 
 # shards -----------------------------------------------------------------------------------------------
@@ -257,12 +316,23 @@ def _shard_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def marks(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (row, lo, hi)], schema=_MARK)
 
-    def sort(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def sort(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(parts)
-        doc = t.column("doc").fill_null(_NO_ID).to_numpy()
-        return marks(*_runs(*repeated_starts(
-            t.column("piece").to_pylist(), doc, t.column("row").to_numpy(), t.column("start").to_numpy(),
-            t.column("n").to_numpy().astype(np.int64))))
+        key, doc, row, place = (t.column(c).to_numpy() for c in ("key", "doc", "row", "place"))
+        start, n, loop = _unpack(place)
+        piece = t.column("piece").to_pylist()
+        # equal pieces of a key: the first one counts, the others are repeats throughout
+        order = np.lexsort((start, row, doc))
+        seen: dict[tuple[int, bytes], int] = {}
+        first = np.array([seen.setdefault((k, piece[i]), i) for i, k in zip(order.tolist(), key[order].tolist())], np.int64)
+        again = order[first != order]
+        if len(again):
+            yield marks(row[again], start[again], start[again] + n[again])
+        own = order[first == order]
+        _, which, times = np.unique(key[own], return_inverse=True, return_counts=True)
+        own = own[(times[which] > 1) | loop[own]]  # strings of one piece differ unless it loops
+        if len(own):
+            yield marks(*_runs(*repeated_starts([piece[i] for i in own.tolist()], doc[own], row[own], start[own], n[own])))
 
     held: list[pa.RecordBatch] = []  # rows of the last key so far
     shard: list[pa.RecordBatch] = []
@@ -276,8 +346,8 @@ def _shard_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             settled = b.column("piece").is_null()
             done = b.filter(settled)
             if done.num_rows:
-                row, lo, n = (done.column(c).to_numpy(zero_copy_only=False) for c in ("row", "start", "n"))
-                yield marks(row, lo, lo + n)
+                lo, n, _ = _unpack(done.column("place").to_numpy(zero_copy_only=False))
+                yield marks(done.column("row").to_numpy(zero_copy_only=False), lo, lo + n)
             b = b.filter(pa.compute.invert(settled))
             if not b.num_rows:
                 continue
@@ -291,8 +361,8 @@ def _shard_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         held = [own.slice(cut)] if cut < own.num_rows else []
         if cut:
             new = new[:cut]
-            # a lone piece has no repeat unless it loops
-            single = new & np.append(new[1:], True) & ~own.column("loop").to_numpy(zero_copy_only=False)[:cut]
+            _, _, loop = _unpack(own.column("place").to_numpy(zero_copy_only=False)[:cut])
+            single = new & np.append(new[1:], True) & ~loop
             many = own.slice(0, cut).filter(pa.array(~single))
             if many.num_rows:
                 bytes_of = pa.compute.binary_length(many.column("piece")).to_numpy(zero_copy_only=False)
@@ -303,27 +373,31 @@ def _shard_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     grown = size + int(total[stop - 1] - (total[at - 1] if at else 0))
                     if grown >= SHARD:
                         shard.append(many.slice(at, stop - at))
-                        yield sort(shard)
+                        yield from sort(shard)
                         shard, size, at = [], 0, stop
                 if at < many.num_rows:
                     shard.append(many.slice(at))
                     size += int(total[-1] - (total[at - 1] if at else 0))
     if shard:
-        yield sort(shard)
+        yield from sort(shard)
 
 
 def repeated_runs(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(row, lo, hi): runs [lo, hi) of starts of strings that also start earlier; may touch or repeat."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    flagged = materialise(repeated_anchors(docs.select("row", "text"), parts), "anchors")
-    size = F.sum(F.col("n") + (LENGTH - 1))
-    crowded = flagged.groupBy("hash").agg(size.alias("size")).where(F.col("size") > crowd).select("hash", F.lit(True).alias("crowded"))
-    runs = flagged.join(crowded, "hash", "left").groupBy("row").agg(
-        F.collect_list(F.struct("hash", "start", "n", "loop", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("runs"))
-    pieces = docs.join(runs, "row").select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "row", "text", "runs").mapInArrow(
-        _piece_batches, _PIECE_DDL)
-    return pieces.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_shard_batches, "row long, lo long, hi long")
+    found = materialise(compared_anchors(docs, parts), "anchors")
+    start, n = F.shiftright("place", 23), F.shiftright("place", 1).bitwiseAND(F.lit((1 << 22) - 1))
+    equal = found.where(F.col("kind") == _EQUAL).select("row", start.alias("lo"), (start + n).alias("hi"))
+    other = found.where(F.col("kind") == _KNOWN).select("hash", "row", "place")
+    size = F.sum(n + (LENGTH - 1))
+    crowded = other.groupBy("hash").agg(size.alias("size")).where(F.col("size") > crowd).select("hash", F.lit(True).alias("crowded"))
+    crowded = broadcast_if_small(crowded)  # few, as each has over a megabyte; by size checked all the same
+    runs = other.join(crowded, "hash", "left").groupBy("row").agg(
+        F.collect_list(F.struct("hash", "place", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("runs"))
+    pieces = docs.join(runs, "row").select("doc", "row", "text", "runs").mapInArrow(_piece_batches, _PIECE_DDL)
+    compared = pieces.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_shard_batches, "row long, lo long, hi long")
+    return equal.union(compared)
 
 
 # results ----------------------------------------------------------------------------------------------
@@ -373,11 +447,12 @@ def suffix_dedup(docs: DataFrame, crowd: int = CROWD, with_bytes: bool = False)
 
     ``docs`` must read the same rows in the same order each time, as stored tables do.
     """
-    rows = id_text(docs).withColumn("row", F.monotonically_increasing_id())
+    rows = id_text(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.monotonically_increasing_id().alias("row"), "text")
     runs = repeated_runs(rows, crowd).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
-    cut = rows.join(runs, "row").select("row", "text", "runs").mapInArrow(
+    # the same columns as for the pieces, so that the texts are exchanged once
+    cut = rows.join(runs, "row").select("doc", "row", "text", "runs").mapInArrow(
         _cut(with_bytes), "row long, n_removed long, n_spans long, sha string, kept binary")
-    whole = rows.select("row", "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"))
+    whole = rows.select("row", F.when(F.col("doc") != _NO_ID, F.col("doc")).alias("doc_id"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"))
     out = whole.join(cut, "row", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("sha", "own").alias("kept_sha256"), "kept")
