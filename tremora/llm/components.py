@@ -7,17 +7,28 @@ from pyspark.sql import DataFrame, functions as F
 from tremora.llm.common import materialise
 
 
+SALTS = 8  # parts of a node's links, so that a node with a third of all links is no single task
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Links (u, v) beside the least node m of their u."""
+    salted = edges.withColumn("_salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    copies = least.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies.hint("merge"), ["u", "_salt"])  # the copies are more than Spark's estimate says
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the node's smallest neighbour."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+    moved = _with_least(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.where("u > v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them. Needs u > v."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _with_least(edges, least).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).where("u > v").distinct()
 
 

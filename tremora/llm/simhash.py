@@ -32,6 +32,7 @@ SEED = 42
 DISTANCE = 4
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # (lowest bit, bits): 64 / 3, for at most one differing bit in one
 CROWD = 4096
+SALTS = 32  # parts of the documents with one fingerprint
 BLOCK = 1 << 16  # shingles hashed at a time
 _MASK = [((1 << n) - 1) << at for at, n in SEGMENTS]
 _BITS = [(s, b) for s, (at, n) in enumerate(SEGMENTS) for b in range(at, at + n)]
@@ -208,9 +209,8 @@ def simhash_components(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     by_fp = named.join(least, "root").select("fp", "component_id")
-    # copies share a fingerprint: a salted copy of the answers spreads a large group
-    salts = 32
-    salted = by_fp.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    many = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    return many.join(salted, ["fp", "salt"]).select(
+    # copies share a fingerprint, so the answers go to at most SALTS parts of each, and from there to the rows
+    many = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    parts = many.select("fp", "salt").distinct().join(by_fp, "fp")
+    return many.join(parts.hint("merge"), ["fp", "salt"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
