@@ -19,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tremora.llm.common import Shared, held_out, id_text, sample_rank, slices, utf8_texts
+from tremora.session import broadcast_if_small
 
 SIZES = (2, 3, 4)
 BITS = 18  # grams are hashed into 2**BITS columns
 PER_LANGUAGE = 300  # learning texts of a language, the bound of the sample
+MAX_LANGUAGES = 200
 LANDMARKS = 64  # of these, per language
 MAX_SAMPLE_CHARS = 4_000  # of a text in the sample only; predictions read whole texts
 RIDGE = 1e-2
@@ -109,13 +111,18 @@ def fit_krr(samples: Sequence[tuple[str, bytes]], landmarks: int = LANDMARKS, ri
 
 
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """At most ``per_language`` texts of each language of the learning folds, as if drawn at random."""
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").alias("label"),
-                        F.length(F.coalesce("text", F.lit(""))).alias("n"))
-    known = known.where(~held_out(4, 2)).where("label is not null and doc_id is not null and n > 0")
+    """At most ``per_language`` texts of each of the MAX_LANGUAGES commonest languages of the learning
+    folds, as if drawn at random; those without a letter teach nothing."""
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").alias("label"))
+    known = known.where(~held_out(4, 2)).where("label is not null and doc_id is not null")
+    # of a large language, about four times as many as wanted are ordered
+    counts = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES)
+    share = counts.select("label", (4 * (per_language + 25) / F.col("count")).alias("share"))
+    part = (F.pmod(sample_rank("doc_id"), F.lit(1 << 30)) / float(1 << 30)) <= F.col("share")
+    known = known.join(broadcast_if_small(share), "label").where(part)
     first = Window.partitionBy("label").orderBy(sample_rank("doc_id"), "doc_id")
     ids = known.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).select("doc_id", "label")
-    texts = id_text(docs).join(F.broadcast(ids), "doc_id")  # per_language ids of each language
+    texts = id_text(docs).join(F.broadcast(ids), "doc_id")  # at most per_language * MAX_LANGUAGES ids
     rows = texts.select("doc_id", "label", F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text")).toArrow().sort_by(
         [("label", "ascending"), ("doc_id", "ascending")])
     return [(r["label"], r["text"].encode()) for r in rows.to_pylist() if has_letter(r["text"])]

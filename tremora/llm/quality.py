@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tremora.llm.common import Shared, held_out, id_text, sample_rank, slices, utf8_texts
+from tremora.llm.common import Shared, draw, held_out, id_text, slices, utf8_texts
 
 PER_LABEL = 2_000  # learning documents of each label, the bound of the sample
 MAX_SAMPLE_CHARS = 12_000  # of a text in the sample only; scoring reads whole texts
@@ -199,8 +199,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LAB
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(5, 0)).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg((F.min("quality") == 1).alias("good"))
     share = known.agg(F.avg(F.col("good").cast("int"))).first()[0] or 0.0
-    draw = lambda good: known.where(F.col("good") == good).orderBy(sample_rank("doc_id"), "doc_id").limit(per_label)
-    ids = draw(True).union(draw(False))  # 2 * per_label ids
+    ids = draw(known.where("good"), per_label, "doc_id").union(draw(known.where("not good"), per_label, "doc_id"))
     rows = id_text(docs).join(F.broadcast(ids), "doc_id").select(
         "doc_id", "good", F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text")).toArrow().sort_by("doc_id").to_pylist()
     return [r["text"].encode() for r in rows], [r["good"] for r in rows], float(share)

@@ -15,7 +15,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tremora.llm.common import fold, materialise, sample_rank
+from tremora.llm.common import draw, fold, materialise
 
 MAX_FINDINGS = 10_000  # labelled findings of each label that the forest learns from
 WORD_SHARE = 20_000  # a dictionary word makes up at least one in so many words, so there are at most as many
@@ -132,8 +132,8 @@ def scan_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold:
                                  F.col("label").cast("double").alias("label"))
     labels = labels.groupBy("doc_id", "at").agg(F.min("label").alias("label"))
     known = featured.join(labels, ["doc_id", "at"]).where(fold("doc_id", 4) != 2).dropDuplicates(["value", "before", "after", "label"])
-    draw = lambda y: known.where(F.col("label") == y).orderBy(sample_rank("doc_id", "at"), "doc_id", "at").limit(max_findings)
-    learn = materialise(draw(1.0).union(draw(0.0)).repartition(1).sortWithinPartitions("doc_id", "at"), "findings")
+    drawn = draw(known.where("label = 1"), max_findings, "doc_id", "at").union(draw(known.where("label = 0"), max_findings, "doc_id", "at"))
+    learn = materialise(drawn.repartition(1).sortWithinPartitions("doc_id", "at"), "findings")  # two times max_findings
     out = featured.join(labels, ["doc_id", "at"], "left").withColumn("held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
     both = {r[0] for r in learn.select("label").distinct().collect()} == {0.0, 1.0}
     if both:

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tremora.llm.common import Shared, held_out, id_text, sample_rank, slices, utf8_texts
+from tremora.llm.common import Shared, draw, held_out, id_text, sample_rank, slices, utf8_texts
 
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are features beside the word
 MAX_POSITIVE = 3_000  # bounds of the sample the model is fitted on
@@ -191,7 +191,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_
     )
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     text = F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text")
-    ids = known.where("toxic").select("doc_id").distinct().orderBy(sample_rank("doc_id"), "doc_id").limit(max_positive)
+    ids = draw(known.where("toxic").select("doc_id").distinct(), max_positive, "doc_id")
     learning = id_text(docs).where(~held_out(4, 2)).where("text <> ''")
     positive = learning.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", text)  # at most max_positive ids
     total = learning.count()
