@@ -24,7 +24,7 @@ MAX_POSITIVE = 3_000  # bounds of the sample the model is fitted on
 MAX_UNLABELLED = 9_000
 MAX_SAMPLE_CHARS = 8_000  # of a text in the sample only; scoring reads whole texts
 MAX_FEATURES = 4_000
-SLACK = 1.0  # by which a feature's log-likelihood ratio may miss the logarithm of the number of features
+MARGIN = 1.0  # by which a feature's log-likelihood ratio must exceed the logarithm of the number of features
 CLIP = 3.0
 THRESHOLD = 0.3
 
@@ -138,7 +138,7 @@ def fit_nnpu(positive: list[bytes], unlabelled: list[bytes], prior: float, steps
     own, other = _unlike(positive), _unlike(unlabelled)
     n_p, n_u = len(own), len(other)
     known, in_p = _counts(own)
-    chance = np.log(max(2, len(known))) - SLACK  # what the best of so many features reaches by luck
+    chance = np.log(max(2, len(known))) + MARGIN  # what the best of so many features reaches by luck
     known, in_p = known[in_p >= 3], in_p[in_p >= 3]
     in_u = _counts(other, known)[1]
     # how frequent a feature is in clean texts: its rate in unlabelled ones less the toxic share of them
