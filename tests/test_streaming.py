@@ -107,3 +107,33 @@ def test_ingest_reads_each_file_once(spark, tmp_path):
     table = jobs.run_available(jobs.ingest(stream(spark, path)), "ingest", sink, state)
     assert rows(jobs.refresh_times(table).select("device", "n_rows", "last_reading")) == [("d", 100, max(r[2] for r in data))]
     assert table.select("ingest_time").distinct().count() == 2
+
+
+def test_files_in_reverse_time_order_lose_nothing(spark, tmp_path):
+    """Many small batches from the latest to the earliest, and one more run with a file older than all."""
+    data = readings(11)
+    size = len(data) // 6
+    parts = [data[i * size:(i + 1) * size if i < 5 else None] for i in range(6)][::-1]
+    batch = spark.createDataFrame(data, SCHEMA)
+    names = ["location", "bucket_start", "bucket_end", "v_count", "p"]
+    want = {
+        "buckets": rows(buckets.summarise_buckets(buckets.assign_buckets(batch, ["p"], 20).drop("bucket_start"), ["v"], ["p"]).select(*names)),
+        "resample": rows(timeseries.resample(batch, "15 minutes", ["v"]).selectExpr("location", "datetime", "round(v, 9)")),
+    }
+    identity = ["device", "location", "datetime", "v", "p"]
+    want["dedup"] = rows(batch.dropDuplicates(identity))
+    runs = {
+        "buckets": lambda s, **kw: jobs.buckets_available(s, ["v"], ["p"], 20, **kw).select(*names),
+        "resample": lambda s, **kw: jobs.resample_available(s, "15 minutes", ["v"], **kw).selectExpr(
+            "location", "cast(datetime as timestamp_ntz) datetime", "round(v, 9)"),
+        "dedup": lambda s, **kw: jobs.dedup_available(s, identity, **kw),
+    }
+    path = str(tmp_path / "in")
+    where = {k: {n: str(tmp_path / k / n) for n in ("sink", "checkpoint")} for k in runs}
+    for now in (parts[:-1], parts[-1:]):
+        for part in now:  # files are read by the time they were written
+            batches(spark, path, [part])
+        got = {k: rows(run(stream(spark, path, files_per_trigger=1), **where[k])) for k, run in runs.items()}
+    assert got == want
+    batches(spark, path, [parts[0]])
+    assert rows(runs["dedup"](stream(spark, path, files_per_trigger=1), **where["dedup"])) == want["dedup"]

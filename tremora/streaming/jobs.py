@@ -6,7 +6,7 @@ drives one over everything that has arrived.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -80,26 +80,73 @@ def dedup_stream(stream: DataFrame, identity: Sequence[str], ts: str = "datetime
 def resample_available(stream: DataFrame, rule: str, columns: Sequence[str], keys: Sequence[str] = ("location", "device"),
                        ts: str = "datetime", delay: str = "1 hour", sink: str | None = None,
                        checkpoint: str | None = None) -> DataFrame:
-    """Bin means of everything that has arrived, bins still open included.
+    """Bin means of everything that has arrived, in whatever order.
 
-    The sink holds the bins the watermark has passed. The others are read from the
-    query's state as they stand, so a bounded run is complete and a later one goes on.
+    Each batch leaves the sums and counts of its bins, which add up over batches and
+    runs, so no row is ever late here and ``delay`` drops nothing. The sink holds all bins
+    as they stand; a later run replaces them.
     """
     spark = stream.sparkSession
+    sink = sink or scratch_path(spark, "resample-sink")
     checkpoint = checkpoint or scratch_path(spark, "resample-state")
-    done = run_available(resample_stream(stream, rule, columns, keys, ts, delay), "resample", sink, checkpoint)
-    held = spark.read.format("statestore").load(checkpoint)
-    # an average keeps its sum and its count, in the order of the columns
-    named = held.select("key.*", "value.*").toDF(*keys, "_w", *[f"_{kind}_{c}" for c in columns for kind in ("sum", "n")])
-    return done.unionByName(named.select(
-        *keys, F.col("_w.start").alias(ts), *[F.try_divide(f"_sum_{c}", f"_n_{c}").alias(c) for c in columns]))
+    sums = [e for i, c in enumerate(columns) for e in (F.sum(F.col(c).cast("double")).alias(f"_s{i}"), F.count(c).alias(f"_n{i}"))]
+
+    def partial(batch: DataFrame) -> DataFrame:
+        binned = batch.withColumn(ts, F.col(ts).cast("timestamp")).groupBy(*keys, F.window(ts, rule).alias("_w"))
+        return binned.agg(*sums).select(*keys, F.col("_w.start").alias(ts), *[f"_{kind}{i}" for i in range(len(columns)) for kind in "sn"])
+
+    parts = _stage(stream, partial, checkpoint)
+    total = parts.groupBy(*keys, ts).agg(*[F.sum(f"_{kind}{i}").alias(f"_{kind}{i}") for i in range(len(columns)) for kind in "sn"])
+    means = total.select(*keys, ts, *[F.try_divide(f"_s{i}", f"_n{i}").alias(c) for i, c in enumerate(columns)])
+    means.write.mode("overwrite").parquet(sink)
+    return spark.read.schema(means.schema).parquet(sink)
+
+
+def dedup_available(stream: DataFrame, identity: Sequence[str], sink: str | None = None, checkpoint: str | None = None) -> DataFrame:
+    """One row of each identity of everything that has arrived, however late or often it comes.
+
+    The batches of a run are settled together, against the identities of earlier runs,
+    and appended to the sink's table, which is returned.
+    """
+    spark = stream.sparkSession
+    sink = sink or scratch_path(spark, "dedup-sink")
+    checkpoint = checkpoint or scratch_path(spark, "dedup-state")
+    _stage(stream, lambda batch: batch.dropDuplicates(list(identity)), checkpoint)
+    done = _complete(spark, sink)
+    fresh = [n for n in _complete(spark, f"{checkpoint}/parts") if n > max(done, default=-1)]
+    if fresh:
+        rows = spark.read.schema(stream.schema).parquet(*[f"{checkpoint}/parts/{n}" for n in fresh]).dropDuplicates(list(identity))
+        if done:
+            known = spark.read.schema(stream.schema).parquet(*[f"{sink}/{n}" for n in done]).select(*[F.col(c).alias(f"_{c}") for c in identity])
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in identity]
+            rows = rows.join(known, same, "left_anti")
+        rows.write.mode("overwrite").parquet(f"{sink}/{fresh[-1]}")
+    every = _complete(spark, sink)
+    return spark.read.schema(stream.schema).parquet(*[f"{sink}/{n}" for n in every]) if every else spark.createDataFrame([], stream.schema)
+
+
+def _stage(stream: DataFrame, change: Callable[[DataFrame], DataFrame], checkpoint: str) -> DataFrame:
+    """Write every batch that is there, changed, as a table under its number; all of them, earlier runs' included.
+
+    A batch that runs again replaces what it wrote.
+    """
+    spark = stream.sparkSession
+    query = (
+        stream.writeStream
+        .foreachBatch(lambda batch, number: change(batch).write.mode("overwrite").parquet(f"{checkpoint}/parts/{number}"))
+        .option("checkpointLocation", f"{checkpoint}/query").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    schema = change(spark.createDataFrame([], stream.schema)).schema
+    parts = [f"{checkpoint}/parts/{n}" for n in _complete(spark, f"{checkpoint}/parts")]
+    return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
 
 
 STATS = ("count", "mean", "std", "min", "max")
 
 
 class _Versions:
-    """Tables kept from batch to batch; a batch run again replaces what it wrote."""
+    """Tables kept from run to run; one that settles again replaces what it wrote."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
@@ -113,24 +160,23 @@ class _Versions:
 
     def drop(self, name: str, version: int) -> None:
         if version >= 0:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/{version}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(self.spark, f"{self.path}/{name}/{version}")
 
 
 def buckets_available(stream: DataFrame, measurements: Sequence[str], ratings: Sequence[str], minutes: int = 20,
                       keys: Sequence[str] = ("device", "location"), ts: str = "datetime", delay: str = "1 hour",
                       sink: str | None = None, checkpoint: str | None = None, finish: bool = True) -> DataFrame:
-    """Greedy rating buckets of everything that has arrived, with their summary.
-
-    Each batch joins the rows that still wait and goes through the batch operator, whose
-    work is split by key and time slice; no key's backlog is ever one row or one call.
-    Rows up to the mark (the latest time seen less ``delay``) are settled: buckets that end
-    before it are written, and the rows of each key's open bucket wait for the next
-    batch with those behind the mark. Its first row anchors it there as it does here.
-    Rows arriving behind the mark are dropped. With ``finish`` the buckets still open are
-    returned too, as they stand; a later run replaces them.
-
-    A batch writes under its own number, so one that runs again leaves no trace of the first.
+    """Greedy rating buckets of everything that has arrived, in whatever order, with their summary.
+
+    The rows of a run are staged batch by batch. Once its backlog is read, they join the
+    rows that still wait and go through the batch operator, whose work is split by key and
+    time slice; no key's backlog is ever one row or one call. Rows up to the mark (the
+    latest time seen less ``delay``) are settled: buckets that end before it are written,
+    and the rows of each key's open bucket wait for the next run with those behind the
+    mark. Its first row anchors it there as it does here. All rows stay staged: when
+    a later run brings a key rows from before the mark, that key is settled anew from all
+    its rows, and its buckets replace the earlier ones. With ``finish`` the buckets still
+    open are returned too, as they stand; a later run replaces them.
     """
     spark = stream.sparkSession
     sink = sink or scratch_path(spark, "buckets-sink")
@@ -153,14 +199,24 @@ def buckets_available(stream: DataFrame, measurements: Sequence[str], ratings: S
         waiting = judged.where(~over).select(*rows.columns).unionByName(rows.where(F.col(ts) > F.lit(mark)))
         return summarise_buckets(closed, measurements, ratings, (*keys, "bucket_id"), ts).select(*columns), waiting
 
-    def step(batch: DataFrame, number: int) -> None:
-        fresh = batch.where(have).withColumn(ts, F.col(ts).cast("timestamp_ntz"))
-        before = kept.read("mark", number - 1)
-        mark = before.first()[0] if before is not None else None
-        if mark is not None:
-            fresh = fresh.where(F.col(ts) > F.lit(mark))
-            fresh = kept.read("waiting", number - 1).unionByName(fresh)
-        rows = kept.write(fresh, "rows", number)
+    staged = _stage(stream, lambda batch: batch.where(have).withColumn(ts, F.col(ts).cast("timestamp_ntz")), checkpoint)
+    numbers = _complete(spark, f"{checkpoint}/parts")
+    settled = max(_complete(spark, f"{checkpoint}/kept/mark"), default=-1)
+    number = max(numbers, default=-1)
+    if number > settled:
+        for folder in (f"{sink}/closed", f"{sink}/anew"):  # what a run that broke off has left
+            for n in _numbers(spark, folder, "batch="):
+                if n > settled:
+                    _delete(spark, f"{folder}/batch={n}")
+        rows = spark.read.schema(staged.schema).parquet(*[f"{checkpoint}/parts/{n}" for n in numbers if n > settled])
+        mark = None
+        if settled >= 0:
+            mark = kept.read("mark", settled).first()[0]
+            rows.where(F.col(ts) <= F.lit(mark)).select(*keys).distinct().write.mode("overwrite").parquet(f"{sink}/anew/batch={number}")
+            anew = broadcast_if_small(spark.read.parquet(f"{sink}/anew/batch={number}"))
+            rows = kept.read("waiting", settled).unionByName(rows).join(anew, list(keys), "left_anti").select(*staged.columns)
+            rows = rows.unionByName(staged.join(anew, list(keys), "left_semi").select(*staged.columns))
+        rows = kept.write(rows, "rows", number)
         latest = rows.agg((F.max(ts) - late).cast("timestamp_ntz")).first()[0]
         mark = max(m for m in (mark, latest, datetime.min) if m is not None)
         closed, waiting = settle(rows, mark, "marked", number)
@@ -170,22 +226,17 @@ def buckets_available(stream: DataFrame, measurements: Sequence[str], ratings: S
         for name in ("rows", "marked"):
             kept.drop(name, number)
         for name in ("waiting", "mark"):
-            kept.drop(name, number - 2)  # the one before is needed if this batch runs again
-        last_batch.append(number)
-
-    last_batch: list[int] = []
-    query = (
-        stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{checkpoint}/query")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+            kept.drop(name, settled)
     out_schema = _bucket_schema(stream, keys, measurements, ratings)
-    done = spark.read.schema(out_schema).parquet(f"{sink}/closed").select(*columns) if _exists(spark, f"{sink}/closed") else spark.createDataFrame([], out_schema)
+    if number < 0:
+        return spark.createDataFrame([], out_schema)
+    done = spark.read.schema(T.StructType([*out_schema, T.StructField("batch", T.IntegerType())])).parquet(f"{sink}/closed")
+    if _exists(spark, f"{sink}/anew"):
+        since = broadcast_if_small(spark.read.parquet(f"{sink}/anew").groupBy(*keys).agg(F.max("batch").alias("_since")))
+        done = done.join(since, list(keys), "left").where("_since is null or batch >= _since")
+    done = done.select(*columns)
     if not finish:
         return done
-    number = last_batch[-1] if last_batch else _latest(spark, f"{checkpoint}/kept/waiting")
-    if number is None:
-        return done
     rest, _ = settle(kept.read("waiting", number), None, "open", number)
     rest.write.mode("overwrite").parquet(f"{sink}/open")
     return done.unionByName(spark.read.schema(out_schema).parquet(f"{sink}/open"))
@@ -210,6 +261,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(_folders(spark, path))
 
 
-def _latest(spark: SparkSession, path: str) -> int | None:
-    """Number of the last batch of earlier runs."""
-    return max((int(n) for n in _folders(spark, path) or [] if n.isdigit()), default=None)
+def _numbers(spark: SparkSession, path: str, prefix: str = "") -> list[int]:
+    names = [n.removeprefix(prefix) for n in _folders(spark, path) or [] if n.startswith(prefix)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def _complete(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the tables below ``path`` that were written to their end."""
+    return [n for n in _numbers(spark, path) if "_SUCCESS" in (_folders(spark, f"{path}/{n}") or [])]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -715,7 +715,7 @@ def stream_resample(spark, d):
 def stream_dedup(spark, d):
     stream = t.as_readings(_event_stream(spark, d)).select("id", "datetime", "device", "data")
     again = stream.unionByName(t.as_readings(_event_stream(spark, d)).select("id", "datetime", "device", "data"))
-    kept = jobs.run_available(jobs.dedup_stream(again, ["id"]), "dedup")
+    kept = jobs.dedup_available(again, ["id"])
     return kept.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
