@@ -69,3 +69,27 @@ def test_rows_below_keep_all_columns(spark):
     assert kept.columns == docs.columns
     scores = {r.doc_id: r.predicted for r in tx.toxicity(docs, labels).collect()}
     assert {r.doc_id for r in kept.collect()} == {d for d, p in scores.items() if not p}
+
+
+def test_words_late_in_long_texts_are_learnt(spark):
+    """The toxic words stand after 9 000 characters of every toxic text, and long clean texts have none."""
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(240):
+        toxic = i % 6 == 0
+        rows.append((i, words(rng, 2_400) + (" grotty skunkhead " if toxic else " ") + words(rng, 20)))
+        labels.append((i, 1, int(toxic)))
+    assert min(len(t) for _, t in rows) > 9_000
+    got = {r.doc_id: r for r in tx.toxicity(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert sum(OUT(d) and d % 6 == 0 for d in got) > 5
+    assert all(r.predicted for d, r in got.items() if d % 6 == 0)
+    assert sum(r.predicted for d, r in got.items() if d % 6) < 6  # words that meet by chance, of 200 texts
+
+
+def test_fit_in_tasks_equals_fit_at_hand(spark):
+    rows, labels, _ = case(spark)
+    sample, prior = tx.training_sample(frame(spark, rows), labels)
+    texts = [(r.toxic, r.text.encode()) for r in sample.collect()]
+    here = tx.fit_nnpu([t for k, t in texts if k], [t for k, t in texts if not k], prior)
+    there = tx.fit(frame(spark, rows), labels)
+    assert sorted(here.features.tolist()) == sorted(there.features.tolist())

@@ -17,12 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tremora.llm.common import Shared, draw, held_out, id_text, sample_rank, slices, utf8_texts
+from tremora.llm.common import Shared, draw, held_out, id_text, materialise, sample_rank, slices, utf8_texts
 
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are features beside the word
 MAX_POSITIVE = 3_000  # bounds of the sample the model is fitted on
 MAX_UNLABELLED = 9_000
-MAX_SAMPLE_CHARS = 8_000  # of a text in the sample only; scoring reads whole texts
 MAX_FEATURES = 4_000
 MARGIN = 1.0  # by which a feature's log-likelihood ratio must exceed the logarithm of the number of features
 CLIP = 3.0
@@ -110,53 +109,80 @@ def _counts(texts: Sequence[bytes], of: np.ndarray | None = None, part: int = 25
     return known, many
 
 
-def _unlike(texts: Sequence[bytes], bands: int = 4, rows: int = 4) -> list[bytes]:
-    """The texts without those that share a band of minimum hashes with an earlier one.
+BANDS, ROWS = 4, 4  # of the minimum hashes by which copies of a text are told
+
+
+def _least(text: bytes) -> list[bytes]:
+    """The bands of minimum hashes of a text's words."""
+    word = features([text])[1]
+    word = word[: max(1, len(word) // 2)]
+    least = [int(_mix(word ^ np.uint64(k * 0x632BE59BD9B4E019 & (1 << 64) - 1)).min()) if len(word) else 0 for k in range(1, BANDS * ROWS + 1)]
+    return [repr((b, least[b * ROWS : (b + 1) * ROWS])).encode() for b in range(BANDS)]
+
+
+def _unlike(bands: Iterable[Sequence[bytes]]) -> np.ndarray:
+    """Which texts share no band of minimum hashes with an earlier one.
 
     Copies of one text must not make its ordinary words look like evidence.
     """
     taken: set[bytes] = set()
     kept = []
-    for t in texts:
-        word = features([t])[1]
-        word = word[: max(1, len(word) // 2)]
-        least = [int(_mix(word ^ np.uint64(k * 0x632BE59BD9B4E019 & (1 << 64) - 1)).min()) if len(word) else 0 for k in range(1, bands * rows + 1)]
-        own = {repr((b, least[b * rows : (b + 1) * rows])).encode() for b in range(bands)}
-        if not own & taken:
-            kept.append(t)
-        taken |= own
-    return kept
+    for own in bands:
+        kept.append(not taken.intersection(own))
+        taken.update(own)
+    return np.array(kept, bool)
+
+
+def _evidence(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, prior: float) -> np.ndarray:
+    """Log-likelihood ratio of features found in so many of the toxic and of the unlabelled texts."""
+    # how frequent a feature is in clean texts: its rate in unlabelled ones less the toxic share of them
+    clean = np.maximum((in_u / n_u - prior * in_p / n_p) / (1 - prior), 1 / (n_u + 2))
+    expected = n_p * clean
+    return np.where(in_p > expected, in_p * np.log(in_p / expected) - (in_p - expected), 0)
+
+
+def _chance(n_features: int) -> float:
+    return float(np.log(max(2, n_features)) + MARGIN)  # what the best of so many features reaches by luck
+
+
+def _base(prior: float) -> Model:
+    return Model(np.zeros(0, np.uint64), np.zeros(0, np.float32), float(np.log(prior / (1 - prior))))
+
+
+def _clipped(prior: float) -> float:
+    return float(np.clip(prior, 1e-3, 0.5))
 
 
 def fit_nnpu(positive: list[bytes], unlabelled: list[bytes], prior: float, steps: int = 400, rate: float = 0.05,
              decay: float = 1e-4, seed: int = 7) -> Model:
-    """Fit on the driver from bounded samples. Without positives every score is about ``prior``."""
-    prior = float(np.clip(prior, 1e-3, 0.5))
-    base = Model(np.zeros(0, np.uint64), np.zeros(0, np.float32), float(np.log(prior / (1 - prior))))
+    """Fit on texts that are at hand. Without positives every score is about ``prior``."""
+    prior = _clipped(prior)
     if not positive or not unlabelled:
-        return base
-    own, other = _unlike(positive), _unlike(unlabelled)
-    n_p, n_u = len(own), len(other)
+        return _base(prior)
+    own, other = ([t for t, k in zip(ts, _unlike(map(_least, ts))) if k] for ts in (positive, unlabelled))
     known, in_p = _counts(own)
-    chance = np.log(max(2, len(known))) + MARGIN  # what the best of so many features reaches by luck
+    chance = _chance(len(known))
     known, in_p = known[in_p >= 3], in_p[in_p >= 3]
-    in_u = _counts(other, known)[1]
-    # how frequent a feature is in clean texts: its rate in unlabelled ones less the toxic share of them
-    clean = np.maximum((in_u / n_u - prior * in_p / n_p) / (1 - prior), 1 / (n_u + 2))
-    expected = n_p * clean
-    evidence = np.where(in_p > expected, in_p * np.log(in_p / expected) - (in_p - expected), 0)
+    evidence = _evidence(in_p, _counts(other, known)[1], len(own), len(other), prior)
     chosen = np.argsort(-evidence, kind="stable")[:MAX_FEATURES]
     chosen = np.sort(chosen[evidence[chosen] > chance])
     if not len(chosen):
-        return base
+        return _base(prior)
+    model = Model(known[chosen], np.zeros(len(chosen), np.float32), _base(prior).bias)
     n_p, n_u = len(positive), len(unlabelled)
-    model = Model(known[chosen], np.zeros(len(chosen), np.float32), base.bias)
     x = np.zeros((n_p + n_u, len(chosen)), np.float32)
     for at in range(0, n_p + n_u, 256):
         text, place = model.columns((positive[at : at + 256] + unlabelled[max(0, at - n_p) : max(0, at + 256 - n_p)])[:256])
         x[at + text, place] = 1
-    w, b = np.zeros(len(chosen), np.float32), base.bias
-    m, v = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
+    return _descend(model, x, n_p, prior, steps, rate, decay, seed)
+
+
+def _descend(model: Model, x: np.ndarray, n_p: int, prior: float, steps: int = 400, rate: float = 0.05,
+             decay: float = 1e-4, seed: int = 7) -> Model:
+    """Weights for the features of ``model``; the first ``n_p`` rows of ``x`` are the toxic texts."""
+    n_u = len(x) - n_p
+    w, b = np.zeros(x.shape[1], np.float32), model.bias
+    m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     rng = np.random.default_rng(seed)
     for t in range(1, steps + 1):
         p = x[rng.choice(n_p, min(n_p, 512), replace=False)]
@@ -180,8 +206,9 @@ def fit_nnpu(positive: list[bytes], unlabelled: list[bytes], prior: float, steps
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
-                    max_unlabelled: int = MAX_UNLABELLED) -> tuple[list[bytes], list[bytes], float]:
-    """Confirmed toxic texts, unlabelled texts and the share of toxic labels, from the learning folds only.
+                    max_unlabelled: int = MAX_UNLABELLED) -> tuple[DataFrame, float]:
+    """Whole texts (toxic, text) of confirmed toxic and of unlabelled documents, and the share of toxic
+    labels, from the learning folds only.
 
     The unlabelled texts are drawn from all documents of these folds, their labels unseen.
     """
@@ -190,18 +217,82 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_
         .select(F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") == 1).alias("toxic"))
     )
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
-    text = F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text")
     ids = draw(known.where("toxic").select("doc_id").distinct(), max_positive, "doc_id")
     learning = id_text(docs).where(~held_out(4, 2)).where("text <> ''")
-    positive = learning.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", text)  # at most max_positive ids
+    positive = learning.join(F.broadcast(ids), "doc_id", "left_semi")  # at most max_positive ids
     total = learning.count()
     part = learning.where(F.pmod(sample_rank("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.1 * max_unlabelled / max(1, total))) + 1)
-    take = lambda df, n: [r.text.encode() for r in df.limit(n).toLocalIterator()]
-    return take(positive, 2 * max_positive), take(part.select(text), max_unlabelled), float(share)
+    take = lambda df, n, toxic: df.limit(n).select(F.lit(toxic).alias("toxic"), "text")
+    return take(positive, 2 * max_positive, True).unionByName(take(part, max_unlabelled, False)), float(share)
+
+
+def _sample_features(sample: DataFrame) -> DataFrame:
+    """(toxic, row, bands, features) of each text; ``features`` are its distinct ones. Stored."""
+    schema = "toxic boolean, bands array<binary>, features array<long>"
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in slices(b, "text", 1 << 22):
+                texts = list(utf8_texts(part))
+                found = [np.unique(features([t])[1]).view(np.int64) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("toxic"), pa.array([_least(t) for t in texts], pa.list_(pa.binary())), pa.array(found, pa.list_(pa.int64()))],
+                    names=["toxic", "bands", "features"])
+
+    return materialise(sample.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "toxic-sample")
 
 
 def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
-    return fit_nnpu(*training_sample(docs, labels, **bounds))
+    """Fit on whole texts of a bounded sample of rows.
+
+    Features are taken from the texts and counted in tasks. The driver gets the minimum
+    hashes of the sampled rows, the MAX_FEATURES with most evidence and which rows have them.
+    """
+    sample, prior = training_sample(docs, labels, **bounds)
+    spark, prior = docs.sparkSession, _clipped(prior)
+    rows = _sample_features(sample)
+    heads = rows.select("toxic", "row", "bands").toArrow().sort_by([("toxic", "descending"), ("row", "ascending")])
+    toxic, row = heads["toxic"].to_numpy(zero_copy_only=False).astype(bool), heads["row"].to_numpy()
+    n_p, n_u = int(toxic.sum()), int((~toxic).sum())
+    if not n_p or not n_u:
+        return _base(prior)
+    bands = heads["bands"].to_pylist()
+    kept = np.concatenate([_unlike(bands[:n_p]), _unlike(bands[n_p:])])
+    own, other = int(kept[:n_p].sum()), int(kept[n_p:].sum())
+    unlike = F.broadcast(spark.createDataFrame(pa.table({"row": row[kept]})))  # one number for each sampled text
+    each = rows.join(unlike, "row", "left_semi").select("toxic", F.explode("features").alias("feature"))
+    counts = materialise(each.groupBy("feature").agg(
+        F.count_if("toxic").alias("in_p"), F.count_if(~F.col("toxic")).alias("in_u")).where("in_p > 0"), "toxic-counts")
+    chance = _chance(counts.count())
+
+    def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            evidence = _evidence(b.column("in_p").to_numpy(), b.column("in_u").to_numpy(), own, other, prior)
+            yield pa.RecordBatch.from_arrays([b.column("feature"), pa.array(evidence)], names=["feature", "evidence"])
+
+    judged = counts.where("in_p >= 3").mapInArrow(judge, "feature long, evidence double").where(F.col("evidence") > chance)
+    best = judged.orderBy(F.desc("evidence"), "feature").limit(MAX_FEATURES).toArrow()
+    chosen = np.sort(best["feature"].to_numpy().view(np.uint64))
+    if not len(chosen):
+        return _base(prior)
+    model = Model(chosen, np.zeros(len(chosen), np.float32), _base(prior).bias)
+    shared = Shared(spark, chosen)  # at most MAX_FEATURES numbers
+
+    def places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = shared.get()
+        for b in batches:
+            found = []
+            for f in b.column("features"):
+                has = np.isin(chosen, f.values.to_numpy().view(np.uint64))
+                found.append(np.flatnonzero(has).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(found, pa.list_(pa.int32()))], names=["row", "places"])
+
+    x = np.zeros((len(row), len(chosen)), np.float32)
+    at = {int(r): i for i, r in enumerate(row)}
+    sparse = rows.select("row", "features").mapInArrow(places, "row long, places array<int>").toArrow()
+    for r, p in zip(sparse["row"].to_pylist(), sparse["places"]):
+        x[at[r], p.values.to_numpy()] = 1
+    return _descend(model, x, n_p, prior)
 
 
 def _with_scores(docs: DataFrame, model: Model, at: int, keep_below: float | None) -> DataFrame:
