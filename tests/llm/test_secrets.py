@@ -69,3 +69,13 @@ def test_awkward_rows(spark):
 def test_dictionary_is_of_frequent_words(spark):
     docs = frame(spark, [(1, "the cat the dog " * 50 + "rare"), (2, None)])
     assert {r.word for r in sf.dictionary(docs, 10).collect()} == {"the", "cat", "dog"}
+
+
+def test_values_behind_a_name_in_any_form(spark):
+    letters = "qwzkxvjhpmtrbdnlgcfsyaeu"
+    texts = {"password = abcd1234efgh": "abcd1234efgh", 'api_key: "abcdef123456"': "abcdef123456", f"secret = {letters}": letters,
+             "password=P@ssw0rd!23": "P@ssw0rd!23", 'PASSWORD := "P@ss w0rd"': None, "db_password => 'x9!kQ#2z',": "x9!kQ#2z",
+             "--token s3cr3t!x9": "s3cr3t!x9", "pwd =Tr0ub4dor&3": "Tr0ub4dor&3", "password = short": None, "a plain sentence follows everything": None}
+    docs = frame(spark, [(i, f"see {t} end") for i, t in enumerate(texts)])
+    got = {r.doc_id: r.value for r in sf.scan_secrets(docs).collect()}
+    assert got == {i: v for i, v in enumerate(texts.values()) if v}

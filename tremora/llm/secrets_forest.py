@@ -1,7 +1,7 @@
 """Secret scanning whose false positives a random forest removes.
 
-A wide net of patterns gives candidates: long tokens with a digit, or what stands behind
-a credential's name. The forest then decides by a candidate's shape and surroundings:
+A wide net of patterns gives candidates: long tokens with a digit, or eight or more
+characters behind a credential's name, in one token or in up to three. The forest then decides by a candidate's shape and surroundings:
 its length, how often neighbouring characters change class, how much of its letters are
 words of the corpus, the path of its document and the words beside it. It is trained
 from labelled findings; ``rule_findings`` labels the candidates on which fixed formats
@@ -31,6 +31,18 @@ VALUE = r"([A-Za-z0-9+/_=-]{12,})"
 #: a token with a run of value characters that has a digit, a key's beginning, or something behind a name and a sign
 CANDIDATE = r"(?=\S*[0-9])\S*[A-Za-z0-9+/_=-]{16,}|(AKIA|ASIA)[A-Z]{16}|(?i)(pass|pwd|secret|token|key|auth|cred)\S*[=:]\S*[A-Za-z0-9+/_=-]{12,}"
 
+#: eight or more characters without the quotes, brackets and stops around them
+BODY = r"[^\s\"'`(\[{<]\S{6,}[^\s\"'`)\]}>,;.]"
+WIDE = r"(?i)(pass|pwd|secret|token|key|auth|cred)"
+SIGN = r"(?:[=:]+>?)"
+ENDS = r"[\"'`)\]]*"
+#: a name, a sign and a value in one token; a name that ends a token, with a sign and without one; a sign alone
+INSIDE = WIDE + r"[^\s=:]*" + SIGN + r"[\"'`(\[{<]*" + BODY
+NAME_SIGN = WIDE + r"[^\s=:]*" + SIGN + r"[\"'`(\[{<]*$"
+NAME = WIDE + r"[^\s=:]*$"
+NAME_BARE = NAMES + "s?" + ENDS + "$"
+SIGN_ONLY = f"^{SIGN}$"
+
 FEATURES = (
     "n_chars", "transitions", "digits", "uppers", "lowers", "others", "hex_only", "distinct", "coverage", "longest_letters",
     "quoted", "assigned", "named_inside", "named_before", "sign_before", "letters_before", "letters_after", "first", "last",
@@ -47,8 +59,10 @@ def candidates(docs: DataFrame) -> DataFrame:
     path = next((F.col(c).cast("string") for c in ("path", "source") if c in docs.columns), F.lit(None).cast("string"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(path, F.lit("")).alias("path"),
                         F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    words = texts.where(F.col("text").rlike(CANDIDATE)).select("doc_id", "path", F.split("text", r"\s+").alias("w"))
-    places = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", i).rlike(CANDIDATE))
+    # a text without a name and a long token has none, and is not split
+    words = texts.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(WIDE)).select("doc_id", "path", F.split("text", r"\s+").alias("w"))
+    places = F.filter(F.sequence(F.lit(0), F.size("w") - 1),
+                      lambda i: F.get("w", i).rlike(CANDIDATE) | _named(F.get("w", i), F.get("w", i - 1), F.get("w", i - 2)))
     near = lambda step: F.coalesce(F.get("w", F.col("at") + step), F.lit(""))
     found = words.withColumn("at", F.explode(places)).select(
         "doc_id", "path", "at", F.get("w", F.col("at")).alias("token"), near(-1).alias("before"), near(-2).alias("before2"),
@@ -56,7 +70,20 @@ def candidates(docs: DataFrame) -> DataFrame:
     longest = F.reduce(F.regexp_extract_all("token", F.lit(VALUE), 1), F.lit(""),
                        lambda best, v: F.when(F.length(v) > F.length(best), v).otherwise(best))
     tail = F.regexp_extract("token", r"[=:]\W*" + VALUE, 1)  # what stands behind a name, without the name
-    return found.withColumn("value", F.when(tail != "", tail).otherwise(longest))
+    inside = F.regexp_extract("token", WIDE + r"[^\s=:]*" + SIGN + r"(\S+)", 2)
+    whole = F.regexp_replace(F.when(F.col("token").rlike(INSIDE), inside).otherwise(F.col("token")),
+                             r"^[=:>\"'`(\[{<]+|[\"'`)\]}>,;.]+$", "")
+    named = F.coalesce(_named(F.col("token"), F.col("before"), F.col("before2")), F.lit(False)) & (F.length(whole) >= 8)
+    url = F.col("token").rlike("[?&]")  # other parameters may follow
+    return found.withColumn("value", F.when(named & ~url, whole).when(tail != "", tail).when(longest != "", longest)
+                            .when(named, whole).otherwise(F.col("token")))
+
+
+def _named(token: Column, before: Column, before2: Column) -> Column:
+    """Whether a value of eight or more characters stands behind a credential's name, with a sign or straight after it."""
+    behind = (before.rlike(NAME_SIGN) | before.rlike(NAME_BARE) | (token.rlike("^[=:]") & before.rlike(NAME))
+              | (before.rlike(SIGN_ONLY) & before2.rlike(NAME)))
+    return token.rlike(INSIDE) | (token.rlike(BODY) & behind)
 
 
 def dictionary(docs: DataFrame, share: int = WORD_SHARE) -> DataFrame:
@@ -103,12 +130,13 @@ def rule_findings(featured: DataFrame) -> DataFrame:
     """Candidates on which fixed formats are certain: their columns and ``label``.
 
     0: digits alone, or placeholder text. 1: else, a key of a public format, or 16 or more
-    hexadecimal digits of both kinds behind a credential's name. 0: else, no digit at all.
+    hexadecimal digits of both kinds behind a credential's name. 0: else, no digit at all and
+    no name before it, or words of the dictionary for half of it.
     """
     value, named = F.col("value"), (F.col("named_inside") + F.col("named_before")) > 0
     sure = value.rlike(KEY_FORMATS) | (named & value.rlike("^(?=.*[0-9])(?=.*[a-f])[0-9a-f]{16,}$"))
     sample = value.rlike("^[0-9_+/=-]+$") | (F.col("placeholder") > 0)
-    label = F.when(sample, 0.0).when(sure, 1.0).when(~value.rlike("[0-9]"), 0.0)
+    label = F.when(sample, 0.0).when(sure, 1.0).when(~value.rlike("[0-9]") & (~named | (F.col("coverage") >= 0.5)), 0.0)
     return featured.withColumn("label", label).where("label is not null")
 
 
