@@ -82,3 +82,18 @@ def test_grams_of_long_texts(monkeypatch):
     whole = lg.grams(text, flags)
     monkeypatch.setattr(lg, "_BLOCK", 50)
     assert (lg.grams(text, flags) == whole).all() and not flags.any()
+
+
+def test_every_label_is_learnt(spark):
+    """230 languages of an alphabet of three letters each; the last ones are the rarest."""
+    rng = random.Random(5)
+    alphabet = {f"l{i:03}": [chr(0x4E00 + 3 * i + k) for k in range(3)] for i in range(230)}
+    rows = []
+    for i, (lang, own) in enumerate(alphabet.items()):
+        for _ in range(12 if i < 200 else 8):
+            rows.append((len(rows), " ".join("".join(rng.choice(own) for _ in range(4)) for _ in range(12)), lang, "s", None))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    truth = {r[0]: r[2] for r in rows}
+    got = lg.language(docs).collect()
+    rare = [r for r in got if truth[r.doc_id] >= "l200"]
+    assert sum(r.lang_pred == truth[r.doc_id] for r in rare) / len(rare) > 0.95 and all(0 < r.score <= 1 for r in got)

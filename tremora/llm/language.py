@@ -19,13 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tremora.llm.common import Shared, held_out, id_text, sample_rank, slices, utf8_texts
-from tremora.session import broadcast_if_small
+from tremora.session import broadcast_if_small, materialise
 
 SIZES = (2, 3, 4)
 BITS = 18  # grams are hashed into 2**BITS columns
 PER_LANGUAGE = 300  # learning texts of a language, the bound of the sample
-MAX_LANGUAGES = 200
 LANDMARKS = 64  # of these, per language
+ALL_LANDMARKS = 768  # with more than twelve languages each has fewer, but one at least
+BLOCK_LANGUAGES = 64  # whose weights are sent and held at once
 MAX_SAMPLE_CHARS = 4_000  # of a text in the sample only; predictions read whole texts
 RIDGE = 1e-2
 SHARPNESS = 6.0  # of the softmax that turns margins into a score
@@ -76,56 +77,101 @@ class Model:
         return out + self.bias
 
 
-def fit_krr(samples: Sequence[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Nyström kernel ridge regression, one against the rest, on the driver; samples are bounded."""
+def _block(languages: list[str], columns: np.ndarray, marks: np.ndarray, dual: np.ndarray, bias: np.ndarray) -> Model:
+    weights = np.zeros((1 << BITS, len(languages)), np.float32)
+    weights[columns] = marks @ dual.astype(np.float32)
+    return Model(languages, weights, bias)
+
+
+def fit_blocks(samples: Iterable[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE,
+               size: int = BLOCK_LANGUAGES) -> Iterator[Model]:
+    """Nyström kernel ridge regression, one against the rest, on the driver: models of ``size`` languages each.
+
+    The samples are read three times, one text at a time; only landmarks, products of kernel
+    columns and their sums by language are held. All languages share the landmarks, so margins compare.
+    """
     languages = sorted({lang for lang, _ in samples})
+    each = min(landmarks, max(1, ALL_LANDMARKS // max(1, len(languages))))
     flags = np.zeros(1 << BITS, bool)
-    rows = [grams(t, flags) for _, t in samples]
-    picked: list[int] = []
-    for lang in languages:
-        picked += [i for i, (own, _) in enumerate(samples) if own == lang and len(rows[i])][:landmarks]
+    own: dict[str, list[np.ndarray]] = {lang: [] for lang in languages}
+    for lang, text in samples:
+        if len(own[lang]) < each and len(row := grams(text, flags)):
+            own[lang].append(row)
+    picked = [row for lang in languages for row in own[lang]]
     if not picked:
-        return Model(languages, np.zeros((1 << BITS, len(languages)), np.float32), np.zeros(len(languages)))
-    columns = np.unique(np.concatenate([rows[i] for i in picked]))
+        for at in range(0, len(languages), size):
+            some = languages[at : at + size]
+            yield Model(some, np.zeros((1 << BITS, len(some)), np.float32), np.zeros(len(some)))
+        return
+    columns = np.unique(np.concatenate(picked))
     place = np.full(1 << BITS, -1, np.int64)
     place[columns] = np.arange(len(columns))
     marks = np.zeros((len(columns), len(picked)), np.float32)  # landmark presence rows, normalised
-    for j, i in enumerate(picked):
-        marks[place[rows[i]], j] = 1 / np.sqrt(len(rows[i]))
-    kernel = np.zeros((len(rows), len(picked)))
-    for i, r in enumerate(rows):
-        own = place[r]
-        kernel[i] = marks[own[own >= 0]].sum(axis=0) / np.sqrt(max(1, len(r)))
-    among = kernel[picked]
+    for j, row in enumerate(picked):
+        marks[place[row], j] = 1 / np.sqrt(len(row))
+
+    def kernel(row: np.ndarray) -> np.ndarray:
+        found = place[row]
+        return marks[found[found >= 0]].sum(axis=0).astype(float) / np.sqrt(max(1, len(row)))
+
+    among = np.array([kernel(row) for row in picked])
     values, vectors = np.linalg.eigh((among + among.T) / 2)
     good = values > 1e-8 * values.max()
     half = vectors[:, good] / np.sqrt(values[good])  # W^(-1/2), up to a rotation
-    z = kernel @ half
-    y = np.where(np.array([[lang == own for lang in languages] for own, _ in samples]), 1.0, -1.0)
-    mean_z, mean_y = z.mean(axis=0), y.mean(axis=0)
-    centred = z - mean_z
-    beta = np.linalg.solve(centred.T @ centred + ridge * len(z) * np.eye(z.shape[1]) / 10, centred.T @ (y - mean_y))
-    weights = np.zeros((1 << BITS, len(languages)), np.float32)
-    weights[columns] = marks @ (half @ beta).astype(np.float32)
-    return Model(languages, weights, mean_y - mean_z @ beta)
+    number = {lang: i for i, lang in enumerate(languages)}
+    products, sums, many = np.zeros((half.shape[1],) * 2), np.zeros((len(languages), half.shape[1])), np.zeros(len(languages))
+    waiting: list[np.ndarray] = []
+    for lang, text in samples:
+        z = kernel(grams(text, flags)) @ half
+        sums[number[lang]] += z
+        many[number[lang]] += 1
+        waiting.append(z)
+        if len(waiting) == 512:
+            products += np.array(waiting).T @ np.array(waiting)
+            waiting = []
+    if waiting:
+        products += np.array(waiting).T @ np.array(waiting)
+    n, mean_z, mean_y = many.sum(), sums.sum(axis=0) / many.sum(), 2 * many / many.sum() - 1
+    # targets are 1 for a text's own language and -1 for the others
+    against = (2 * sums - sums.sum(axis=0)).T - n * np.outer(mean_z, mean_y)
+    beta = np.linalg.solve(products - n * np.outer(mean_z, mean_z) + ridge * n * np.eye(len(mean_z)) / 10, against)
+    bias = mean_y - mean_z @ beta
+    for at in range(0, len(languages), size):
+        cut = slice(at, at + size)
+        yield _block(languages[cut], columns, marks, half @ beta[:, cut], bias[cut])
+
+
+def fit_krr(samples: Sequence[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """One model of all languages."""
+    return next(fit_blocks(samples, landmarks, ridge, max(1, len(samples))))
+
+
+class Stored:
+    """The learning texts of a table, read anew each time, by language and id."""
+
+    def __init__(self, df: DataFrame) -> None:
+        self.df = df
+
+    def __iter__(self) -> Iterator[tuple[str, bytes]]:
+        for r in self.df.orderBy("label", "doc_id").toLocalIterator():
+            if has_letter(r["text"]):
+                yield r["label"], r["text"].encode()
 
 
-def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """At most ``per_language`` texts of each of the MAX_LANGUAGES commonest languages of the learning
-    folds, as if drawn at random; those without a letter teach nothing."""
+def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Stored:
+    """At most ``per_language`` texts of every language of the learning folds, as if drawn at random;
+    those without a letter teach nothing."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").alias("label"))
     known = known.where(~held_out(4, 2)).where("label is not null and doc_id is not null")
     # of a large language, about four times as many as wanted are ordered
-    counts = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MAX_LANGUAGES)
+    counts = known.groupBy("label").count()
     share = counts.select("label", (4 * (per_language + 25) / F.col("count")).alias("share"))
     part = (F.pmod(sample_rank("doc_id"), F.lit(1 << 30)) / float(1 << 30)) <= F.col("share")
     known = known.join(broadcast_if_small(share), "label").where(part)
     first = Window.partitionBy("label").orderBy(sample_rank("doc_id"), "doc_id")
     ids = known.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).select("doc_id", "label")
-    texts = id_text(docs).join(F.broadcast(ids), "doc_id")  # at most per_language * MAX_LANGUAGES ids
-    rows = texts.select("doc_id", "label", F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text")).toArrow().sort_by(
-        [("label", "ascending"), ("doc_id", "ascending")])
-    return [(r["label"], r["text"].encode()) for r in rows.to_pylist() if has_letter(r["text"])]
+    texts = id_text(docs).join(broadcast_if_small(ids), "doc_id")
+    return Stored(materialise(texts.select("doc_id", "label", F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text")), "language-sample"))
 
 
 def language(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> DataFrame:
@@ -137,22 +183,29 @@ def language(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int =
     that sorts first. Other columns are ignored.
     """
     samples = training_sample(docs, per_language)
-    model = fit_krr(samples, landmarks) if samples else None
-    shared = Shared(docs.sparkSession, model)  # 2**BITS weights for each language
+    # 2**BITS weights for each language, a block of them at a time
+    blocks = [Shared(docs.sparkSession, model) for model in fit_blocks(samples, landmarks)]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.get()
+        only = blocks[0].get() if len(blocks) == 1 else None
         for whole in batches:
             for b in slices(whole, "text", 1 << 22):
                 texts = list(utf8_texts(b))
                 known = np.array([has_letter(t.decode(errors="replace")) for t in texts], bool)
                 pred, score = np.full(len(texts), NONE, object), np.zeros(len(texts))
-                if model and known.any():
-                    margin = SHARPNESS * model.margins([t for t, k in zip(texts, known) if k])
-                    share = np.exp(margin - margin.max(axis=1, keepdims=True))
-                    share /= share.sum(axis=1, keepdims=True)
-                    pred[known] = np.array(model.languages, object)[share.argmax(axis=1)]
-                    score[known] = share.max(axis=1)
+                if blocks and known.any():
+                    some = [t for t, k in zip(texts, known) if k]
+                    best, total = np.full(len(some), -np.inf), np.zeros(len(some))
+                    name = np.full(len(some), NONE, object)
+                    for block in blocks:
+                        model = only or block.get()
+                        margin = SHARPNESS * model.margins(some)
+                        top = margin.max(axis=1)
+                        name = np.where(top > best, np.array(model.languages, object)[margin.argmax(axis=1)], name)
+                        most = np.maximum(best, top)
+                        total = total * np.exp(best - most) + np.exp(margin - most[:, None]).sum(axis=1)
+                        best = most
+                    pred[known], score[known] = name, 1 / total
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score)],
                                                  names=["doc_id", "lang_pred", "score"])
 
