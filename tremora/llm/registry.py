@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tremora.llm import (
-    bpe, decontaminate, exact_dedup, language, packing, quality, secrets_forest, simhash, suffix_dedup, token_files, toxicity,
+    alignment, bpe, decontaminate, exact_dedup, language, packing, prefix_trie, quality, secrets_forest, simhash, suffix_dedup,
+    token_files, toxicity,
 )
 from tremora.llm.common import scratch_path, table
 
@@ -56,13 +57,22 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_forest.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_suffix_dedup, op2_language_id, op3_token_files, op4_toxicity, op5_decontaminate, op6_length_buckets, op7_exact_dedup,
-        op8_quality, op9_simhash, op10_secrets, op12_bpe)
+        op8_quality, op9_simhash, op10_secrets, op11_prefix_trie, op12_bpe, op13_alignment)
 }
-ORACLES: dict[str, str] = {"op5_decontaminate": decontaminate.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_decontaminate": decontaminate.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE}
