@@ -24,7 +24,7 @@ from tremora.llm.tokens import tokenizer_path
 
 WORD_BPE = "word_bpe_49k.json"
 _WORDS = 300_000  # words a task remembers
-_PART = 1 << 20  # characters of a text looked at together
+_PART = 1 << 20  # characters of texts looked at together
 
 #: fixed values: the rules for which the pattern of usual characters is written
 _NORMALIZER = {"type": "Sequence", "normalizers": [
@@ -86,30 +86,54 @@ class WordEncoder:
             text = self.model.normalizer.normalize_str(text)
         return [w.translate(self.to_byte).encode("latin-1") for w, _ in self.model.pre_tokenizer.pre_tokenize_str(text)]
 
-    def _piece(self, text: str) -> bytes:
-        words, known = self._words(text), self.ids
-        new = list(set(words).difference(known))
-        if new:
-            if len(known) > _WORDS:
-                known.clear()
-                new = list(set(words))
-            known.update(zip(new, self.automaton.encode([w if isinstance(w, bytes) else w.encode() for w in new])))
-        return b"".join(map(known.__getitem__, words))
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers. Long texts go through in parts, cut at spaces between ASCII letters."""
-        out = []
+    def _cut(self, text: str) -> Iterator[list[str] | list[bytes] | bytes]:
+        """Words, part by part, and the ids of added tokens between them. Long texts are cut at spaces between ASCII letters."""
         for k, piece in enumerate(self.special.split(text) if self.special else [text]):
             if k % 2:
-                out.append(self.added[piece])
+                yield self.added[piece]
                 continue
             at = 0
             while at < len(piece):
                 cut = _BETWEEN.search(piece, at + _PART)
                 end = cut.end() if cut else len(piece)
-                out.append(self._piece(piece[at:end]))
+                yield self._words(piece[at:end])
                 at = end
-        return b"".join(out)
+
+    def _learn(self, parts: list[list]) -> None:
+        """Words not met before are encoded side by side."""
+        known = self.ids
+        if len(known) > _WORDS:
+            known.clear()
+        new = list(set().union(*parts).difference(known))
+        known.update(zip(new, self.automaton.encode([w if isinstance(w, bytes) else w.encode() for w in new])))
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text; about _PART characters of texts are cut before their words are encoded."""
+        held: list[list[list | bytes]] = []
+        size = 0
+        for text in texts:
+            if len(text) > 4 * _PART:  # part by part, so that its words are not held all at once
+                yield from self._joined(held)
+                held, size, out = [], 0, []
+                for part in self._cut(text):
+                    out += self._joined([[part]])
+                yield b"".join(out)
+                continue
+            held.append(list(self._cut(text)))
+            size += len(text)
+            if size >= _PART:
+                yield from self._joined(held)
+                held, size = [], 0
+        yield from self._joined(held)
+
+    def _joined(self, cut: list[list[list | bytes]]) -> list[bytes]:
+        self._learn([p for parts in cut for p in parts if not isinstance(p, bytes)])
+        get = self.ids.__getitem__
+        return [b"".join(p if isinstance(p, bytes) else b"".join(map(get, p)) for p in parts) for parts in cut]
 
     def decode(self, ids: bytes) -> str:
         """The labels of the arcs, special ones too, with a space between them."""
@@ -138,8 +162,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     shared = Shared(docs.sparkSession, Automaton.of_file(path))
 
     def make(encoder: WordEncoder, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = (encoder.encode(t.as_py()) for t in b.column("text"))
-        yield from _bounded(b.column("doc_id"), ids)
+        yield from _bounded(b.column("doc_id"), encoder.encode_all(t.as_py() for t in b.column("text")))
 
     return id_text(docs).mapInArrow(_with_encoder(shared, path, make), "doc_id long, ids binary")
 
@@ -178,8 +201,7 @@ def round_trip_digests(docs: DataFrame, tokenizer: str | None = None) -> DataFra
 
     def make(encoder: WordEncoder, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         many, coded, decoded = [], [], []
-        for t in b.column("text"):
-            ids = encoder.encode(t.as_py())
+        for ids in encoder.encode_all(t.as_py() for t in b.column("text")):
             many.append(len(ids) // 4)
             coded.append(hashlib.sha256(ids).hexdigest())
             text = hashlib.sha256()
