@@ -82,3 +82,47 @@ def test_suffix_array(symbols):
             a, b = s[sa[k] :].tolist(), s[sa[k - 1] :].tolist()
             lcp = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
             assert min(lcp, 100) == min(got[k], 100)
+
+
+def rearranged(rows, swaps):
+    """Rows of 64 bytes, neighbours swapped where a binary pattern says so."""
+    out = list(rows)
+    for i in range(0, len(out) - 1, 2):
+        if bin(i // 2).count("1") % 2 ^ swaps:
+            out[i], out[i + 1] = out[i + 1], out[i]
+    return b"".join(out)
+
+
+def test_equal_sums_are_not_equal_bytes(spark, tmp_path):
+    """Two texts whose polynomial sums modulo 2^64 agree, without a common string of 100 bytes."""
+    rng = random.Random(9)
+    rows = [bytes(rng.choice(b"abcdefgh") for _ in range(64)) for _ in range(127)]
+    texts = [(1, rearranged(rows, 0).decode()), (2, rearranged(rows, 1).decode())]
+    common = [r for r in brute(texts)]
+    assert plain(sd.suffix_dedup(stored(frame(spark, texts), tmp_path))) == common
+
+
+def test_other_splits_between_the_steps(spark, tmp_path):
+    rows = case()
+    before = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    try:
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+        df = stored(frame(spark, rows), tmp_path, 6)
+        result = sd.suffix_dedup(df)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "40")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        assert plain(result) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism") if before is None else spark.conf.set("spark.sql.leafNodeDefaultParallelism", before)
+
+
+def test_suffix_array_of_many_names():
+    rng = np.random.default_rng(1)
+    words = [rng.integers(1, 200, 7) for _ in range(3000)]
+    s = np.concatenate([words[i] for i in rng.integers(0, 3000, 9000)] + [[0]]).astype(np.int32)
+    sa = suffix_array(s)
+    assert sorted(sa.tolist()) == list(range(len(s)))
+    text = b"".join(int(x).to_bytes(2, "big") for x in s)
+    for a, b in zip(sa[:-1:7].tolist(), sa[1::7].tolist()):
+        assert text[2 * a : 2 * a + 4000] < text[2 * b : 2 * b + 4000]

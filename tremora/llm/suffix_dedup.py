@@ -5,7 +5,7 @@ whatever documents they stand in. Its place of dealing is an anchor: the smalles
 among its GRAM-byte substrings. Neighbouring strings mostly have the same anchor; such a
 run and the bytes it covers make a piece.
 
-1. Anchors are compared by hash, and pieces of one anchor by a digest of their bytes.
+1. Anchors are compared by hash, and pieces of one anchor by 128 bits of their SHA-256.
    Strings around an anchor that occurs once cannot repeat, and of equal pieces all but
    the first are repeats throughout. First this is done within each batch of texts, so a
    passage that very many documents share leaves a batch once.
@@ -64,13 +64,8 @@ def _sliding(h: np.ndarray, width: int, pick: np.ufunc, fill: int) -> np.ndarray
     return pick(back[:n], fore[width - 1 : width - 1 + n])
 
 
-_SYMBOL = np.random.default_rng(5).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-_POWERS = np.cumprod(np.full(_BLOCK + LENGTH, _MULT), dtype=np.uint64)
-_INVERSE = np.cumprod(np.full(_BLOCK + LENGTH, np.uint64(pow(int(_MULT), -1, 1 << 64))), dtype=np.uint64)
-
-
 def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Runs of strings with the same anchor: first start, number of starts, anchor hash, digest of the piece, loop.
+    """Runs of strings with the same anchor: first start, number of starts, anchor hash, loop.
 
     A run ends where the smallest hash changes, so it depends on content alone. ``loop``
     tells that the smallest hash stands at several places of the run (as in periodic
@@ -90,22 +85,24 @@ def anchors(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
         wide[width - 1 : width - 1 + n] = least
         chosen = h[h == _sliding(wide, width, np.maximum, 0)]
         run = np.cumsum(np.concatenate([[True], chosen[1:] != chosen[:-1]])) - 1
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_SYMBOL[np.frombuffer(part, np.uint8)] * _POWERS[: len(part)], out=sums[1:])
-        digest = (sums[first + many + (length - 1)] - sums[first]) * _INVERSE[first]
-        digest ^= (digest >> np.uint64(32)) * _MULT + many.astype(np.uint64)
-        found.append((first + at, many, least[first].view(np.int64), digest.view(np.int64), np.bincount(run, minlength=len(first)) > 1))
+        found.append((first + at, many, least[first].view(np.int64), np.bincount(run, minlength=len(first)) > 1))
     if not found:
-        return (*(np.zeros(0, np.int64) for _ in range(4)), np.zeros(0, bool))
+        return (*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, bool))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def piece_digests(text: bytes, start: np.ndarray, n: np.ndarray) -> bytes:
+    """16 bytes of the SHA-256 of every piece, one after the other."""
+    sha = hashlib.sha256
+    return b"".join([sha(text[a:b]).digest()[:16] for a, b in zip(start.tolist(), (start + n + (LENGTH - 1)).tolist())])
+
+
 # anchors that repeat ---------------------------------------------------------------------------------
 #
 # A place packs a run: start, number of starts and whether it loops. doc orders the documents, row names them.
 
-_ANCHOR = pa.schema([(c, pa.int64()) for c in ("hash", "digest", "doc", "row", "place")] + [("kind", pa.int8())])
-_ANCHOR_DDL = "hash long, digest long, doc long, row long, place long, kind byte"
+_ANCHOR = pa.schema([(c, pa.int64()) for c in ("hash", "d1", "d2", "doc", "row", "place")] + [("kind", pa.int8())])
+_ANCHOR_DDL = "hash long, d1 long, d2 long, doc long, row long, place long, kind byte"
 _ASK, _KNOWN, _EQUAL = 0, 1, 2  # to be compared; known to have a different piece of its anchor elsewhere; a repeat throughout
 _STAND_IN = -1  # row of an entry that only says that its anchor has different pieces
 
@@ -118,15 +115,14 @@ def _unpack(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return place >> 23, (place >> 1) & ((1 << 22) - 1), (place & 1).astype(bool)
 
 
-def _later(code: np.ndarray, digest: np.ndarray, doc: np.ndarray, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+def _later(code: np.ndarray, d1: np.ndarray, d2: np.ndarray, doc: np.ndarray, row: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Which entries have an equal piece with an earlier (doc, row, start) among these."""
-    both = code ^ (digest * np.int64(-7046029254386353131))
-    _, which, times = np.unique(both, return_inverse=True, return_counts=True)
+    _, which, times = np.unique(d1, return_inverse=True, return_counts=True)
     some = np.flatnonzero(times[which] > 1)
-    some = some[np.lexsort((place[some], row[some], doc[some], digest[some], code[some]))]
+    some = some[np.lexsort((place[some], row[some], doc[some], d2[some], d1[some], code[some]))]
     out = np.zeros(len(code), bool)
     a, b = some[1:], some[:-1]
-    out[a] = (code[a] == code[b]) & (digest[a] == digest[b])
+    out[a] = (code[a] == code[b]) & (d1[a] == d1[b]) & (d2[a] == d2[b])
     return out
 
 
@@ -138,23 +134,27 @@ def _anchor_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     """Anchors of the texts. Equal pieces of a batch are settled here. Where an anchor has different
     pieces in the batch, or loops, this is known of all of them, and one stand-in tells it elsewhere."""
     for b in batches:
-        found = [anchors(t) for t in utf8_texts(b)]
+        found, digests = [], []
+        for t in utf8_texts(b):
+            found.append(anchors(t))
+            digests.append(piece_digests(t, *found[-1][:2]))
         many = [len(f[0]) for f in found]
         if not sum(many):
             continue
-        start, n, code, digest, loop = (np.concatenate(x) for x in zip(*found))
+        start, n, code, loop = (np.concatenate(x) for x in zip(*found))
+        d1, d2 = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T.copy()
         doc, row = (np.repeat(b.column(c).to_numpy(zero_copy_only=False), many) for c in ("doc", "row"))
         place = _pack(start, n, loop)
-        kind = np.where(_later(code, digest, doc, row, place), _EQUAL, _ASK).astype(np.int8)
+        kind = np.where(_later(code, d1, d2, doc, row, place), _EQUAL, _ASK).astype(np.int8)
         own = kind == _ASK
         _, first, which, times = np.unique(code[own], return_index=True, return_inverse=True, return_counts=True)
         known = (times > 1) | (np.bincount(which, weights=loop[own], minlength=len(times)) > 0)
         kind[own] = np.where(known[which], _KNOWN, _ASK)
-        yield _batch((code, digest, doc, row, place), kind)
+        yield _batch((code, d1, d2, doc, row, place), kind)
         stand = code[own][first[known]]
         if len(stand):
             zero = np.zeros(len(stand), np.int64)
-            yield _batch((stand, zero, zero, zero + _STAND_IN, zero), zero.astype(np.int8))
+            yield _batch((stand, zero, zero, zero, zero + _STAND_IN, zero), zero.astype(np.int8))
 
 
 def _compare_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,15 +190,15 @@ def _compare_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBat
         t = t.slice(0, cut).filter(pa.array(~single))
         if not t.num_rows:
             continue
-        code, digest, doc, row, place = (t.column(c).to_numpy(zero_copy_only=False) for c in _ANCHOR.names[:5])
+        code, d1, d2, doc, row, place = (t.column(c).to_numpy(zero_copy_only=False) for c in _ANCHOR.names[:6])
         real = row != _STAND_IN
         later = np.zeros(len(code), bool)
-        later[real] = _later(*(c[real] for c in (code, digest, doc, row, place)))
+        later[real] = _later(*(c[real] for c in (code, d1, d2, doc, row, place)))
         group = np.cumsum(np.concatenate([[True], code[1:] != code[:-1]])) - 1
         different = np.bincount(group, weights=~later) > 1  # pieces, or a stand-in
         keep = real & (later | different[group])
         kind = np.where(later, _EQUAL, _KNOWN).astype(np.int8)[keep]
-        yield _batch((c[keep] for c in (code, digest, doc, row, place)), kind)
+        yield _batch((c[keep] for c in (code, d1, d2, doc, row, place)), kind)
 
 
 def compared_anchors(rows: DataFrame, parts: int) -> DataFrame:
@@ -445,9 +445,11 @@ def suffix_dedup(docs: DataFrame, crowd: int = CROWD, with_bytes: bool = False)
     among them, and among rows that repeat an id, the order is that of reading. With
     ``with_bytes``, ``kept`` has the remaining bytes (null if nothing went).
 
-    ``docs`` must read the same rows in the same order each time, as stored tables do.
+    The rows are stored once under numbers of their own, so that every step means the same row
+    however the input is split when it runs.
     """
-    rows = id_text(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.monotonically_increasing_id().alias("row"), "text")
+    rows = materialise(id_text(docs).select(
+        F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), F.monotonically_increasing_id().alias("row"), "text"), "numbered")
     runs = repeated_runs(rows, crowd).groupBy("row").agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
     # the same columns as for the pieces, so that the texts are exchanged once
     cut = rows.join(runs, "row").select("doc", "row", "text", "runs").mapInArrow(
