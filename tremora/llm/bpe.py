@@ -11,7 +11,6 @@ import hashlib
 import json
 import os
 import re
-import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -19,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tremora.llm.common import Shared, id_text
-from tremora.llm.merge_automaton import Automaton, byte_letters
-from tremora.llm.tokens import tokenizer_path
+from tremora.llm.merge_automaton import Automaton
+from tremora.llm.tokens import byte_letters, tokenizer_path, unusual_signs, usual_signs
 
 WORD_BPE = "word_bpe_49k.json"
 _WORDS = 300_000  # words a task remembers
@@ -35,21 +34,6 @@ _WORDS_OF = {"type": "Sequence", "pretokenizers": [
 _BETWEEN = re.compile("[A-Za-z] (?=[A-Za-z])")
 
 
-def _usual() -> tuple[str, str, str]:
-    """Letters, digits and other signs that every version of the Unicode tables treats alike, as regex classes.
-
-    These are printable ASCII, the Latin letters up to U+024F but for the one whose lower case
-    is two characters, and the common quotes and dashes. None of them composes with another.
-    """
-    chars = [chr(c) for c in [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x250), *range(0x2010, 0x2028), 0x20AC]]
-    kinds = {"L": "", "N": "", "": ""}
-    for c in chars:
-        if len(c.lower()) == 1:
-            kind = unicodedata.category(c)[0]
-            kinds[kind if kind in "LN" else ""] += re.escape(c)
-    return kinds["L"], kinds["N"], kinds[""]
-
-
 class WordEncoder:
     """Ids of texts as the library gives them for a vocabulary with word ends, words by the automaton.
 
@@ -66,11 +50,11 @@ class WordEncoder:
         added = {t.content: i for i, t in self.model.get_added_tokens_decoder().items()}
         self.added = {t: np.array([i], "<u4").tobytes() for t, i in added.items()}
         self.special = re.compile("(" + "|".join(sorted(map(re.escape, added), key=len, reverse=True)) + ")") if added else None
-        letters, digits, signs = _usual()
+        letters, digits, signs = usual_signs()
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
         self.plain = rules["normalizer"] == _NORMALIZER and rules["pre_tokenizer"] == _WORDS_OF
-        self.unusual = re.compile(f"[^{letters}{digits}{signs}\t\n\x0b\x0c\r ]")
+        self.unusual = unusual_signs()
         self.word = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[{signs}]+")
         self.to_byte = {ord(x): b for b, x in enumerate(byte_letters())}
         self.ids: dict[str, bytes] = {}

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from tremora.llm.tokens import byte_letters
+
 WIDE = 48  # bytes of a word that is encoded beside others of its kind
 _SIDE = 8192  # words encoded side by side
 _LONG = 1 << 16  # places of a long word that are looked at together
@@ -63,13 +65,6 @@ def compile_merges(n_symbols: int, merges: Sequence[tuple[int, int, int]], n_tok
     return state, arc, table[:rows]
 
 
-def byte_letters() -> list[str]:
-    """The letter that byte-level vocabularies write for each byte: printable ones stand for themselves."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = iter(range(256))
-    return [chr(b) if b in set(printable) else chr(256 + next(rest)) for b in range(256)]
-
-
 @dataclass
 class Automaton:
     """Arc table, spelling trie and labels; some 20 MB for a vocabulary of 50 000."""

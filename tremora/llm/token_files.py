@@ -146,17 +146,23 @@ def crc_join(first: int, second: int, size: int) -> int:
 
 _STAGED = pa.schema([
     ("part", pa.int32()), ("block", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int32())),
-    ("skip", pa.int64()), ("n", pa.int32()), ("ids", pa.binary())])
-_STAGED_DDL = "part int, block int, doc_ids array<long>, doc_tokens array<int>, skip long, n int, ids binary"
+    ("skip", pa.int64()), ("n", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary())])
+_STAGED_DDL = "part int, block int, doc_ids array<long>, doc_tokens array<int>, skip long, n int, ids binary, counts binary"
 
 
 def _blocks(part: int, documents: Iterable[tuple[int | None, np.ndarray]]) -> Iterator[dict]:
-    """Cut the ids of documents in order into blocks of BLOCK ids; a document may go on in the next."""
-    block, held, ids, docs, many, skip = 0, 0, [], [], [], 0
-
-    def row() -> dict:
+    """Cut the ids of documents in order into blocks of BLOCK ids; a document may go on in the next.
+    The last block also has how often each id occurs in the part."""
+    block, held, ids, docs, many, skip, total = 0, 0, [], [], [], 0, np.zeros(0, np.int64)
+
+    def row(last: bool = False) -> dict:
+        nonlocal total
+        own = np.concatenate(ids)
+        n = np.bincount(own)
+        total, n = (total, n) if len(total) >= len(n) else (n, total)
+        total[: len(n)] += n
         return {"part": part, "block": block, "doc_ids": docs, "doc_tokens": many, "skip": skip, "n": held,
-                "ids": np.concatenate(ids).tobytes()}
+                "ids": own.tobytes(), "counts": total.astype("<i8").tobytes() if last else None}
 
     for doc, own in documents:
         at = 0
@@ -170,7 +176,7 @@ def _blocks(part: int, documents: Iterable[tuple[int | None, np.ndarray]]) -> It
             many.append(take)
             held, at = held + take, at + take
     if held:
-        yield row()
+        yield row(True)
 
 
 def stage_tokens(docs: DataFrame, path: str, width: str) -> DataFrame:
@@ -198,21 +204,21 @@ def stage_tokens(docs: DataFrame, path: str, width: str) -> DataFrame:
     return materialise(ordered.mapInArrow(run, _STAGED_DDL), "token-blocks")
 
 
-def id_counts(staged: DataFrame, width: str) -> np.ndarray:
-    """How often each id occurs in the corpus; as many entries as the vocabulary has."""
+def id_counts(staged: DataFrame) -> np.ndarray:
+    """How often each id occurs in the corpus, from the counts of the parts; as many entries as the vocabulary has."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for ids in b.column("ids"):
-                n = np.bincount(np.frombuffer(ids.as_buffer(), width))
-                if len(n) > len(total):
-                    n, total = total, n
+            for counts in b.column("counts"):
+                n = np.frombuffer(counts.as_buffer(), "<i8").copy()
+                total, n = (total, n) if len(total) >= len(n) else (n, total)
                 total[: len(n)] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    rows = staged.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    rows = staged.where("counts is not null").select("counts").mapInArrow(run, "id long, n long")
+    rows = rows.groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     ids, n = rows.column("id").to_numpy(), rows.column("n").to_numpy()
     counts = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
     counts[ids] = n
@@ -236,7 +242,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None)
     model = tokenizer or tokenizer_path(BYTE_BPE)
     width = "<u2" if encoder(model).model.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
     staged = stage_tokens(docs, model, width)
-    counts = id_counts(staged, width)
+    counts = id_counts(staged)
     limit = max(LIMIT, int(len(counts) - 1).bit_length())
     lengths = code_lengths(counts, limit)
     used = np.flatnonzero(lengths)
@@ -256,7 +262,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None)
                 start = starts[row["part"]] + row["block"] * BLOCK  # all blocks of a part but its last are full
                 yield pa.RecordBatch.from_pylist([row | {"start": start, "marks": marks.tobytes(), "bits": bits}], schema=_CODED)
 
-    (staged.mapInArrow(run, _CODED_DDL).write.option("compression", "none").partitionBy("part").parquet(f"{path}/blocks"))
+    (staged.drop("counts").mapInArrow(run, _CODED_DDL).write.option("compression", "none").partitionBy("part").parquet(f"{path}/blocks"))
 
 
 # reading ---------------------------------------------------------------------------------------------
