@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 
 from cases import awkward_rows, frame, plain
 from tremora.llm import alignment as al
-from tremora.llm.merge_automaton import byte_letters
+from tremora.llm.tokens import byte_letters
 from tremora.llm.tokens import BYTE_BPE, tokenizer_path
 
 ODD = ["", " ", "  ", "x ", " x", "a  b   c", "a\n b \n\n c\t d", "a\xa0 b\xa0  c", "\x1c d\x85  e", "sign ▁ here", "▁", "don't we'll 12 $x",
@@ -73,7 +73,7 @@ def test_intervals_against_all_pairs():
 @pytest.mark.parametrize("small", [False, True])
 def test_against_whole_texts(spark, models, monkeypatch, small):
     if small:
-        for name, n in (("_PARTS", 30), ("_BLOCK", 200), ("_LONG", 50)):
+        for name, n in (("_PARTS", 30), ("_BLOCK", 200), ("_TOGETHER", 50), ("_SIDE", 7)):
             monkeypatch.setattr(al, name, n)
     rng = random.Random(4)
     rows = [r for r in awkward_rows() if not r[1] or len(r[1]) < 9000] + [(900 + i, t) for i, t in enumerate(ODD)]

@@ -5,8 +5,8 @@ ends beside them; where a start reaches that maximum, nothing spans the place an
 of tokens ends. Inside a group, the tokens of one side are expanded against those of the
 other that they overlap. A link is an overlapping pair that ends at the same byte.
 
-Texts are cut before a space that stands behind a sign that is no space. Neither tokenizer
-joins bytes across such a place, so the parts are encoded apart, and equal ones once.
+Texts are cut before a space that stands behind a sign that is no space, and before a lone line end.
+Neither tokenizer joins bytes across such a place, so the parts are encoded apart, and equal ones once.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +23,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tremora.llm.common import id_text, materialise
-from tremora.llm.merge_automaton import byte_letters
-from tremora.llm.tokens import BYTE_BPE, tokenizer_path
+from tremora.llm.tokens import BYTE_BPE, byte_letters, rank_encoder, tokenizer_path, unusual_signs
 
 PIECE_BPE = "piece_bpe_32k.model"
 _CUT = re.compile(r"(?<=\S)(?= )")
-_PARTS = 250_000  # parts of texts a task remembers
+_AMID = re.compile(r"\A\s|\s\s|\s\Z")  # white space that is not alone
+_PARTS = 150_000  # parts of texts a task remembers, twice
+_SIDE = 20_000  # new parts encoded and aligned side by side
 _BLOCK = 1 << 22  # characters of the texts of a block; one text at least
-_LONG = 1 << 20  # characters of a text that are looked up together
+_TOGETHER = 1 << 20  # characters of texts that are cut before their new parts are encoded, side by side
 
 # intervals -----------------------------------------------------------------------------------------
 
@@ -77,6 +79,7 @@ class Aligner:
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True  # their strings in a text are plain text
+        self.ranks, self.unusual = rank_encoder(a_path), unusual_signs()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         byte = {x: b for b, x in enumerate(byte_letters())}
         vocab = self.a.get_vocab(with_added_tokens=False)
@@ -87,6 +90,9 @@ class Aligner:
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
         self.space = self.b.piece_to_id("▁")
         self.known: dict[str, tuple | None] = {}
+        self.before: dict[str, tuple | None] = {}
+        #: a line end that stands for itself is never joined to anything
+        self.lines = not any(b"\n" in x and len(x) > 1 for x in self.b_bytes)
 
     def _spelled(self, i: int) -> bytes:
         if self.b.is_byte(i):
@@ -94,18 +100,32 @@ class Aligner:
         return b"" if self.b.is_control(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
 
     def _learn(self, parts: list[str]) -> None:
-        """Parts begin with a space each, which the second tokenizer adds itself."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        b_ids = [ids if p != " " else [self.space] for p, ids in zip(parts, self.b.encode([p[1:] for p in parts], num_threads=1))]
+        """Parts that begin with neither a space nor a line end have a space before them."""
+        whole = [p if p[0] in " \n" else " " + p for p in parts]
+        a_ids = self._a_ids(whole)
+        # the second tokenizer adds a space itself, which stands alone before a line end
+        b_ids = self.b.encode([p if p[0] == "\n" else p[1:] for p in whole], num_threads=1)
+        b_ids = [ids[1:] if p[0] == "\n" else ids or [self.space] for p, ids in zip(whole, b_ids)]
         spelled, right = self.b_bytes, []
-        for k, (p, ids) in enumerate(zip(parts, b_ids)):
+        for k, (p, ids) in enumerate(zip(whole, b_ids)):
             if b"".join(map(spelled.__getitem__, ids)) == p.encode():
                 right.append(k)
             else:
-                self.known[p] = None
+                self.known[parts[k]] = None
         for k, found in zip(right, self._align([a_ids[k] for k in right], [b_ids[k] for k in right])):
             self.known[parts[k]] = found
 
+    def _a_ids(self, whole: list[str]) -> list[list[int]]:
+        """By the quicker of two libraries with the same ranks, where both are sure to cut words alike."""
+        if self.ranks is None:
+            return [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
+        quick, odd = self.ranks.encode_ordinary, self.unusual.search
+        out = [None if odd(p) else quick(p) for p in whole]
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, e in zip(rest, self.a.encode_batch_fast([whole[k] for k in rest], add_special_tokens=False)):
+            out[k] = e.ids
+        return out
+
     def _align(self, a_ids: list[list[int]], b_ids: list[list[int]]) -> Iterator[tuple]:
         """(tokens of a, of b, groups, the groups as text, pairs of ids of the links) of every part."""
         a_many, b_many = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a_ids, b_ids))
@@ -117,45 +137,54 @@ class Aligner:
         linked = a_end[i] == b_end[j]
         i, j = i[linked], j[linked]
         pairs = (a[i] << 32 | b[j]).astype("<u8")
-        a_last, b_last = np.cumsum(a_many), np.cumsum(b_many)
+        a_last = np.cumsum(a_many)
         link_last = np.searchsorted(i, a_last, side="left")
-        a_words, b_words = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups = int(a_group[-1]) + 1 if len(a) else 0
-        a_at, b_at = (np.searchsorted(g, np.arange(groups + 1)).tolist() for g in (a_group, b_group))
-        written = [f"{','.join(a_words[p:q])}|{','.join(b_words[r:s])}" for p, q, r, s in zip(a_at, a_at[1:], b_at, b_at[1:])]
-        group_last = np.append(a_group, groups)[a_last]
-        before = (0, 0)
-        for n, m, g, k in zip(a_many.tolist(), b_many.tolist(), group_last.tolist(), link_last.tolist()):
-            yield n, m, g - before[0], ";".join(written[before[0] : g]), pairs[before[1] : k].tobytes()
-            before = (g, k)
-
-    def parts(self, text: str | None) -> Iterator[list[tuple]] | None:
-        """What is known of the parts of a text, some at a time; None if the text has no tokens."""
-        if not text:
-            return None
-        found = []
-        for piece in _pieces(" " + text):
-            some = _CUT.split(piece)
-            new = list(set(some).difference(self.known))
-            if new:
-                if len(self.known) > _PARTS:
-                    self.known.clear()
-                    new = list(set(some))
-                self._learn(new)
-            found.append(list(map(self.known.__getitem__, some)))
-            if None in found[-1]:
-                return None
-        return iter(found)
-
-
-def _pieces(text: str) -> Iterator[str]:
-    """A long text in pieces that end where parts end."""
-    at = 0
-    while at < len(text):
-        cut = _CUT.search(text, at + _LONG)
-        end = cut.end() if cut else len(text)
-        yield text[at:end]
-        at = end
+        # tokens in the order of writing: by group, a before b; what stands behind each follows from the next one
+        side = np.concatenate([np.zeros(len(a), np.int8), np.ones(len(b), np.int8)])
+        group = np.concatenate([a_group, b_group])
+        order = np.lexsort((side, group))
+        group, side, ids = group[order], side[order], np.concatenate([a, b])[order]
+        groups_upto = np.append(a_group, group[-1] + 1 if len(group) else 0)[a_last]  # groups of this part and those before it
+        mark = np.zeros(len(ids), np.int8)
+        mark[:-1][side[1:] != side[:-1]] = 1
+        mark[:-1][group[1:] != group[:-1]] = 2
+        mark[np.searchsorted(group, groups_upto) - 1] = 3
+        written = "".join(chain.from_iterable(zip(map(str, ids.tolist()), map(",|;\0".__getitem__, mark.tolist())))).split("\0")
+        links, data = (8 * link_last).tolist(), pairs.tobytes()
+        many = np.diff(groups_upto, prepend=0).tolist()
+        yield from zip(a_many.tolist(), b_many.tolist(), many, written, [data[p:q] for p, q in zip([0, *links], links)])
+
+    def texts(self, texts: Iterable[str | None]) -> Iterator[list[tuple] | None]:
+        """What is known of the parts of each text; None if it has no tokens. Null and empty ones have none."""
+        held: list[list[str]] = []
+        size = 0
+        for text in texts:
+            held.append(self._parts(text) if text else [])
+            size += len(text or "")
+            if size >= _TOGETHER:
+                yield from self._known(held)
+                held, size = [], 0
+        yield from self._known(held)
+
+    def _known(self, texts: list[list[str]]) -> Iterator[list[tuple] | None]:
+        if len(self.known) > _PARTS:  # parts not met for a while are forgotten
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new = set().union(*texts).difference(known)
+        met = new.intersection(before)
+        known.update(zip(met, map(before.__getitem__, met)))
+        new = list(new.difference(met))
+        for at in range(0, len(new), _SIDE):
+            self._learn(new[at : at + _SIDE])
+        for parts in texts:
+            found = list(map(known.__getitem__, parts))
+            yield None if not found or None in found else found
+
+    def _parts(self, text: str) -> list[str]:
+        """The parts of a space and the text; most without the space they begin with."""
+        if _AMID.search(text):
+            return _CUT.split(" " + text)
+        return (text.replace("\n", " \n") if self.lines else text).split(" ")
 
 
 # corpus --------------------------------------------------------------------------------------------
@@ -168,18 +197,13 @@ _STAGED_DDL = ("block long, doc_ids array<long>, n_a array<long>, n_b array<long
                "groups_sha256 array<string>, a array<int>, b array<int>, n array<long>, codes binary")
 
 
-def _align_text(aligner: Aligner, text: str | None) -> tuple[tuple, list[bytes]]:
+def _figures(found: list[tuple] | None) -> tuple[tuple, bytes]:
     """(n_a, n_b, n_groups, n_links, groups_sha256) of a text, and the pairs of ids of its links."""
-    found = aligner.parts(text)
     if found is None:
-        return (0, 0, 0, 0, ""), []
-    digest, n_a, n_b, groups, pairs = hashlib.sha256(), 0, 0, 0, []
-    for some in found:
-        a, b, g, written, links = zip(*some)
-        digest.update(((";" if n_a else "") + ";".join(written)).encode())
-        n_a, n_b, groups = n_a + sum(a), n_b + sum(b), groups + sum(g)
-        pairs.append(b"".join(links))
-    return (n_a, n_b, groups, sum(map(len, pairs)) // 8, digest.hexdigest()), pairs
+        return (0, 0, 0, 0, ""), b""
+    a, b, groups, written, links = zip(*found)
+    pairs = b"".join(links)
+    return (sum(a), sum(b), sum(groups), len(pairs) // 8, hashlib.sha256(";".join(written).encode()).hexdigest()), pairs
 
 
 def _block(name: int, ids: list[int | None], rows: list[tuple], pairs: list[bytes]) -> pa.RecordBatch:
@@ -200,16 +224,16 @@ def stage(docs: DataFrame, a_path: str | None = None, b_path: str | None = None)
         ids, rows, pairs, size = [], [], [], 0
         for b in batches:
             aligner = aligner or Aligner(a_path, b_path)
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                text = text.as_py()
-                if ids and size + len(text) > _BLOCK:
+            lengths = pa.compute.utf8_length(b.column("text")).to_pylist()
+            for doc, length, found in zip(b.column("doc_id").to_pylist(), lengths, aligner.texts(t.as_py() for t in b.column("text"))):
+                if ids and size + length > _BLOCK:
                     yield _block(name, ids, rows, pairs)
                     ids, rows, pairs, size, name = [], [], [], 0, name + 1
-                row, links = _align_text(aligner, text)
+                row, links = _figures(found)
                 ids.append(doc)
                 rows.append(row)
-                pairs += links
-                size += len(text)
+                pairs.append(links)
+                size += length
         if ids:
             yield _block(name, ids, rows, pairs)
 
@@ -275,9 +299,8 @@ def token_groups(docs: DataFrame, a_path: str | None = None, b_path: str | None
         aligner = None
         for b in batches:
             aligner = aligner or Aligner(a_path, b_path)
-            for k, text in enumerate(b.column("text")):
-                found = aligner.parts(text.as_py())
-                written = ";".join(part[3] for some in found for part in some) if found else ""
+            for k, found in enumerate(aligner.texts(t.as_py() for t in b.column("text"))):
+                written = ";".join(part[3] for part in found) if found else ""
                 yield pa.RecordBatch.from_arrays([b.column("doc_id")[k : k + 1], pa.array([written])], names=["doc_id", "groups"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, groups string")
