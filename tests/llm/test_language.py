@@ -97,3 +97,22 @@ def test_every_label_is_learnt(spark):
     got = lg.language(docs).collect()
     rare = [r for r in got if truth[r.doc_id] >= "l200"]
     assert sum(r.lang_pred == truth[r.doc_id] for r in rare) / len(rare) > 0.95 and all(0 < r.score <= 1 for r in got)
+
+
+def test_more_languages_than_landmarks(monkeypatch):
+    monkeypatch.setattr(lg, "ALL_LANDMARKS", 8)
+    rng = random.Random(2)
+    own = {f"l{i:02}": [chr(0x4E00 + 3 * i + k) for k in range(3)] for i in range(20)}
+    flags = np.zeros(1 << lg.BITS, bool)
+    rows = [(lang, lg.grams(" ".join("".join(rng.choice(a) for _ in range(4)) for _ in range(20)).encode(), flags)) for lang, a in own.items() for _ in range(5)]
+    blocks = list(lg.fit_blocks(rows, size=6))
+    assert [m for b in blocks for m in b.languages] == sorted(own) and len(blocks) == 4
+
+
+def test_whole_texts_teach(spark):
+    """What tells two languages apart stands behind a long common beginning."""
+    rng = random.Random(4)
+    common = " ".join("".join(rng.choice("rst") for _ in range(4)) for _ in range(2000))
+    rows = [(i, common + " " + speech(rng, ("xx", "yy")[i % 2], 400), ("xx", "yy")[i % 2], "s", None) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert all(r.lang_pred == ("xx", "yy")[r.doc_id % 2] for r in lg.language(docs).collect())

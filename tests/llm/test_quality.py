@@ -81,3 +81,44 @@ def test_groups_of_padded_texts_do_not_change_scores(monkeypatch):
     whole = model.scores(texts)
     monkeypatch.setattr(ql, "CELLS", 1)
     assert np.allclose(model.scores(texts), whole)
+
+
+def test_blocks_of_lines_equal_the_whole_text():
+    rng = random.Random(1)
+    for text in (b"", b"\n", b"one", b"a\nbb\n\n\nccc dd\n", "\n".join(words(rng, rng.randint(0, 9)) for _ in range(200)).encode(), b"x\n" * 50):
+        x, size, _ = ql.line_features([text])
+        for most in (1, 7, 60, 10_000):
+            blocks = list(ql.line_blocks(text, most))
+            assert np.allclose(np.concatenate([b[0] for b in blocks]), x) and np.concatenate([b[1] for b in blocks]).tolist() == size.tolist()
+
+
+def test_long_texts_equal_short_ones(monkeypatch):
+    rng = random.Random(3)
+    r = np.random.default_rng(0)
+    width = 3 * ql.BASE + 3
+    model = ql.Model(r.normal(size=width), r.normal(size=(2, 2)), np.zeros(width), np.ones(width), (1.0, 0.0))
+    texts = ["\n".join(words(rng, rng.randint(0, 6)) for _ in range(n)).encode() for n in (1, 2, 3, 10, 77, 300)] + [b"\n" * 500, b"\nx"]
+    whole = model.scores(texts)
+    for long in (-1, 3, 90):
+        monkeypatch.setattr(ql, "LONG", long)
+        monkeypatch.setattr(ql.line_blocks, "__defaults__", (max(1, long),))
+        assert np.allclose(model.scores(texts), whole)
+
+
+def test_very_long_text_in_bounded_memory():
+    import tracemalloc
+
+    width = 3 * ql.BASE + 3
+    model = ql.Model(np.full(width, 0.1), np.eye(2), np.zeros(width), np.ones(width), (1.0, 0.0))
+    text = b"\n" * 10_000_000
+    tracemalloc.start()
+    assert 0 <= model.scores([text])[0] <= 1
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 500_000_000
+
+
+def test_fewer_documents_where_they_are_long(spark):
+    rows, labels, _ = case(spark, 200)
+    (x, size, lines), good, _ = ql.training_sample(frame(spark, rows), labels, sample_lines=60)
+    assert len(x) == len(size) == lines.sum() <= 120 and set(good) == {True, False}

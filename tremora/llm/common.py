@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tremora.session import materialise, scratch_path, scratch_root
@@ -24,6 +25,22 @@ def id_text(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def with_row(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that names every row, the same in each reading, and that column's name.
+
+    Rows of files are named by file and place in it; others are stored once under numbers.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    try:
+        file = F.col("_metadata.file_path")
+        return docs.withColumn(name, F.struct(
+            F.xxhash64(file).alias("a"), F.xxhash64(F.reverse(file)).alias("b"), F.col("_metadata.row_index").alias("at"))), name
+    except AnalysisException:
+        return materialise(docs.withColumn(name, F.struct(F.monotonically_increasing_id().alias("at"))), "numbered"), name
+
+
 def fold(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id written as text, modulo ``parts``; a null id gives null."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -59,7 +76,9 @@ class Shared:
         self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
     def get(self) -> object:
-        return pickle.loads(self.sent.value)
+        value = pickle.loads(self.sent.value)
+        vars(self.sent).pop("_value", None)  # the pickled bytes are read from the executor's file when asked for again
+        return value
 
 
 def utf8_texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:

@@ -25,9 +25,8 @@ SIZES = (2, 3, 4)
 BITS = 18  # grams are hashed into 2**BITS columns
 PER_LANGUAGE = 300  # learning texts of a language, the bound of the sample
 LANDMARKS = 64  # of these, per language
-ALL_LANDMARKS = 768  # with more than twelve languages each has fewer, but one at least
+ALL_LANDMARKS = 768  # with more than twelve languages each has fewer, and with more than 768 not every one has its own
 BLOCK_LANGUAGES = 64  # whose weights are sent and held at once
-MAX_SAMPLE_CHARS = 4_000  # of a text in the sample only; predictions read whole texts
 RIDGE = 1e-2
 SHARPNESS = 6.0  # of the softmax that turns margins into a score
 NONE = "und"
@@ -83,21 +82,20 @@ def _block(languages: list[str], columns: np.ndarray, marks: np.ndarray, dual: n
     return Model(languages, weights, bias)
 
 
-def fit_blocks(samples: Iterable[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE,
+def fit_blocks(samples: Iterable[tuple[str, np.ndarray]], landmarks: int = LANDMARKS, ridge: float = RIDGE,
                size: int = BLOCK_LANGUAGES) -> Iterator[Model]:
     """Nyström kernel ridge regression, one against the rest, on the driver: models of ``size`` languages each.
 
-    The samples are read three times, one text at a time; only landmarks, products of kernel
-    columns and their sums by language are held. All languages share the landmarks, so margins compare.
+    The samples, (language, gram columns), are read three times, one at a time; only landmarks, products of
+    kernel columns and their sums by language are held. All languages share the landmarks, so margins compare.
     """
     languages = sorted({lang for lang, _ in samples})
     each = min(landmarks, max(1, ALL_LANDMARKS // max(1, len(languages))))
-    flags = np.zeros(1 << BITS, bool)
-    own: dict[str, list[np.ndarray]] = {lang: [] for lang in languages}
-    for lang, text in samples:
-        if len(own[lang]) < each and len(row := grams(text, flags)):
+    own: dict[str, list[np.ndarray]] = {lang: [] for lang in languages[:: -(-len(languages) // ALL_LANDMARKS) or 1]}
+    for lang, row in samples:
+        if len(row) and len(own.get(lang, "." * each)) < each:
             own[lang].append(row)
-    picked = [row for lang in languages for row in own[lang]]
+    picked = [row for rows in own.values() for row in rows]
     if not picked:
         for at in range(0, len(languages), size):
             some = languages[at : at + size]
@@ -121,8 +119,8 @@ def fit_blocks(samples: Iterable[tuple[str, bytes]], landmarks: int = LANDMARKS,
     number = {lang: i for i, lang in enumerate(languages)}
     products, sums, many = np.zeros((half.shape[1],) * 2), np.zeros((len(languages), half.shape[1])), np.zeros(len(languages))
     waiting: list[np.ndarray] = []
-    for lang, text in samples:
-        z = kernel(grams(text, flags)) @ half
+    for lang, row in samples:
+        z = kernel(row) @ half
         sums[number[lang]] += z
         many[number[lang]] += 1
         waiting.append(z)
@@ -142,25 +140,37 @@ def fit_blocks(samples: Iterable[tuple[str, bytes]], landmarks: int = LANDMARKS,
 
 
 def fit_krr(samples: Sequence[tuple[str, bytes]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """One model of all languages."""
-    return next(fit_blocks(samples, landmarks, ridge, max(1, len(samples))))
+    """One model of all languages, from texts that are at hand."""
+    flags = np.zeros(1 << BITS, bool)
+    rows = [(lang, grams(text, flags)) for lang, text in samples]
+    return next(fit_blocks(rows, landmarks, ridge, max(1, len(samples))))
 
 
 class Stored:
-    """The learning texts of a table, read anew each time, by language and id."""
+    """The gram columns of the learning texts of a table, read anew each time, by language and id."""
 
     def __init__(self, df: DataFrame) -> None:
         self.df = df
 
-    def __iter__(self) -> Iterator[tuple[str, bytes]]:
+    def __iter__(self) -> Iterator[tuple[str, np.ndarray]]:
         for r in self.df.orderBy("label", "doc_id").toLocalIterator():
-            if has_letter(r["text"]):
-                yield r["label"], r["text"].encode()
+            yield r["label"], np.frombuffer(r["columns"], "<i4")
+
+
+def _gram_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Gram columns of whole texts; those without a letter teach nothing."""
+    flags = np.zeros(1 << BITS, bool)
+    for whole in batches:
+        for b in slices(whole, "text", 1 << 22):
+            texts = list(utf8_texts(b))
+            known = pa.array([has_letter(t.decode(errors="replace")) for t in texts], pa.bool_())
+            rows = pa.array([grams(t, flags).astype("<i4").tobytes() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), rows], names=["doc_id", "label", "columns"]).filter(known)
 
 
 def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Stored:
-    """At most ``per_language`` texts of every language of the learning folds, as if drawn at random;
-    those without a letter teach nothing."""
+    """At most ``per_language`` whole texts of every language of the learning folds, as if drawn at random, as gram
+    columns, of which there are at most 2**BITS a text."""
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").alias("label"))
     known = known.where(~held_out(4, 2)).where("label is not null and doc_id is not null")
     # of a large language, about four times as many as wanted are ordered
@@ -171,7 +181,8 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Stored
     first = Window.partitionBy("label").orderBy(sample_rank("doc_id"), "doc_id")
     ids = known.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).select("doc_id", "label")
     texts = id_text(docs).join(broadcast_if_small(ids), "doc_id")
-    return Stored(materialise(texts.select("doc_id", "label", F.substring("text", 1, MAX_SAMPLE_CHARS).alias("text")), "language-sample"))
+    rows = texts.select("doc_id", "label", "text").mapInArrow(_gram_rows, "doc_id long, label string, columns binary")
+    return Stored(materialise(rows, "language-sample"))
 
 
 def language(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS) -> DataFrame:
@@ -181,6 +192,9 @@ def language(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int =
     whose lang is not null. ``lang_pred`` is one of them, or ``und`` with score 0 if the text
     is null or has no letter, or if there is nothing to learn from. Ties go to the language
     that sorts first. Other columns are ignored.
+
+    At most ``per_language`` whole texts of a language are learnt from. Models of BLOCK_LANGUAGES
+    languages are sent out one by one; driver and tasks hold one at a time.
     """
     samples = training_sample(docs, per_language)
     # 2**BITS weights for each language, a block of them at a time
@@ -189,7 +203,7 @@ def language(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         only = blocks[0].get() if len(blocks) == 1 else None
         for whole in batches:
-            for b in slices(whole, "text", 1 << 22):
+            for b in slices(whole, "text", 1 << 22 if only else 1 << 24):
                 texts = list(utf8_texts(b))
                 known = np.array([has_letter(t.decode(errors="replace")) for t in texts], bool)
                 pred, score = np.full(len(texts), NONE, object), np.zeros(len(texts))
