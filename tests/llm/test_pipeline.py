@@ -63,4 +63,28 @@ def test_stages_on_awkward_rows(spark):
 def test_names():
     queries = entry.queries()
     assert "pipeline" in queries
-    assert [sum(bool(re.match(rf"op{n}_", q)) for q in queries) for n in range(1, 11)] == [1] * 10
+    assert [sum(bool(re.match(rf"op{n}_", q)) for q in queries) for n in range(1, 14)] == [1] * 13
+
+
+@pytest.mark.parametrize("files", [True, False])
+def test_rows_are_judged_one_by_one(spark, tmp_path, files):
+    """Repeated rows, one id on two texts, rows without id: of copies one row stays, and no clean row goes with another."""
+    import random
+
+    from cases import frame, stored, words
+
+    rng = random.Random(0)
+    a, b, c, d = (words(rng, 60, letters) for letters in ("abcd", "efgh", "ijkl", "mnop"))
+    item = max((r.text for r in table(spark, TABLES, "benchmark").collect()), key=len)
+    rows = [(1, a), (1, a), (3, " " + a), (3, b), (None, a), (None, c), (4, item), (4, d), (None, item), (None, item)]
+    docs = frame(spark, rows, ("row", "_row"))
+    docs = stored(docs, tmp_path) if files else docs
+    stages = dict(corpus_pipeline.STAGES)
+    left = {name: stages[name](spark, docs, TABLES) for name in ("exact_dedup", "near_dedup", "decontaminate")}
+    assert all(df.columns == docs.columns for df in left.values())
+    texts = {name: sorted((r.text for r in df.collect())) for name, df in left.items()}
+    assert texts["exact_dedup"] == sorted([" " + a, b, c, d, item])
+    assert texts["near_dedup"] == sorted([a, b, c, d, item])
+    assert texts["decontaminate"] == sorted([a, a, " " + a, b, a, c, d])
+    ids = lambda name, text: [r.doc_id for r in left[name].collect() if r.text == text]
+    assert ids("exact_dedup", " " + a) == [3] and ids("near_dedup", a) == [1] and ids("exact_dedup", item) == ids("near_dedup", item) == [4]

@@ -3,29 +3,32 @@
 The words of the benchmark items, read one item after the other, form one automaton
 over word numbers that accepts every substring of every item. Documents stream through
 it: the longest match that ends at each word is tracked, and the words under a match
-that is long enough (13 words, or a whole shorter item) are marked. The automaton is
-built from a bounded number of words at a time (``shard_words``); a larger benchmark
-gives several automata, which are shipped and applied one after the other, so neither
-driver nor executors ever hold more than one.
+that is long enough (13 words, or a whole shorter item) are marked. An automaton is
+built, in a task, from a bounded number of words (``shard_words``); a larger benchmark
+gives several. They are broadcast one by one, and documents pass once: some megabytes of texts
+are cut into words and shown to one automaton after the other, of which a task holds one.
 """
 
 from __future__ import annotations
 
-import hashlib
+import pickle
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from tremora.llm.common import Shared, id_text, utf8_texts
+from tremora.llm.common import id_text, materialise, slices, utf8_texts
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 WINDOW = 13
 COVERAGE = 20  # contaminated if hit words make up a 20th of all words
 SHARD_WORDS = 400_000
+_TOGETHER = 1 << 24  # bytes of texts shown to one automaton before the next
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -165,135 +168,158 @@ def find_hits(words: list[bytes], index: Index, window: int = WINDOW) -> tuple[l
     return spans, items
 
 
-def _span_schema() -> tuple[pa.Schema, str]:
-    return (
-        pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()),
-                   ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))]),
-        "doc_id long, row long, n_words long, starts array<int>, ends array<int>, items array<string>",
-    )
+def find_all(texts: Iterable[bytes], indexes: Iterable[Index], window: int = WINDOW) -> list[tuple[int, list[tuple[int, int]], list[str]]]:
+    """(words, merged hit spans, items) of each text, by one index after the other."""
+    found: list[tuple[list[bytes], list[tuple[int, int]], set[str]]] = [(words_of(t), [], set()) for t in texts]
+    many = 0
+    for many, index in enumerate(indexes, 1):
+        for words, spans, items in found:
+            own, names = find_hits(words, index, window)
+            spans += own
+            items |= names
+    return [(len(words), spans if many < 2 else _merged(spans), sorted(items)) for words, spans, items in found]
 
 
-def _spans_with(docs: DataFrame, index: Index | None, window: int) -> DataFrame:
-    schema, ddl = _span_schema()
-    shared = Shared(docs.sparkSession, index)  # at most shard_words words
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
 
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.get()
-        for b in batches:
-            found = []
-            for text in utf8_texts(b):
-                words = words_of(text)
-                spans, items = find_hits(words, index, window) if index else ([], set())
-                found.append((len(words), [a for a, _ in spans], [e for _, e in spans], sorted(items)))
-            n, starts, ends, items = zip(*found) if found else ((), (), (), ())
-            arrays = [b.column("doc_id"), b.column("row"), pa.array(n, pa.int64()), pa.array(starts, schema.field("starts").type),
-                      pa.array(ends, schema.field("ends").type), pa.array(items, schema.field("items").type)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-    return docs.mapInArrow(find, ddl)
-
-
-def item_shards(benchmark: DataFrame, shard_words: int = SHARD_WORDS) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in parts of at most about ``shard_words`` words, fetched one partition at a time."""
-    part, size = [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("i"), F.coalesce("text", F.lit("")).alias("t"))
-    for r in rows.where("i is not null").toLocalIterator():
-        text = r.t.encode()
-        part.append((r.i, text))
-        size += len(words_of(text))
-        if size >= shard_words:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
-
-
-def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """doc_id, row, n_words, starts, ends, items: merged hit spans, in words, of every document.
-
-    ``row`` tells rows apart that repeat a doc_id. Null texts and items have no words;
-    items without id are left out, items that repeat an id count as that one item.
+
+class Indexes:
+    """Pickled indexes as broadcast variables, of which a task holds one at a time (a single one it keeps)."""
+
+    def __init__(self, sent: list[Broadcast]) -> None:
+        self.sent, self.kept = sent, None
+
+    def __iter__(self) -> Iterator[Index]:
+        for one in self.sent:
+            index = self.kept or pickle.loads(one.value)
+            if len(self.sent) == 1:
+                self.kept = index
+            vars(one).pop("_value", None)  # it is read from the executor's file when it is asked for again
+            yield index
+
+    def __reduce__(self) -> tuple:
+        return Indexes, (self.sent,)
+
+
+def index_shards(benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(shard, index): pickled indexes of about ``shard_words`` words of items each (one item at least), built in tasks. Stored.
+
+    Items without id are left out; items that repeat an id count as that one item; null texts have no words.
     """
-    schema_ddl = _span_schema()[1]
-    rows = id_text(docs).withColumn("row", F.monotonically_increasing_id())
-    indexes = filter(None, (build_index(p, window) for p in item_shards(benchmark, shard_words)))
-    found = [_spans_with(rows, index, window) for index in indexes]
-    if not found:
-        return _spans_with(rows, None, window)
-    if len(found) == 1:
-        return found[0]
-    every = found[0]
-    for more in found[1:]:
-        every = every.union(more)
-    together = every.groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"),  # one list per automaton
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-
-    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce("text", F.lit("")).alias("text")).where("item is not null")
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")))).first()[0] or 0
+    shards = -(-words // shard_words)
+
+    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            index = build_index(held, window) if held else None
+            if index:
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([cloudpickle.dumps(index)], pa.binary())], names=["shard", "index"])
+
         for b in batches:
-            starts, ends = [], []
-            for spans in b.column("spans").to_pylist():
-                merged: list[list[int]] = []
-                for a, e in sorted((s["starts"], s["ends"]) for s in spans):
-                    if merged and a <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], e)
-                    else:
-                        merged.append([a, e])
-                starts.append([a for a, _ in merged])
-                ends.append([e for _, e in merged])
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": b.column("doc_id"), "row": b.column("row"), "n_words": b.column("n_words"),
-                "starts": pa.array(starts, pa.list_(pa.int32())), "ends": pa.array(ends, pa.list_(pa.int32())),
-                "items": b.column("items")})
-
-    return together.mapInArrow(merge, schema_ddl)
+            for own, item, text in zip(b.column("shard").to_pylist(), b.column("item").to_pylist(), utf8_texts(b)):
+                if own != shard:
+                    yield from done()
+                    shard, held = own, []
+                held.append((item, text))
+        yield from done()
+
+    dealt = items.withColumn("shard", F.pmod(F.xxhash64("item"), F.lit(max(1, shards))))
+    dealt = dealt.repartition(max(1, shards), "shard").sortWithinPartitions("shard", "item", "text")
+    return materialise(dealt.mapInArrow(build, "shard long, index binary"), "benchmark-index")
+
+
+def send_indexes(benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> Indexes:
+    """The indexes as broadcast variables; the driver holds one at a time."""
+    spark = benchmark.sparkSession
+    rows = index_shards(benchmark, window, shard_words).select("index").toLocalIterator()
+    return Indexes([spark.sparkContext.broadcast(bytes(r["index"])) for r in rows])
+
+
+def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS,
+                       row: str | None = None) -> DataFrame:
+    """doc_id, n_words, starts, ends, items: merged hit spans, in words, of every row of ``docs``, in one pass.
+
+    Null texts and items have no words. ``row`` names a column that comes back as it is.
+    """
+    indexes = send_indexes(benchmark, window, shard_words)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                       *([F.col(row).alias("row")] if row else []))
+    kept = [f for f in rows.schema if f.name != "text"]
+    schema = StructType([*kept, *StructType.fromDDL("n_words long, starts array<int>, ends array<int>, items array<string>")])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, "text", _TOGETHER):
+                found = find_all(utf8_texts(b), indexes, window)
+                arrays = [b.column(f.name) for f in kept] + [
+                    pa.array([n for n, _, _ in found], pa.int64()), pa.array([[a for a, _ in x] for _, x, _ in found], pa.list_(pa.int32())),
+                    pa.array([[e for _, e in x] for _, x, _ in found], pa.list_(pa.int32())), pa.array([i for _, _, i in found], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: int = COVERAGE,
-                  shard_words: int = SHARD_WORDS) -> DataFrame:
+                  shard_words: int = SHARD_WORDS, row: str | None = None) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of ``docs``.
 
     A text is contaminated if it has hit words and they are at least one in ``coverage``.
-    A null or empty text, or one without words, has no hits.
+    A null or empty text, or one without words, has no hits. Rows are judged one by one;
+    ``row`` names a column that comes back with them, as ``row``.
     """
     hit = F.aggregate(F.zip_with("starts", "ends", lambda a, e: (e - a).cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
-    return contaminated_spans(docs, benchmark, window, shard_words).withColumn("n_hit", hit).select(
+    return contaminated_spans(docs, benchmark, window, shard_words, row).withColumn("n_hit", hit).select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words"))).alias("contaminated"),
+        ((F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words"))).alias("contaminated"), *(["row"] if row else []),
     )
 
 
-def strip_spans(text: str, starts: Iterable[int], ends: Iterable[int], coverage: int = COVERAGE) -> str | None:
+def strip_spans(raw: bytes, spans: list[tuple[int, int]], coverage: int = COVERAGE) -> bytes | None:
     """The text without its hit words, or None if they make up a ``coverage``-th of it or more.
 
     What stands between the words of a span goes with it; the rest is left as it is.
     """
-    raw = text.encode()
+    if not spans:
+        return raw
     at = [m.span() for m in WORD.finditer(raw.lower())]
-    spans = list(zip(starts, ends))
-    if spans and sum(e - a for a, e in spans) * coverage >= len(at):
+    if sum(e - a for a, e in spans) * coverage >= len(at):
         return None
     out, last = [], 0
     for a, e in spans:
         out.append(raw[last : at[a][0]])
         last = at[e - 1][1]
-    return b"".join([*out, raw[last:]]).decode(errors="replace")
+    return b"".join([*out, raw[last:]])
 
 
-def decontaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: int = COVERAGE) -> DataFrame:
-    """doc_id and the text left: contaminated documents go, shorter hits are cut out of the others.
+def decontaminated_texts(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: int = COVERAGE,
+                         shard_words: int = SHARD_WORDS) -> DataFrame:
+    """doc_id and the text left, row by row, in one pass: contaminated rows go, shorter hits are cut out of the others.
 
-    Needs one doc_id per row.
+    A null text stays as an empty one.
     """
-    spans = contaminated_spans(docs, benchmark, window).select("doc_id", "starts", "ends")
-    strip = F.udf(lambda t, a, e: strip_spans(t, a, e, coverage), "string")
-    hit = spans.where(F.size("starts") > 0)
-    clean = id_text(docs).join(hit, "doc_id", "left")
-    return clean.withColumn("text", F.when(F.col("starts").isNull(), F.col("text")).otherwise(
-        strip("text", F.coalesce("starts", F.array().cast("array<int>")), F.coalesce("ends", F.array().cast("array<int>")))
-    )).where("text is not null").select("doc_id", "text")
+    indexes = send_indexes(benchmark, window, shard_words)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, "text", _TOGETHER):
+                texts = list(utf8_texts(b))
+                left = [strip_spans(t, spans, coverage) for t, (_, spans, _) in zip(texts, find_all(texts, indexes, window))]
+                kept = pa.array([t is not None for t in left])
+                text = pa.array([t.decode(errors="replace") for t in left if t is not None], pa.string())
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").filter(kept), text], names=["doc_id", "text"])
+
+    return id_text(docs).mapInArrow(run, "doc_id long, text string")
 
 
 ORACLE = r"""

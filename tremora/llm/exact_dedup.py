@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tremora.llm.common import id_text, materialise
+from tremora.llm.common import materialise
 
 SPACE = r"[\x20\x09-\x0D]"
 KEY = ("digest", "check", "size")
@@ -28,16 +28,19 @@ def _best() -> Column:
     return F.max("best").alias("best")
 
 
-def digest_rows(docs: DataFrame, bits: int) -> DataFrame:
+def digest_rows(docs: DataFrame, bits: int, row: str | None = None) -> DataFrame:
     """doc_id, key, run (the input partition folded to ``bits`` bits) and the offer of each row."""
     norm = F.regexp_replace("text", SPACE, "")
-    return id_text(docs).select(
-        "doc_id", F.length("text").alias("n_chars"), norm.alias("norm"),
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+                        *([F.col(row).alias("row")] if row else []))
+    own = ["row"] if row else []
+    return texts.select(
+        "doc_id", *own, F.length("text").alias("n_chars"), norm.alias("norm"),
         F.spark_partition_id().bitwiseAND(F.lit((1 << bits) - 1)).alias("run"),
     ).select(
-        "doc_id", "run", F.unhex(F.sha2("norm", 256)).alias("digest"), F.xxhash64("norm").alias("check"),
+        "doc_id", *own, "run", F.unhex(F.sha2("norm", 256)).alias("digest"), F.xxhash64("norm").alias("check"),
         F.octet_length("norm").alias("size"),
-        F.struct(F.col("n_chars"), F.bitwise_not("doc_id").alias("rev")).alias("best"),
+        F.struct(F.col("n_chars"), F.bitwise_not("doc_id").alias("rev"), *own).alias("best"),
     )
 
 
@@ -54,16 +57,22 @@ def merge_runs(leaves: DataFrame, bits: int, width_bits: int = 4) -> DataFrame:
     return level
 
 
-def exact_dedup(docs: DataFrame, bits: int | None = None, width_bits: int = 4) -> DataFrame:
+def exact_dedup(docs: DataFrame, bits: int | None = None, width_bits: int = 4, row: str | None = None) -> DataFrame:
     """One row per row of ``docs``: which document of its group of equal texts stays.
 
     Texts are equal if identical after deleting space, tab, LF, VT, FF and CR. The row
     with the most code points in its original text stays; of those, the smallest id.
 
     Returns doc_id, keep_id, group_size, kept, text_sha256. A null text counts as empty;
-    empty texts form a group like any other. A row without id stays only if its whole
-    group has none. Rows repeating one doc_id and text share one verdict and all count in
-    group_size. Other columns are ignored.
+    empty texts form a group like any other. Of rows with equally many code points, those
+    without id come last; one with the most stays, and keep_id is then null for the whole group.
+    Rows of one doc_id and text share one verdict and all count in group_size. Other columns are ignored.
+
+    ``row`` names a column that is different in every row (of an orderable type). It comes back as
+    ``row``, and ``kept`` is then true for one row of each group only.
+
+    Runs are kept as rows under a label, not as files; a merge is one aggregation by label and digest,
+    which sorts what it takes in.
 
     ``bits``: log2 of the number of runs; by default it follows the session's shuffle
     partitions, with 64 runs at least.
@@ -71,14 +80,16 @@ def exact_dedup(docs: DataFrame, bits: int | None = None, width_bits: int = 4) -
     spark = docs.sparkSession
     if bits is None:
         bits = max(6, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    rows = materialise(digest_rows(docs, bits), "digests")  # texts are read once
+    rows = materialise(digest_rows(docs, bits, row), "digests")  # texts are read once
     leaves = rows.groupBy("run", *KEY).agg(_best(), F.count(F.lit(1)).alias("n"))
     final = merge_runs(leaves, bits, width_bits).select(
-        *KEY, F.bitwise_not(F.col("best.rev")).alias("keep_id"), F.col("n").alias("group_size"))
+        *KEY, F.bitwise_not(F.col("best.rev")).alias("keep_id"), F.col("n").alias("group_size"),
+        *([F.col("best.row").alias("keep_row")] if row else []))
     answers = leaves.select("run", *KEY).join(final, list(KEY))
     return rows.join(answers, ["run", *KEY]).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
+        "doc_id", "keep_id", "group_size",
+        (F.col("row") == F.col("keep_row") if row else F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"), *(["row"] if row else []),
     )
 
 

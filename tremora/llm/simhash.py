@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tremora.llm.common import id_text, materialise, utf8_texts
+from tremora.llm.common import materialise, utf8_texts
 from tremora.llm.components import components
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -57,18 +58,19 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big")
 
 
-_FP = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-
-
 def _fingerprint_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fps = np.fromiter((fingerprint(t) for t in utf8_texts(b)), np.uint64, b.num_rows)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], schema=_FP)
+        kept = [c for c in b.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), pa.array(fps.view(np.int64))], names=[*kept, "fp"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row."""
-    return id_text(docs).mapInArrow(_fingerprint_batches, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, ``row`` if it is named, and fp (the 64 bits as a signed long) of every row."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *([F.col(row).alias("row")] if row else []),
+                        F.coalesce("text", F.lit("")).alias("text"))
+    kept = [f for f in texts.schema if f.name != "text"]
+    return texts.mapInArrow(_fingerprint_batches, StructType([*kept, StructField("fp", LongType())]))
 
 
 _VARIANT = pa.schema([("key", pa.int32()), ("fp", pa.int64())])
@@ -193,7 +195,7 @@ def fingerprint_links(distinct: DataFrame, crowd: int = CROWD) -> DataFrame:
     return links if crowded is None else links.union(_crowded_links(crowded))
 
 
-def simhash_components(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+def simhash_components(docs: DataFrame, crowd: int = CROWD, row: str | None = None) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs``.
 
     Fingerprints link at four or fewer differing bits; component_id is the smallest
@@ -201,16 +203,25 @@ def simhash_components(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     like any other; null counts as empty. A row without id gets its component's
     smallest id (null if no member has one). Rows repeating one doc_id each come back.
     Other columns are ignored.
+
+    ``row`` names a column that is different in every row (of an orderable type). It comes back as
+    ``row``, with ``kept``, true for one row of each component: the first one of the smallest id,
+    rows without id last.
     """
-    rows = materialise(fingerprints(docs), "fingerprints")
-    distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
+    rows = materialise(fingerprints(docs, row), "fingerprints")
+    least_of = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row") if row else "doc_id")
+    distinct = materialise(rows.groupBy("fp").agg(least_of.alias("rep")), "distinct")
     linked = components(fingerprint_links(distinct, crowd))
     named = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_fp = named.join(least, "root").select("fp", "component_id")
+    least = named.groupBy("root").agg(F.min("rep").alias("least"))
+    by_fp = named.join(least, "root").select("fp", "least")
     # copies share a fingerprint, so the answers go to at most SALTS parts of each, and from there to the rows
-    many = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    many = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", *(["row"] if row else [])), F.lit(SALTS)).cast("int"))
     parts = many.select("fp", "salt").distinct().join(by_fp, "fp")
-    return many.join(parts.hint("merge"), ["fp", "salt"]).select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found = many.join(parts.hint("merge"), ["fp", "salt"])
+    fingerprint_text = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    if not row:
+        return found.select("doc_id", fingerprint_text, F.col("least").alias("component_id"))
+    return found.select("doc_id", fingerprint_text, F.col("least.doc_id").alias("component_id"),
+                        (F.col("row") == F.col("least.row")).alias("kept"), "row")
