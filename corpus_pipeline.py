@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir) and all documents its predecessor kept; its
 result is written as Parquet and read again as the next one's ``docs``. All but the
-last return the columns they were given.
+last return the columns they were given. Every row is judged by itself, whatever its doc_id.
 """
 
 from __future__ import annotations
@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tremora.llm import decontaminate, exact_dedup, packing, simhash, toxicity
-from tremora.llm.common import materialise, table
+from tremora.llm.common import materialise, table, with_row
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is in ``ids``; rows without id stay."""
-    gone = ids.select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def _without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows named in ``gone``, and without the column that names them."""
+    gone = gone.select(F.col("row").alias("_gone"))
+    return docs.join(gone, docs[row] == gone["_gone"], "left_anti").drop(row)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,20 +29,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents equal but for white space, the one that exact_dedup keeps."""
-    return _without(docs, exact_dedup.exact_dedup(docs).where("not kept and doc_id is not null"))
+    """Of rows equal but for white space, the one that exact_dedup keeps."""
+    docs, row = with_row(docs)
+    return _without(docs, row, exact_dedup.exact_dedup(docs, row=row).where("not kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies, the document with the smallest id."""
-    found = simhash.simhash_components(docs)
-    return _without(docs, found.where("doc_id <> component_id"))
+    """Of each component of near copies, the row with the smallest id."""
+    docs, row = with_row(docs)
+    return _without(docs, row, simhash.simhash_components(docs, row=row).where("not kept"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark items; those that stay are unchanged."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    """Rows that are not contaminated by benchmark items; those that stay are unchanged."""
+    docs, row = with_row(docs)
+    return _without(docs, row, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), row=row).where("contaminated"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
