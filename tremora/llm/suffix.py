@@ -87,32 +87,42 @@ def _induce(s: np.ndarray, small: np.ndarray, sizes: np.ndarray, lms: np.ndarray
     return sa
 
 
-def _digits(names: np.ndarray) -> tuple[np.ndarray, int]:
-    """Names as numbers of equally many digits below SYMBOLS, one after the other and an end mark; and how many.
+def _by_doubling(s: np.ndarray) -> np.ndarray:
+    """Suffix array by doubling ranks; only suffixes that are still tied are sorted again.
 
-    Suffixes that begin with a whole name keep their order.
+    A rank is the place of the first suffix of a tie. Rounds grow with the logarithm of
+    the longest repeat.
     """
-    base, many = SYMBOLS - 1, 1
-    while base**many <= int(names.max()):
-        many += 1
-    out = np.zeros(many * len(names) + 1, np.int32)
-    rest = names.astype(np.int64)
-    for k in range(many - 1, -1, -1):
-        out[k:-1:many] = rest % base + 1
-        rest //= base
-    return out, many
+    n = len(s)
+    sizes = np.bincount(s)
+    rank = (np.cumsum(sizes) - sizes)[s].astype(np.int64)
+    tied = np.flatnonzero(sizes[s] > 1)
+    step = 1
+    while len(tied):
+        far = tied + step  # the last symbol is unique, so a tied suffix reaches that far
+        key = rank[tied] * (n + 1) + np.where(far < n, rank[np.minimum(far, n - 1)] + 1, 0)
+        order = np.argsort(key)
+        tied, key = tied[order], key[order]
+        old = rank[tied]
+        i = np.arange(len(tied))
+        fresh = np.concatenate([[True], key[1:] != key[:-1]])
+        group = np.concatenate([[True], old[1:] != old[:-1]])
+        at = np.maximum.accumulate(np.where(fresh, i, 0))
+        rank[tied] = old + at - np.maximum.accumulate(np.where(group, i, 0))
+        alone = fresh & np.concatenate([fresh[1:], [True]])
+        tied = tied[~alone]
+        step *= 2
+    sa = np.empty(n, np.int32)
+    sa[rank] = np.arange(n)
+    return sa
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
-    """Suffix array of at most SYMBOLS symbols that end in a smallest one found nowhere else.
-
-    The string of names of the leftmost-smaller substrings is sorted in the same way, spelled in
-    digits where there are more names than symbols.
-    """
+    """Suffix array of symbols that end in a smallest one found nowhere else."""
     if len(s) == 1:
         return np.zeros(1, np.int32)
-    if int(s.max()) >= SYMBOLS:
-        raise ValueError("too many symbols")
+    if int(s.max()) >= SYMBOLS:  # only strings of names, which are as short as their substrings are long
+        return _by_doubling(s)
     small = _types(s)
     sizes = np.bincount(s)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
@@ -139,10 +149,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     names = np.empty(len(lms), np.int32)
     names[place[ordered]] = np.concatenate([[0], np.cumsum(~same)])
     if names.max() + 1 < len(lms):
-        spelled, many = (names, 1) if names.max() < SYMBOLS else _digits(names)
-        inner = suffix_array(spelled)
-        whole = inner[(inner % many == 0) & (inner < many * len(names))] // many
-        ordered = lms[whole]
+        ordered = lms[suffix_array(names)]
     return _induce(s, small, sizes, ordered)
 
 
