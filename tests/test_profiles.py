@@ -139,3 +139,40 @@ def test_grouped_products(spark):
     z = np.concatenate([(x - [1, 0, 0, 0]) / [2, 1, 1, 1], np.ones((300, 1))], axis=1)
     for k in range(-1, 3):
         assert np.allclose(got[k + 1], z[g == k].T @ z[g == k])
+
+
+def test_selected_quantiles_equal_percentile(spark):
+    """Ties, nulls, both infinities, subnormal and huge values, a constant and an empty column; few bins, so many passes."""
+    rng = random.Random(0)
+    inf = float("inf")
+    wide = [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(300)] + [5e-324, -5e-324, 1.7e308, -1.7e308]
+    ties = [float(rng.choice([0, 0, 0, 1, 2])) for _ in wide]
+    data = [(w, t, None if i % 3 else w, 4.0, None, inf if i == 7 else -inf if i == 8 else t) for i, (w, t) in enumerate(zip(wide, ties))]
+    df = spark.createDataFrame(data, "w double, t double, n double, c double, e double, i double").repartition(4)
+    probs = (0.0, 0.01, 0.25, 0.5, 0.75, 1.0)
+    want = {r.feature: (r.n, r.q) for r in qs.quantiles(df, ["w", "t", "n", "c", "i"], probs).collect()}
+    for bins in (2, 16, 1024):
+        got = {r.feature: (r.n, r.q) for r in qs.selected_quantiles(df, ["w", "t", "n", "c", "e", "i"], probs, bins).collect()}
+        assert set(got) == set(want)
+        for c in want:
+            assert got[c][0] == want[c][0]
+            for a, b in zip(got[c][1], want[c][1]):
+                assert a == b or abs(a - b) <= 1e-12 * abs(b), c
+
+
+def test_sketches_merge(spark):
+    df = spark.range(20_000).selectExpr("id % 4 as part", "cast(id as double) as v", "cast(null as double) as e")
+    parts = qs.value_sketches(df, ["v", "e"], ["part"], 200)
+    assert rows(parts.select("part", "feature", "n")) == [(p, "v", 5000) for p in range(4)]
+    n, q = qs.sketched_quantiles(qs.merged_sketches(parts), (0.1, 0.5, 0.9)).select("n", "q").first()
+    assert n == 20_000
+    for p, v in zip((0.1, 0.5, 0.9), q):
+        assert abs(v / 20_000 - p) <= 2 * qs.rank_error(200)
+
+
+def test_pair_points_of_few_rows(spark):
+    df = spark.range(500).selectExpr("id", "id * 2.0 as a", "id * 3.0 as t")
+    few = rows(reshape.pair_points(df, ["a"], ["t"], ["id"], 20))
+    assert len(few) == 20 and few == rows(reshape.pair_points(df.repartition(7), ["a"], ["t"], ["id"], 20))
+    assert reshape.pair_points(df, ["a"], ["t"], ["id"], None).count() == 500
+    assert reshape.pair_points(df, ["a"], ["t"], rows=3).count() == 3

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tremora.operators import rows as ops
 from tremora.session import scratch_root
-from tremora.sources import readings, stages, waveforms
+from tremora.sources import files, readings, stages, waveforms
 
 
 @pytest.fixture
@@ -127,3 +127,80 @@ def test_scratch_has_an_owner_and_an_end(spark, tmp_path):
 def test_scratch_root_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert scratch_root(spark) == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
+
+
+def test_rows_of_a_cut_file_are_read_once(spark, tmp_path):
+    """Parts of any size, quoted and missing values, long and short rows, line ends of either kind, no last line end."""
+    lines = [f'{i},"a ""b"" {i}",' + ("" if i % 3 else str(i / 2)) for i in range(300)]
+    lines[7], lines[8] = "7", "8,x,4.0,too,many"
+    (tmp_path / "x (d) One.csv").write_text("id,Measurement,data\n" + "\n".join(lines))
+    (tmp_path / "y (d) Two.csv").write_bytes(b"\xef\xbb\xbfdata,id\r\n1.5,900\r\n2.5,901\r\n")
+    (tmp_path / "z (d) Three.csv").write_text("id,data")
+    (tmp_path / "empty (d) Four.csv").write_text("")
+    want = None
+    for size in (1 << 20, 4000, 97, 1):
+        got = rows(readings.read_readings(spark, str(tmp_path), "d", part_bytes=size).select("id", "Measurement", "data", "location"))
+        want = want or got
+        assert got == want and len(got) == 302
+    by_id = {r[0]: r for r in want}
+    assert by_id[3] == (3, 'a "b" 3', 1.5, "One") and by_id[4][2] is None and by_id[7] == (7, None, None, "One") and by_id[8] == (8, "x", 4.0, "One")
+    assert by_id[901] == (901, None, 2.5, "Two")
+
+
+def test_many_small_files_are_one_job(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "PART_FILES", 100)
+    for i in range(450):
+        (tmp_path / f"{i} (d) One.csv").write_text(f"id,data\n{i},{i}.5\n")
+    df = readings.read_readings(spark, str(tmp_path), "d")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("many files", "")
+    try:
+        assert df.count() == 450 and df.rdd.getNumPartitions() == 5
+        jobs_run = tracker.getJobIdsForGroup("many files")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs_run) <= 2
+
+
+def test_patterns_lists_and_missing_folders(spark, tmp_path):
+    for name in ("a (d) One.csv", "b (d) Two.csv", "_hidden (d) X.csv"):
+        (tmp_path / name).write_text("id,data\n1,1\n")
+    read = lambda path: readings.read_readings(spark, path, "d").count()
+    assert read(str(tmp_path)) == 2 and read(f"file://{tmp_path}") == 2 and read(f"{tmp_path}/a*") == 1
+    assert read([f"{tmp_path}/a (d) One.csv", f"{tmp_path}/b (d) Two.csv"]) == 2
+    with pytest.raises(Exception, match="nowhere"):
+        read(str(tmp_path / "nowhere"))
+
+
+def test_a_recording_in_pieces(spark, tmp_path):
+    import numpy as np
+
+    deep = tmp_path / "deep"
+    deep.mkdir()
+    samples = np.arange(1000, dtype="<f4")
+    (deep / "dev_20250401_120000.Single").write_bytes(np.float32(200).tobytes() + samples.tobytes())
+    (tmp_path / "dev_20250401_120001.single").write_bytes(np.float32(50).tobytes() + samples[:1].tobytes())
+    (tmp_path / "bad_20250401_120002.Single").write_bytes(b"12345")
+    (tmp_path / "none_20250401_120003.Single").write_bytes(b"")
+    (tmp_path / "dev_none.Single").write_bytes(samples.tobytes())
+    for size in (1, 60, 4004, 1 << 20):
+        got = waveforms.scan_waveform_parts(spark, str(tmp_path), size).orderBy("timestamp", "start").collect()
+        own = [r for r in got if r.fs == 200]
+        assert np.array_equal(np.concatenate([r.axisY for r in own]), samples) and [r.start for r in own] == np.cumsum([0, *map(lambda r: len(r.axisY), own)])[:-1].tolist()
+        assert len(own) == -(-1000 // max(1, size // 4))
+        assert [(r.start, r.axisY) for r in got if r.fs == 50] == [(0, [0.0])]
+        assert sum(r.fs is None and r.axisY is None for r in got) == 2
+
+
+def test_a_second_run_reads_new_recordings_only(spark, tmp_path):
+    from tremora.streaming import jobs
+
+    base = tmp_path / "waves"
+    (base / "a").mkdir(parents=True)
+    where = {"sink": str(tmp_path / "sink"), "checkpoint": str(tmp_path / "state")}
+    for n, name in ((1, "one.json"), (2, "two.JSON")):
+        (base / "a" / name).write_text('{"axisX": [0, 1], "axisY": [1, 2]}' if n == 1 else "not json")
+        table = jobs.run_available(jobs.ingest(waveforms.waveform_json_stream(spark, str(base))), "waves", **where)
+        assert table.count() == n
+    assert table.select("ingest_time").distinct().count() == 2
+    assert {r.file_name: r.axisY for r in table.collect()} == {"one.json": [1.0, 2.0], "two.JSON": None}

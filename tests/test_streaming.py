@@ -7,7 +7,7 @@ from helpers import at, rows
 from pyspark.sql import functions as F
 
 from tremora.operators import buckets, timeseries
-from tremora.streaming import jobs
+from tremora.streaming import identities, jobs, levels, live
 
 SCHEMA = "device string, location string, datetime timestamp_ntz, v double, p double"
 
@@ -82,7 +82,7 @@ def test_resample_equals_batch(spark, tmp_path):
     path = str(tmp_path / "in")
     half = len(data) // 2
     batches(spark, path, [data[:half], data[half:]])
-    got = jobs.resample_available(stream(spark, path, files_per_trigger=1), "15 minutes", ["v"])
+    got = levels.resample_available(stream(spark, path, files_per_trigger=1), "15 minutes", ["v"])
     want = timeseries.resample(spark.createDataFrame(data, SCHEMA), "15 minutes", ["v"]).toPandas()
     want = want.sort_values(["location", "datetime"])
     have = got.withColumn("datetime", F.col("datetime").cast("timestamp_ntz")).toPandas().sort_values(["location", "datetime"])
@@ -124,9 +124,9 @@ def test_files_in_reverse_time_order_lose_nothing(spark, tmp_path):
     want["dedup"] = rows(batch.dropDuplicates(identity))
     runs = {
         "buckets": lambda s, **kw: jobs.buckets_available(s, ["v"], ["p"], 20, **kw).select(*names),
-        "resample": lambda s, **kw: jobs.resample_available(s, "15 minutes", ["v"], **kw).selectExpr(
+        "resample": lambda s, **kw: levels.resample_available(s, "15 minutes", ["v"], **kw).selectExpr(
             "location", "cast(datetime as timestamp_ntz) datetime", "round(v, 9)"),
-        "dedup": lambda s, **kw: jobs.dedup_available(s, identity, **kw),
+        "dedup": lambda s, **kw: identities.dedup_available(s, identity, **kw),
     }
     path = str(tmp_path / "in")
     where = {k: {n: str(tmp_path / k / n) for n in ("sink", "checkpoint")} for k in runs}
@@ -137,3 +137,95 @@ def test_files_in_reverse_time_order_lose_nothing(spark, tmp_path):
     assert got == want
     batches(spark, path, [parts[0]])
     assert rows(runs["dedup"](stream(spark, path, files_per_trigger=1), **where["dedup"])) == want["dedup"]
+
+
+def summary_of(spark, data):
+    marked = buckets.assign_buckets(spark.createDataFrame(data, SCHEMA), ["p"], 20).drop("bucket_start")
+    return rows(buckets.summarise_buckets(marked, ["v"], ["p"]).select(*NAMES))
+
+
+NAMES = ["location", "bucket_start", "bucket_end", "v_count", "p"]
+
+
+def test_live_buckets_equal_batch_over_restarts(spark, tmp_path):
+    """Files out of order within the delay, a run after each few of them, and nulls."""
+    data = readings(21, 200, "a") + readings(22, 60, "b")
+    data = [(d, loc, t, v, None if i % 40 == 3 else p) for i, (d, loc, t, v, p) in enumerate(data)]
+    rng = random.Random(2)
+    order = sorted(data, key=lambda r: r[2] + timedelta(seconds=rng.randrange(1800)))
+    path, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    held = []
+    for part in (order[:90], order[90:170], order[170:]):
+        batches(spark, path, [part[: len(part) // 2], part[len(part) // 2 :]])
+        got = live.buckets_live(stream(spark, path, files_per_trigger=1), ["v"], ["p"], 20, sink=sink, checkpoint=state)
+        schema = spark.createDataFrame([], "device string, location string, live_micros long, v double, p double").schema
+        held.append(live.open_rows(spark, state, schema).count())
+        assert rows(got.select(*NAMES)) == summary_of(spark, [r for r in order[: order.index(part[-1]) + 1]])
+    closed = live.buckets_live(stream(spark, path, files_per_trigger=1), ["v"], ["p"], 20, sink=sink, checkpoint=state, finish=False)
+    assert 0 < closed.count() < got.count()
+    assert max(held) < len(data) // 2  # open slices only, whatever has passed
+
+
+def test_live_buckets_do_not_lose_late_rows_in_silence(spark, tmp_path):
+    data = readings(23, 100, "a")
+    path, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    run = lambda **kw: live.buckets_live(stream(spark, path), ["v"], ["p"], 20, sink=sink, checkpoint=state, **kw)
+    batches(spark, path, [data[20:]])
+    run()
+    batches(spark, path, [data[:20]])
+    with pytest.raises(ValueError, match="20 rows came later"):
+        run()
+    assert rows(run(late="drop").select(*NAMES)) == summary_of(spark, data[20:])
+
+
+def test_bins_are_merged_in_levels(spark, tmp_path, monkeypatch):
+    """What runs write follows their rows: each sum is written once a level. Readers always meet whole tables."""
+    monkeypatch.setattr(levels, "FAN", 3)
+    data = readings(24, 100, "a")
+    path, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    written, before = 0, None
+    for i in range(10):
+        batches(spark, path, [data[10 * i : 10 * i + 10]])
+        got = levels.resample_available(stream(spark, path), "15 minutes", ["v"], sink=sink, checkpoint=state)
+        names = {n for n, _, _ in levels.current_parts(spark, sink)}
+        assert sum(n.startswith("0-") for n in names) < 3
+        if before is not None:  # a reader that took the list before this run still finds its parts
+            assert before.count() > 0
+        before = levels.read_bins(spark, sink, ["v"])
+        written += sum(many for n, level, many in levels.current_parts(spark, sink) if n.endswith(f"-{i}"))
+    want = timeseries.resample(spark.createDataFrame(data, SCHEMA), "15 minutes", ["v"])
+    assert rows(got.selectExpr("location", "cast(datetime as timestamp_ntz) datetime", "round(v, 9)")) == rows(want.selectExpr("location", "datetime", "round(v, 9)"))
+    bins = want.count()
+    assert written < 4 * (bins + 10)  # ten runs that sum all anew would write five times as many
+
+
+def test_repeats_are_looked_for_in_few_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(identities, "FIRST", 16)  # filters fill up and are followed by larger ones
+    looked = []
+    plain = identities.bucket_rows
+    monkeypatch.setattr(identities, "bucket_rows", lambda spark, sink, schema, upto, buckets=None: looked.append(buckets) or plain(spark, sink, schema, upto, buckets))
+    data = readings(25, 150, "ab")
+    identity = ["device", "location", "datetime"]
+    path, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    run = lambda: identities.dedup_available(stream(spark, path), identity, sink=sink, checkpoint=state)
+    batches(spark, path, [data[:200]])
+    assert run().count() == 200
+    batches(spark, path, [data[200:230] + data[5:7]])
+    looked.clear()
+    assert run().count() == 230
+    opened = [b for b in looked if b is not None]
+    assert len(opened) == 1 and 1 <= len(opened[0]) <= 8  # of 64; two rows came again
+    batches(spark, path, [data[230:], data[230:]])
+    assert rows(run().select("location", "datetime")) == rows(spark.createDataFrame(data, SCHEMA).select("location", "datetime"))
+    looked.clear()
+    assert run().count() == len(data) and looked == [None]  # nothing new: only the result is read
+
+
+def test_a_filter_that_knows_everything_loses_no_row(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(identities, "_knows", lambda bits, h1, h2: np.ones(len(h1), bool))
+    data = [(None if i % 7 == 0 else "d", "a", r[2], r[3], r[4]) for i, r in enumerate(readings(26, 80, "a"))]
+    path, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for part in (data[:50], data[30:]):
+        batches(spark, path, [part])
+        got = identities.dedup_available(stream(spark, path), ["device", "datetime"], sink=sink, checkpoint=state, buckets=4)
+    assert rows(got.select("device", "datetime")) == rows(spark.createDataFrame(data, SCHEMA).select("device", "datetime"))

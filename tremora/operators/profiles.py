@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremora.operators.gram import pair_sums
-from tremora.operators.quantiles import IN_MEMORY_ROWS, quantiles
+from tremora.operators.quantiles import IN_MEMORY_ROWS, quantiles, selected_quantiles, sketched_quantiles, value_sketches
 from tremora.operators.reshape import to_long
 from tremora.session import broadcast_if_small
 
@@ -30,6 +30,12 @@ def profile(df: DataFrame, numeric: Sequence[str], in_memory_rows: int = IN_MEMO
     return stats.join(F.broadcast(q), "column", "left").withColumn("n_columns", F.lit(len(df.columns)))
 
 
+def sketched_profile(df: DataFrame, numeric: Sequence[str], keys: Sequence[str] = (), k: int = 400) -> DataFrame:
+    """Quartiles of each column and key, off by at most ``quantiles.rank_error(k)`` of the values in rank, from one pass."""
+    q = sketched_quantiles(value_sketches(df, numeric, keys, k), QUARTILES)
+    return q.select(*keys, "feature", "n", *[F.get("q", F.lit(i)).alias(f"q{round(100 * p)}") for i, p in enumerate(QUARTILES)])
+
+
 def histogram(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), bins: int = 30) -> DataFrame:
     """Equal-width counts over each group's own range, last bin closed, empty bins kept.
 
@@ -123,14 +129,18 @@ def iqr_filter(df: DataFrame, features: Sequence[str], in_memory_rows: int = IN_
     """Drop rows outside 1.5 IQR, feature after feature.
 
     Each feature's quartiles come from the rows the earlier ones left, so there is
-    one pass per feature; two numbers per feature reach the driver and go back as
-    literals the scan can push down. Nulls fail the comparison.
+    one round of passes per feature; two numbers per feature reach the driver and go back as
+    literals the scan can push down. Columns of over ``in_memory_rows`` values are
+    selected from by histograms. Nulls fail the comparison.
     """
     for c in features:
-        row = quantiles(df, [c], (0.25, 0.75), in_memory_rows=in_memory_rows).first()
-        if row is None:
+        n = df.agg(F.count(f"`{c}`")).first()[0]
+        if not n:
             return df.where("false")
-        q1, q3 = row["q"]
+        if n <= in_memory_rows:
+            q1, q3 = df.agg(F.percentile(F.col(f"`{c}`").cast("double"), F.array(F.lit(0.25), F.lit(0.75)))).first()[0]
+        else:
+            q1, q3 = selected_quantiles(df, [c], (0.25, 0.75)).first()["q"]
         reach = 1.5 * (q3 - q1)
         df = df.where(F.col(f"`{c}`").between(q1 - reach, q3 + reach))
     return df

@@ -4,13 +4,19 @@ Spark's ``percentile`` keeps every distinct value of a group in one task. That i
 fine while groups are small, which is checked first; larger ones go through a
 range-partitioned frequency table in which only the partitions holding a wanted
 rank are looked at. Both ways interpolate linearly and agree.
+
+``selected_quantiles`` is a third exact way, for whole columns: histograms narrow the
+interval of every wanted rank, and no value is shuffled or sorted. ``value_sketches`` are
+for answers within a stated error of rank that merge over tables.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremora.operators.reshape import to_long
 from tremora.session import materialise
@@ -67,3 +73,109 @@ def _by_rank(long: DataFrame, by: list[str], probs: Sequence[float]) -> DataFram
         low, high = F.element_at("at", F.floor(pos)), F.element_at("at", F.ceil(pos))
         return low + (high - low) * (pos - F.floor(pos))
     return at.join(sizes, by).select(*by, "n", F.array(*[interpolate(p) for p in probs]).alias("q"))
+
+
+# selection by histograms --------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class _Interval:
+    """Where the value of a rank lies: [lo, hi], which has ``below`` values of the column under it."""
+
+    lo: float
+    hi: float
+    below: int
+
+
+def selected_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], bins: int = 1024) -> DataFrame:
+    """One row per column: feature, ``n`` non-null values and array ``q``; as ``quantiles`` without keys.
+
+    Each pass over the table counts the values of all open intervals in ``bins`` bins, with the least and the
+    greatest of each bin, which are the next interval of the ranks in it. An interval of one value is
+    settled. A pass leaves at most ``bins`` rows for each interval and task, whatever the number of values.
+    Columns without values have no row. NaN counts as greater than any number.
+    """
+    if bins < 2:
+        raise ValueError("two bins at least")
+    value = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    number = {c: F.when(~F.isnan(value[c]), value[c]) for c in columns}
+    counts = [f for c in columns for f in (F.count(value[c]), F.count(number[c]), F.min(number[c]), F.max(number[c]))]
+    row = df.agg(*counts).first()
+    sizes = {c: tuple(row[4 * i : 4 * i + 4]) for i, c in enumerate(columns)}
+    found: dict[tuple[str, int], float] = {}
+    open_: dict[tuple[str, int], _Interval] = {}
+    for c, (n, numbers, lo, hi) in sizes.items():
+        for p in probs:
+            for k in {math.floor((n - 1) * p), math.ceil((n - 1) * p)} if n else ():
+                if k >= numbers:
+                    found[c, k] = math.nan
+                else:
+                    open_[c, k] = _Interval(lo, hi, 0)
+    while True:
+        for key in [key for key, i in open_.items() if i.lo == i.hi]:
+            found[key] = open_.pop(key).lo
+        if not open_:
+            break
+        intervals = sorted({(c, i) for (c, _), i in open_.items()}, key=lambda x: (x[0], x[1].lo))
+        counted = _counted(df, number, intervals, bins)
+        for (c, k), i in open_.items():
+            below = i.below
+            for _, n, lo, hi in counted[c, i]:
+                if k < below + n:
+                    open_[c, k] = _Interval(lo, hi, below)
+                    break
+                below += n
+
+    def one(c: str, p: float) -> float:
+        at = (sizes[c][0] - 1) * p
+        low, high = found[c, math.floor(at)], found[c, math.ceil(at)]
+        return low + (high - low) * (at - math.floor(at)) if low != high else low
+
+    rows = [(c, sizes[c][0], [one(c, p) for p in probs]) for c in columns if sizes[c][0]]
+    return df.sparkSession.createDataFrame(rows, "feature string, n long, q array<double>")
+
+
+def _counted(df: DataFrame, number: dict[str, Column], intervals: Sequence[tuple[str, _Interval]], bins: int) -> dict:
+    """(bin, values, least, greatest) of every interval's bins that hold values, in order."""
+    def bin_of(v: Column, i: _Interval) -> Column:
+        # halves, as the width itself may be beyond the largest double; an unlimited end leaves the middle to the rest
+        share = (v / 2 - i.lo / 2) / F.lit(i.hi / 2 - i.lo / 2)
+        middle = F.when(F.isnan(share), bins // 2).otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))
+        return F.when(v == i.lo, 0).when(v == i.hi, bins - 1).otherwise(middle).cast("int")
+
+    cells = [F.when(number[c].between(i.lo, i.hi), F.struct(F.lit(place).alias("place"), bin_of(number[c], i).alias("bin"), number[c].alias("v")))
+             for place, (c, i) in enumerate(intervals)]
+    cells = df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.*")
+    rows = cells.groupBy("place", "bin").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    out: dict = {key: [] for key in intervals}
+    for r in sorted(rows, key=lambda r: (r["place"], r["bin"])):
+        out[intervals[r["place"]]].append((r["bin"], r["n"], r["lo"], r["hi"]))
+    return out
+
+
+# sketches -------------------------------------------------------------------------------------------
+
+
+def rank_error(k: int) -> float:
+    """By how much the rank of a sketch's answer may be off, as a share of the values, with 99 % confidence."""
+    return 2.446 / k**0.9433
+
+
+def value_sketches(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), k: int = 400) -> DataFrame:
+    """One row per key and feature: ``n`` values and a sketch of their distribution, which merges with others.
+
+    NaN is left out. A group needs no more room than ``k`` allows, whatever its size, and is summed up in the tasks first.
+    """
+    long = to_long(df, columns, keys, "feature", "value").where("value is not null and not isnan(value)")
+    return long.groupBy(*keys, "feature").agg(F.count("value").alias("n"), F.kll_sketch_agg_double("value", F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: Sequence[str] = ("feature",)) -> DataFrame:
+    """Sketches of several tables, runs or keys added up."""
+    return sketches.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """``n`` and array ``q``: values whose rank is off by at most ``rank_error`` of the values."""
+    names = [c for c in sketches.columns if c not in ("n", "sketch")]
+    return sketches.select(*names, "n", F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))) for p in probs]).alias("q"))

@@ -53,12 +53,23 @@ def to_long(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
     return doubles.unpivot(list(keys), have, name, value)
 
 
+PAIR_ROWS = 5_000
+
+
 def pair_points(df: DataFrame, features: Sequence[str], targets: Sequence[str],
-                keys: Sequence[str] = ()) -> DataFrame:
-    """Every feature value beside every target value of the same row."""
+                keys: Sequence[str] = (), rows: int | None = PAIR_ROWS) -> DataFrame:
+    """Feature values beside target values of the same row, of at most ``rows`` rows (all with None).
+
+    The rows are those whose keys have the smallest MD5, so they are the same however the table is
+    split; each task hands on at most ``rows``. Without keys all columns that are asked for take their place,
+    and rows alike in these may stand for each other.
+    """
     missing = [c for c in (*features, *targets) if c not in df.columns]
     if missing:
         raise ValueError(f"columns not found: {missing}")
+    if rows is not None:
+        names = [F.col(f"`{c}`").cast("string") for c in (keys or [*features, *targets])]
+        df = df.withColumn("_md5", F.md5(F.concat_ws("|", *names))).orderBy("_md5").limit(rows).drop("_md5")
     def pairs(cols: Sequence[str]):
         return F.array(*[F.struct(F.lit(c).alias("n"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols])
     return (

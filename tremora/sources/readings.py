@@ -2,55 +2,44 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tremora.config import RATING_SCHEMA, READING_SCHEMA
 from tremora.functions import names
 from tremora.functions.names import canonical_device
-from tremora.operators.rows import union_by_name, with_datetime
+from tremora.operators.rows import with_datetime
+from tremora.sources.files import PART_BYTES, Names, StagedCsv, list_files
 
 
-def file_names(spark: SparkSession, path: str | Sequence[str], suffix: str = "") -> list[str]:
-    """Full names of the files below ``path``, in order; nothing is opened."""
-    files = spark.read.format("binaryFile").load(path).select("path")
-    return sorted(r.path for r in files.collect() if r.path.lower().endswith(suffix))
+def _paths(path: str | Sequence[str]) -> list[str]:
+    return [path] if isinstance(path, str) else list(path)
 
 
-def _heads(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """CSV files by their header; of each file the first line is read."""
-    def head(file: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(_literal(file)).columns)
+def _load(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, fmt: str, wanted: Names,
+          part_bytes: int = PART_BYTES) -> DataFrame:
+    """The wanted files stacked by column name, with their names as ``file_name``.
 
-    by_head: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(16) as pool:
-        for file, columns in zip(files, pool.map(head, files)):
-            by_head.setdefault(columns, []).append(file)
-    return by_head
-
-
-def read_files(spark: SparkSession, files: Sequence[str], schema: T.StructType, fmt: str = "csv") -> DataFrame:
-    """The files stacked by column name, with their names as ``file_name``.
-
-    A CSV file may order its columns as it likes: files with one header are read
-    together, in that order. Columns that a file lacks are null, and those outside the
-    schema are left out.
+    A CSV file may order its columns as it likes; headers and rows are read in the tasks. Columns that
+    a file lacks are null, those outside the schema are left out, and a value that does not fit its type is null.
+    Files of other formats are of the schema.
     """
-    types = {f.name: f.dataType for f in schema.fields}
-    parts = []
-    for head, own in (_heads(spark, files) if fmt == "csv" else {tuple(types): list(files)}).items():
-        columns = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in head])
-        reader = spark.read.schema(columns)
-        if fmt == "csv":
-            reader = reader.option("header", True)
-        named = reader.format(fmt).load([_literal(f) for f in own]).withColumn("file_name", names.decoded(F.col("_metadata.file_name")))
-        parts.append(named.select(*[c for c in head if c in types], "file_name"))
+    if fmt == "csv":
+        spark.dataSource.register(StagedCsv)
+        text = (
+            spark.read.format(StagedCsv.name()).option("paths", json.dumps(_paths(path))).option("columns", json.dumps(schema.names))
+            .option("names", json.dumps([wanted.holds, wanted.like, wanted.unlike])).option("part_bytes", part_bytes).load()
+        )
+        return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields], "file_name")
+    # the names are compared before a file is opened
+    files = [f"{_literal(f)}" for _, f, _ in list_files(_paths(path)) if f in wanted]
     empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("file_name", T.StringType())]))
-    return union_by_name(empty, *parts).select(*types, "file_name")
+    if not files:
+        return empty
+    return spark.read.schema(schema).format(fmt).load(files).withColumn("file_name", names.decoded(F.col("_metadata.file_name")))
 
 
 def _literal(path: str) -> str:
@@ -58,11 +47,10 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def _sides(spark: SparkSession, path: str | Sequence[str], device: str | None) -> tuple[list[str], list[str]]:
-    """Reading and rating files, of one device or of all."""
-    files = [(f, unquote(f.rsplit("/", 1)[-1])) for f in file_names(spark, path)]
-    files = [(f, name) for f, name in files if device is None or f"({device})" in name]
-    return ([f for f, name in files if not names.RATING_FILE.search(name)], [f for f, name in files if names.RATING_FILE.search(name)])
+def _sides(device: str | None) -> tuple[Names, Names]:
+    """Names of reading and of rating files, of one device or of all."""
+    bracketed = None if device is None else f"({device})"
+    return Names(bracketed, None, names.RATING_FILE.pattern), Names(bracketed, names.RATING_FILE.pattern)
 
 
 def route_files(spark: SparkSession, path: str | Sequence[str], device: str, fmt: str = "csv",
@@ -74,12 +62,13 @@ def route_files(spark: SparkSession, path: str | Sequence[str], device: str, fmt
     Raises ``FileNotFoundError`` when the device has no files, or none of one kind; a file
     without rows counts as there.
     """
-    readings, ratings = _sides(spark, path, device)
+    sides = _sides(device)
+    readings, ratings = (any(f in side for _, f, _ in list_files(_paths(path))) for side in sides)
     if not readings or not ratings:
         what = "files" if not readings and not ratings else "rating files" if readings else "reading files"
         raise FileNotFoundError(f"no {what} for device {device} in {path}")
-    return (_located(read_files(spark, readings, reading_schema, fmt), device),
-            read_files(spark, ratings, rating_schema, fmt).drop("file_name"))
+    return (_located(_load(spark, path, reading_schema, fmt, sides[0]), device),
+            _load(spark, path, rating_schema, fmt, sides[1]).drop("file_name"))
 
 
 def _located(df: DataFrame, device: str | None) -> DataFrame:
@@ -90,13 +79,14 @@ def _located(df: DataFrame, device: str | None) -> DataFrame:
 
 
 def read_readings(spark: SparkSession, path: str | Sequence[str], device: str | None = None, fmt: str = "csv",
-                  schema: T.StructType = READING_SCHEMA) -> DataFrame:
+                  schema: T.StructType = READING_SCHEMA, part_bytes: int = PART_BYTES) -> DataFrame:
     """All reading files, each row tagged with the location named by its file.
 
     Files are chosen by name, so rating files and other devices' files are not opened.
-    Without ``device`` the bracketed name becomes the device.
+    Without ``device`` the bracketed name becomes the device. A task reads bounded sets of files, or
+    ``part_bytes`` of a larger one.
     """
-    files = read_files(spark, _sides(spark, path, device)[0], schema, fmt)
+    files = _load(spark, path, schema, fmt, _sides(device)[0], part_bytes)
     if device is None:
         files = files.withColumn("device", F.regexp_extract("file_name", r"\(([^()]*)\)[^)]*$", 1))
     return _located(files, device)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tremora.config import WAVEFORM_SCHEMA
 from tremora.functions import names
+from tremora.sources.files import BinaryParts
 
 
 def _depth(spark: SparkSession, path: str) -> int:
@@ -69,3 +71,43 @@ def scan_waveform_binary(spark: SparkSession, path: str) -> DataFrame:
     )
     timed = files.withColumn("timestamp", names.binary_wave_time(names.base_name(F.col("filepath"))))
     return decode_waveforms(timed.where(F.col("timestamp").isNotNull()))
+
+
+def scan_waveform_parts(spark: SparkSession, path: str, part_bytes: int | None = None) -> DataFrame:
+    """The same files in pieces, so that one recording of any size is decoded by many tasks.
+
+    One row a piece: ``filepath``, ``timestamp``, ``start`` (samples before it), ``fs`` and ``axisY``, of at most
+    ``part_bytes`` (8 MB unless named). A file that does not decode gives one row with nulls.
+    """
+    spark.dataSource.register(BinaryParts)
+    reader = spark.read.format(BinaryParts.name()).option("paths", json.dumps([path])).option(
+        "names", json.dumps([None, names.BINARY_TIME_SUFFIX, None]))
+    pieces = (reader.option("part_bytes", part_bytes) if part_bytes else reader).load()
+    timed = pieces.withColumn("timestamp", names.binary_wave_time(names.base_name(F.col("filepath"))))
+    return timed.where(F.col("timestamp").isNotNull()).select("filepath", "timestamp", "start", "fs", "axisY")
+
+
+def waveform_json_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 256) -> DataFrame:
+    """JSON recordings as a stream of files, each read once for a checkpoint; see ``streaming.jobs.run_available``.
+
+    A file that does not parse gives a row with null arrays. Folders are looked through at all depths.
+    """
+    reader = (
+        spark.readStream.schema(WAVEFORM_SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE")
+        .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[jJ][sS][oO][nN]")
+    )
+    reader = reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
+    return (
+        reader.json(path).withColumn("filepath", names.decoded(F.col("_metadata.file_path")))
+        .withColumn("file_name", names.decoded(F.col("_metadata.file_name"))).select("axisX", "axisY", "filepath", "file_name")
+    )
+
+
+def waveform_binary_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 256) -> DataFrame:
+    """Binary recordings of up to 2 GB as a stream of files, decoded, each read once for a checkpoint."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.[sS][iI][nN][gG][lL][eE]")
+    reader = reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
+    files = reader.load(path).select(F.col("path").alias("filepath"), "content")
+    timed = files.withColumn("timestamp", names.binary_wave_time(names.base_name(F.col("filepath"))))
+    return decode_waveforms(timed.where(F.col("timestamp").isNotNull()))

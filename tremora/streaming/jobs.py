@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tremora.functions.time import epoch_micros
 from tremora.operators.buckets import assign_buckets, summarise_buckets
 from tremora.session import broadcast_if_small, scratch_path
+from tremora.streaming.tables import delete, each_batch, folders, is_complete, numbers
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -73,70 +74,17 @@ def resample_stream(stream: DataFrame, rule: str, columns: Sequence[str], keys:
 
 
 def dedup_stream(stream: DataFrame, identity: Sequence[str], ts: str = "datetime", delay: str = "1 hour") -> DataFrame:
-    """Drop readings delivered again within the watermark delay."""
+    """Drop readings delivered again within the watermark delay; later ones than that are dropped unseen."""
     return event_time(stream, ts, delay).dropDuplicatesWithinWatermark(list(identity))
 
 
-def resample_available(stream: DataFrame, rule: str, columns: Sequence[str], keys: Sequence[str] = ("location", "device"),
-                       ts: str = "datetime", delay: str = "1 hour", sink: str | None = None,
-                       checkpoint: str | None = None) -> DataFrame:
-    """Bin means of everything that has arrived, in whatever order.
-
-    Each batch leaves the sums and counts of its bins, which add up over batches and
-    runs, so no row is ever late here and ``delay`` drops nothing. The sink holds all bins
-    as they stand; a later run replaces them.
-    """
-    spark = stream.sparkSession
-    sink = sink or scratch_path(spark, "resample-sink")
-    checkpoint = checkpoint or scratch_path(spark, "resample-state")
-    sums = [e for i, c in enumerate(columns) for e in (F.sum(F.col(c).cast("double")).alias(f"_s{i}"), F.count(c).alias(f"_n{i}"))]
-
-    def partial(batch: DataFrame) -> DataFrame:
-        binned = batch.withColumn(ts, F.col(ts).cast("timestamp")).groupBy(*keys, F.window(ts, rule).alias("_w"))
-        return binned.agg(*sums).select(*keys, F.col("_w.start").alias(ts), *[f"_{kind}{i}" for i in range(len(columns)) for kind in "sn"])
-
-    parts = _stage(stream, partial, checkpoint)
-    total = parts.groupBy(*keys, ts).agg(*[F.sum(f"_{kind}{i}").alias(f"_{kind}{i}") for i in range(len(columns)) for kind in "sn"])
-    means = total.select(*keys, ts, *[F.try_divide(f"_s{i}", f"_n{i}").alias(c) for i, c in enumerate(columns)])
-    means.write.mode("overwrite").parquet(sink)
-    return spark.read.schema(means.schema).parquet(sink)
-
-
-def dedup_available(stream: DataFrame, identity: Sequence[str], sink: str | None = None, checkpoint: str | None = None) -> DataFrame:
-    """One row of each identity of everything that has arrived, however late or often it comes.
-
-    The batches of a run are settled together, against the identities of earlier runs,
-    and appended to the sink's table, which is returned.
-    """
-    spark = stream.sparkSession
-    sink = sink or scratch_path(spark, "dedup-sink")
-    checkpoint = checkpoint or scratch_path(spark, "dedup-state")
-    _stage(stream, lambda batch: batch.dropDuplicates(list(identity)), checkpoint)
-    done = _complete(spark, sink)
-    fresh = [n for n in _complete(spark, f"{checkpoint}/parts") if n > max(done, default=-1)]
-    if fresh:
-        rows = spark.read.schema(stream.schema).parquet(*[f"{checkpoint}/parts/{n}" for n in fresh]).dropDuplicates(list(identity))
-        if done:
-            known = spark.read.schema(stream.schema).parquet(*[f"{sink}/{n}" for n in done]).select(*[F.col(c).alias(f"_{c}") for c in identity])
-            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in identity]
-            rows = rows.join(known, same, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{sink}/{fresh[-1]}")
-    every = _complete(spark, sink)
-    return spark.read.schema(stream.schema).parquet(*[f"{sink}/{n}" for n in every]) if every else spark.createDataFrame([], stream.schema)
-
-
 def _stage(stream: DataFrame, change: Callable[[DataFrame], DataFrame], checkpoint: str) -> DataFrame:
     """Write every batch that is there, changed, as a table under its number; all of them, earlier runs' included.
 
     A batch that runs again replaces what it wrote.
     """
     spark = stream.sparkSession
-    query = (
-        stream.writeStream
-        .foreachBatch(lambda batch, number: change(batch).write.mode("overwrite").parquet(f"{checkpoint}/parts/{number}"))
-        .option("checkpointLocation", f"{checkpoint}/query").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    each_batch(stream, lambda batch, number: change(batch).write.mode("overwrite").parquet(f"{checkpoint}/parts/{number}"), checkpoint)
     schema = change(spark.createDataFrame([], stream.schema)).schema
     parts = [f"{checkpoint}/parts/{n}" for n in _complete(spark, f"{checkpoint}/parts")]
     return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
@@ -160,7 +108,7 @@ class _Versions:
 
     def drop(self, name: str, version: int) -> None:
         if version >= 0:
-            _delete(self.spark, f"{self.path}/{name}/{version}")
+            delete(self.spark, f"{self.path}/{name}/{version}")
 
 
 def buckets_available(stream: DataFrame, measurements: Sequence[str], ratings: Sequence[str], minutes: int = 20,
@@ -205,9 +153,9 @@ def buckets_available(stream: DataFrame, measurements: Sequence[str], ratings: S
     number = max(numbers, default=-1)
     if number > settled:
         for folder in (f"{sink}/closed", f"{sink}/anew"):  # what a run that broke off has left
-            for n in _numbers(spark, folder, "batch="):
+            for n in numbers(spark, folder, "batch="):
                 if n > settled:
-                    _delete(spark, f"{folder}/batch={n}")
+                    delete(spark, f"{folder}/batch={n}")
         rows = spark.read.schema(staged.schema).parquet(*[f"{checkpoint}/parts/{n}" for n in numbers if n > settled])
         mark = None
         if settled >= 0:
@@ -231,7 +179,7 @@ def buckets_available(stream: DataFrame, measurements: Sequence[str], ratings: S
     if number < 0:
         return spark.createDataFrame([], out_schema)
     done = spark.read.schema(T.StructType([*out_schema, T.StructField("batch", T.IntegerType())])).parquet(f"{sink}/closed")
-    if _exists(spark, f"{sink}/anew"):
+    if folders(spark, f"{sink}/anew"):
         since = broadcast_if_small(spark.read.parquet(f"{sink}/anew").groupBy(*keys).agg(F.max("batch").alias("_since")))
         done = done.join(since, list(keys), "left").where("_since is null or batch >= _since")
     done = done.select(*columns)
@@ -251,26 +199,6 @@ def _bucket_schema(stream: DataFrame, keys: Sequence[str], measurements: Sequenc
         + [T.StructField(c, T.TimestampNTZType()) for c in ("bucket_start", "bucket_end")])
 
 
-def _folders(spark: SparkSession, path: str) -> list[str] | None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    return [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else None
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    return bool(_folders(spark, path))
-
-
-def _numbers(spark: SparkSession, path: str, prefix: str = "") -> list[int]:
-    names = [n.removeprefix(prefix) for n in _folders(spark, path) or [] if n.startswith(prefix)]
-    return sorted(int(n) for n in names if n.isdigit())
-
-
 def _complete(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the tables below ``path`` that were written to their end."""
-    return [n for n in _numbers(spark, path) if "_SUCCESS" in (_folders(spark, f"{path}/{n}") or [])]
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return [n for n in numbers(spark, path) if is_complete(spark, f"{path}/{n}")]

@@ -207,6 +207,12 @@ SELECT strftime(recorded, '%Y%m%d') || '#' || device || '/' || {WAVE_NAME} AS fi
 ORACLES["scan_waveform_binary"] = f"""
 SELECT vec_id, TIMESTAMP '2024-01-01' + to_minutes(vec_id) AS "timestamp", 50000.0::DOUBLE AS fs, len(embedding)::INTEGER AS n_y,
        {r("list_sum(embedding::DOUBLE[])", "total")} FROM embeddings WHERE vec_id % 10 <> 0"""
+ORACLES["scan_waveform_parts"] = f"""
+SELECT vec_id, TIMESTAMP '2024-01-01' + to_minutes(vec_id) AS "timestamp", 50000.0::DOUBLE AS fs, len(embedding)::BIGINT AS n_y,
+       {r("list_sum(embedding::DOUBLE[])", "total")}, ceil(len(embedding) * 4 / 100.0)::BIGINT AS pieces FROM embeddings WHERE vec_id % 10 <> 0"""
+ORACLES["stream_waveforms"] = """
+SELECT vec_id, TIMESTAMP '2024-01-01' + to_minutes(vec_id) AS "timestamp", len(embedding)::INTEGER AS n_y, (1 + vec_id % 2)::INTEGER AS run
+FROM embeddings WHERE vec_id % 10 <> 0"""
 ORACLES["write_stage"] = q(WIDE, f"SELECT {WIDE_OUT} FROM wide")
 
 # -- projections, filters, scalars ------------------------------------------
@@ -420,13 +426,35 @@ w AS (SELECT mean, (b1 * (1 + 1000.0 / n) - rho * b2) / (pow(1 + 1000.0 / n, 2)
 SELECT 'l_quantity' AS term, round(w1 + 1e-9, 2) + 0.0 AS weight FROM w UNION ALL SELECT 'l_discount', round(w2 + 1e-9, 2) + 0.0 FROM w
 UNION ALL SELECT 'intercept', round(mean + 1e-9, 2) + 0.0 FROM w""")
 
+ORACLES["read_stage"] = q(WIDE, f"""SELECT device, datetime AS "timestamp", location, {r("click")}, {r("signup")}, {r('"view"', '"view"')} FROM wide""")
+_KEY = "md5(l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR)"
+ORACLES["pair_points_bounded"] = f"""
+WITH chosen AS (SELECT * FROM lineitem ORDER BY {_KEY} LIMIT 700)
+SELECT l_orderkey, l_linenumber, 'l_quantity' AS feature, l_quantity::DOUBLE AS x, 'l_extendedprice' AS target, l_extendedprice::DOUBLE AS y FROM chosen
+UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', l_tax::DOUBLE, 'l_extendedprice', l_extendedprice::DOUBLE FROM chosen"""
+_PROBS = ["0.0", "0.25", "0.5", "0.75", "0.999"]
+_COLUMNS = {"l_quantity": "l_quantity", "l_discount": "l_discount", "l_tax": "l_tax", "ship_ts": "floor(epoch(l_shipdate))",
+            "l_extendedprice": "l_extendedprice", "steady": "7.0"}
+ORACLES["selected_quantiles"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, count({x}) AS n, {i}::INTEGER AS place, {r(f'quantile_cont(({x})::DOUBLE, {p})', 'value', 5)} FROM lineitem"
+    for name, x in _COLUMNS.items() for i, p in enumerate(_PROBS))
+ORACLES["sketched_profile"] = q(READINGS, """
+SELECT "Measurement", count(*) AS n, asked::DOUBLE AS asked, true AS within FROM readings, (VALUES (0.25), (0.5), (0.75)) v(asked)
+WHERE "Measurement" IN ('click', 'signup', 'view') GROUP BY ALL""")
+ORACLES["iqr_filter_selected"] = ORACLES["iqr_filter"]
+
 # -- streaming --------------------------------------------------------------
 
 ORACLES["stream_ingest"] = q(READINGS, "SELECT device, count(*) AS n_rows, max(datetime) AS last_reading FROM readings GROUP BY device")
 ORACLES["stream_resample"] = q(READINGS, f"""
 , binned AS (SELECT location, device, time_bucket(INTERVAL '15 minutes', datetime) AS b, avg(data) AS mean_data FROM readings GROUP BY ALL)
 SELECT location, device, b AS datetime, {r("mean_data")} FROM binned""")
+ORACLES["stream_resample_live"] = q(READINGS, f"""
+, binned AS (SELECT location, device, time_bucket(INTERVAL '15 minutes', datetime) AS b, avg(data) AS mean_data FROM readings GROUP BY ALL)
+SELECT location, device, b AS datetime, {r("mean_data")} FROM binned
+WHERE b + INTERVAL '15 minutes' <= (SELECT max(datetime) FROM readings) - INTERVAL '1 hour'""")
 ORACLES["stream_dedup"] = q(READINGS, "SELECT id, datetime, device, data FROM readings")
+ORACLES["stream_dedup_live"] = ORACLES["stream_dedup"]
 ORACLES["stream_buckets"] = q("""numbered AS MATERIALIZED (
   SELECT 'dev_' || (user_id % 2) AS device, 'loc_' || (user_id % 4) AS location, ts, value AS data, floor(value / 60) * 20 AS level,
          row_number() OVER w AS rn, lag(floor(value / 60)) OVER w IS DISTINCT FROM floor(value / 60) AS changed
@@ -449,7 +477,7 @@ FROM grouped""")
 # -- the same results by the ways that large inputs take ----------------------
 
 for small, large in (("box_stats", "box_stats_ranked"), ("profile", "profile_ranked"), ("asof_forward", "asof_shuffled"),
-                     ("bucket_assign", "bucket_assign_shuffled"), ("spectrum", "spectrum_spread"), ("signal_panels", "signal_panels_spread")):
+                     ("bucket_assign", "bucket_assign_shuffled"), ("stream_buckets", "stream_buckets_any_order"), ("spectrum", "spectrum_spread"), ("signal_panels", "signal_panels_spread")):
     ORACLES[large] = ORACLES[small]
 ORACLES["regression_table"] = q(BUCKETS + ", " + LOCATED + TIME_METRICS + BANDS, f"""
 SELECT recorded AS "timestamp", epoch(recorded)::BIGINT AS datetime_ts, {r("velocity_rms", "velocity_rms", 4)}, {r("rms_1_10khz", "rms_1_10khz", 4)},

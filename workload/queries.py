@@ -14,16 +14,16 @@ from tremora.functions import names
 from tremora.functions.ratings import rating_band
 from tremora.functions.time import epoch_seconds
 from tremora.operators import (
-    buckets, folds, joins, models, profiles, reshape, rows, spectra, timeseries, waveforms,
+    buckets, folds, joins, models, profiles, quantiles, reshape, rows, spectra, timeseries, waveforms,
 )
 from tremora.plans import chain
 from tremora.session import scratch_path
 from tremora.sources import readings as staged
 from tremora.sources import stages
 from tremora.sources import waveforms as recordings
-from tremora.streaming import jobs
+from tremora.streaming import identities, jobs, levels, live
 from workload import tables as t
-from workload.staging import named_files
+from workload.staging import csv_files, file_per_row
 from workload.tables import MEASURES, RATINGS
 
 BUCKET_MINUTES = 120
@@ -88,24 +88,23 @@ def folded(spark, d):
 # -- sources and sinks ------------------------------------------------------
 
 def stage_readings(spark, d) -> str:
-    """Readings and ratings staged as CSV files; those of odd locations order their columns otherwise."""
+    """Readings and ratings staged as CSV files, several for a device and location; those of odd locations order their columns otherwise."""
     cols = ["id", "Date", "Time", "Measurement", "data"]
-    named = t.readings(spark, d).withColumn("source", F.concat(F.lit("2024 + #1 ("), "device", F.lit(") "), "location", F.lit(".csv")))
+    r = t.readings(spark, d)
     odd = F.col("location").rlike("[13]$")
-    path = named_files(named.where(~odd).select(*cols, "source"), "source", "csv", {"header": True})
-    named_files(named.where(odd).select(*reversed(cols), "source"), "source", "csv", {"header": True}, path)
+    after = F.concat(F.lit(" ("), "device", F.lit(") "), "location", F.lit(".csv"))
+    path = csv_files(r.where(~odd), cols, "2024 + ", after)
+    csv_files(r.where(odd), list(reversed(cols)), "2024 + ", after, path)
     marks = t.ratings(spark, d).select(
         F.date_format("datetime", "yyyy-MM-dd").alias("Date"), F.date_format("datetime", "HH:mm:ss").alias("Time"),
-        F.col("device").alias("Device"), "Metric", "Rating",
-        F.concat(F.lit("2024 + #1 ("), "device", F.lit(") Rating March.csv")).alias("source"),
-    )
-    return named_files(marks, "source", "csv", {"header": True}, path)
+        F.col("device").alias("Device"), "Metric", "Rating")
+    return csv_files(marks, marks.columns, "2024 + ", F.concat(F.lit(" ("), F.col("Device"), F.lit(") Rating March.csv")), path)
 
 
 @query
 def scan_readings(spark, d):
     path = stage_readings(spark, d)
-    return staged.read_readings(spark, path, "dev_0").unionByName(staged.read_readings(spark, path).where("device = 'dev_1'"))
+    return staged.read_readings(spark, path, "dev_0").unionByName(staged.read_readings(spark, path, part_bytes=10_000).where("device = 'dev_1'"))
 
 
 @query
@@ -123,15 +122,17 @@ def union_by_name(spark, d):
     return rows.union_by_name(a, t.ratings(spark, d))
 
 
-@query
-def scan_waveform_json(spark, d):
+def stage_json(spark, d) -> str:
     # the base folder's name holds the device too, which must not count
-    path = scratch_path(spark, "waves of dev_1")
     files = t.waves(spark, d).select(
         F.concat(F.substring("file_name", 1, 8), F.lit("#"), "device", F.lit("/"), "file_name").alias("name"),
-        F.to_json(F.struct("axisX", "axisY")).alias("value"))
-    named_files(files, "name", "text", path=path)
-    read = recordings.scan_waveform_json(spark, path, "dev_1").withColumn(
+        F.to_json(F.struct("axisX", "axisY")).alias("content"))
+    return file_per_row(files, scratch_path(spark, "waves of dev_1"))
+
+
+@query
+def scan_waveform_json(spark, d):
+    read = recordings.scan_waveform_json(spark, stage_json(spark, d), "dev_1").withColumn(
         "filepath", F.regexp_extract("filepath", "([^/]+/[^/]+)$", 1))
     total = F.aggregate("axisY", F.lit(0.0), lambda s, v: s + v)
     return rounded(read.select("filepath", "file_name", F.size("axisX").alias("n_x"), F.size("axisY").alias("n_y"), total.alias("total")))
@@ -142,28 +143,45 @@ def _single(ys: pd.Series) -> pd.Series:
     return ys.map(lambda y: np.float32(t.RATE).tobytes() + np.asarray(y, dtype="<f4").tobytes())
 
 
-@query
-def scan_waveform_binary(spark, d):
+def binary_files(spark, d):
     """Recordings as binary files; those of every tenth number have a name that says no time."""
     files = t.table(spark, d, "embeddings").select("vec_id", _single("embedding").alias("content"))
     stamp = F.date_format(F.timestamp_add("SECOND", F.col("vec_id") * 60, F.lit("2024-01-01").cast("timestamp_ntz")), "yyyyMMdd_HHmmss")
     name = F.concat(F.lit("dev_"), F.col("vec_id"), F.when(F.col("vec_id") % 10 == 0, F.lit("_none")).otherwise(F.concat(F.lit("_"), stamp)), F.lit(".Single"))
-    path = scratch_path(spark, "single")
-    _write_binary(files.select(name.alias("name"), "content"), path)
+    return files.select(name.alias("name"), "content", "vec_id")
+
+
+def _vec_id():
+    return F.regexp_extract("filepath", r"dev_(\d+)_", 1).cast("long").alias("vec_id")
+
+
+@query
+def scan_waveform_binary(spark, d):
     total = F.aggregate("axisY", F.lit(0.0), lambda s, v: s + v)
-    read = recordings.scan_waveform_binary(spark, path).withColumn("vec_id", F.regexp_extract("filepath", r"dev_(\d+)_", 1).cast("long"))
-    return rounded(read.select("vec_id", "timestamp", "fs", F.size("axisY").alias("n_y"), total.alias("total")))
+    read = recordings.scan_waveform_binary(spark, file_per_row(binary_files(spark, d)))
+    return rounded(read.select(_vec_id(), "timestamp", "fs", F.size("axisY").alias("n_y"), total.alias("total")))
+
+
+@query
+def scan_waveform_parts(spark, d):
+    """Pieces of a hundred bytes, so that every recording is read by several."""
+    pieces = recordings.scan_waveform_parts(spark, file_per_row(binary_files(spark, d)), 100)
+    own = F.aggregate("axisY", F.lit(0.0), lambda s, v: s + v)
+    whole = pieces.groupBy("filepath", "timestamp", "fs").agg(F.sum(F.size("axisY")).alias("n_y"), F.sum(own).alias("total"), F.count("*").alias("pieces"))
+    return rounded(whole.select(_vec_id(), "timestamp", "fs", "n_y", "total", "pieces"))
 
 
-def _write_binary(files, path):
-    """Binary files by the file system that Spark itself uses; there are few and small ones."""
-    spark = files.sparkSession
-    path_of = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path_of(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for r in files.toLocalIterator():
-        out = fs.create(path_of(f"{path}/{r.name}"))
-        out.write(bytes(r.content))
-        out.close()
+@query
+def stream_waveforms(spark, d):
+    """Two runs over a folder that grows in between; the second reads the new files only."""
+    files, path = binary_files(spark, d), scratch_path(spark, "arriving")
+    where = {n: scratch_path(spark, n) for n in ("sink", "checkpoint")}
+    for odd in (0, 1):
+        file_per_row(files.where(F.col("vec_id") % 2 == odd), path)
+        arrived = jobs.ingest(recordings.waveform_binary_stream(spark, path))
+        table = jobs.run_available(arrived.select("filepath", "timestamp", F.size("axisY").alias("n_y"), "ingest_time"), "waves", **where)
+    first = F.col("ingest_time") == table.agg(F.min("ingest_time")).first()[0]
+    return table.select(_vec_id(), "timestamp", "n_y", F.when(first, 1).otherwise(2).alias("run"))
 
 
 @query
@@ -171,6 +189,15 @@ def write_stage(spark, d):
     return rounded(stages.write_stage(wide(spark, d), scratch_path(spark, "wide")))
 
 
+@query
+def read_stage(spark, d):
+    """The pivoted readings as a CSV stage with a stray index column, read back under another name for its time."""
+    path = scratch_path(spark, "stage")
+    wide(spark, d).withColumn("Unnamed: 0", F.lit(0)).write.option("header", True).csv(path)
+    schema = "device string, datetime timestamp_ntz, location string, click double, signup double, view double, `Unnamed: 0` int"
+    return rounded(staged.read_stage(spark, path, T.StructType.fromDDL(schema), time_to="timestamp"))
+
+
 @query
 def save_best(spark, d):
     table = t.regression(spark, d)
@@ -369,6 +396,32 @@ def profile_ranked(spark, d):
     return rounded(profiles.profile(wide(spark, d), MEASURES, in_memory_rows=0), 5)
 
 
+@query
+def selected_quantiles(spark, d):
+    """Quartiles and tails of whole columns by histograms; sixteen bins make several passes."""
+    return rounded(quantiles.selected_quantiles(t.regression(spark, d), [*FEATURES, PRICE, "steady"], (0.0, 0.25, 0.5, 0.75, 0.999), bins=16)
+                   .select("feature", "n", F.posexplode("q").alias("place", "value")), 5)
+
+
+@query
+def sketched_profile(spark, d):
+    """Whether the exact rank of every answer is within the stated error, twice over, of the rank asked for."""
+    table, error = t.sensor_readings(spark, d), 2 * quantiles.rank_error(400)
+    q = profiles.sketched_profile(table, ["data"], ["Measurement"])
+    asked = F.array(*[F.struct(F.lit(p).alias("asked"), F.col(f"q{round(100 * p)}").alias("answer")) for p in profiles.QUARTILES])
+    answers = q.select("Measurement", "n", F.inline(asked))
+    ranks = table.join(F.broadcast(answers), "Measurement").groupBy("Measurement", "n", "asked").agg(
+        F.count_if(F.col("data") < F.col("answer")).alias("below"), F.count_if(F.col("data") <= F.col("answer")).alias("upto"))
+    within = (F.col("below") / F.col("n") <= F.col("asked") + error) & (F.col("upto") / F.col("n") >= F.col("asked") - error)
+    return ranks.select("Measurement", "n", "asked", within.alias("within"))
+
+
+@query
+def iqr_filter_selected(spark, d):
+    """The way of columns too large for one task."""
+    return profiles.iqr_filter(t.readings(spark, d), ["data"], in_memory_rows=0).select("id", "data")
+
+
 @query
 def corr_matrix(spark, d):
     return rounded(profiles.corr_matrix(t.regression(spark, d), [*FEATURES, PRICE, "steady"]), 5)
@@ -387,7 +440,12 @@ def iqr_filter(spark, d):
 
 @query
 def pair_points(spark, d):
-    return reshape.pair_points(t.regression(spark, d), ["l_quantity", "l_tax"], [PRICE], ["l_orderkey", "l_linenumber"])
+    return reshape.pair_points(t.regression(spark, d), ["l_quantity", "l_tax"], [PRICE], ["l_orderkey", "l_linenumber"], None)
+
+
+@query
+def pair_points_bounded(spark, d):
+    return reshape.pair_points(t.regression(spark, d), ["l_quantity", "l_tax"], [PRICE], ["l_orderkey", "l_linenumber"], 700)
 
 
 @query
@@ -707,15 +765,33 @@ def stream_ingest(spark, d):
 @query
 def stream_resample(spark, d):
     stream = t.as_readings(_event_stream(spark, d)).withColumnRenamed("data", "mean_data")
-    binned = jobs.resample_available(stream, "15 minutes", ["mean_data"])
+    binned = levels.resample_available(stream, "15 minutes", ["mean_data"])
     return rounded(binned.withColumn("datetime", F.col("datetime").cast("timestamp_ntz")))
 
 
 @query
-def stream_dedup(spark, d):
+def stream_resample_live(spark, d):
+    """Bins that the watermark has passed, each written once."""
+    stream = t.as_readings(_event_stream(spark, d)).withColumnRenamed("data", "mean_data")
+    closed = jobs.run_available(jobs.resample_stream(stream, "15 minutes", ["mean_data"]), "bins")
+    return rounded(closed.withColumn("datetime", F.col("datetime").cast("timestamp_ntz")))
+
+
+def _sent_twice(spark, d):
     stream = t.as_readings(_event_stream(spark, d)).select("id", "datetime", "device", "data")
-    again = stream.unionByName(t.as_readings(_event_stream(spark, d)).select("id", "datetime", "device", "data"))
-    kept = jobs.dedup_available(again, ["id"])
+    return stream.unionByName(t.as_readings(_event_stream(spark, d)).select("id", "datetime", "device", "data"))
+
+
+@query
+def stream_dedup(spark, d):
+    kept = identities.dedup_available(_sent_twice(spark, d), ["id"])
+    return kept.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+@query
+def stream_dedup_live(spark, d):
+    """Repeats within the watermark's delay, which is all that the state knows."""
+    kept = jobs.run_available(jobs.dedup_stream(_sent_twice(spark, d), ["id"]), "dedup")
     return kept.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
@@ -728,4 +804,10 @@ def bucket_rows(events):
 
 @query
 def stream_buckets(spark, d):
+    return rounded(live.buckets_live(bucket_rows(_event_stream(spark, d)), ["data"], ["level"], BUCKET_MINUTES))
+
+
+@query
+def stream_buckets_any_order(spark, d):
+    """The way of rows that come later than any delay."""
     return rounded(jobs.buckets_available(bucket_rows(_event_stream(spark, d)), ["data"], ["level"], BUCKET_MINUTES))
