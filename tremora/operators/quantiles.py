@@ -91,12 +91,12 @@ def selected_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[fl
     """One row per column: feature, ``n`` non-null values and array ``q``; as ``quantiles`` without keys.
 
     Each pass over the table counts the values of all open intervals in ``bins`` bins, with the least and the
-    greatest of each bin, which are the next interval of the ranks in it. An interval of one value is
-    settled. A pass leaves at most ``bins`` rows for each interval and task, whatever the number of values.
+    greatest of each bin, which are the next interval of the ranks in it: bins of signs, of equal ratio
+    or of equal width, as the interval is wide. An interval of one value is settled. A pass leaves at most ``bins`` rows for each interval and task, whatever the number of values.
     Columns without values have no row. NaN counts as greater than any number.
     """
-    if bins < 2:
-        raise ValueError("two bins at least")
+    if bins < 3:
+        raise ValueError("three bins at least")
     value = {c: F.col(f"`{c}`").cast("double") for c in columns}
     number = {c: F.when(~F.isnan(value[c]), value[c]) for c in columns}
     counts = [f for c in columns for f in (F.count(value[c]), F.count(number[c]), F.min(number[c]), F.max(number[c]))]
@@ -138,9 +138,16 @@ def selected_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[fl
 def _counted(df: DataFrame, number: dict[str, Column], intervals: Sequence[tuple[str, _Interval]], bins: int) -> dict:
     """(bin, values, least, greatest) of every interval's bins that hold values, in order."""
     def bin_of(v: Column, i: _Interval) -> Column:
-        # halves, as the width itself may be beyond the largest double; an unlimited end leaves the middle to the rest
-        share = (v / 2 - i.lo / 2) / F.lit(i.hi / 2 - i.lo / 2)
-        middle = F.when(F.isnan(share), bins // 2).otherwise(F.least(F.floor(share * bins), F.lit(bins - 1)))
+        if i.lo <= 0 <= i.hi:  # signs first
+            return F.when(v < 0, 0).when(v == 0, 1).otherwise(2).cast("int")
+        least, most = sorted((abs(i.lo), abs(i.hi)))
+        if most / 4 > least:  # many sizes: bins of equal ratio
+            share = (F.log(F.abs(v)) - math.log(least)) / F.lit(math.log(most) - math.log(least))
+            share = share if i.lo > 0 else 1 - share
+        else:
+            share = (v - i.lo) / F.lit(i.hi - i.lo)
+        # an unlimited end leaves the middle to the rest
+        middle = F.when(F.isnan(share), bins // 2).otherwise(F.greatest(F.lit(0), F.least(F.floor(share * bins), F.lit(bins - 1))))
         return F.when(v == i.lo, 0).when(v == i.hi, bins - 1).otherwise(middle).cast("int")
 
     cells = [F.when(number[c].between(i.lo, i.hi), F.struct(F.lit(place).alias("place"), bin_of(number[c], i).alias("bin"), number[c].alias("v")))

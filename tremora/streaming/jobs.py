@@ -148,15 +148,15 @@ def buckets_available(stream: DataFrame, measurements: Sequence[str], ratings: S
         return summarise_buckets(closed, measurements, ratings, (*keys, "bucket_id"), ts).select(*columns), waiting
 
     staged = _stage(stream, lambda batch: batch.where(have).withColumn(ts, F.col(ts).cast("timestamp_ntz")), checkpoint)
-    numbers = _complete(spark, f"{checkpoint}/parts")
+    staged_numbers = _complete(spark, f"{checkpoint}/parts")
     settled = max(_complete(spark, f"{checkpoint}/kept/mark"), default=-1)
-    number = max(numbers, default=-1)
+    number = max(staged_numbers, default=-1)
     if number > settled:
         for folder in (f"{sink}/closed", f"{sink}/anew"):  # what a run that broke off has left
             for n in numbers(spark, folder, "batch="):
                 if n > settled:
                     delete(spark, f"{folder}/batch={n}")
-        rows = spark.read.schema(staged.schema).parquet(*[f"{checkpoint}/parts/{n}" for n in numbers if n > settled])
+        rows = spark.read.schema(staged.schema).parquet(*[f"{checkpoint}/parts/{n}" for n in staged_numbers if n > settled])
         mark = None
         if settled >= 0:
             mark = kept.read("mark", settled).first()[0]

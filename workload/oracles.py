@@ -426,12 +426,13 @@ w AS (SELECT mean, (b1 * (1 + 1000.0 / n) - rho * b2) / (pow(1 + 1000.0 / n, 2)
 SELECT 'l_quantity' AS term, round(w1 + 1e-9, 2) + 0.0 AS weight FROM w UNION ALL SELECT 'l_discount', round(w2 + 1e-9, 2) + 0.0 FROM w
 UNION ALL SELECT 'intercept', round(mean + 1e-9, 2) + 0.0 FROM w""")
 
-ORACLES["read_stage"] = q(WIDE, f"""SELECT device, datetime AS "timestamp", location, {r("click")}, {r("signup")}, {r('"view"', '"view"')} FROM wide""")
-_KEY = "md5(l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR)"
+ORACLES["read_stage"] = q(WIDE, f"""SELECT device, datetime AS "timestamp", location, {r("click")}, {r("signup")}, {r('"view"', "view")} FROM wide""")
+_KEYS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
+_KEY = f"md5(concat_ws('|', {_KEYS}))"
 ORACLES["pair_points_bounded"] = f"""
 WITH chosen AS (SELECT * FROM lineitem ORDER BY {_KEY} LIMIT 700)
-SELECT l_orderkey, l_linenumber, 'l_quantity' AS feature, l_quantity::DOUBLE AS x, 'l_extendedprice' AS target, l_extendedprice::DOUBLE AS y FROM chosen
-UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', l_tax::DOUBLE, 'l_extendedprice', l_extendedprice::DOUBLE FROM chosen"""
+SELECT {_KEYS}, 'l_quantity' AS feature, l_quantity::DOUBLE AS x, 'l_extendedprice' AS target, l_extendedprice::DOUBLE AS y FROM chosen
+UNION ALL SELECT {_KEYS}, 'l_tax', l_tax::DOUBLE, 'l_extendedprice', l_extendedprice::DOUBLE FROM chosen"""
 _PROBS = ["0.0", "0.25", "0.5", "0.75", "0.999"]
 _COLUMNS = {"l_quantity": "l_quantity", "l_discount": "l_discount", "l_tax": "l_tax", "ship_ts": "floor(epoch(l_shipdate))",
             "l_extendedprice": "l_extendedprice", "steady": "7.0"}

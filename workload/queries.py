@@ -445,7 +445,8 @@ def pair_points(spark, d):
 
 @query
 def pair_points_bounded(spark, d):
-    return reshape.pair_points(t.regression(spark, d), ["l_quantity", "l_tax"], [PRICE], ["l_orderkey", "l_linenumber"], 700)
+    return reshape.pair_points(t.regression(spark, d), ["l_quantity", "l_tax"], [PRICE],
+                               ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 700)
 
 
 @query
