@@ -58,31 +58,43 @@ def test_forward_fill_matches_pandas(spark):
     np.testing.assert_array_equal(got["v"].to_numpy(float), pdf["v"].to_numpy(float))
 
 
-def test_asof_edges(spark):
+@pytest.mark.parametrize("few", [300_000, 0])
+def test_asof_edges(spark, few):
     left = spark.createDataFrame([("d", at(s)) for s in (0, 10, 11, 7000, 20000, 30000)] + [("x", at(0)), (None, at(0))], "device string, datetime timestamp_ntz")
     right = spark.createDataFrame([("d", at(10), "b", 1.0), ("d", at(10), "a", 2.0), ("d", at(20000), "a", 3.0)], "device string, datetime timestamp_ntz, who string, r double")
-    got = {(r[0], r[1]): r[3] for r in rows(joins.asof_join(left, right, tie_break="who"))}
+    got = {(r[0], r[1]): r[3] for r in rows(joins.asof_join(left, right, tie_break="who", broadcast_rows=few))}
     assert [got["d", at(s)] for s in (0, 10, 11, 7000, 20000, 30000)] == [2.0, 2.0, 3.0, 3.0, 3.0, None]
     assert got["x", at(0)] is None and got[None, at(0)] is None
-    back = {(r[0], r[1]): r[3] for r in rows(joins.asof_join(left, right, tie_break="who", direction="backward"))}
+    back = {(r[0], r[1]): r[3] for r in rows(joins.asof_join(left, right, tie_break="who", direction="backward", broadcast_rows=few))}
     assert [back["d", at(s)] for s in (0, 10, 11, 7000, 20000, 30000)] == [None, 2.0, 2.0, 2.0, 3.0, 3.0]
     assert joins.asof_join(left, right.where("false")).where("r is not null").count() == 0
     with pytest.raises(ValueError):
         joins.asof_join(left, right, direction="nearest")
 
 
+@pytest.mark.parametrize("few", [300_000, 0])
 @pytest.mark.parametrize("direction", ["forward", "backward"])
-def test_asof_matches_pandas(spark, direction):
+def test_asof_matches_pandas(spark, direction, few):
     rng = random.Random(2)
     l = sorted({rng.randrange(40 * 86400) for _ in range(400)})
     r = sorted({rng.randrange(5 * 86400, 30 * 86400) for _ in range(60)})
     left = spark.createDataFrame([("d", at(s)) for s in l], "device string, datetime timestamp_ntz")
     right = spark.createDataFrame([("d", at(s), float(s)) for s in r], "device string, datetime timestamp_ntz, v double")
     want = pd.merge_asof(pd.DataFrame({"t": l}), pd.DataFrame({"t": r, "v": [float(s) for s in r]}), on="t", direction=direction)["v"]
-    got = joins.asof_join(left, right, direction=direction).orderBy("datetime").toPandas()["v"]
+    got = joins.asof_join(left, right, direction=direction, broadcast_rows=few).orderBy("datetime").toPandas()["v"]
     np.testing.assert_array_equal(got.to_numpy(float), want.to_numpy(float))
 
 
+def test_asof_over_silent_years(spark):
+    """Ratings ten years apart, more hours than may be broadcast; rows without time or device meet none."""
+    years = 10 * 365 * 86400
+    left = spark.createDataFrame([("d", at(s)) for s in (5, years // 2, years + 5)] + [("d", None), (None, at(3)), ("e", at(0))], "device string, datetime timestamp_ntz")
+    right = spark.createDataFrame([("d", at(0), 1.0), ("d", at(years), 2.0), (None, at(4), 9.0), ("d", None, 9.0)], "device string, datetime timestamp_ntz, v double")
+    got = rows(joins.asof_join(left, right, direction="backward", broadcast_rows=1000))
+    assert got == sorted([("d", at(5), 1.0), ("d", at(years // 2), 1.0), ("d", at(years + 5), 2.0), ("d", None, None), (None, at(3), None), ("e", at(0), None)], key=repr)
+    assert [r[2] for r in rows(joins.asof_join(left, right, broadcast_rows=1000).where("device = 'd' and datetime is not null"), "datetime")] == [2.0, 2.0, None]
+
+
 def test_asof_is_an_equi_join(spark):
     left = spark.createDataFrame([(d, at(s)) for d in "de" for s in (0, 20)], "device string, datetime timestamp_ntz")
     right = spark.createDataFrame([(d, at(10), 1.0) for d in "de"], "device string, datetime timestamp_ntz, r double")

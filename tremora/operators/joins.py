@@ -1,10 +1,10 @@
-"""As-of and interval joins, planned as equi-joins on time bins.
+"""As-of and interval joins.
 
 A range condition alone would leave Spark a nested loop over all pairs of a key.
-Both joins therefore spread the interval side over the fixed bins it touches and
-join on (key, bin); the range check is only a residual inside one bin. Catalyst
-broadcasts the interval side when its size allows and otherwise merges, where
-adaptive execution splits hot bins.
+The interval join and the as-of join with few ratings spread the interval side over the
+fixed bins it touches and join on (key, bin); the range check is only a residual inside one
+bin. With many ratings, the as-of join merges both sides in time order within (key, slice) and
+carries one rating over to each slice, so silence between ratings costs nothing.
 """
 
 from __future__ import annotations
@@ -65,7 +65,10 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device"
         "_bin", F.explode(F.sequence(edge_bin, at_bin) if forward else F.sequence(at_bin, edge_bin))
     ).select(*keys, "_bin", "_at", "_edge", "_r")
     # few enough ratings spare the left side its shuffle
-    binned = broadcast_if_small(binned, max_rows=broadcast_rows)
+    few = broadcast_if_small(binned, max_rows=broadcast_rows)
+    if few is binned:
+        return _merge_in_order(left, unique, keys, ts, forward, extra, slice_seconds)
+    binned = few
 
     # left rows outside the extent of the right side look into its first or last bin
     extent = unique.groupBy(*keys).agg(
@@ -85,6 +88,35 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("device"
     )
 
 
+def _merge_in_order(left: DataFrame, right: DataFrame, keys: Sequence[str], ts: str, forward: bool, extra: Sequence[str],
+                    slice_seconds: int) -> DataFrame:
+    """As-of join by running over both sides in time order, slice by slice, with the rating that each slice inherits.
+
+    ``right`` has one row per key and time, its other columns in ``_r``. Rows without key or time meet nothing.
+    """
+    part = [*keys, "_slice"]
+    present = " and ".join(f"`{c}` is not null" for c in (*keys, ts))
+    kind = right.schema["_r"].dataType
+    found = F.struct(F.col("_r"), F.lit(True).alias("_met")) if extra else F.struct(F.lit(True).alias("_met"))
+    ratings = right.where(present).select(*keys, time_slice(ts, slice_seconds).alias("_slice"), F.col(ts).alias("_t"), found.alias("_found"))
+    rows = left.where(present).select(*keys, time_slice(ts, slice_seconds).alias("_slice"), F.col(ts).alias("_t"), F.struct(*left.columns).alias("_row"))
+    both = rows.withColumn("_found", F.lit(None).cast(ratings.schema["_found"].dataType)).unionByName(
+        ratings.withColumn("_row", F.lit(None).cast(rows.schema["_row"].dataType)))
+    # at equal times the rating comes first in the direction of the run
+    time = F.col("_t").desc() if forward else F.col("_t").asc()
+    so_far = Window.partitionBy(*part).orderBy(time, F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.withColumn("_own", F.last("_found", ignorenulls=True).over(so_far)).where("_row is not null")
+    # one row for each key and slice that has rows: the rating nearest to the slice's end, handed to the slices behind it
+    nearest = (F.min_by if forward else F.max_by)("_found", F.when(F.col("_found").isNotNull(), F.col("_t")))
+    edge = F.col("_slice").desc() if forward else F.col("_slice").asc()
+    before = Window.partitionBy(*keys).orderBy(edge).rowsBetween(Window.unboundedPreceding, -1)
+    handed = both.groupBy(*part).agg(nearest.alias("_near")).select(*part, F.last("_near", ignorenulls=True).over(before).alias("_handed"))
+    joined = inside.join(handed, part).select("_row.*", F.coalesce("_own", "_handed").alias("_met"))
+    values = [F.col(f"_met._r.`{c}`").alias(c) for c in extra]
+    rest = left.where(f"not ({present})").select("*", *[F.lit(None).cast(kind[c].dataType).alias(c) for c in extra])
+    return joined.select(*[F.col(f"`{c}`") for c in left.columns], *values).unionByName(rest)
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, start: str = "bucket_start", end: str = "bucket_end",
                   keys: Sequence[str] = ("device", "location"), ts: str = "timestamp",
                   bin_seconds: int | None = 1200) -> DataFrame:
