@@ -22,6 +22,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 PART_BYTES = 64 << 20  # of files that one task reads; a larger file is cut
 PART_FILES = 2_000  # that one task opens
 _CHUNK = 8 << 20  # bytes of a file parsed at a time
+_LEAST = 1 << 14  # bytes that are not worth a task of their own
 
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
@@ -71,16 +72,17 @@ class Parts(InputPartition):
 
 
 def bounded_parts(files: Iterator[tuple[str, str, int]], part_bytes: int, step: int = 1, head: int = 0) -> list[Parts]:
-    """Files in parts of at most ``part_bytes`` and PART_FILES; what stands behind the first ``head`` bytes is cut at multiples of ``step``."""
+    """Files in parts of at most PART_FILES and ``part_bytes`` (or a few KB); larger files are cut, behind the first ``head`` bytes at multiples of ``step``."""
     parts: list[Parts] = []
     held: list[tuple[str, str, int, int]] = []
     size = 0
     part_bytes = max(step, part_bytes // step * step)
+    together = max(part_bytes, _LEAST)
     for path, inside, many in files:
         at = 0
         while at < many or at == many == 0:
             end = min(many, (head if not at else 0) + at + part_bytes)
-            if held and (size + end - at > part_bytes or len(held) >= PART_FILES):
+            if held and (size + end - at > together or len(held) >= PART_FILES):
                 parts.append(Parts(held))
                 held, size = [], 0
             held.append((path, inside, at, end))
