@@ -478,7 +478,7 @@ FROM grouped""")
 # -- the same results by the ways that large inputs take ----------------------
 
 for small, large in (("box_stats", "box_stats_ranked"), ("profile", "profile_ranked"), ("asof_forward", "asof_shuffled"),
-                     ("bucket_assign", "bucket_assign_shuffled"), ("stream_buckets", "stream_buckets_any_order"), ("spectrum", "spectrum_spread"), ("signal_panels", "signal_panels_spread")):
+                     ("bucket_assign", "bucket_assign_shuffled"), ("stream_buckets", "stream_buckets_live"), ("spectrum", "spectrum_spread"), ("signal_panels", "signal_panels_spread")):
     ORACLES[large] = ORACLES[small]
 ORACLES["regression_table"] = q(BUCKETS + ", " + LOCATED + TIME_METRICS + BANDS, f"""
 SELECT recorded AS "timestamp", epoch(recorded)::BIGINT AS datetime_ts, {r("velocity_rms", "velocity_rms", 4)}, {r("rms_1_10khz", "rms_1_10khz", 4)},

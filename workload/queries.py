@@ -104,7 +104,7 @@ def stage_readings(spark, d) -> str:
 @query
 def scan_readings(spark, d):
     path = stage_readings(spark, d)
-    return staged.read_readings(spark, path, "dev_0").unionByName(staged.read_readings(spark, path, part_bytes=10_000).where("device = 'dev_1'"))
+    return staged.read_readings(spark, path, "dev_0").unionByName(staged.read_readings(spark, path, part_bytes=250_000).where("device = 'dev_1'"))
 
 
 @query
@@ -805,10 +805,11 @@ def bucket_rows(events):
 
 @query
 def stream_buckets(spark, d):
-    return rounded(live.buckets_live(bucket_rows(_event_stream(spark, d)), ["data"], ["level"], BUCKET_MINUTES))
+    """In any order, however late."""
+    return rounded(jobs.buckets_available(bucket_rows(_event_stream(spark, d)), ["data"], ["level"], BUCKET_MINUTES))
 
 
 @query
-def stream_buckets_any_order(spark, d):
-    """The way of rows that come later than any delay."""
-    return rounded(jobs.buckets_available(bucket_rows(_event_stream(spark, d)), ["data"], ["level"], BUCKET_MINUTES))
+def stream_buckets_live(spark, d):
+    """With the state of open slices only."""
+    return rounded(live.buckets_live(bucket_rows(_event_stream(spark, d)), ["data"], ["level"], BUCKET_MINUTES))
