@@ -202,3 +202,51 @@ def test_a_model_competes_with_itself(spark):
 def test_train_with_search(spark):
     done = chain.train(table(spark, 60), ["a", "b"], ["y_rating"], ["datetime", "id"], ["Ridge", "RuleTree"], tune=True, draws=2)
     assert done.scores.count() == 2
+
+
+def test_targets_draws_and_folds_share_one_binned_table(spark, monkeypatch):
+    made = []
+    real = models.binned
+    monkeypatch.setattr(models, "binned", lambda *a, **k: made.append(real(*a, **k)) or made[-1])
+    monkeypatch.setitem(models.SEARCH_SPACE, "RandomForest", {"n_estimators": ("int", 2, 5), "max_depth": ("int", 2, 4)})
+    df = table(spark).withColumn("z_rating", F.col("a") * 3)
+    done = chain.train(df, ["a", "b"], ["y_rating", "z_rating"], ["datetime", "id"],
+                       {"f": ("RandomForest", {}), "g": ("GradientBoosting", {"n_estimators": 3, "max_depth": 2})}, tune=False)
+    best, draws = models.random_search(folds.time_folds(df, ["datetime", "id"]), ["a", "b"], "y_rating", "RandomForest", 3)
+    assert len(made) == 2 and draws.count() == 3  # one for the training, one for the search
+    assert set(made[0].rows.columns) == {"test_fold", "y_rating", "z_rating", "_x"} and made[0].rows.count() == 200
+    assert done.predictions.count() == 400 and all(r.R2 > 0.5 for r in done.best.collect())
+
+
+@pytest.mark.parametrize("model", models.FORESTS)
+def test_binned_trees_equal_trees_on_few_values(spark, tmp_path, model):
+    """With fewer values than bins nothing is lost; flags, rare values and constants keep their splits."""
+    df = table(spark).select("id", "datetime", F.floor("a").cast("double").alias("a"), (F.col("id") % 50 == 0).alias("flag"),
+                             F.lit(1).alias("one"), (F.floor("a") * 2 + F.when(F.col("id") % 50 == 0, 40.0).otherwise(0.0)).alias("y"))
+    features, params = ["a", "flag", "one"], {"n_estimators": 3, "max_depth": 4, "learning_rate": 0.5}
+    matrix = models.binned(folds.time_folds(df, ["datetime", "id"]), features, ["y"])
+    fitted = models.fit_binned(matrix, matrix.rows, "y", model, params)
+    assert not matrix.rows.schema["_x"].metadata and " in {" not in models.rule_text(fitted) and "<=" in models.rule_text(fitted)
+    error = models.predict(fitted, df).agg(F.avg(F.abs(F.col("y") - F.col("prediction")))).first()[0]
+    plain = models.predict(models.fit(df, features, "y", model, params), df).agg(F.avg(F.abs(F.col("y") - F.col("prediction")))).first()[0]
+    assert error == pytest.approx(plain, rel=0.35, abs=0.1)
+    fitted.write().save(str(tmp_path / "m"))
+    assert rows(models.predict(type(fitted).load(str(tmp_path / "m")), df), "id") == rows(models.predict(fitted, df), "id")
+
+
+def test_borders():
+    assert models._borders(np.array([0.0, 0, 0, 1]), 32) == [0.5] and models._borders(np.array([2.0, 2]), 32) == [2.0]
+    assert models._borders(np.array([]), 32) == [0.0]
+    many = models._borders(np.arange(1000.0), 32)
+    assert len(many) == 31 and many == sorted(set(many))
+
+
+def test_random_cosines_approach_the_kernel(spark):
+    cosines = models.RandomCosines()
+    cosines._set(width=2, components=4000, gamma=0.5, seed=3)
+    points = np.array([[0.0, 0.0], [1.0, 0.5], [-1.0, 2.0]])
+    df = spark.createDataFrame([(i, models.np.asarray(p).tolist()) for i, p in enumerate(points)], "id int, v array<double>")
+    got = cosines.transform(df.select("id", models.array_to_vector("v").alias("_z"))).orderBy("id").collect()
+    x = np.array([r._x.toArray() for r in got])
+    want = np.exp(-0.5 * ((points[:, None] - points[None]) ** 2).sum(-1))
+    np.testing.assert_allclose(x @ x.T, want, atol=0.06)

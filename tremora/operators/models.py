@@ -1,7 +1,8 @@
 """Regressors as Spark ML pipelines over plain numeric columns.
 
 Every pipeline carries its own standardisation, fitted on the rows it trains on, so
-a saved model scores raw columns.
+a saved model scores raw columns. Forests and boosted trees can share one stored matrix of
+binned features (``binned``); their pipelines then carry the bins.
 """
 
 from __future__ import annotations
@@ -14,16 +15,20 @@ from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, PolynomialExpansion, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import pandas as pd
+from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, PolynomialExpansion, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
 )
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremora.operators.folds import cv_summary, fold_metrics, test_rows, training_rows
 from tremora.operators.gram import grouped_products
+from tremora.session import materialise
 
 MODELS = (
     "Baseline", "Ridge", "PolyRidgeDegree2", "RandomForest", "GradientBoosting", "KernelRidge", "RuleTree",
@@ -93,14 +98,90 @@ def _scale_stage(stats: Scaling) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
 
 
-def _fourier_stage(n_features: int, gamma: float, components: int, seed: int) -> SQLTransformer:
-    """Random cosine features whose inner products approach an RBF kernel."""
-    rng = random.Random(seed)
-    terms = []
-    for j in range(components):
-        dot = " + ".join(f"({rng.gauss(0, math.sqrt(2 * gamma))!r}D) * _z{i}" for i in range(n_features))
-        terms.append(f"{math.sqrt(2 / components)!r}D * cos({dot} + {rng.uniform(0, 2 * math.pi)!r}D) AS _f{j}")
-    return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
+class RandomCosines(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Random cosine features ``_x`` of the vector ``_z``; their inner products approach an RBF kernel.
+
+    One matrix product a batch. Directions and phases are drawn from the seed, so a saved
+    model holds four numbers, whatever its size.
+    """
+
+    width = Param(Params._dummy(), "width", "length of the vector", TypeConverters.toInt)
+    components = Param(Params._dummy(), "components", "number of features", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "of the kernel exp(-gamma |a - b|^2)", TypeConverters.toFloat)
+    seed = Param(Params._dummy(), "seed", "of directions and phases", TypeConverters.toInt)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        width, components = self.getOrDefault("width"), self.getOrDefault("components")
+        rng, spread = random.Random(self.getOrDefault("seed")), math.sqrt(2 * self.getOrDefault("gamma"))
+        drawn = np.array([[*(rng.gauss(0, spread) for _ in range(width)), rng.uniform(0, 2 * math.pi)] for _ in range(components)])
+        directions, phases, height = drawn[:, :-1].T, drawn[:, -1], math.sqrt(2 / components)
+
+        @F.pandas_udf("array<double>")
+        def cosines(z: pd.Series) -> pd.Series:
+            return pd.Series(list(height * np.cos(np.stack(z) @ directions + phases)) if len(z) else [], dtype=object)
+
+        return df.withColumn("_x", array_to_vector(cosines(vector_to_array("_z"))))
+
+
+FORESTS = ("RandomForest", "GradientBoosting")
+MAX_BINS = 32
+BIN_SAMPLE = 10_000  # rows whose features place the borders of the bins
+
+
+@dataclass
+class Binned:
+    """Stages that bin raw features into the vector ``_x``, and the stored rows that hold it."""
+
+    stages: list[Transformer]
+    rows: DataFrame
+
+
+def _borders(values: np.ndarray, bins: int) -> list[float]:
+    """Between all values where they are few, else quantiles; a constant is a border itself."""
+    distinct = np.unique(values)
+    if len(distinct) < 2:
+        return distinct.tolist() or [0.0]
+    if len(distinct) <= bins:
+        return np.unique((distinct[:-1] + distinct[1:]) / 2).tolist()
+    return np.unique(np.quantile(values, np.linspace(0, 1, bins + 1)[1:-1])).tolist()
+
+
+def binned(df: DataFrame, features: Sequence[str], targets: Sequence[str], bins: int = MAX_BINS) -> Binned:
+    """Bin the features of rows from ``time_folds`` once, for the fits of all targets, draws and folds.
+
+    The borders come from the features of about BIN_SAMPLE rows, drawn by a hash of the row
+    number, all rows if they are fewer. Stored are ``test_fold``, the targets and the vector
+    of bin numbers, of which Parquet's dictionaries make a few bits each.
+    """
+    share = min(1.0, BIN_SAMPLE / max(1, df.count()))
+    some = df.where(F.pmod(F.xxhash64("row_index"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = some.select(*[F.col(f"`{c}`").cast("double").alias(f"_c{i}") for i, c in enumerate(features)]).toPandas()
+    names = list(sample.columns)
+    cast = SQLTransformer(statement=f"SELECT *, {', '.join(f'CAST(`{c}` AS double) AS _c{i}' for i, c in enumerate(features))} FROM __THIS__")
+    splits = [[-math.inf, *_borders(sample[c].dropna().to_numpy(), bins), math.inf] for c in names]
+    cut = Bucketizer(splitsArray=splits, inputCols=names, outputCols=[f"_b{i}" for i in range(len(names))])
+    stages = [cast, cut, VectorAssembler(inputCols=cut.getOutputCols(), outputCol="_x")]
+    ordered = F.col("_x").alias("_x", metadata={})  # bins are ordered numbers to the trees, not categories
+    matrix = PipelineModel(stages).transform(df).select("test_fold", *[F.col(f"`{c}`") for c in targets], ordered)
+    return Binned(stages, materialise(matrix, "binned"))
+
+
+def _tree(model: str, p: Mapping[str, Any], seed: int, **columns: str):
+    if model == "RandomForest":
+        return RandomForestRegressor(numTrees=p["n_estimators"], maxDepth=p["max_depth"], seed=seed, maxBins=MAX_BINS,
+                                     featureSubsetStrategy="all", **columns)
+    if model == "GradientBoosting":
+        return GBTRegressor(maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"], seed=seed,
+                            maxBins=MAX_BINS, **columns)
+    return DecisionTreeRegressor(maxDepth=p["max_depth"], seed=seed, **columns)
+
+
+def fit_binned(matrix: Binned, rows: DataFrame, target: str, model: str, params: Mapping[str, Any] | None = None,
+               seed: int = 42) -> PipelineModel:
+    """Train one of FORESTS on ``rows``, some or all of ``matrix.rows``; the result scores raw rows."""
+    p = {**DEFAULTS[model], **(params or {})}
+    tree = _tree(model, p, seed, featuresCol="_x", labelCol=target, predictionCol="prediction")
+    return PipelineModel([*matrix.stages, tree.fit(rows.where(F.col(f"`{target}`").isNotNull()))])
 
 
 def fit(df: DataFrame, features: Sequence[str], target: str, model: str,
@@ -124,9 +205,11 @@ def fit(df: DataFrame, features: Sequence[str], target: str, model: str,
     if model == "KernelRidge":
         # on standardised features both ways of choosing gamma come to one over their number
         gamma = 1.0 / len(features) if p["gamma"] in ("scale", "auto") else float(p["gamma"])
-        stages.append(_fourier_stage(len(z), gamma, p["components"], seed))
-        inputs = [f"_f{j}" for j in range(p["components"])]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_x"))
+        cosines = RandomCosines()
+        cosines._set(width=len(z), components=p["components"], gamma=gamma, seed=seed)
+        stages += [VectorAssembler(inputCols=z, outputCol="_z"), cosines]
+    else:
+        stages.append(VectorAssembler(inputCols=inputs, outputCol="_x"))
     column = "_x"
     if model == "PolyRidgeDegree2":
         stages.append(PolynomialExpansion(degree=p["degree"], inputCol="_x", outputCol="_xp"))
@@ -139,16 +222,8 @@ def fit(df: DataFrame, features: Sequence[str], target: str, model: str,
         stages.append(LinearRegression(
             regParam=alpha / stats.rows * stats.target[1], elasticNetParam=0.0, standardization=False, solver="normal", **common
         ))
-    elif model == "RandomForest":
-        stages.append(RandomForestRegressor(
-            numTrees=p["n_estimators"], maxDepth=p["max_depth"], seed=seed, featureSubsetStrategy="all", **common
-        ))
-    elif model == "GradientBoosting":
-        stages.append(GBTRegressor(
-            maxIter=p["n_estimators"], maxDepth=p["max_depth"], stepSize=p["learning_rate"], seed=seed, **common
-        ))
     else:
-        stages.append(DecisionTreeRegressor(maxDepth=p["max_depth"], seed=seed, **common))
+        stages.append(_tree(model, p, seed, **common))
     return Pipeline(stages=stages).fit(rows)
 
 
@@ -201,21 +276,27 @@ def _linear(features: Sequence[str], weights: np.ndarray, intercept: float) -> C
 
 def cross_validate(df: DataFrame, features: Sequence[str], target: str,
                    candidates: Mapping[str, tuple[str, Mapping[str, Any]]], k: int = 3,
-                   threads: int = 4, seed: int = 42) -> DataFrame:
+                   threads: int = 4, seed: int = 42, matrix: Binned | None = None) -> DataFrame:
     """Fold scores of each named candidate (model, params) on rows from ``time_folds``.
 
-    All ridge candidates share one pass of sums; other models are fitted fold by
-    fold. The test rows of a fold are scored by all candidates in one pass.
+    All ridge candidates share one pass of sums; other models are fitted fold by fold,
+    forests and boosted trees on one table of binned features (``matrix``, if it is there
+    already). The test rows of a fold are scored by all candidates in one pass.
     """
     names = list(candidates)
     df = df.where(F.col(f"`{target}`").isNotNull())
     alphas = {n: p.get("alpha", DEFAULTS["Ridge"]["alpha"]) for n, (m, p) in candidates.items() if m == "Ridge"}
     ridges = ridge_weights(df, features, target, alphas, k) if alphas else {}
     jobs = [(i, name) for i in range(k) for name in names if name not in alphas]
-    stats = [scaling(training_rows(df, i), features, target) for i in range(k)] if jobs else []
+    kinds = {candidates[name][0] for _, name in jobs}
+    scaled = kinds - {*FORESTS, "RuleTree"}
+    stats = [scaling(training_rows(df, i), features, target) for i in range(k)] if scaled else [None] * k
+    matrix = matrix or (binned(df, features, [target]) if kinds & {*FORESTS} else None)
 
     def train(i: int, name: str):
         model, params = candidates[name]
+        if model in FORESTS:
+            return lambda: fit_binned(matrix, training_rows(matrix.rows, i), target, model, params, seed)
         return lambda: fit(training_rows(df, i), features, target, model, params, seed, stats[i])
 
     fitted = dict(zip(jobs, in_threads([train(*j) for j in jobs], threads)))
@@ -237,22 +318,24 @@ def cross_validate(df: DataFrame, features: Sequence[str], target: str,
     return fold_metrics(out.withColumn("target", F.lit(target)))
 
 
-def draw_params(model: str, n: int = 10, seed: int = 42) -> list[dict[str, Any]]:
-    """Seeded draws from the model's search space."""
+def draw_params(model: str, n: int = 10, seed: int = 42, space: Mapping[str, tuple] | None = None) -> list[dict[str, Any]]:
+    """Seeded draws from the model's search space, or from one of one's own."""
     rng = random.Random(f"{seed}-{model}")
     def one(kind: str, *args):
         if kind == "log":
             return math.exp(rng.uniform(math.log(args[0]), math.log(args[1])))
         return rng.randrange(*args) if kind == "int" else rng.choice(args)
-    return [{name: one(*spec) for name, spec in SEARCH_SPACE.get(model, {}).items()} for _ in range(n)]
+    ranges = SEARCH_SPACE.get(model, {}) if space is None else space
+    return [{name: one(*spec) for name, spec in ranges.items()} for _ in range(n)]
 
 
 def random_search(df: DataFrame, features: Sequence[str], target: str, model: str, n: int = 10,
-                  k: int = 3, threads: int = 4, seed: int = 42) -> tuple[dict[str, Any], DataFrame]:
+                  k: int = 3, threads: int = 4, seed: int = 42, space: Mapping[str, tuple] | None = None,
+                  matrix: Binned | None = None) -> tuple[dict[str, Any], DataFrame]:
     """Best of ``n`` draws by mean R2 over time folds, and the table of all draws."""
-    draws = draw_params(model, n, seed)
+    draws = draw_params(model, n, seed, space)
     named = {f"{d:02d}": (model, params) for d, params in enumerate(draws if draws[0] else [{}])}
-    summary = cv_summary(cross_validate(df, features, target, named, k, threads, seed))
+    summary = cv_summary(cross_validate(df, features, target, named, k, threads, seed, matrix))
     scored = summary.collect()  # one row per draw
     best = max(sorted(scored, key=lambda r: r["model"]), key=lambda r: r["R2"])
     return draws[int(best["model"])], df.sparkSession.createDataFrame(scored, summary.schema)

@@ -84,19 +84,22 @@ def train(df: DataFrame, features: Sequence[str], targets: Sequence[str], order:
 
     ``names`` lists models, or names candidates of one's own as (model, parameters), so that
     one model can compete with itself. The rows are ordered and stored once; scores, final
-    fits and predictions all read that table.
+    fits and predictions all read that table. Forests and boosted trees read one table of
+    binned features, which all targets, draws and folds share.
     """
     own = names if isinstance(names, Mapping) else {n: (n, {}) for n in names}
     listed = {n: (m, {**p, **(params or {}).get(n, {})}) for n, (m, p) in own.items()}
     folded = folds.time_folds(df, order, k)
+    forests = any(model in models.FORESTS for model, _ in listed.values())
+    matrix = models.binned(folded, features, targets) if forests and targets else None
 
     def score(target: str) -> tuple[dict, DataFrame]:
         settings = {}
         for name, (model, own) in listed.items():
             if tune and model in models.SEARCH_SPACE:
-                own = own | models.random_search(folded, features, target, model, draws, k, threads, seed)[0]
+                own = own | models.random_search(folded, features, target, model, draws, k, threads, seed, matrix=matrix)[0]
             settings[name] = (model, own)
-        return settings, models.cross_validate(folded, features, target, settings, k, threads, seed)
+        return settings, models.cross_validate(folded, features, target, settings, k, threads, seed, matrix)
 
     # the fits of a target overlap, the targets follow each other: one pool of threads at a time
     scored = {target: score(target) for target in targets}
@@ -107,6 +110,8 @@ def train(df: DataFrame, features: Sequence[str], targets: Sequence[str], order:
 
     def refit(target: str) -> PipelineModel:
         model, own = scored[target][0][winners[target]]
+        if model in models.FORESTS:
+            return models.fit_binned(matrix, matrix.rows, target, model, own, seed)
         return models.fit(folded, features, target, model, own, seed)
 
     fitted = dict(zip(targets, models.in_threads([partial(refit, target) for target in targets], threads)))

@@ -480,14 +480,26 @@ FROM grouped""")
 for small, large in (("box_stats", "box_stats_ranked"), ("profile", "profile_ranked"), ("asof_forward", "asof_shuffled"),
                      ("bucket_assign", "bucket_assign_shuffled"), ("stream_buckets", "stream_buckets_live"), ("spectrum", "spectrum_spread"), ("signal_panels", "signal_panels_spread")):
     ORACLES[large] = ORACLES[small]
+_MODEL_ROWS = f"""{WAVE_JOINS} JOIN summary s USING (device, location)
+WHERE recorded BETWEEN bucket_start AND bucket_end AND rms_1_10khz IS NOT NULL AND rms_10_25khz IS NOT NULL AND view_mean IS NOT NULL
+  AND error_rating IS NOT NULL AND velocity_rms IS NOT NULL"""
 ORACLES["regression_table"] = q(BUCKETS + ", " + LOCATED + TIME_METRICS + BANDS, f"""
 SELECT recorded AS "timestamp", epoch(recorded)::BIGINT AS datetime_ts, {r("velocity_rms", "velocity_rms", 4)}, {r("rms_1_10khz", "rms_1_10khz", 4)},
        {r("rms_10_25khz", "rms_10_25khz", 4)}, view_count, {r("view_mean", "view_mean", 4)}, {r("error_rating", "error_rating", 4)},
        (location = 'loc_0')::INTEGER AS loc_loc_0, (location = 'loc_1')::INTEGER AS loc_loc_1, (location = 'loc_2')::INTEGER AS loc_loc_2,
        (wave_code = 'AH')::INTEGER AS wave_AH, (wave_code = 'VV')::INTEGER AS wave_VV
-FROM {WAVE_JOINS} JOIN summary s USING (device, location)
-WHERE recorded BETWEEN bucket_start AND bucket_end AND rms_1_10khz IS NOT NULL AND rms_10_25khz IS NOT NULL AND view_mean IS NOT NULL
-  AND error_rating IS NOT NULL AND velocity_rms IS NOT NULL""")
+FROM {_MODEL_ROWS}""")
+ORACLES["train_features"] = q(BUCKETS + ", " + LOCATED + TIME_METRICS + BANDS + f""",
+feat AS (SELECT error_rating AS y, row_number() OVER (ORDER BY recorded, velocity_rms) - 1 AS i, count(*) OVER () AS n FROM {_MODEL_ROWS}),
+placed AS (SELECT y, i, n, CASE WHEN i >= n - 3 * (n // 4) THEN (i - (n - 3 * (n // 4))) // (n // 4) END AS fold FROM feat),
+guess AS (SELECT f AS fold, avg(y) AS p FROM placed, (SELECT unnest(range(3)) AS f) WHERE fold IS NULL OR fold < f GROUP BY f),
+by_fold AS (SELECT avg((y - p) * (y - p)) AS mse, avg(abs(y - p)) AS mae,
+  CASE WHEN min(y) = max(y) THEN (avg((y - p) * (y - p)) = 0)::INTEGER ELSE 1 - avg((y - p) * (y - p)) / var_pop(y) END AS r2,
+  CASE WHEN min(y) = max(y) THEN (var_pop(y - p) = 0)::INTEGER ELSE 1 - var_pop(y - p) / var_pop(y) END AS ev
+  FROM placed JOIN guess USING (fold) GROUP BY fold)""", f"""
+SELECT 'error_rating' AS target, 'Baseline' AS model, {r("avg(mse)", "MSE", 4)}, {r("avg(sqrt(mse))", "RMSE", 4)}, {r("avg(mae)", "MAE", 4)},
+       {r("avg(r2)", "R2", 4)}, {r("avg(ev)", "Explained Variance", 4)}, (SELECT count(*) FROM feat) AS n_predictions, 1 AS n_targets
+FROM by_fold""")
 
 # -- models with a closed form ------------------------------------------------
 
@@ -537,3 +549,7 @@ SELECT 'l_extendedprice' AS target, 'PolyRidgeDegree2' AS model, fold, {_whole(m
 ORACLES["model_facts"] = q(FOLDS, """
 SELECT DISTINCT 'made' AS target, model, test_fold AS fold, true AS explains, true AS errs
 FROM folded, (SELECT unnest(['RandomForest', 'GradientBoosting', 'KernelRidge', 'RuleTree']) AS model) WHERE test_fold IS NOT NULL""")
+ORACLES["forest_search"] = """
+SELECT 'made' AS target, searched, draw, true AS explains, true AS settled
+FROM (SELECT unnest(['RandomForest', 'GradientBoosting']) AS searched), (SELECT unnest(['00', '01']) AS draw)
+WHERE EXISTS (SELECT 1 FROM lineitem)"""

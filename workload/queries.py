@@ -565,13 +565,17 @@ def feature_table(spark, d):
                               "view_mean", "view_count", "error_rating", "bucket_start", "bucket_end"), 4)
 
 
-@query
-def regression_table(spark, d):
-    """Features to the rows that models train on; a recording's band without bins leaves it incomplete."""
+def model_rows(spark, d):
     features = chain.feature_table(t.waves(spark, d), rows_dimension(spark), summary(spark, d), minutes=BUCKET_MINUTES)
     have = features.drop("rms_0_10hz", "rms_10_100hz").select(
         "timestamp", "velocity_rms", "rms_1_10khz", "rms_10_25khz", "location", "wave_code", "sensor_id", "bucket_id", "view_count", "view_mean", "error_rating")
-    table = chain.regression_table(have, "timestamp", {"location": ["loc_0", "loc_1", "loc_2"], "wave_code": ["AH", "VV"]})
+    return chain.regression_table(have, "timestamp", {"location": ["loc_0", "loc_1", "loc_2"], "wave_code": ["AH", "VV"]})
+
+
+@query
+def regression_table(spark, d):
+    """Features to the rows that models train on; a recording's band without bins leaves it incomplete."""
+    table = model_rows(spark, d)
     columns, targets = chain.split_columns(table, ["datetime_ts"])
     return rounded(table.select("timestamp", "datetime_ts", *columns, *targets), 4)
 
@@ -749,6 +753,31 @@ def random_search(spark, d):
     return whole_scores(draws).withColumn("best_alpha", F.round(F.lit(best["alpha"]), 6))
 
 
+@query
+def forest_search(spark, d):
+    """A search over forests and boosted trees: every draw and fold is fitted on one table of binned features."""
+    price = F.col("l_quantity") * 900.0 + F.col("l_discount") * 5000.0 + F.pmod(F.col("l_orderkey"), F.lit(7)) * 10.0
+    table = folded(spark, d).withColumn("made", price)
+    matrix = models.binned(table, FEATURES, ["made"])
+    spaces = {"RandomForest": {"n_estimators": ("int", 3, 8), "max_depth": ("int", 3, 6)},
+              "GradientBoosting": {"n_estimators": ("int", 4, 8), "max_depth": ("one", 2, 3), "learning_rate": ("log", 0.3, 0.6)}}
+    found = [(m, models.random_search(table, FEATURES, "made", m, 2, space=space, matrix=matrix)) for m, space in spaces.items()]
+    tables = [draws.select("target", F.lit(m).alias("searched"), F.col("model").alias("draw"), (F.col("R2") > 0.5).alias("explains"),
+                           F.lit(set(best) == set(spaces[m])).alias("settled")) for m, (best, draws) in found]
+    return tables[0].unionByName(tables[1])
+
+
+@query
+def train_features(spark, d):
+    """The feature chain to its end: recordings and buckets to complete rows, columns split, models compared by target."""
+    table = model_rows(spark, d)
+    columns, targets = chain.split_columns(table, ["datetime_ts"])
+    done = chain.train(table, columns, targets, ["timestamp", "velocity_rms"], ["Baseline", "Ridge", "RandomForest"],
+                       {"RandomForest": {"n_estimators": 5, "max_depth": 3}})
+    counts = done.predictions.agg(F.count("y").alias("n_predictions"), F.countDistinct("target").alias("n_targets"))
+    return rounded(done.scores.where("model = 'Baseline'"), 4).crossJoin(counts)  # one row
+
+
 # -- streaming --------------------------------------------------------------
 
 def _event_stream(spark, d):
