@@ -93,3 +93,28 @@ def test_fit_in_tasks_equals_fit_at_hand(spark):
     here = tx.fit_nnpu([t for k, t in texts if k], [t for k, t in texts if not k], prior)
     there = tx.fit(frame(spark, rows), labels)
     assert sorted(here.features.tolist()) == sorted(there.features.tolist())
+
+
+def test_sample_is_the_same_however_rows_are_split(spark):
+    rows, labels, _ = case(spark)
+    docs = frame(spark, rows)
+    bounds = {"max_positive": 20, "max_unlabelled": 150}
+    drawn = [sorted((r.row, r.toxic, r.text) for r in tx.training_sample(docs.repartition(n), labels, **bounds)[0].collect()) for n in (1, 7)]
+    assert drawn[0] == drawn[1] and len({r for r, _, _ in drawn[0]}) == len(drawn[0])
+    assert 0 < sum(t for _, t, _ in drawn[0]) <= 40 and 130 <= sum(not t for _, t, _ in drawn[0]) <= 150
+
+
+def test_copies_of_a_row_do_not_fill_the_sample(spark):
+    """A third of all rows are one row, and another third one id on different texts."""
+    rows, labels, _ = case(spark)
+    many = rows + [(5, "a text that comes again and again")] * 600 + [(7, f"text number {i} of one id") for i in range(600)]
+    sample, _ = tx.training_sample(frame(spark, many), labels, max_positive=20, max_unlabelled=300)
+    got = sample.collect()
+    texts = [r.text for r in got if not r.toxic]
+    assert 200 <= len(texts) <= 300 and texts.count("a text that comes again and again") <= 1
+    assert len([r for r in got if r.toxic]) <= 40
+
+
+def test_levels_keep_the_bound():
+    assert tx._levels([(3, 5), (1, 2), (2, 4)], 6) == [1, 2] and tx._levels([(1, 2), (1, 3)], 5) == [1]
+    assert tx._levels([(1, 99), (2, 3)], 5) == [2] and tx._levels([], 5) == []

@@ -23,6 +23,7 @@ PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are features beside the
 MAX_POSITIVE = 3_000  # bounds of the sample the model is fitted on
 MAX_UNLABELLED = 9_000
 MAX_FEATURES = 4_000
+LEVELS = 128  # into which each halving of the drawing ranks is divided, so a sample falls short of its bound by 1 % at most
 MARGIN = 1.0  # by which a feature's log-likelihood ratio must exceed the logarithm of the number of features
 CLIP = 3.0
 THRESHOLD = 0.3
@@ -207,10 +208,13 @@ def _descend(model: Model, x: np.ndarray, n_p: int, prior: float, steps: int = 4
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
                     max_unlabelled: int = MAX_UNLABELLED) -> tuple[DataFrame, float]:
-    """Whole texts (toxic, text) of confirmed toxic and of unlabelled documents, and the share of toxic
+    """Whole texts (toxic, row, text) of confirmed toxic and of unlabelled documents, and the share of toxic
     labels, from the learning folds only.
 
-    The unlabelled texts are drawn from all documents of these folds, their labels unseen.
+    The unlabelled texts are drawn from all documents of these folds, their labels unseen. A row is
+    drawn by a hash of its id and text, up to the rank at which counts by levels of rank reach the
+    bound; so the sample does not depend on how files are split, rows with the same id and text
+    count once, and the texts stay spread over tasks. ``row`` tells the rows of the sample apart.
     """
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(4, 2))
@@ -218,17 +222,41 @@ def training_sample(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_
     )
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     ids = draw(known.where("toxic").select("doc_id").distinct(), max_positive, "doc_id")
-    learning = id_text(docs).where(~held_out(4, 2)).where("text <> ''")
-    positive = learning.join(F.broadcast(ids), "doc_id", "left_semi")  # at most max_positive ids
-    total = learning.count()
-    part = learning.where(F.pmod(sample_rank("doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.1 * max_unlabelled / max(1, total))) + 1)
-    take = lambda df, n, toxic: df.limit(n).select(F.lit(toxic).alias("toxic"), "text")
-    return take(positive, 2 * max_positive, True).unionByName(take(part, max_unlabelled, False)), float(share)
+    learning = id_text(docs).where(~held_out(4, 2)).where("text <> ''").withColumn("rank", F.shiftrightunsigned(sample_rank("doc_id", "text"), 2))
+    # ids is at most max_positive rows
+    marked = learning.join(F.broadcast(ids.withColumn("toxic", F.lit(True))), "doc_id", "left").select(
+        F.coalesce("toxic", F.lit(False)).alias("toxic"), "rank", "text", F.floor(F.log2(F.col("rank") + 1.0) * LEVELS).cast("int").alias("level"))
+    sizes = marked.groupBy("toxic", "level").agg(
+        F.when(F.min("rank") == F.max("rank"), 1).otherwise(F.count(F.lit(1))).alias("n")).collect()  # at most 2 * 62 * LEVELS rows
+    confirmed = F.col("toxic") & F.col("level").isin(_levels([(r.level, r.n) for r in sizes if r.toxic], 2 * max_positive))
+    unlabelled = F.col("level").isin(_levels([(r.level, r.n) for r in sizes], max_unlabelled))
+    roles = F.array_compact(F.array(F.when(confirmed, True), F.when(unlabelled, False)))
+    sample = marked.select(F.explode(roles).alias("toxic"), "rank", "text").dropDuplicates(["toxic", "rank"])
+    return sample.select("toxic", (F.col("rank") * 2 + F.col("toxic").cast("long")).alias("row"), "text"), float(share)
+
+
+def _levels(sizes: Sequence[tuple[int, int]], most: int) -> list[int]:
+    """The lowest levels of ranks with at most ``most`` rows in all; one too large for what is left ends them.
+
+    A level that would alone exceed ``most``, as many copies of a row in it do, is passed over.
+    """
+    rows: dict[int, int] = {}
+    for level, n in sizes:
+        rows[level] = rows.get(level, 0) + n
+    taken, total = [], 0
+    for level in sorted(rows):
+        if rows[level] > most:
+            continue
+        total += rows[level]
+        if total > most:
+            break
+        taken.append(level)
+    return taken
 
 
 def _sample_features(sample: DataFrame) -> DataFrame:
     """(toxic, row, bands, features) of each text; ``features`` are its distinct ones. Stored."""
-    schema = "toxic boolean, bands array<binary>, features array<long>"
+    schema = "toxic boolean, row long, bands array<binary>, features array<long>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -236,10 +264,11 @@ def _sample_features(sample: DataFrame) -> DataFrame:
                 texts = list(utf8_texts(part))
                 found = [np.unique(features([t])[1]).view(np.int64) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("toxic"), pa.array([_least(t) for t in texts], pa.list_(pa.binary())), pa.array(found, pa.list_(pa.int64()))],
-                    names=["toxic", "bands", "features"])
+                    [part.column("toxic"), part.column("row"), pa.array([_least(t) for t in texts], pa.list_(pa.binary())),
+                     pa.array(found, pa.list_(pa.int64()))],
+                    names=["toxic", "row", "bands", "features"])
 
-    return materialise(sample.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "toxic-sample")
+    return materialise(sample.mapInArrow(run, schema), "toxic-sample")
 
 
 def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
@@ -297,7 +326,7 @@ def fit(docs: DataFrame, labels: DataFrame, **bounds: int) -> Model:
 
 def _with_scores(docs: DataFrame, model: Model, at: int, keep_below: float | None) -> DataFrame:
     """The columns under numbered names, whatever they were called, and the score behind them."""
-    shared = Shared(docs.sparkSession, model)  # 2**BITS weights
+    shared = Shared(docs.sparkSession, model)  # at most MAX_FEATURES weights
     plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     names = [*plain.columns, "s"]
 
