@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tremora.operators import buckets, timeseries
 from tremora.streaming import identities, jobs, levels, live
+from workload import queries
 
 SCHEMA = "device string, location string, datetime timestamp_ntz, v double, p double"
 
@@ -229,3 +230,11 @@ def test_a_filter_that_knows_everything_loses_no_row(spark, tmp_path, monkeypatc
         batches(spark, path, [part])
         got = identities.dedup_available(stream(spark, path), ["device", "datetime"], sink=sink, checkpoint=state, buckets=4)
     assert rows(got.select("device", "datetime")) == rows(spark.createDataFrame(data, SCHEMA).select("device", "datetime"))
+
+
+def test_a_run_of_several_batches_is_one_run(spark, tmp_path, monkeypatch):
+    real = queries.recordings.waveform_binary_stream
+    monkeypatch.setattr(queries.recordings, "waveform_binary_stream", lambda spark, path: real(spark, path, 4))
+    spark.createDataFrame([(i, [1.0, 2.0]) for i in range(24)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = queries.stream_waveforms(spark, str(tmp_path))
+    assert rows(got.select("vec_id", "run"), "vec_id") == [(i, 1 + i % 2) for i in range(24) if i % 10]

@@ -173,15 +173,20 @@ def scan_waveform_parts(spark, d):
 
 @query
 def stream_waveforms(spark, d):
-    """Two runs over a folder that grows in between; the second reads the new files only."""
+    """Two runs over a folder that grows in between; the second reads the new files only.
+
+    A run of many files takes them in in several batches, each at a time of its own, so the last time of the
+    first run tells the runs apart.
+    """
     files, path = binary_files(spark, d), scratch_path(spark, "arriving")
     where = {n: scratch_path(spark, n) for n in ("sink", "checkpoint")}
+    until = []
     for odd in (0, 1):
         file_per_row(files.where(F.col("vec_id") % 2 == odd), path)
         arrived = jobs.ingest(recordings.waveform_binary_stream(spark, path))
         table = jobs.run_available(arrived.select("filepath", "timestamp", F.size("axisY").alias("n_y"), "ingest_time"), "waves", **where)
-    first = F.col("ingest_time") == table.agg(F.min("ingest_time")).first()[0]
-    return table.select(_vec_id(), "timestamp", "n_y", F.when(first, 1).otherwise(2).alias("run"))
+        until.append(table.agg(F.max(F.unix_micros("ingest_time"))).first()[0])
+    return table.select(_vec_id(), "timestamp", "n_y", F.when(F.unix_micros("ingest_time") <= until[0], 1).otherwise(2).alias("run"))
 
 
 @query
