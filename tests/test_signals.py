@@ -148,6 +148,24 @@ def test_panels_match_numpy(spark, one_task_points):
                 np.testing.assert_allclose(part["x"].to_numpy(float), np.arange(n // 2) / (n * 5.0))
 
 
+@pytest.mark.parametrize("block_points", [1, 40, 300])
+def test_long_series_lie_in_few_blocks(spark, block_points, monkeypatch):
+    lengths = [1, 2, 3, 96, 97, 128]
+    data, df = series(spark, lengths)
+    stored = []
+    real = spectra.materialise
+    monkeypatch.setattr(spectra, "materialise", lambda df, name: stored.append(real(df, name)) or stored[-1])
+    got = spectra.signal_panels(df, "v", one_task_points=0, block_points=block_points).toPandas()
+    for n in lengths:
+        want = numpy_panels(np.array([r[3] for r in data if r[1] == f"l{n}" and r[3] is not None]))
+        for panel, y in want.items():
+            part = got[(got.location == f"l{n}") & (got.panel == panel)]
+            part = part.sort_values("timestamp" if panel in ("raw", "envelope") else "bin")
+            np.testing.assert_allclose(part["y"].to_numpy(float), y, atol=1e-9)
+    if block_points == 300:  # what is stored and shuffled are matrices, not points
+        assert all(s.where("n = 128").count() == 1 for s in stored)
+
+
 def test_panels_of_nothing(spark):
     _, df = series(spark, [3])
     assert spectra.signal_panels(df.where("false"), "v").count() == 0

@@ -2,24 +2,30 @@
 
 A transform needs the whole series of a location. While every series is short, which
 is counted first, one task transforms one series. Longer ones are transformed across
-the cluster: the chirp-z identity turns a transform of any length into a convolution
-of power-of-two length M, and each M-point transform is two rounds of about sqrt(M)
-short transforms with a shuffle between them. Both ways give the same values.
+the cluster: spectra (by the chirp-z identity, for any length) and envelopes are
+convolutions with a kernel known by formula, and a convolution is a transform of m1 * m2
+points, a product and a transform back. The points lie in blocks of numpy matrices; each
+transform is a round of short ones down the columns of a block and a round along the rows
+of a band, and only the pieces where blocks and bands cross are shuffled between them. Both ways
+give the same values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tremora.functions.time import time_slice
+from tremora.functions.time import epoch_micros, from_micros, time_slice
 from tremora.operators.timeseries import DAY
 from tremora.session import materialise
 
 ONE_TASK_POINTS = 1_000_000
+BLOCK_POINTS = 1 << 18  # of a long transform, held by a task at a time
 
 
 def centred_series(df: DataFrame, value: str, keys: Sequence[str] = ("device", "location"),
@@ -49,85 +55,214 @@ def centred_series(df: DataFrame, value: str, keys: Sequence[str] = ("device", "
     )
 
 
-def _complex(pdf: pd.DataFrame, index: np.ndarray, size: int, s: int) -> np.ndarray:
-    x = np.zeros(size, dtype=np.complex128)
-    x[index] = pdf[f"re{s}"].to_numpy() + 1j * pdf[f"im{s}"].to_numpy()
-    return x
+@dataclass(frozen=True)
+class _Grid:
+    """Position ``high * m2 + low`` of a padded series lies in row ``high`` of the block that holds column ``low``.
 
+    Bands hold the rows ``k`` of the transform, whose position is ``k + m1 * j``.
+    """
+
+    n: int
+    m1: int
+    m2: int
+    points: int
+
+    @property
+    def high(self) -> int:
+        """Rows that hold values; those below are padding."""
+        return -(-self.n // self.m2)
 
-def _power_of_two_dft(df: DataFrame, by: list[str], signals: int) -> DataFrame:
-    """Transform of ``re{s}``, ``im{s}`` at ``pos`` for 0 <= pos < m1 * m2; absent rows are zero."""
-    kinds = {f.name: f for f in df.schema.fields}
-    values = [T.StructField(f"{p}{s}", T.DoubleType()) for s in range(signals) for p in ("re", "im")]
-    shared = [kinds[c] for c in by]
+    def low(self, block: int) -> np.ndarray:
+        width = max(1, self.points // self.m1)
+        return np.arange(block * width, min(self.m2, (block + 1) * width))
 
-    def schema(*index: str) -> T.StructType:
-        return T.StructType(shared + [T.StructField(c, T.LongType()) for c in index] + values)
+    def k(self, band: int) -> np.ndarray:
+        depth = max(1, self.points // self.m2)
+        return np.arange(band * depth, min(self.m1, (band + 1) * depth))
 
-    def columns(key: tuple, out: dict[str, np.ndarray]) -> pd.DataFrame:
-        size = len(next(iter(out.values())))
-        return pd.DataFrame({**{c: [key[i]] * size for i, c in enumerate(by)}, **out})
+    def positions(self, block: int, rows: int) -> np.ndarray:
+        return np.arange(rows)[:, None] * self.m2 + self.low(block)
 
-    def down(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        m1, m2, low = int(pdf["m1"].iloc[0]), int(pdf["m2"].iloc[0]), int(pdf["low"].iloc[0])
-        k = np.arange(m1)
-        twist = np.exp(-2j * np.pi * ((low * k) % (m1 * m2)) / (m1 * m2))
-        out: dict[str, np.ndarray] = {"low": np.full(m1, low), "k": k}
-        for s in range(signals):
-            y = np.fft.fft(_complex(pdf, pdf["high"].to_numpy(), m1, s)) * twist
-            out[f"re{s}"], out[f"im{s}"] = y.real, y.imag
-        return columns(key, out)
+    def twist(self, k: np.ndarray, low: np.ndarray) -> np.ndarray:
+        return np.exp(-2j * np.pi * (k[:, None] * low) / (self.m1 * self.m2))
 
-    def across(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        m1, m2, k = int(pdf["m1"].iloc[0]), int(pdf["m2"].iloc[0]), int(pdf["k"].iloc[0])
-        out: dict[str, np.ndarray] = {"pos": k + m1 * np.arange(m2)}
-        for s in range(signals):
-            y = np.fft.fft(_complex(pdf, pdf["low"].to_numpy(), m2, s))
-            out[f"re{s}"], out[f"im{s}"] = y.real, y.imag
-        return columns(key, out)
 
-    split = df.withColumn("low", F.col("pos") % F.col("m2")).withColumn("high", F.floor(F.col("pos") / F.col("m2")))
-    first = split.groupBy(*by, "low").applyInPandas(down, schema("low", "k"))
-    return first.groupBy(*by, "k").applyInPandas(across, schema("pos"))
+GRID = ("n", "m1", "m2")
 
 
-def distributed_dft(df: DataFrame, keys: Sequence[str], re: Column, im: Column) -> DataFrame:
-    """Transform of a series of any length ``n``, rows (keys, n, pos, re, im) in and out."""
-    bits = F.ceil(F.log2(F.lit(2) * F.col("n") - 1)).cast("int")
+def _with_grid(series: DataFrame, points: int) -> DataFrame:
+    """Add ``m1``, ``m2``, with room for 2 n - 1 points, and the ``block`` of every position."""
+    need = F.col("n") * 2 - 1
+    bits = F.ceil(F.log2(need)).cast("int")
     low_bits = F.floor(bits / 2).cast("int")
-    # exp(i pi j^2 / n) with the square reduced exactly before it becomes a float
-    angle = F.lit(np.pi) * ((F.col("pos") * F.col("pos")) % (F.col("n") * 2)).cast("double") / F.col("n")
-    rows = (
-        df.withColumn("m1", F.pow(F.lit(2.0), low_bits).cast("long"))
-        .withColumn("m2", F.pow(F.lit(2.0), bits - low_bits).cast("long"))
-        .withColumn("c", F.cos(angle)).withColumn("s", F.sin(angle))
-        .withColumn("_re", re).withColumn("_im", im)
-    )
-    by = [*keys, "n", "m1", "m2"]
-    zero = F.lit(0.0)
-    here = F.struct(
-        F.col("pos").alias("pos"),
-        (F.col("_re") * F.col("c") + F.col("_im") * F.col("s")).alias("re0"),
-        (F.col("_im") * F.col("c") - F.col("_re") * F.col("s")).alias("im0"),
-        F.col("c").alias("re1"), F.col("s").alias("im1"),
-    )
-    mirror = F.struct(
-        (F.col("m1") * F.col("m2") - F.col("pos")).alias("pos"),
-        zero.alias("re0"), zero.alias("im0"), F.col("c").alias("re1"), F.col("s").alias("im1"),
-    )
-    chirped = rows.select(*by, F.inline(F.when(F.col("pos") > 0, F.array(here, mirror)).otherwise(F.array(here))))
-    spectra = _power_of_two_dft(chirped, by, 2)
-    # inverse transform of the product, as the conjugate of the transform of its conjugate
-    product = spectra.select(
-        *by, "pos",
-        (F.col("re0") * F.col("re1") - F.col("im0") * F.col("im1")).alias("re0"),
-        (-(F.col("re0") * F.col("im1") + F.col("im0") * F.col("re1"))).alias("im0"),
-    )
-    size = F.col("m1") * F.col("m2")
-    conv = _power_of_two_dft(product, by, 1).where("pos < n")
-    c, s = F.cos(angle), F.sin(angle)
-    r, i = F.col("re0") / size, -F.col("im0") / size
-    return conv.select(*keys, "n", "pos", (r * c + i * s).alias("re"), (i * c - r * s).alias("im"))
+    coarse = F.pow(F.lit(2.0), F.greatest(F.lit(0), bits - low_bits - 4)).cast("long")  # m1 has only small factors
+    sized = series.withColumn("m2", F.pow(F.lit(2.0), low_bits).cast("long"))
+    sized = sized.withColumn("m1", (coarse * F.ceil(need / (F.col("m2") * coarse))).cast("long"))
+    width = F.greatest(F.lit(1), F.floor(F.lit(points) / F.col("m1")))
+    return sized.withColumn("block", F.floor((F.col("pos") % F.col("m2")) / width).cast("long"))
+
+
+def _chirp(d: np.ndarray, n: int) -> np.ndarray:
+    """exp(i pi d^2 / n) with the square reduced exactly before it becomes a float."""
+    return np.exp(1j * np.pi * ((d * d) % (2 * n)) / n)
+
+
+def _analytic(d: np.ndarray, n: int) -> np.ndarray:
+    """What a signal is convolved with, round its end, to become its analytic signal."""
+    d = np.where(2 * d > n, d - n, np.where(2 * d < -n, d + n, d))
+    x = np.where(d == 0, 1.0, np.pi * d / n)
+    odd = d % 2 == 1
+    if n % 2 == 0:
+        h = np.where(odd, 2.0 / np.tan(x), 0.0)
+    else:
+        t = np.tan(x / 2)
+        h = np.where(odd, 1.0 / t, -t)
+    return np.where(d == 0, 1.0, 1j * h / n)
+
+
+def _kernel(g: _Grid, block: int, chirp: bool) -> np.ndarray:
+    pos = g.positions(block, g.m1)
+    d = np.where(pos < g.n, pos, pos - g.m1 * g.m2)
+    near = np.abs(d) < g.n
+    out = np.zeros(pos.shape, dtype=np.complex128)
+    out[near] = (_chirp if chirp else _analytic)(d[near], g.n)
+    return out
+
+
+def _cells(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(c.as_buffer(), dtype=kind) for c in column]
+
+
+def _keyed(key: Mapping[str, pa.Scalar], columns: Mapping[str, pa.Array]) -> pa.RecordBatch:
+    size = len(next(iter(columns.values())))
+    whole = {**{c: pa.repeat(v, size) for c, v in key.items()}, **columns}
+    return pa.RecordBatch.from_arrays(list(whole.values()), names=list(whole))
+
+
+def _binary(parts: Iterable[np.ndarray]) -> pa.Array:
+    return pa.array([p.tobytes() for p in parts], pa.binary())
+
+
+@dataclass(frozen=True)
+class _Spread:
+    """Blocks of series (keys, grid, block, y) through convolutions."""
+
+    keys: list[T.StructField]
+    points: int
+
+    @property
+    def by(self) -> list[str]:
+        return [*[f.name for f in self.keys], *GRID]
+
+    def schema(self, *columns: str, **kinds: T.DataType) -> T.StructType:
+        """Keys and grid, then numbers (``columns``), then columns of their own types."""
+        longs = [T.StructField(c, T.LongType()) for c in (*GRID, *columns)]
+        return T.StructType([*self.keys, *longs, *[T.StructField(c, k) for c, k in kinds.items()]])
+
+    def grid(self, key: Mapping[str, pa.Scalar]) -> _Grid:
+        return _Grid(*[key[c].as_py() for c in GRID], self.points)
+
+    def gathered(self, df: DataFrame, at: str, run, schema: T.StructType) -> DataFrame:
+        """``run(grid, number, table)`` gives the columns of all rows of a block or band."""
+        by = self.by
+
+        def one(key: tuple, table: pa.Table) -> pa.Table:
+            named = dict(zip(by, key))
+            out = run(self.grid(named), key[-1].as_py(), table)
+            return pa.Table.from_batches([_keyed(named, out)])
+
+        return df.groupBy(*by, at).applyInArrow(one, schema)
+
+    def mapped(self, blocks: DataFrame, run, schema: T.StructType) -> DataFrame:
+        """``run(grid, block, cell of every column)`` gives the columns of all rows that a block leads to."""
+        by = self.by
+
+        def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    cell = {c: batch.column(c)[i] for c in batch.schema.names}
+                    named = {c: cell[c] for c in by}
+                    yield _keyed(named, run(self.grid(named), cell["block"].as_py(), cell))
+
+        return blocks.mapInArrow(each, schema)
+
+    def packed(self, series: DataFrame) -> DataFrame:
+        """One row a block of rows (pos, t, y): their times and values as matrices."""
+        def run(g: _Grid, block: int, table: pa.Table) -> dict[str, pa.Array]:
+            low = g.low(block)
+            pos = table.column("pos").to_numpy()
+            out: dict[str, pa.Array] = {"block": pa.array([block], pa.int64())}
+            for name, kind in (("t", np.int64), ("y", np.float64)):
+                cells = np.zeros((g.high, len(low)), dtype=kind)
+                cells[pos // g.m2, pos % g.m2 - low[0]] = table.column(name).to_numpy()
+                out[name] = _binary([cells])
+            return out
+
+        return self.gathered(_with_grid(series, self.points), "block", run, self.schema("block", t=T.BinaryType(), y=T.BinaryType()))
+
+    def magnitudes(self, blocks: DataFrame, chirp: bool) -> DataFrame:
+        """Blocks of the magnitude ``y``, and its ``total``, of the transforms (``chirp``) or the analytic signals."""
+        def down(g: _Grid, block: int, cell: dict[str, pa.Scalar]) -> dict[str, pa.Array]:
+            low = g.low(block)
+            y = np.frombuffer(cell["y"].as_buffer()).reshape(g.high, -1)
+            if chirp:
+                y = y * _chirp(g.positions(block, g.high), g.n).conj()
+            twist = g.twist(np.arange(g.m1), low)
+            a = np.fft.fft(y, g.m1, axis=0) * twist
+            b = np.fft.fft(_kernel(g, block, chirp), axis=0) * twist
+            cuts = range(0, g.m1, len(g.k(0)))
+            bands = [slice(c, c + len(g.k(0))) for c in cuts]
+            return {"block": pa.array([block] * len(bands), pa.int64()), "band": pa.array(range(len(bands)), pa.int64()),
+                    "a": _binary(a[x] for x in bands), "b": _binary(b[x] for x in bands)}
+
+        def side_by_side(table: pa.Table, name: str, at: str, axis: int, shape: tuple[int, int]) -> np.ndarray:
+            order = np.argsort(table.column(at).to_numpy())
+            cells = _cells(table.column(name), np.complex128)
+            return np.concatenate([cells[i].reshape(shape) for i in order], axis=axis)
+
+        def along(g: _Grid, band: int, table: pa.Table) -> dict[str, pa.Array]:
+            k = g.k(band)
+            a, b = (np.fft.fft(side_by_side(table, c, "block", 1, (len(k), -1)), axis=1) for c in ("a", "b"))
+            # the way back is the conjugate of the transform of the conjugate, rows first
+            back = np.fft.fft((a * b).conj(), axis=1) * g.twist(k, np.arange(g.m2))
+            width = len(g.low(0))
+            blocks = [slice(c, c + width) for c in range(0, g.m2, width)]
+            return {"block": pa.array(range(len(blocks)), pa.int64()), "band": pa.array([band] * len(blocks), pa.int64()),
+                    "a": _binary(back[:, x] for x in blocks)}
+
+        def back(g: _Grid, block: int, table: pa.Table) -> dict[str, pa.Array]:
+            a = side_by_side(table, "a", "band", 0, (-1, len(g.low(block))))
+            y = np.abs(np.fft.fft(a, axis=0)[: g.high]) / (g.m1 * g.m2)
+            y[g.positions(block, g.high) >= g.n] = 0.0
+            return {"block": pa.array([block], pa.int64()), "y": _binary([y]), "total": pa.array([y.sum()])}
+
+        pieces = self.mapped(blocks.select(*self.by, "block", "y"), down, self.schema("block", "band", a=T.BinaryType(), b=T.BinaryType()))
+        products = self.gathered(pieces, "band", along, self.schema("block", "band", a=T.BinaryType()))
+        return self.gathered(products, "block", back, self.schema("block", y=T.BinaryType(), total=T.DoubleType()))
+
+    def less_mean(self, blocks: DataFrame) -> DataFrame:
+        keys = [f.name for f in self.keys]
+        mean = blocks.groupBy(*keys).agg((F.sum("total") / F.max("n")).alias("_mean"))
+
+        def run(g: _Grid, block: int, cell: dict[str, pa.Scalar]) -> dict[str, pa.Array]:
+            y = np.frombuffer(cell["y"].as_buffer()).reshape(g.high, -1) - cell["_mean"].as_py()
+            return {"block": pa.array([block], pa.int64()), "y": _binary([np.where(g.positions(block, g.high) < g.n, y, 0.0)])}
+
+        return self.mapped(blocks.join(mean, keys), run, self.schema("block", y=T.BinaryType()))
+
+    def points_of(self, blocks: DataFrame, half: bool = False) -> DataFrame:
+        """Rows (keys, grid, pos, y), and ``t`` if the blocks have it; of the first n // 2 positions if ``half``."""
+        times = "t" in blocks.columns
+
+        def run(g: _Grid, block: int, cell: dict[str, pa.Scalar]) -> dict[str, pa.Array]:
+            pos = g.positions(block, g.high)
+            there = pos < (g.n // 2 if half else g.n)
+            out = {"pos": pa.array(pos[there]), "y": pa.array(np.frombuffer(cell["y"].as_buffer()).reshape(pos.shape)[there])}
+            if times:
+                out["t"] = pa.array(np.frombuffer(cell["t"].as_buffer(), dtype=np.int64).reshape(pos.shape)[there])
+            return out
+
+        return self.mapped(blocks, run, self.schema("pos", y=T.DoubleType(), **({"t": T.LongType()} if times else {})))
 
 
 def _analytic_weights(n: int) -> np.ndarray:
@@ -164,7 +299,8 @@ PANELS = ("raw", "spectrum", "envelope", "envelope_spectrum")
 
 def signal_panels(df: DataFrame, value: str, interval: float = 5.0, panels: Sequence[str] = PANELS,
                   keys: Sequence[str] = ("device", "location"), ts: str = "timestamp",
-                  one_task_points: int = ONE_TASK_POINTS, slice_seconds: int = DAY) -> DataFrame:
+                  one_task_points: int = ONE_TASK_POINTS, slice_seconds: int = DAY,
+                  block_points: int = BLOCK_POINTS) -> DataFrame:
     """The four signal views as one long table (keys, panel, time, bin, x, y).
 
     ``raw`` and ``envelope`` are over time (x null); the spectra are over frequency
@@ -177,7 +313,7 @@ def signal_panels(df: DataFrame, value: str, interval: float = 5.0, panels: Sequ
     series = centred_series(df, value, keys, ts, slice_seconds)
     longest = df.groupBy(*keys).agg(F.count(F.col(f"`{value}`")).alias("n")).agg(F.max("n")).first()[0] or 0
     if longest > one_task_points:
-        return _across_tasks(series, interval, panels, keys, ts)
+        return _across_tasks(series, interval, panels, keys, ts, block_points)
     schema = T.StructType(
         [df.schema[k] for k in keys]
         + [T.StructField("panel", T.StringType()), T.StructField(ts, df.schema[ts].dataType), T.StructField("bin", T.LongType()),
@@ -186,39 +322,35 @@ def signal_panels(df: DataFrame, value: str, interval: float = 5.0, panels: Sequ
     return series.groupBy(*keys).applyInPandas(_one_task(interval, set(panels), schema, keys, ts), schema)
 
 
-def _across_tasks(series: DataFrame, interval: float, panels: Sequence[str], keys: Sequence[str], ts: str) -> DataFrame:
-    by = [*keys, "n", "pos"]
-    series = materialise(series, "series")
-    no_time, no_bin, no_x = F.lit(None).cast(series.schema[ts].dataType), F.lit(None).cast("long"), F.lit(None).cast("double")
-    zero = F.lit(0.0)
+def _across_tasks(series: DataFrame, interval: float, panels: Sequence[str], keys: Sequence[str], ts: str, points: int) -> DataFrame:
+    kind = series.schema[ts].dataType
+    zoned = isinstance(kind, T.TimestampType)
+    no_time, no_bin, no_x = F.lit(None).cast(kind), F.lit(None).cast("long"), F.lit(None).cast("double")
+    spread = _Spread([series.schema[k] for k in keys], points)
+    rows = series.select(*keys, "n", "pos", (F.unix_micros(ts) if zoned else epoch_micros(ts)).alias("t"), "y")
+    blocks = materialise(spread.packed(rows), "series")
 
-    def over_time(name: str, points: DataFrame) -> DataFrame:
-        return points.select(*keys, F.lit(name).alias("panel"), ts, no_bin.alias("bin"), no_x.alias("x"), "y")
+    def over_time(name: str, at: DataFrame) -> DataFrame:
+        time = F.timestamp_micros("t") if zoned else from_micros(F.col("t")).cast(kind)
+        return spread.points_of(at).select(*keys, F.lit(name).alias("panel"), time.alias(ts), no_bin.alias("bin"), no_x.alias("x"), "y")
 
-    def over_frequency(name: str, transform: DataFrame) -> DataFrame:
-        return transform.where(F.col("pos") < F.floor(F.col("n") / 2)).select(
+    def over_frequency(name: str, at: DataFrame) -> DataFrame:
+        return spread.points_of(at, half=True).select(
             *keys, F.lit(name).alias("panel"), no_time.alias(ts), F.col("pos").alias("bin"),
-            (F.col("pos") / (F.col("n") * interval)).alias("x"), F.hypot("re", "im").alias("y"),
+            (F.col("pos") / (F.col("n") * interval)).alias("x"), "y",
         )
 
-    transform = materialise(distributed_dft(series, keys, F.col("y"), zero), "transform")
     out = []
     if "raw" in panels:
-        out.append(over_time("raw", series))
+        out.append(over_time("raw", blocks))
     if "spectrum" in panels:
-        out.append(over_frequency("spectrum", transform))
+        out.append(over_frequency("spectrum", spread.magnitudes(blocks, chirp=True)))
     if {"envelope", "envelope_spectrum"} & set(panels):
-        k, n = F.col("pos") * 2, F.col("n")
-        weight = F.when((F.col("pos") == 0) | (k == n), 1.0).when(k < n, 2.0).otherwise(0.0)
-        # inverse transform through the conjugate; only the magnitude is needed
-        analytic = distributed_dft(transform, keys, F.col("re") * weight, -F.col("im") * weight)
-        magnitude = materialise(analytic.select(*by, (F.hypot("re", "im") / F.col("n")).alias("m")), "magnitude")
-        mean = magnitude.groupBy(*keys).agg(F.avg("m").alias("_mean"))
-        envelope = magnitude.join(mean, list(keys)).select(*by, (F.col("m") - F.col("_mean")).alias("y"))
+        envelope = spread.less_mean(materialise(spread.magnitudes(blocks, chirp=False), "magnitude"))
         if "envelope" in panels:
-            out.append(over_time("envelope", series.drop("y").join(envelope, by)))
+            out.append(over_time("envelope", envelope.join(blocks.drop("y"), [*spread.by, "block"])))
         if "envelope_spectrum" in panels:
-            out.append(over_frequency("envelope_spectrum", distributed_dft(envelope, keys, F.col("y"), zero)))
+            out.append(over_frequency("envelope_spectrum", spread.magnitudes(envelope, chirp=True)))
     first, *rest = out
     for o in rest:
         first = first.unionByName(o)
