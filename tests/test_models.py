@@ -250,3 +250,15 @@ def test_random_cosines_approach_the_kernel(spark):
     x = np.array([r._x.toArray() for r in got])
     want = np.exp(-0.5 * ((points[:, None] - points[None]) ** 2).sum(-1))
     np.testing.assert_allclose(x @ x.T, want, atol=0.06)
+
+
+def test_a_task_of_a_tree_fit_holds_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "FIT_ROWS", 50)
+    data = [(i, float(i % 5), float(i % 3), float(i % 7)) for i in range(2000)]
+    table = folds.time_folds(spark.createDataFrame(data, "id long, a double, b double, y double"), ["id"])
+    matrix = models.binned(table, ["a", "b"], ["y"])
+    forest = models._points(matrix, matrix.rows, "y", "RandomForest")
+    sizes = [n for n in forest.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 100
+    cells = models._points(matrix, matrix.rows, "y", "GradientBoosting")
+    assert cells.count() == 15 and cells.agg(F.sum("_weight"), F.sum(F.col("_weight") * F.col("y"))).first() == (2000.0, sum(r[3] for r in data))

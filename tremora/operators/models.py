@@ -126,14 +126,16 @@ class RandomCosines(Transformer, DefaultParamsReadable, DefaultParamsWritable):
 FORESTS = ("RandomForest", "GradientBoosting")
 MAX_BINS = 32
 BIN_SAMPLE = 10_000  # rows whose features place the borders of the bins
+FIT_ROWS = 500_000  # rows that a task of a fit keeps as points, some 300 bytes each
 
 
 @dataclass
 class Binned:
-    """Stages that bin raw features into the vector ``_x``, and the stored rows that hold it."""
+    """Stages that bin raw features into the vector ``_x``, the stored rows that hold it, and their number."""
 
     stages: list[Transformer]
     rows: DataFrame
+    size: int
 
 
 def _borders(values: np.ndarray, bins: int) -> list[float]:
@@ -153,7 +155,8 @@ def binned(df: DataFrame, features: Sequence[str], targets: Sequence[str], bins:
     number, all rows if they are fewer. Stored are ``test_fold``, the targets and the vector
     of bin numbers, of which Parquet's dictionaries make a few bits each.
     """
-    share = min(1.0, BIN_SAMPLE / max(1, df.count()))
+    size = df.count()
+    share = min(1.0, BIN_SAMPLE / max(1, size))
     some = df.where(F.pmod(F.xxhash64("row_index"), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = some.select(*[F.col(f"`{c}`").cast("double").alias(f"_c{i}") for i, c in enumerate(features)]).toPandas()
     names = list(sample.columns)
@@ -163,7 +166,7 @@ def binned(df: DataFrame, features: Sequence[str], targets: Sequence[str], bins:
     stages = [cast, cut, VectorAssembler(inputCols=cut.getOutputCols(), outputCol="_x")]
     ordered = F.col("_x").alias("_x", metadata={})  # bins are ordered numbers to the trees, not categories
     matrix = PipelineModel(stages).transform(df).select("test_fold", *[F.col(f"`{c}`") for c in targets], ordered)
-    return Binned(stages, materialise(matrix, "binned"))
+    return Binned(stages, materialise(matrix, "binned"), size)
 
 
 def _tree(model: str, p: Mapping[str, Any], seed: int, **columns: str):
@@ -176,12 +179,29 @@ def _tree(model: str, p: Mapping[str, Any], seed: int, **columns: str):
     return DecisionTreeRegressor(maxDepth=p["max_depth"], seed=seed, **columns)
 
 
+def _points(matrix: Binned, rows: DataFrame, target: str, model: str) -> DataFrame:
+    """What a fit on ``rows`` reads: ``_x``, the target and ``_weight``.
+
+    Boosting sees rows of the same bins as one, with their mean and number: they always share a prediction, and
+    splits depend on sums and counts alone. A forest draws every row for itself; its rows are dealt to
+    tasks of about FIT_ROWS, in an order of their own, as Spark's trees keep a partition's rows as one block.
+    """
+    rows = rows.where(F.col(f"`{target}`").isNotNull())
+    if model == "GradientBoosting":
+        cells = rows.groupBy("_x").agg(F.avg(F.col(f"`{target}`").cast("double")).alias(target), F.count(F.lit(1)).cast("double").alias("_weight"))
+        return cells.select(F.col("_x").alias("_x", metadata={}), F.col(f"`{target}`"), "_weight")
+    if matrix.size > FIT_ROWS:
+        parts = max(-(-matrix.size // FIT_ROWS), rows.sparkSession.sparkContext.defaultParallelism)
+        rows = rows.repartition(parts).sortWithinPartitions(F.xxhash64("_x"), target)
+    return rows.withColumn("_weight", F.lit(1.0))
+
+
 def fit_binned(matrix: Binned, rows: DataFrame, target: str, model: str, params: Mapping[str, Any] | None = None,
                seed: int = 42) -> PipelineModel:
     """Train one of FORESTS on ``rows``, some or all of ``matrix.rows``; the result scores raw rows."""
     p = {**DEFAULTS[model], **(params or {})}
-    tree = _tree(model, p, seed, featuresCol="_x", labelCol=target, predictionCol="prediction")
-    return PipelineModel([*matrix.stages, tree.fit(rows.where(F.col(f"`{target}`").isNotNull()))])
+    tree = _tree(model, p, seed, featuresCol="_x", labelCol=target, predictionCol="prediction", weightCol="_weight")
+    return PipelineModel([*matrix.stages, tree.fit(_points(matrix, rows, target, model))])
 
 
 def fit(df: DataFrame, features: Sequence[str], target: str, model: str,
