@@ -262,3 +262,19 @@ def test_a_task_of_a_tree_fit_holds_few_rows(spark, monkeypatch):
     assert sum(sizes) == 2000 and max(sizes) < 100
     cells = models._points(matrix, matrix.rows, "y", "GradientBoosting")
     assert cells.count() == 15 and cells.agg(F.sum("_weight"), F.sum(F.col("_weight") * F.col("y"))).first() == (2000.0, sum(r[3] for r in data))
+
+
+def test_kernel_ridge_matches_closed_form_from_sums(spark):
+    df = table(spark)
+    fitted = models.fit(df, ["a", "b"], "y_rating", "KernelRidge", {"components": 16, "C": 10.0})
+    ridge = fitted.stages[-1]
+    assert isinstance(ridge, models.CosineRidge)  # features of a batch go into sums, not into vectors of Spark
+    local = df.orderBy("id").toPandas()
+    x, y = local[["a", "b"]].to_numpy(), local["y_rating"].to_numpy()
+    wide = ridge.basis()((x - x.mean(0)) / x.std(0))
+    c = wide - wide.mean(0)
+    w = np.linalg.solve(c.T @ c + 0.1 * np.eye(16), c.T @ (y - y.mean()))
+    got = models.predict(fitted, df).orderBy("id").toPandas()["prediction"].to_numpy()
+    np.testing.assert_allclose(got, c @ w + y.mean(), rtol=1e-6)
+    with pytest.raises(Exception, match="null or NaN"):
+        models.fit(df.withColumn("b", F.when(F.col("id") > 3, F.col("b"))), ["a", "b"], "y_rating", "KernelRidge")

@@ -7,7 +7,7 @@ what is shuffled depends on the columns and tasks, not on the rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -70,3 +70,24 @@ def grouped_products(df: DataFrame, columns: Sequence[str], shift: Sequence[floa
     for cell, v in parts.groupBy("cell").agg(F.sum("v")).collect():  # (groups + 1) small matrices
         out[cell] = v
     return out.reshape(groups + 1, p + 1, p + 1)
+
+
+def expanded_products(df: DataFrame, columns: Sequence[str], expand: Callable[[np.ndarray], np.ndarray], width: int) -> np.ndarray:
+    """Products of the ``width`` columns that ``expand`` makes of each batch's rows; the columns must not be null."""
+    p = len(columns)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            x = _matrix(batch, p)
+            if np.isnan(x).any():
+                raise ValueError(f"null or NaN in {list(columns)}")
+            wide = expand(x)
+            total += wide.T @ wide
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(total.ravel())], names=["cell", "v"])
+
+    parts = df.select(*_numbered(df, columns, [0.0] * p, [1.0] * p)).mapInArrow(run, "cell long, v double")
+    out = np.zeros(width * width)
+    for cell, v in parts.groupBy("cell").agg(F.sum("v")).collect():  # one small matrix
+        out[cell] = v
+    return out.reshape(width, width)

@@ -27,7 +27,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tremora.operators.folds import cv_summary, fold_metrics, test_rows, training_rows
-from tremora.operators.gram import grouped_products
+from tremora.operators.gram import expanded_products, grouped_products
 from tremora.session import materialise
 
 MODELS = (
@@ -110,19 +110,57 @@ class RandomCosines(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     gamma = Param(Params._dummy(), "gamma", "of the kernel exp(-gamma |a - b|^2)", TypeConverters.toFloat)
     seed = Param(Params._dummy(), "seed", "of directions and phases", TypeConverters.toInt)
 
-    def _transform(self, df: DataFrame) -> DataFrame:
+    def basis(self) -> Callable[[np.ndarray], np.ndarray]:
+        """From rows of the vector to rows of features."""
         width, components = self.getOrDefault("width"), self.getOrDefault("components")
         rng, spread = random.Random(self.getOrDefault("seed")), math.sqrt(2 * self.getOrDefault("gamma"))
         drawn = np.array([[*(rng.gauss(0, spread) for _ in range(width)), rng.uniform(0, 2 * math.pi)] for _ in range(components)])
         directions, phases, height = drawn[:, :-1].T, drawn[:, -1], math.sqrt(2 / components)
+        return lambda z: height * np.cos(z @ directions + phases)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        basis = self.basis()
 
         @F.pandas_udf("array<double>")
         def cosines(z: pd.Series) -> pd.Series:
-            return pd.Series(list(height * np.cos(np.stack(z) @ directions + phases)) if len(z) else [], dtype=object)
+            return pd.Series(list(basis(np.stack(z))) if len(z) else [], dtype=object)
 
         return df.withColumn("_x", array_to_vector(cosines(vector_to_array("_z"))))
 
 
+class CosineRidge(RandomCosines):
+    """Ridge ``prediction`` on random cosine features of the columns ``_z0``, ``_z1``, ..., which never leave the batch."""
+
+    weights = Param(Params._dummy(), "weights", "of the features", TypeConverters.toListFloat)
+    intercept = Param(Params._dummy(), "intercept", "added to their sum", TypeConverters.toFloat)
+
+    def fitted(self, rows: DataFrame, target: str, stats: Scaling, alpha: float) -> CosineRidge:
+        """With the weights that minimise the sum of squares plus ``alpha`` |w|^2, from one pass of sums of products."""
+        basis, components, names = self.basis(), self.getOrDefault("components"), _scaled_names(stats.moments)
+        mean, unit = stats.target[0], stats.target[1] or 1.0
+
+        def expand(x: np.ndarray) -> np.ndarray:
+            return np.column_stack([basis(x[:, :-1]), (x[:, -1] - mean) / unit, np.ones(len(x))])
+
+        m = expanded_products(rows, [*names, target], expand, components + 2)
+        n, centre = m[-1, -1], m[-1, :-1] / m[-1, -1]
+        cov = m[:-1, :-1] - n * np.outer(centre, centre)
+        w = np.linalg.solve(cov[:-1, :-1] + alpha * np.eye(components), cov[:-1, -1]) * unit
+        return self._set(weights=w.tolist(), intercept=float(mean + centre[-1] * unit - centre[:-1] @ w))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        basis, weights, intercept = self.basis(), np.array(self.getOrDefault("weights")), self.getOrDefault("intercept")
+
+        @F.pandas_udf("double")
+        def score(*z: pd.Series) -> pd.Series:
+            x = np.column_stack([c.to_numpy(dtype=np.float64) for c in z])
+            if np.isnan(x).any():
+                raise ValueError("null or NaN in the features")
+            return pd.Series(basis(x) @ weights + intercept)
+
+        return df.withColumn("prediction", score(*[F.col(f"_z{i}") for i in range(self.getOrDefault("width"))]))
+
+
 FORESTS = ("RandomForest", "GradientBoosting")
 MAX_BINS = 32
 BIN_SAMPLE = 10_000  # rows whose features place the borders of the bins
@@ -225,22 +263,20 @@ def fit(df: DataFrame, features: Sequence[str], target: str, model: str,
     if model == "KernelRidge":
         # on standardised features both ways of choosing gamma come to one over their number
         gamma = 1.0 / len(features) if p["gamma"] in ("scale", "auto") else float(p["gamma"])
-        cosines = RandomCosines()
+        cosines = CosineRidge()
         cosines._set(width=len(z), components=p["components"], gamma=gamma, seed=seed)
-        stages += [VectorAssembler(inputCols=z, outputCol="_z"), cosines]
-    else:
-        stages.append(VectorAssembler(inputCols=inputs, outputCol="_x"))
+        return PipelineModel([*stages, cosines.fitted(stages[0].transform(rows), target, stats, 1.0 / p["C"])])
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="_x"))
     column = "_x"
     if model == "PolyRidgeDegree2":
         stages.append(PolynomialExpansion(degree=p["degree"], inputCol="_x", outputCol="_xp"))
         column = "_xp"
     common = {"featuresCol": column, "labelCol": target, "predictionCol": "prediction"}
-    if model in ("Ridge", "PolyRidgeDegree2", "KernelRidge"):
-        alpha = 1.0 / p["C"] if model == "KernelRidge" else p["alpha"]
+    if model in ("Ridge", "PolyRidgeDegree2"):
         # sum of squares plus alpha |w|^2, restated for a solver that averages the squares
         # and divides its penalty by the spread of the label
         stages.append(LinearRegression(
-            regParam=alpha / stats.rows * stats.target[1], elasticNetParam=0.0, standardization=False, solver="normal", **common
+            regParam=p["alpha"] / stats.rows * stats.target[1], elasticNetParam=0.0, standardization=False, solver="normal", **common
         ))
     else:
         stages.append(_tree(model, p, seed, **common))
