@@ -278,3 +278,19 @@ def test_kernel_ridge_matches_closed_form_from_sums(spark):
     np.testing.assert_allclose(got, c @ w + y.mean(), rtol=1e-6)
     with pytest.raises(Exception, match="null or NaN"):
         models.fit(df.withColumn("b", F.when(F.col("id") > 3, F.col("b"))), ["a", "b"], "y_rating", "KernelRidge")
+
+
+def test_predictions_of_a_target_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    df = table(spark, 80).withColumnRenamed("k_rating", "k: 50%")
+    done = chain.train(df, ["a", "b"], ["y_rating", "k: 50%"], ["datetime", "id"], ["Baseline", "Ridge"])
+    one = done.predictions.where(F.col("target") == "y_rating")
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan  # the other target's part is gone
+    more = done.predictions.unionByName(done.predictions.limit(3).withColumn("target", F.lit("other")))
+    for _ in range(2):  # a second run replaces the first
+        stages.save_best(done.models, done.best, more, str(tmp_path), "d")
+    base = tmp_path / "predictions" / "d"
+    assert sorted(p.name for p in base.iterdir() if p.is_dir()) == ["target=k%3A 50%25", "target=other", "target=y_rating"]
+    read = spark.read.parquet(str(base)).select(*more.columns)
+    assert rows(read) == rows(more)
+    assert stages.load_predictions(spark, str(tmp_path), "d", "k: 50%").count() == 80

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -122,12 +122,10 @@ def _predictions(df: DataFrame, fitted: Mapping[str, PipelineModel], order: Sequ
     """Truth and prediction of every target in one long table beside the order columns."""
     if not fitted:
         return df.select(*order, F.lit("").alias("target"), F.lit(0.0).alias("y"), F.lit(0.0).alias("prediction")).where("false")
-    for i, model in enumerate(fitted.values()):
-        kept = df.columns
-        df = model.transform(df).select(*[F.col(f"`{c}`") for c in kept], F.col("prediction").cast("double").alias(f"_p{i}"))
-    cells = [F.struct(F.lit(t).alias("target"), F.col(f"`{t}`").cast("double").alias("y"), F.col(f"_p{i}").alias("prediction"))
-             for i, t in enumerate(fitted)]
-    return df.select(*order, F.inline(F.array(*cells)))
+    each = [
+        model.transform(df).select(*order, F.lit(t).alias("target"), F.col(f"`{t}`").cast("double").alias("y"), F.col("prediction").cast("double").alias("prediction"))
+        for t, model in fitted.items()]
+    return reduce(DataFrame.unionByName, each)  # a filter on the target leaves its part alone
 
 
 def dashboard_selection(merged: DataFrame, device: str, start: datetime | None, end: datetime | None,

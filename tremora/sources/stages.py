@@ -32,10 +32,18 @@ def write_day_partitions(df: DataFrame, path: str, ts: str = "datetime") -> Data
 
 def save_best(models: Mapping[str, PipelineModel], metrics: DataFrame, predictions: DataFrame,
               path: str, device: str) -> DataFrame:
-    """Save the chosen models, their scores and one table of predictions (keys, target, y, prediction); returns the stored scores."""
+    """Save the chosen models, their scores and one table of predictions (keys, target, y, prediction); returns the stored scores.
+
+    The predictions of a target go straight to its folder; only rows of targets without a model are sorted for theirs.
+    """
+    spark, base = predictions.sparkSession, f"{path}/predictions/{device}"
     for target, model in models.items():
         model.write().overwrite().save(f"{path}/models/{device}/{target}")
-    predictions.write.mode("overwrite").partitionBy("target").parquet(f"{path}/predictions/{device}")
+    others = predictions.where(F.col("target").isNull() | ~F.col("target").isin(list(models)))
+    others.write.mode("overwrite").partitionBy("target").parquet(base)
+    for target in models:
+        folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(target)
+        predictions.where(F.col("target") == target).drop("target").write.mode("overwrite").parquet(f"{base}/target={folder}")
     return write_stage(metrics.withColumn("device", F.lit(device)), f"{path}/metrics")
 
 
