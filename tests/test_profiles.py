@@ -160,6 +160,36 @@ def test_selected_quantiles_equal_percentile(spark):
                 assert a == b or abs(a - b) <= 1e-12 * abs(b), c
 
 
+def test_selected_quantiles_make_no_row_per_value(spark, monkeypatch):
+    """A pass sorts batches in place; it once made a row of every value and interval."""
+    n, plans = 40_000, []
+    df = spark.range(0, n, 1, 4).selectExpr("cast(pmod(id * 7919, 40000) as double) as a", "id / 7 - 2000 as b", "if(id % 9 = 0, double('NaN'), exp(id / 100)) as c")
+    frame, collect = type(df), type(df).collect
+    monkeypatch.setattr(frame, "collect", lambda self: plans.append(self._jdf.queryExecution().optimizedPlan().toString()) or collect(self))
+    got = {r.feature: (r.n, r.q) for r in qs.selected_quantiles(df, list("abc"), (0.0, 0.3, 0.77, 1.0), 16).collect()}
+    assert len(plans) > 3 and not any("Generate" in p for p in plans)
+    at = np.arange(n)
+    for c, x in zip("abc", (at * 1.0, at / 7 - 2000, np.where(at % 9 == 0, np.nan, np.exp(at / 100)))):
+        x = np.sort(x)  # NaN last
+        assert got[c][0] == n
+        np.testing.assert_allclose(got[c][1], [x[k] + (x[m] - x[k]) * (p * (n - 1) - k) if k != m else x[k]
+                                               for p in (0.0, 0.3, 0.77, 1.0) for k, m in [(int(np.floor(p * (n - 1))), int(np.ceil(p * (n - 1))))]], rtol=1e-12)
+
+
+def test_selected_quantiles_of_neighbouring_doubles(spark):
+    """Values with no double between them, and every rank asked for."""
+    for first in (1.0, -1.0, 5e-324, -1.7e308):
+        x = [first]
+        for _ in range(6):
+            x.append(float(np.nextafter(x[-1], np.inf)))
+        df = spark.createDataFrame([(v,) for v in x for _ in range(2)], "x double")
+        got = qs.selected_quantiles(df, ["x"], [k / 13 for k in range(14)], 3).first()
+        assert got.n == 14
+        for k, v in enumerate(got.q):
+            assert x[max(0, k // 2 - 1)] <= v <= x[min(6, k // 2 + 1)]
+        assert got.q[0] == x[0] and got.q[13] == x[6]
+
+
 def test_sketches_merge(spark):
     df = spark.range(20_000).selectExpr("id % 4 as part", "cast(id as double) as v", "cast(null as double) as e")
     parts = qs.value_sketches(df, ["v", "e"], ["part"], 200)

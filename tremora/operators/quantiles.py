@@ -13,9 +13,12 @@ for answers within a stated error of rank that merge over tables.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tremora.operators.reshape import to_long
@@ -92,7 +95,8 @@ def selected_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[fl
 
     Each pass over the table counts the values of all open intervals in ``bins`` bins, with the least and the
     greatest of each bin, which are the next interval of the ranks in it: bins of signs, of equal ratio
-    or of equal width, as the interval is wide. An interval of one value is settled. A pass leaves at most ``bins`` rows for each interval and task, whatever the number of values.
+    or of equal width, as the interval is wide. An interval of one value is settled. A pass leaves at most ``bins`` rows
+    for each interval and task, whatever the number of values, and makes no row of any value.
     Columns without values have no row. NaN counts as greater than any number.
     """
     if bins < 3:
@@ -117,10 +121,10 @@ def selected_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[fl
         if not open_:
             break
         intervals = sorted({(c, i) for (c, _), i in open_.items()}, key=lambda x: (x[0], x[1].lo))
-        counted = _counted(df, number, intervals, bins)
+        counted = _counted(df, value, intervals, bins)
         for (c, k), i in open_.items():
             below = i.below
-            for _, n, lo, hi in counted[c, i]:
+            for n, lo, hi in counted[c, i]:
                 if k < below + n:
                     open_[c, k] = _Interval(lo, hi, below)
                     break
@@ -135,28 +139,61 @@ def selected_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[fl
     return df.sparkSession.createDataFrame(rows, "feature string, n long, q array<double>")
 
 
-def _counted(df: DataFrame, number: dict[str, Column], intervals: Sequence[tuple[str, _Interval]], bins: int) -> dict:
-    """(bin, values, least, greatest) of every interval's bins that hold values, in order."""
-    def bin_of(v: Column, i: _Interval) -> Column:
-        if i.lo <= 0 <= i.hi:  # signs first
-            return F.when(v < 0, 0).when(v == 0, 1).otherwise(2).cast("int")
+def _cuts(i: _Interval, bins: int) -> list[float]:
+    """Where the bins after an interval's first one begin, in order; the least and the greatest are in different bins."""
+    if i.lo <= 0 <= i.hi:  # signs first
+        cuts = [0.0, math.ulp(0.0)]
+    elif math.isinf(i.lo) or math.isinf(i.hi):  # an unlimited end leaves the middle to the rest
+        cuts = [math.nextafter(i.lo, math.inf), i.hi]
+    else:
         least, most = sorted((abs(i.lo), abs(i.hi)))
         if most / 4 > least:  # many sizes: bins of equal ratio
-            share = (F.log(F.abs(v)) - math.log(least)) / F.lit(math.log(most) - math.log(least))
-            share = share if i.lo > 0 else 1 - share
+            cuts = np.exp(np.linspace(math.log(least), math.log(most), bins + 1)[1:-1])
+            cuts = cuts if i.lo > 0 else -cuts
         else:
-            share = (v - i.lo) / F.lit(i.hi - i.lo)
-        # an unlimited end leaves the middle to the rest
-        middle = F.when(F.isnan(share), bins // 2).otherwise(F.greatest(F.lit(0), F.least(F.floor(share * bins), F.lit(bins - 1))))
-        return F.when(v == i.lo, 0).when(v == i.hi, bins - 1).otherwise(middle).cast("int")
-
-    cells = [F.when(number[c].between(i.lo, i.hi), F.struct(F.lit(place).alias("place"), bin_of(number[c], i).alias("bin"), number[c].alias("v")))
-             for place, (c, i) in enumerate(intervals)]
-    cells = df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).select("x.*")
-    rows = cells.groupBy("place", "bin").agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+            cuts = np.linspace(i.lo, i.hi, bins + 1)[1:-1]
+    return sorted({float(x) for x in cuts if i.lo < x <= i.hi}) or [i.hi]
+
+
+def _counted(df: DataFrame, value: dict[str, Column], intervals: Sequence[tuple[str, _Interval]], bins: int) -> dict:
+    """(values, least, greatest) of every interval's bins that hold values, in order.
+
+    Each batch is sorted by column, so that a bin is a range of it and only the ends of the bins are looked up,
+    however many intervals there are; a task hands on one row per bin.
+    """
+    plan, places = [], []  # for each column: the first of its bins, their starts, the interval's end at its last bin
+    for c in dict.fromkeys(c for c, _ in intervals):
+        starts, ends, first = [], [], len(places)
+        for i in (i for name, i in intervals if name == c):
+            cuts = _cuts(i, bins)
+            starts += [i.lo, *cuts]
+            ends += [*[math.nan] * len(cuts), i.hi]
+            places += [(c, i)] * (len(cuts) + 1)
+        plan.append((first, np.array(starts), np.array(ends)))
+    size = len(places)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, least, most = np.zeros(size, dtype=np.int64), np.full(size, np.inf), np.full(size, -np.inf)
+        for batch in batches:
+            for at, (first, starts, ends) in enumerate(plan):
+                v = np.sort(batch.column(at).to_numpy(zero_copy_only=False))  # null and NaN are behind all numbers
+                lo = np.searchsorted(v, starts)
+                hi = np.where(np.isnan(ends), np.append(lo[1:], 0), np.searchsorted(v, ends, side="right"))
+                held = np.flatnonzero(hi > lo)
+                cells = first + held
+                n[cells] += (hi - lo)[held]
+                least[cells] = np.minimum(least[cells], v[lo[held]])
+                most[cells] = np.maximum(most[cells], v[hi[held] - 1])
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (used, n[used], least[used], most[used])], names=["cell", "n", "lo", "hi"])
+
+    inside = reduce(lambda a, b: a | b, [value[c].between(i.lo, i.hi) for c, i in intervals])
+    columns = [value[c].alias(f"c{at}") for at, c in enumerate(dict.fromkeys(c for c, _ in intervals))]
+    cells = df.where(inside).select(*columns).mapInArrow(run, "cell long, n long, lo double, hi double")
+    rows = cells.groupBy("cell").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).collect()
     out: dict = {key: [] for key in intervals}
-    for r in sorted(rows, key=lambda r: (r["place"], r["bin"])):
-        out[intervals[r["place"]]].append((r["bin"], r["n"], r["lo"], r["hi"]))
+    for r in sorted(rows, key=lambda r: r["cell"]):
+        out[places[r["cell"]]].append((r["n"], r["lo"], r["hi"]))
     return out
 
 
