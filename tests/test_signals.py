@@ -2,6 +2,7 @@ import json
 import struct
 
 import numpy as np
+import pandas as pd
 import pytest
 from helpers import at
 from pyspark.sql import functions as F
@@ -172,3 +173,52 @@ def test_panels_of_nothing(spark):
     with pytest.raises(ValueError):
         spectra.signal_panels(df, "v", panels=["other"])
     assert set(spectra.spectrum(df, "v").columns) == {"device", "location", "bin", "frequency", "amplitude"}
+
+
+def test_recordings_of_one_length_and_rate_share_a_transform(spark, monkeypatch):
+    """Mixed lengths, rates, nulls and constants in one batch: each row as if alone, with a transform per kind and not per row."""
+    from tremora.functions import waveform
+
+    rng = np.random.default_rng(3)
+    kinds = [(64, 300.0), (64, 50_000.0), (50, 300.0), (7, np.nan)]
+    ys, rates = [], []
+    for i in range(400):
+        n, fs = kinds[i % 4]
+        ys.append(rng.normal(size=n).astype(np.float32))
+        rates.append(fs)
+    ys[0], ys[1], ys[2] = None, np.array([], dtype=np.float32), np.full(50, 2.5, dtype=np.float32)
+    ys[5][3] = np.nan
+    measure, calls, rfft = waveform._metrics_udf(True, True, True).func, [], np.fft.rfft
+    alone = pd.concat([next(measure(iter([(pd.Series([y], dtype=object), pd.Series([fs]))]))) for y, fs in zip(ys, rates)], ignore_index=True)
+    monkeypatch.setattr(np.fft, "rfft", lambda *a, **b: calls.append(1) or rfft(*a, **b))
+    together = next(measure(iter([(pd.Series(ys, dtype=object), pd.Series(rates))])))
+    assert len(calls) == 3
+    pd.testing.assert_frame_equal(together, alone, rtol=1e-12)
+    assert together.iloc[[0, 1]].isna().all(axis=None) and together.iloc[3][waveform.BAND_NAMES].isna().all()
+    assert together.iloc[5][waveform.TIME_NAMES].isna().all()
+    assert np.isnan(together["kurtosis_opt"][2]) and together["crest_factor"][2] == 1.0
+    x = ys[9].astype(float)  # 64 points at 50 kHz
+    power = np.abs(rfft(x - x.mean())) ** 2 * np.r_[1, np.full(31, 2), 1] / 64**2
+    at = np.arange(33) * 50_000 / 64
+    assert together["rms_1_10khz"][9] == pytest.approx(np.sqrt(power[(at >= 1000) & (at <= 10_000)].sum()))
+    assert together["velocity_rms"][9] == pytest.approx(np.sqrt(np.mean(x * x)))
+
+
+def test_names_are_parsed_once_whatever_is_joined(spark):
+    """Conditions on the recording time, which a join adds, must not repeat the parsing of the name."""
+    from tremora.operators.joins import interval_join
+
+    # 20250401 with the id as minutes, and every seventh name without a time
+    name = F.concat(F.when(F.col("id") % 7 == 0, "none").otherwise(F.concat(F.lit("20250401 00"), F.lpad(F.col("id").cast("string"), 2, "0"), F.lit("00"))),
+                    F.lit(f"_{'0' * 24}_{SENSOR}_VV.json"))
+    waves = spark.range(60).select(F.lit("d").alias("device"), name.alias("file_name"), F.array(F.lit(0.0), F.lit(0.001)).alias("axisX"),
+                                   F.array(F.lit(1.0), F.col("id").cast("double")).alias("axisY"))
+    buckets = spark.createDataFrame([("d", "Gear Reducer", at(0), at(600)), ("d", "Gear Reducer", at(1800), at(1920))],
+                                    "device string, location string, bucket_start timestamp_ntz, bucket_end timestamp_ntz")
+    joined = interval_join(waveforms.waveform_metrics(waves, sensor_dimension(spark)), buckets).na.drop(subset=["timestamp", "velocity_rms"])
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_extract" in line]
+    assert plan.count("regexp_extract(") < 12
+    got = joined.orderBy("timestamp").collect()
+    assert [r.timestamp for r in got] == [at(60 * i) for i in (1, 2, 3, 4, 5, 6, 8, 9, 10, 30, 31, 32)]
+    assert all(r.sensor_id == SENSOR and r.wave_code == "VV" and r.bucket_start <= r.timestamp <= r.bucket_end for r in got)

@@ -1,7 +1,7 @@
 """Waveform metrics on array columns.
 
-A recording goes through numpy once, in Arrow batches: the moments and the Fourier
-transform, from which every band is read, come from the same array.
+Recordings go through numpy once, in Arrow batches, those of one length and rate as a matrix:
+the moments and the Fourier transform, from which every band is read, come from the same array.
 """
 
 from __future__ import annotations
@@ -24,39 +24,44 @@ def sampling_rate(axis_x: Column) -> Column:
 TIME_NAMES = ["velocity_rms", "crest_factor", "kurtosis_opt", "peak_value_opt"]
 
 
-def _times(x: np.ndarray) -> dict[str, float | None]:
-    """RMS, crest factor, kurtosis (normal = 3) and peak; all null for a signal that holds a null."""
-    if np.isnan(x).any():
-        return dict.fromkeys(TIME_NAMES)
-    rms, peak = float(np.sqrt(np.mean(x * x))), float(np.abs(x).max())
-    square = (x - x.mean()) ** 2
-    variance = float(square.mean()) ** 2
-    return {
-        "velocity_rms": rms, "crest_factor": peak / rms if rms else None,
-        "kurtosis_opt": float(np.mean(square * square)) / variance if variance else None, "peak_value_opt": peak,
-    }
+BLOCK_POINTS = 1_000_000  # of recordings that go through numpy together
 
 
-def _bands(x: np.ndarray, fs: float, parseval: bool) -> dict[str, float | None]:
-    n = x.size
-    spectrum = np.fft.rfft(x - x.mean())
-    freqs = np.arange(spectrum.size) * fs / n
+def _times(x: np.ndarray) -> np.ndarray:
+    """RMS, crest factor, kurtosis (normal = 3) and peak of each row; all null for a signal that holds a null."""
+    rms, peak = np.sqrt(np.mean(x * x, axis=1)), np.abs(x).max(axis=1)
+    square = (x - x.mean(axis=1, keepdims=True)) ** 2
+    variance = square.mean(axis=1) ** 2
+    out = np.stack([
+        rms, np.where(rms != 0, peak / rms, np.nan),
+        np.where(variance != 0, np.mean(square * square, axis=1) / variance, np.nan), peak,
+    ], axis=1)
+    out[np.isnan(x).any(axis=1)] = np.nan
+    return out
+
+
+def _bands(x: np.ndarray, fs: float, parseval: bool) -> np.ndarray:
+    """RMS of every band and the peak of each row, all recorded at one rate."""
+    n = x.shape[1]
+    spectrum = np.fft.rfft(x - x.mean(axis=1, keepdims=True), axis=1)
+    freqs = np.arange(spectrum.shape[1]) * fs / n
     power = np.abs(spectrum) ** 2
     if parseval:
         # one-sided power that adds up to the mean square: inner bins count twice
-        inner = np.full(spectrum.size, 2.0)
+        inner = np.full(spectrum.shape[1], 2.0)
         inner[0] = 1.0
         if n % 2 == 0:
             inner[-1] = 1.0
         power = power * inner / n**2
     else:
         power = power / n
-    out: dict[str, float | None] = {}
-    for name, (lo, hi) in RMS_BANDS.items():
-        chosen = (freqs >= lo) & (freqs <= hi)
-        out[name] = float(np.sqrt(power[chosen].sum())) if chosen.any() else None
+    out = np.full((len(x), len(RMS_BANDS) + 1), np.nan)
+    for c, (lo, hi) in enumerate(RMS_BANDS.values()):
+        first, end = np.searchsorted(freqs, lo), np.searchsorted(freqs, hi, side="right")
+        if first < end:
+            out[:, c] = np.sqrt(power[:, first:end].sum(axis=1))
     chosen = (freqs >= PEAK_BAND[0]) & (freqs <= PEAK_BAND[1])
-    out["peak_10_1000hz"] = float(np.abs(np.fft.irfft(np.where(chosen, spectrum, 0), n)).max())
+    out[:, -1] = np.abs(np.fft.irfft(np.where(chosen, spectrum, 0), n, axis=1)).max(axis=1)
     return out
 
 
@@ -64,24 +69,30 @@ BAND_NAMES = [*RMS_BANDS, "peak_10_1000hz"]
 
 
 def _metrics_udf(parseval: bool, times: bool, bands: bool):
-    """One pass over each array for all the metrics asked for."""
+    """One pass over each array for all the metrics asked for; recordings of one length and rate share numpy's calls."""
     columns = [*(TIME_NAMES if times else []), *(BAND_NAMES if bands else [])]
     schema = "struct<" + ", ".join(f"{c}: double" for c in columns) + ">"
-    empty = dict.fromkeys(columns)
 
-    def one(y: object, fs: float | None) -> dict[str, float | None]:
-        if y is None or len(y) == 0:
-            return empty
-        x = np.asarray(y, dtype=np.float64)
-        out = _times(x) if times else {}
-        if bands:
-            out |= dict.fromkeys(BAND_NAMES) if pd.isna(fs) else _bands(x, fs, parseval)
-        return out
+    def block(x: np.ndarray, fs: float | None) -> np.ndarray:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            parts = [_times(x)] if times else []
+            if bands:
+                parts.append(np.full((len(x), len(BAND_NAMES)), np.nan) if fs is None else _bands(x, fs, parseval))
+        return np.concatenate(parts, axis=1)
 
     @F.pandas_udf(schema)
     def measure(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for ys, rates in batches:
-            yield pd.DataFrame([one(y, fs) for y, fs in zip(ys, rates)], columns=columns, dtype="float64")
+            held, out = list(ys), np.full((len(ys), len(columns)), np.nan)
+            alike: dict[tuple[int, float | None], list[int]] = {}
+            for i, (y, fs) in enumerate(zip(held, rates)):
+                if y is not None and len(y):
+                    alike.setdefault((len(y), None if pd.isna(fs) else fs), []).append(i)
+            for (n, fs), rows in alike.items():
+                step = max(1, BLOCK_POINTS // n)
+                for own in (rows[k : k + step] for k in range(0, len(rows), step)):
+                    out[own] = block(np.stack([np.asarray(held[i], dtype=np.float64) for i in own]), fs)
+            yield pd.DataFrame(out, columns=columns)
 
     return measure
 

@@ -31,9 +31,9 @@ def with_band_peak(df: DataFrame, axis_y: str = "axisY", fs: str = "fs") -> Data
 def with_file_fields(df: DataFrame, name: str = "file_name") -> DataFrame:
     """Time, sensor and wave code from the file name; names without a time are dropped."""
     n = F.col(name)
-    return df.withColumns({
-        "timestamp": names.wave_time(n), "sensor_id": names.sensor_id(n), "wave_code": names.wave_code(n),
-    }).where(F.col("timestamp").isNotNull())
+    # a generated column is read once: conditions on a plain one, as joins add them, would each parse the name anew
+    timed = df.drop("timestamp").select("*", F.explode(F.array(names.wave_time(n))).alias("timestamp"))
+    return timed.withColumns({"sensor_id": names.sensor_id(n), "wave_code": names.wave_code(n)}).where(F.col("timestamp").isNotNull())
 
 
 def waveform_metrics(waves: DataFrame, dimension: DataFrame, norm: str = "one_sided") -> DataFrame:
