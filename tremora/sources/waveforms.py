@@ -13,6 +13,8 @@ from tremora.config import WAVEFORM_SCHEMA
 from tremora.functions import names
 from tremora.sources.files import BinaryParts
 
+BATCH_FILES = 16_384  # of a stream, listed and planned together
+
 
 def _depth(spark: SparkSession, path: str) -> int:
     """Components of ``path`` once it is absolute; a pattern stands for as many as it has."""
@@ -103,8 +105,11 @@ def waveform_json_stream(spark: SparkSession, path: str, files_per_trigger: int
     )
 
 
-def waveform_binary_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 256) -> DataFrame:
-    """Binary recordings of up to 2 GB as a stream of files, decoded, each read once for a checkpoint."""
+def waveform_binary_stream(spark: SparkSession, path: str, files_per_trigger: int | None = BATCH_FILES) -> DataFrame:
+    """Binary recordings of up to 2 GB as a stream of files, decoded, each read once for a checkpoint.
+
+    ``files_per_trigger`` bounds a batch of backlog; each batch has costs of its own, so name fewer only for large files.
+    """
     schema = "path string, modificationTime timestamp, length long, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.[sS][iI][nN][gG][lL][eE]")
     reader = reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader

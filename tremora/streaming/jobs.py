@@ -14,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tremora.functions.time import epoch_micros
 from tremora.operators.buckets import assign_buckets, summarise_buckets
 from tremora.session import broadcast_if_small, scratch_path
-from tremora.streaming.tables import delete, each_batch, folders, is_complete, numbers
+from tremora.streaming.tables import delete, each_batch, folders, is_complete, numbers, settings
+
+LISTING, OPEN_COST = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes"
+OPEN_BYTES = 1 << 16  # that opening a file counts as, so that a task takes at most about 2 000 files
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -36,17 +39,28 @@ def event_time(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
+def _many_files(spark: SparkSession) -> dict[str, str]:
+    """Settings for batches of many small files; the file source reads them from the session of its stream during a run.
+
+    The files of a batch are listed by a few tasks a core, not by a task each, and small ones share a reading
+    task. Smaller values of the session stay.
+    """
+    cost = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(OPEN_COST))
+    return {LISTING: str(min(int(spark.conf.get(LISTING)), 4 * spark.sparkContext.defaultParallelism)), OPEN_COST: str(min(cost, OPEN_BYTES))}
+
+
 def run_available(stream: DataFrame, name: str, sink: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process all files present now, append to a Parquet sink and return the sink's table."""
     spark = stream.sparkSession
     sink = sink or scratch_path(spark, f"{name}-sink")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-state")
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", sink).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    with settings(spark, **_many_files(spark)):
+        query = (
+            stream.writeStream.format("parquet").outputMode("append")
+            .option("path", sink).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(sink)
 
 
