@@ -7,8 +7,9 @@ from helpers import at, rows
 from pyspark.sql import functions as F
 
 from tremora.operators import buckets, timeseries
+from tremora.session import settings
 from tremora.sources import waveforms
-from tremora.streaming import identities, jobs, levels, live, tables
+from tremora.streaming import identities, jobs, levels, live
 from workload import queries
 
 SCHEMA = "device string, location string, datetime timestamp_ntz, v double, p double"
@@ -245,17 +246,18 @@ def test_many_small_recordings_take_few_batches_and_tasks(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for i in range(600):
         (tmp_path / "in" / f"dev_{i}_20240101_000000.Single").write_bytes(np.array([50.0, *range(1 + i % 3)], "<f4").tobytes())
-    held = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes")
-    settings = {k: spark.conf.get(k) for k in held}
+    held = ("spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes",
+            "spark.sql.hive.filesourcePartitionFileCacheSize", "spark.sql.sources.ignoreDataLocality")
+    before = {k: spark.conf.get(k) for k in held}
     arrived = jobs.ingest(waveforms.waveform_binary_stream(spark, str(tmp_path / "in")))
     table = jobs.run_available(arrived.select("filepath", F.size("axisY").alias("n"), "ingest_time"), "waves")
     assert sorted(r.n for r in table.collect()) == sorted(1 + i % 3 for i in range(600))
     assert table.select("ingest_time").distinct().count() == 1
     assert len(table.inputFiles()) <= spark.sparkContext.defaultParallelism + 1
-    assert {k: spark.conf.get(k) for k in settings} == settings
+    assert {k: spark.conf.get(k) for k in held} == before
 
 
 def test_smaller_settings_of_the_session_stay(spark):
-    with tables.settings(spark, **{jobs.LISTING: "3", jobs.OPEN_COST: "1k"}):
-        assert jobs._many_files(spark) == {jobs.LISTING: "3", jobs.OPEN_COST: "1024"}
-    assert jobs._many_files(spark) == {jobs.LISTING: str(4 * spark.sparkContext.defaultParallelism), jobs.OPEN_COST: "65536"}
+    with settings(spark, **{jobs.LISTING: "3", jobs.OPEN_COST: "1k"}):
+        assert jobs._many_files(spark) == {jobs.LISTING: "3", jobs.OPEN_COST: "1024", jobs.LISTED: "0"}
+    assert jobs._many_files(spark) == {jobs.LISTING: str(4 * spark.sparkContext.defaultParallelism), jobs.OPEN_COST: "65536", jobs.LISTED: "0"}

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tremora.config import WAVEFORM_SCHEMA
 from tremora.functions import names
+from tremora.session import settings
 from tremora.sources.files import BinaryParts
 
 BATCH_FILES = 16_384  # of a stream, listed and planned together
@@ -113,6 +114,7 @@ def waveform_binary_stream(spark: SparkSession, path: str, files_per_trigger: in
     schema = "path string, modificationTime timestamp, length long, content binary"
     reader = spark.readStream.format("binaryFile").schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", "*.[sS][iI][nN][gG][lL][eE]")
     reader = reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader
-    files = reader.load(path).select(F.col("path").alias("filepath"), "content")
+    with settings(spark, **{"spark.sql.sources.ignoreDataLocality": "true"}):  # all files are listed here too, for columns in their paths alone
+        files = reader.load(path).select(F.col("path").alias("filepath"), "content")
     timed = files.withColumn("timestamp", names.binary_wave_time(names.base_name(F.col("filepath"))))
     return decode_waveforms(timed.where(F.col("timestamp").isNotNull()))

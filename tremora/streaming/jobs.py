@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tremora.functions.time import epoch_micros
 from tremora.operators.buckets import assign_buckets, summarise_buckets
-from tremora.session import broadcast_if_small, scratch_path
-from tremora.streaming.tables import delete, each_batch, folders, is_complete, numbers, settings
+from tremora.session import broadcast_if_small, scratch_path, settings
+from tremora.streaming.tables import delete, each_batch, folders, is_complete, numbers
 
 LISTING, OPEN_COST = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.files.openCostInBytes"
+LISTED = "spark.sql.hive.filesourcePartitionFileCacheSize"
 OPEN_BYTES = 1 << 16  # that opening a file counts as, so that a task takes at most about 2 000 files
 
 
@@ -43,10 +44,11 @@ def _many_files(spark: SparkSession) -> dict[str, str]:
     """Settings for batches of many small files; the file source reads them from the session of its stream during a run.
 
     The files of a batch are listed by a few tasks a core, not by a task each, and small ones share a reading
-    task. Smaller values of the session stay.
+    task; smaller values of the session stay. As no batch comes twice, none stays in the driver's cache of lists.
     """
     cost = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(OPEN_COST))
-    return {LISTING: str(min(int(spark.conf.get(LISTING)), 4 * spark.sparkContext.defaultParallelism)), OPEN_COST: str(min(cost, OPEN_BYTES))}
+    tasks = min(int(spark.conf.get(LISTING)), 4 * spark.sparkContext.defaultParallelism)
+    return {LISTING: str(tasks), OPEN_COST: str(min(cost, OPEN_BYTES)), LISTED: "0"}
 
 
 def run_available(stream: DataFrame, name: str, sink: str | None = None, checkpoint: str | None = None) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tremora.session import settings
+
 
 def folders(spark: SparkSession, path: str) -> list[str] | None:
     """Names below ``path``, None if there is no such folder."""
@@ -39,19 +40,6 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-@contextmanager
-def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
-    """Session settings that hold inside the block only."""
-    before = {k: spark.conf.get(k, None) for k in conf}
-    try:
-        for k, v in conf.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def each_batch(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, **conf: str):
     """Run ``write(batch, number)`` over everything that is there and return the finished query."""
     with settings(stream.sparkSession, **conf):
